@@ -6,9 +6,9 @@ Plan shape (one job):
                                               \\--> latest per (pair, freq, day)
                                                    [partial top-1 per map task,
                                                     shuffle, final top-1]
-                                              --> join assets (Catalyst picks
-                                                  broadcast only when the asset
-                                                  side is measured small)
+                                              --> join assets (broadcast only
+                                                  when a bounded count proves the
+                                                  asset side small; else SMJ)
 
 A day that was delivered many times (a hot "group of copies") is cut down to
 one row per map task before the shuffle, so it cannot overload one reducer.
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from barlens.functions import (cap_bucket, parse_count, parse_price, quarter_start,
                                yyyymmdd)
+from barlens.operators.joins import join_reference
 from barlens.schemas import STOCK_DATA_COLUMNS
 
 PRICE_FIELDS = ("last_open", "last_close", "last_min", "last_max")
@@ -112,7 +113,7 @@ def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
     good, quarantine = typed_feeds(historical_daily, historical_weekly,
                                    current_daily, current_weekly)
     latest = dedup_bars(good)
-    bars = latest.join(unique_assets(assets), "pair_id")
+    bars = join_reference(latest, unique_assets(assets), "pair_id")
     return (bars.select(
         "pair_id",
         yyyymmdd("transaction_date").alias("transaction_id"),

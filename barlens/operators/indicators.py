@@ -33,17 +33,37 @@ def with_seq(df: DataFrame, name: str = "seq_num", keys=SERIES_KEYS) -> DataFram
 def rolling_mean(col: str, n: int, keys=SERIES_KEYS) -> Column:
     """Mean over the last ``n`` rows (fewer at the start of a series).
 
-    The sum stays DECIMAL (exact, order-independent) and is divided once, so
-    the result does not depend on how the frame is summed.
+    Spark re-aggregates a moving ROWS frame for every row (O(n) per row), so
+    the frame sum is taken as a difference of running sums instead: one
+    running SUM/COUNT per column (O(1) per row) and an O(1) ``lag``. The sums
+    are exact (DECIMAL or BIGINT), so the difference equals the frame sum
+    exactly, and it is divided once - the result does not depend on how the
+    frame would have been summed.
     """
-    w = series_window(keys).rowsBetween(-(n - 1), 0)
-    return F.try_divide(F.sum(col).over(w).cast("double"), F.count(col).over(w))
+    w = series_window(keys)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    total, count = F.sum(col).over(running), F.count(col).over(running)
+    return _frame_mean(total, count, n, w)
+
+
+def _frame_mean(total: Column, count: Column, n: int, w: Window) -> Column:
+    s = total - F.coalesce(F.lag(total, n).over(w), F.lit(0))
+    c = count - F.coalesce(F.lag(count, n).over(w), F.lit(0))
+    return F.try_divide(s.cast("double"), c)
 
 
 def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
              prefix: str = "sma_", keys=SERIES_KEYS) -> DataFrame:
-    """WIN-8: simple moving averages of ``col`` over row frames."""
-    return df.withColumns({f"{prefix}{n}": rolling_mean(col, n, keys) for n in periods})
+    """WIN-8: simple moving averages of ``col`` over row frames.
+
+    All periods share one running sum and count (see ``rolling_mean``)."""
+    w = series_window(keys)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    base = df.withColumns({"_run_sum": F.sum(col).over(running),
+                           "_run_cnt": F.count(col).over(running)})
+    return base.withColumns({
+        f"{prefix}{n}": _frame_mean(F.col("_run_sum"), F.col("_run_cnt"), n, w)
+        for n in periods}).drop("_run_sum", "_run_cnt")
 
 
 def with_prev(df: DataFrame, cols, prefix: str = "prev_", keys=SERIES_KEYS) -> DataFrame:
@@ -62,10 +82,22 @@ def liquid(stock_data: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,
             .filter(F.col("avg_volume") > F.lit(float(min_avg_volume))))
 
 
-def daily_liquid_bars(stock_data: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME) -> DataFrame:
-    """FLT-1 + JN-3: daily bars of liquid instruments (``pair_id IN (...)``)."""
+def daily_liquid_bars(stock_data: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,
+                      keys=SERIES_KEYS) -> DataFrame:
+    """FLT-1 + AGG-1 + FLT-3 + JN-3: daily bars of liquid instruments.
+
+    Same rows as ``daily.join(liquid(...), "pair_id", "left_semi")``, but the
+    whole-history mean is a window over the series partition (a series has a
+    single ticker), so it rides on the shuffle and sort that the indicator
+    windows need anyway instead of scanning the bars a second time for an
+    aggregate and joining it back.
+    """
     daily = stock_data.filter(F.col("frequency") == "daily")
-    return daily.join(liquid(stock_data, min_avg_volume).select("pair_id"), "pair_id", "left_semi")
+    w = Window.partitionBy(*keys)
+    mean = F.sum("volume").over(w).cast("double") / F.count("volume").over(w)
+    return (daily.withColumn("_avg_volume", mean)
+            .filter(F.col("_avg_volume") > F.lit(float(min_avg_volume)))
+            .drop("_avg_volume"))
 
 
 def volume_spikes(stock_data: DataFrame, period: int = 30, factor: float = 1.5,

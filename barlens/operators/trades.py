@@ -27,9 +27,17 @@ PNL_COLUMNS = ["shares_bought", "profit_or_loss", "percent_profit_loss"]
 
 
 def signal_rows(df: DataFrame, signal_cols) -> DataFrame:
-    """SET-2/FLT-4: one row per (bar, strategy) that carries a signal."""
+    """SET-2/FLT-4: one row per (bar, strategy) that carries a signal.
+
+    An ``explode`` (Generate) rather than ``unpivot`` (Expand): Generate keeps
+    the input's hash partitioning, so the pairing windows below need no new
+    shuffle.
+    """
     ids = [*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close"]
-    return (df.unpivot(ids, list(signal_cols), "strategy", "signal")
+    pairs = F.array(*[F.struct(F.lit(c).alias("strategy"), F.col(c).alias("signal"))
+                      for c in signal_cols])
+    return (df.select(*ids, F.explode(pairs).alias("_s"))
+            .select(*ids, "_s.strategy", "_s.signal")
             .filter(F.col("signal").isNotNull()))
 
 

@@ -38,11 +38,12 @@ RESUME_CUT = dt.date(2000, 12, 31)
 
 
 class Inputs:
-    """Lazily built inputs for one scale directory (plans only, no actions)."""
+    """Inputs for one scale directory: the landed raw tables (written once per
+    application from the generated tables) and the plans built on them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.feeds = testdata.inputs(spark, sf_dir)
+        self.feeds = testdata.landed_inputs(spark, sf_dir)
 
     def stock(self, current: bool = True) -> DataFrame:
         feeds = dict(self.feeds)

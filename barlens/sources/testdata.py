@@ -14,12 +14,14 @@ map-side before any shuffle):
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.schemas import RAW_BAR
+from barlens.session import scratch_path
 
 # Fixed values of the generated feeds.
 HISTORICAL_BEFORE = dt.date(2001, 7, 1)   # historical feeds hold bars before this day
@@ -158,12 +160,41 @@ def raw_feeds(bars: DataFrame) -> dict[str, DataFrame]:
             "current_daily": cd, "current_weekly": cw}
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Everything the bar pipeline reads, derived from one scale directory."""
-    bars = bars_from_lineitem(table(spark, sf_dir, "lineitem"))
+def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Everything the bar pipeline reads, derived from one scale directory
+    (as plans; nothing is written)."""
+    if bars is None:
+        bars = bars_from_lineitem(table(spark, sf_dir, "lineitem"))
     out = raw_feeds(bars)
     out["assets"] = assets_from_supplier(table(spark, sf_dir, "supplier"),
                                          table(spark, sf_dir, "nation"),
                                          table(spark, sf_dir, "region"))
     out["screen"] = screen_from_supplier(table(spark, sf_dir, "supplier"))
     return out
+
+
+# Landed inputs per (application, scale directory): table name -> path.
+_LANDED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The pipeline's raw tables, landed once per application.
+
+    The reference's models read stored raw tables; here the loaders' output
+    is written once as Parquet under the shared checkpoint folder (first the
+    daily bars, from which the four feeds are cut, so ``lineitem`` is
+    aggregated once) and every query reads those tables.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    paths = _LANDED.get(key)
+    if paths is None:
+        base = scratch_path(spark, "landing")
+        bars_path = f"{base}/bars"
+        bars_from_lineitem(table(spark, sf_dir, "lineitem")).write.parquet(bars_path)
+        frames = inputs(spark, sf_dir, spark.read.parquet(bars_path))
+        paths = {}
+        for name, df in frames.items():
+            paths[name] = f"{base}/{name}"
+            df.write.parquet(paths[name])
+        _LANDED[key] = paths
+    return {name: spark.read.parquet(p) for name, p in paths.items()}
