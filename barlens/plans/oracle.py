@@ -134,6 +134,20 @@ CAP_CASE = """CASE WHEN market_cap IS NULL THEN 'Unknown'
        WHEN market_cap < 50000000000 THEN 'Micro Cap'
        ELSE 'Other' END"""
 
+def latest_cte(name: str, where: str = "TRUE") -> str:
+    return f"""
+{name} AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY pair_id, frequency, transaction_date
+                                 ORDER BY loaded DESC NULLS LAST, src DESC) AS rn
+    FROM typed WHERE {where}) WHERE rn = 1)"""
+
+
+def stock_data_cte(name: str = "stock_data", latest: str = "latest") -> str:
+    return STOCK_DATA_CTE.replace("stock_data AS (", f"{name} AS (", 1).replace(
+        "FROM latest l", f"FROM {latest} l", 1)
+
+
 STOCK_DATA_CTE = f"""
 stock_data AS (
   SELECT l.pair_id, strftime(l.transaction_date, '%Y%m%d') AS transaction_id,

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.functions import cap_bucket, crossover
-from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts,
-                                    typed_feeds)
+from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, tag_raw,
+                                    type_bars, typed_feeds)
 from barlens.operators.ema import ema_resume, ema_state, with_ema
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
                                           liquid, volume_spikes)
@@ -24,7 +24,11 @@ from barlens.operators.trades import pair_trades
 from barlens.operators.universe import pending, universe
 from barlens.plans import models
 from barlens.plans import oracle as O
+from barlens.session import scratch_path
+from barlens.sinks import reload_partitions, replace_table, write_csv
 from barlens.sources import testdata
+from barlens.sources.readers import (extract_html_table, read_assets, read_bar_csv,
+                                     read_bar_landing)
 
 # Fixed parameters of the registered queries.
 # The generated bars count volume in lineitem quantity units (a few dozen a
@@ -185,6 +189,57 @@ def q_ema_incremental_resume(spark, sf_dir):
     ).select(*models.INCREMENTAL_COLUMNS)
 
 
+def q_asset_json(spark, sf_dir):
+    """SRC-1: asset documents (one JSON page per line) -> assets_info."""
+    t = partial(testdata.table, spark, sf_dir)
+    path = scratch_path(spark, "asset-documents")
+    testdata.asset_documents(t("supplier"), t("nation"), t("region")).write.text(path)
+    return read_assets(spark, path, as_of=testdata.DOCUMENTS_LOADED_AT)
+
+
+def q_html_table(spark, sf_dir):
+    """SRC-2: screen rows extracted from HTML pages - the generated screen
+    pages and the given ``pages`` table (whose pages hold no tables)."""
+    t = partial(testdata.table, spark, sf_dir)
+    pages = testdata.screen_pages(t("part")).unionByName(t("pages").select("page_id", "html"))
+    return extract_html_table(pages, "html", as_of=testdata.DOCUMENTS_LOADED_AT)
+
+
+def _typed_raw(raw: DataFrame, frequency: str) -> DataFrame:
+    return type_bars(tag_raw(raw, frequency, 1)).filter(F.col("_bad") == "").select(
+        "pair_id", "transaction_date", "last_open", "last_close", "last_min", "last_max",
+        "volume", "change_percent", "record_created_on")
+
+
+def q_bar_landing(spark, sf_dir):
+    """SRC-3: the current daily feed landed as one API document per
+    instrument (folders ``pair_id=<id>``), read back and typed."""
+    f = _inputs(spark, sf_dir).feeds
+    path = scratch_path(spark, "bar-landing")
+    testdata.bar_documents(f["current_daily"]).write.partitionBy("pair_id").text(path)
+    raw = read_bar_landing(spark, path, loaded_at=testdata.CURRENT_LOADED_AT)
+    return _typed_raw(raw, "daily")
+
+
+def q_bar_csv(spark, sf_dir):
+    """SRC-4 + SNK-10: the current weekly feed staged as CSV and read back."""
+    f = _inputs(spark, sf_dir).feeds
+    path = scratch_path(spark, "bar-csv")
+    write_csv(f["current_weekly"], path)
+    return _typed_raw(read_bar_csv(spark, path), "weekly")
+
+
+def q_table_roundtrip(spark, sf_dir):
+    """SNK-1/3/6: the unified table as it stood before the current feeds,
+    written partitioned by frequency; then the weekly partition reloaded
+    from the refreshed data (dynamic partition overwrite); read back."""
+    inp = _inputs(spark, sf_dir)
+    path = scratch_path(spark, "stock-data")
+    replace_table(inp.stock(current=False), path, ["frequency"])
+    reload_partitions(inp.stock().filter(F.col("frequency") == "weekly"), path, ["frequency"])
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_unified": q_bars_unified,
     "bars_latest": q_bars_latest,
@@ -206,6 +261,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strategy_compare": q_strategy_compare,
     "ema_incremental_reseed": q_ema_incremental_reseed,
     "ema_incremental_resume": q_ema_incremental_resume,
+    "asset_json": q_asset_json,
+    "html_table": q_html_table,
+    "bar_landing": q_bar_landing,
+    "bar_csv": q_bar_csv,
+    "table_roundtrip": q_table_roundtrip,
 }
 
 
@@ -418,6 +478,30 @@ daily_v2 AS (
         _incremental_select("run1") + "\nUNION ALL\n" + _incremental_select("run2"))
     o["ema_incremental_resume"] = _with(_ema_ctes("liquid_daily", "fullrun", narrow)) + (
         _incremental_select("fullrun", f"transaction_date > {_d(RESUME_CUT)}"))
+    o["asset_json"] = f"""
+SELECT 'NSEI:' || upper(s_name) AS uid, s_suppkey AS pair_id, s_name AS ticker,
+       s_name AS stock_name, 'NSEI:' || upper(s_name) AS primary_uid,
+       '/equities/' || lower(s_name) AS path, n_name AS sector,
+       CASE WHEN s_suppkey % 5 = 0 OR s_suppkey % 11 = 0 OR s_acctbal < 0 THEN NULL
+            ELSE CAST(CAST(CAST(s_acctbal AS DECIMAL(12,2)) * 300000000 AS DECIMAL(24,2))
+                      AS DECIMAL(24,4)) END AS market_cap,
+       r_name AS primary_sector, n_name AS secondary_sector,
+       TIMESTAMP '{testdata.DOCUMENTS_LOADED_AT.isoformat(sep=' ')}' AS record_created_on
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+    o["html_table"] = f"""
+SELECT CASE WHEN p_size % 3 <> 0 THEN 'True' ELSE 'False' END AS halal_ind,
+       p_name AS stock_name, CAST(p_partkey + 100000 AS VARCHAR) AS bse_code,
+       upper(replace(p_name, ' ', '-')) AS nse_code, p_type || ' & ' || p_brand AS industry,
+       TIMESTAMP '{testdata.DOCUMENTS_LOADED_AT.isoformat(sep=' ')}' AS record_created_on
+FROM part"""
+    typed_cols = ("SELECT pair_id, transaction_date, last_open, last_close, last_min, last_max, "
+                  "volume, change_percent, loaded AS record_created_on FROM typed ")
+    o["bar_landing"] = O.with_ctes() + typed_cols + "WHERE src = 1 AND frequency = 'daily'"
+    o["bar_csv"] = O.with_ctes() + typed_cols + "WHERE src = 1 AND frequency = 'weekly'"
+    o["table_roundtrip"] = O.with_ctes(O.latest_cte("latest_v1", "src = 0"),
+                                       O.stock_data_cte("stock_v1", "latest_v1")) + (
+        "SELECT * FROM stock_v1 WHERE frequency = 'daily' "
+        "UNION ALL SELECT * FROM stock_data WHERE frequency = 'weekly'")
     return o
 
 

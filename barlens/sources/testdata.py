@@ -198,3 +198,102 @@ def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             df.write.parquet(paths[name])
         _LANDED[key] = paths
     return {name: spark.read.parquet(p) for name, p in paths.items()}
+
+
+# --- document inputs ----------------------------------------------------------
+
+ASSETS_PER_DOCUMENT = 50     # one asset document (API page) per 50 suppliers
+SCREEN_ROWS_PER_PAGE = 100   # one screen page per 100 parts
+DOCUMENTS_LOADED_AT = dt.datetime(2001, 11, 5, 18, 0, 0)
+
+
+def asset_documents(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Asset master as JSON documents shaped like the source API's pages
+    (column ``value``, one document per line).
+
+    Positional ``data``: [0] exchange, [1] region (primary sector),
+    [2] nation (secondary sector), [3] market cap with a numeric ``raw``.
+    Suppliers with key % 5 = 0 have no element 3; with key % 11 = 0 or a
+    negative balance element 3 is hidden (no ``raw``).
+    """
+    k = F.col("s_suppkey")
+    name_u = F.upper("s_name")
+
+    def datum(value, raw, hidden=F.lit(False)):
+        return F.struct(hidden.alias("hidden"), value.alias("value"), raw.alias("raw"),
+                        F.lit(0).cast("bigint").alias("sentiment"))
+
+    cap = (F.col("s_acctbal").cast("decimal(12,2)") * F.lit(MARKET_CAP_FACTOR)).cast("decimal(24,2)")
+    hidden_cap = (k % 11 == 0) | (F.col("s_acctbal") < 0)
+    cap_datum = F.when(hidden_cap, F.struct(F.lit(True).alias("hidden"),
+                                            F.lit(None).cast("string").alias("value"),
+                                            F.lit(None).cast("string").alias("raw"),
+                                            F.lit(None).cast("bigint").alias("sentiment"))) \
+        .otherwise(datum(F.format_number(cap, 0), cap.cast("string")))
+    base = [datum(F.lit("NSE"), F.lit("NSE")), datum(F.col("r_name"), F.col("r_name")),
+            datum(F.col("n_name"), F.col("n_name"))]
+    data = F.when(k % 5 == 0, F.array(*base)).otherwise(F.array(*base, cap_datum))
+    asset = F.struct(F.lit(False).alias("hidden"),
+                     F.concat(F.lit("NSEI:"), name_u).alias("uid"),
+                     k.alias("pairID"), F.col("s_name").alias("ticker"),
+                     F.col("s_name").alias("name"),
+                     F.concat(F.lit("NSEI:"), name_u).alias("primary"),
+                     F.concat(F.lit("/equities/"), F.lower("s_name")).alias("path"),
+                     F.lit("").alias("logo"), F.lit("").alias("logoDark"),
+                     F.col("n_name").alias("sector"))
+    rows = (supplier
+            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(F.floor(k / ASSETS_PER_DOCUMENT).alias("page"), k,
+                    F.struct(asset.alias("asset"), data.alias("data")).alias("row")))
+    docs = (rows.groupBy("page")
+            .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), F.col("row")))).alias("rs"))
+            .select(F.to_json(F.struct(F.col("rs.row").alias("rows"))).alias("value")))
+    # market caps are JSON numbers in the source
+    return docs.select(F.regexp_replace("value", r'"raw":"(-?[0-9]+(\.[0-9]+)?)"', '"raw":$1')
+                       .alias("value"))
+
+
+def _escape(c) -> F.Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")),
+                               F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def screen_pages(part: DataFrame) -> DataFrame:
+    """Compliance screen as HTML pages (``page_id``, ``html``), one table of
+    up to 100 parts per page; parts with p_size % 3 != 0 carry the 'yes'
+    image."""
+    k = F.col("p_partkey")
+    img = F.concat(F.lit('<img\n   src="https://img.example/'),
+                   F.when(F.col("p_size") % 3 != 0, "yes").otherwise("no"),
+                   F.lit('.jpg" alt="">'))
+
+    def td(i, body):
+        return F.concat(F.lit(f'<td class="column-{i}">'), body, F.lit("</td>"))
+
+    tr = F.concat(F.lit("\n<tr>"),
+                  td(1, img), td(2, _escape(F.col("p_name"))),
+                  td(3, (k + 100000).cast("string")),
+                  td(4, F.upper(F.replace("p_name", F.lit(" "), F.lit("-")))),
+                  td(5, _escape(F.concat(F.col("p_type"), F.lit(" & "), F.col("p_brand")))),
+                  td(6, F.lit('<a href="#">More</a>')), F.lit("</tr>"))
+    head = ("<html><body><table><thead><tr><th>Halal</th><th>NAME</th><th>BSE-ID</th>"
+            "<th>NSECode</th><th>Industry</th><th>More</th></tr></thead><tbody>")
+    rows = part.select(F.floor(k / SCREEN_ROWS_PER_PAGE).alias("page_id"), k, tr.alias("tr"))
+    return (rows.groupBy("page_id")
+            .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), F.col("tr")))).alias("trs"))
+            .select("page_id", F.concat(F.lit(head), F.array_join("trs.tr", ""),
+                                        F.lit("\n</tbody></table></body></html>")).alias("html")))
+
+
+def bar_documents(raw: DataFrame) -> DataFrame:
+    """Raw bar rows -> one API document ``{"data": [...]}`` per instrument
+    (column ``value``) plus ``pair_id`` for the landing folder layout. A
+    document holds one instrument's delta window, so its size is bounded by
+    the window length."""
+    from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
+    payload = F.struct(*[F.col(c) for c in RAW_BAR_PAYLOAD_FIELDS])
+    return (raw.groupBy("pair_id")
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("row_date_timestamp").alias("t"),
+                                                      payload.alias("p")))).alias("ps"))
+            .select("pair_id", F.to_json(F.struct(F.col("ps.p").alias("data"))).alias("value")))
