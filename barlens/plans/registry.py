@@ -27,6 +27,8 @@ from barlens.plans import oracle as O
 from barlens.session import scratch_path
 from barlens.sinks import reload_partitions, replace_table, write_csv
 from barlens.sources import testdata
+from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest
+from barlens.streaming.indicators import stream_indicators
 from barlens.sources.readers import (extract_html_table, read_assets, read_bar_csv,
                                      read_bar_landing)
 
@@ -240,6 +242,57 @@ def q_table_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
+    """Land ``events`` in two batches (split at the median event id), run the
+    indicator stream once per landed batch (``availableNow``, one checkpoint),
+    and read the file sink back."""
+    ev = testdata.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    cut = ev.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    base = scratch_path(spark, name)
+    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
+    for batch in (ev.filter(F.col("event_id") <= cut), ev.filter(F.col("event_id") > cut)):
+        batch.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(ev.schema).parquet(landing)
+        run_available_now(stream_indicators(stream).writeStream.format("parquet")
+                          .option("path", out).option("checkpointLocation", ckpt)
+                          .outputMode("append"))
+    return spark.read.parquet(out)
+
+
+def q_ema_stream(spark, sf_dir):
+    """ST-1/3/4: EMAs, lags and the 9/21 signal carried across micro-batches."""
+    out = _indicator_stream(spark, sf_dir, "ema-stream")
+    return out.filter(~F.col("late")).select(
+        "user_id", "ts", "event_id", "value",
+        *[f"ema_{n}" for n in EMA_PERIODS], *[f"prev_ema_{n}" for n in EMA_PERIODS],
+        "ema_signal_9_21")
+
+
+def q_volume_spike_stream(spark, sf_dir):
+    """ST-5: trailing 30-row mean kept in list state; spike rows only."""
+    out = _indicator_stream(spark, sf_dir, "spike-stream")
+    return out.filter(~F.col("late") & (F.col("volume_status") == "VOLUME SPIKE")).select(
+        "user_id", "ts", "event_id", "value", "avg_value_30", "volume_status")
+
+
+def q_stream_latest(spark, sf_dir):
+    """ST-1/2/6: the raw feeds landed in two deliveries (historical, then
+    current) and upserted batch by batch; the merged view is the latest row
+    per bar key."""
+    f = _inputs(spark, sf_dir).feeds
+    base = scratch_path(spark, "bars-stream")
+    landing, target, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    tag = lambda name, freq: f[name].withColumn("frequency", F.lit(freq))
+    deliveries = (tag("historical_daily", "daily").unionByName(tag("historical_weekly", "weekly")),
+                  tag("current_daily", "daily").unionByName(tag("current_weekly", "weekly")))
+    for d in deliveries:
+        d.write.mode("append").parquet(landing)
+        run_available_now(stream_bars(spark, landing).writeStream
+                          .foreachBatch(upsert_latest(target))
+                          .option("checkpointLocation", ckpt))
+    return latest_view(spark, target)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_unified": q_bars_unified,
     "bars_latest": q_bars_latest,
@@ -266,6 +319,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bar_landing": q_bar_landing,
     "bar_csv": q_bar_csv,
     "table_roundtrip": q_table_roundtrip,
+    "ema_stream": q_ema_stream,
+    "volume_spike_stream": q_volume_spike_stream,
+    "stream_latest": q_stream_latest,
 }
 
 
@@ -502,6 +558,33 @@ FROM part"""
                                        O.stock_data_cte("stock_v1", "latest_v1")) + (
         "SELECT * FROM stock_v1 WHERE frequency = 'daily' "
         "UNION ALL SELECT * FROM stock_data WHERE frequency = 'weekly'")
+    o["stream_latest"] = o["bars_latest"]
+    steps = ", ".join(
+        f"r.value * (2.0::DOUBLE / {n + 1}) + e.ema_{n} * (1 - 2.0::DOUBLE / {n + 1})"
+        for n in EMA_PERIODS)
+    lags = ", ".join(f"LAG(e.ema_{n}) OVER w AS prev_ema_{n}" for n in EMA_PERIODS)
+    o["ema_stream"] = f"""
+WITH RECURSIVE r AS (
+  SELECT user_id, ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq
+  FROM events),
+rec(user_id, seq, ema_9, ema_21, ema_50) AS (
+  SELECT user_id, seq, value, value, value FROM r WHERE seq = 1
+  UNION ALL
+  SELECT r.user_id, r.seq, {steps}
+  FROM rec e JOIN r ON r.user_id = e.user_id AND r.seq = e.seq + 1),
+ind AS (
+  SELECT r.user_id, r.ts, r.event_id, r.value, e.ema_9, e.ema_21, e.ema_50, {lags}
+  FROM r JOIN rec e ON r.user_id = e.user_id AND r.seq = e.seq
+  WINDOW w AS (PARTITION BY r.user_id ORDER BY r.seq))
+SELECT *, {_signal_case("ema", 9, 21)} FROM ind"""
+    o["volume_spike_stream"] = """
+SELECT user_id, ts, event_id, value, avg_value_30, 'VOLUME SPIKE' AS volume_status FROM (
+  SELECT user_id, ts, event_id, value,
+         CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / COUNT(*) OVER w AS avg_value_30
+  FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
+WHERE value > 1.5 * avg_value_30"""
     return o
 
 
