@@ -50,7 +50,8 @@ def tag_raw(raw: DataFrame, frequency: str, source_rank: int) -> DataFrame:
 
 
 def type_bars(tagged: DataFrame) -> DataFrame:
-    """Text -> typed bar columns (SC-3..SC-6), plus a `_bad` reason column."""
+    """Text -> typed bar columns (SC-3..SC-6), plus ``_ok``: every field that
+    has text parsed, and the row has an instrument and a date."""
     typed = tagged.select(
         "pair_id",
         F.col("row_date_timestamp").cast("date").alias("transaction_date"),
@@ -61,16 +62,38 @@ def type_bars(tagged: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"_{c}_text") for c in PRICE_FIELDS],
         F.col("volume_raw").alias("_volume_text"),
     )
+    ok = F.col("pair_id").isNotNull() & F.col("transaction_date").isNotNull()
+    for c, text in _CHECKED:
+        ok = ok & ~_failed(c, text)
+    return typed.withColumn("_ok", ok)
 
-    def failed(typed_col: str, text_col: str) -> Column:
-        t = F.trim(F.col(text_col))
-        return F.col(typed_col).isNull() & t.isNotNull() & (t != "")
 
+_CHECKED = [*[(c, f"_{c}_text") for c in PRICE_FIELDS], ("volume", "_volume_text")]
+
+
+def _failed(typed_col: str, text_col: str) -> Column:
+    t = F.trim(F.col(text_col))
+    return F.col(typed_col).isNull() & t.isNotNull() & (t != "")
+
+
+def bad_reason(typed: DataFrame) -> Column:
+    """Comma-separated names of the fields that made a row bad."""
     reasons = [F.when(F.col("pair_id").isNull(), F.lit("pair_id")),
                F.when(F.col("transaction_date").isNull(), F.lit("row_date_timestamp"))]
-    reasons += [F.when(failed(c, f"_{c}_text"), F.lit(c)) for c in PRICE_FIELDS]
-    reasons.append(F.when(failed("volume", "_volume_text"), F.lit("volume_raw")))
-    return typed.withColumn("_bad", F.concat_ws(",", *reasons))
+    reasons += [F.when(_failed(c, t), F.lit("volume_raw" if c == "volume" else c))
+                for c, t in _CHECKED]
+    return F.concat_ws(",", *reasons)
+
+
+def good_rows(typed: DataFrame) -> DataFrame:
+    return typed.filter("_ok").drop("_ok", "_volume_text", *[f"_{c}_text" for c in PRICE_FIELDS])
+
+
+def quarantined_rows(typed: DataFrame) -> DataFrame:
+    return typed.filter(~F.col("_ok")).select(
+        "pair_id", "frequency", "record_created_on",
+        *[F.col(f"_{c}_text").alias(c) for c in PRICE_FIELDS],
+        F.col("_volume_text").alias("volume_raw"), bad_reason(typed).alias("reason"))
 
 
 def typed_feeds(historical_daily: DataFrame, historical_weekly: DataFrame,
@@ -81,13 +104,7 @@ def typed_feeds(historical_daily: DataFrame, historical_weekly: DataFrame,
               .unionByName(tag_raw(current_daily, "daily", 1))
               .unionByName(tag_raw(current_weekly, "weekly", 1)))
     typed = type_bars(tagged)
-    quarantine = typed.filter(F.col("_bad") != "").select(
-        "pair_id", "frequency", "record_created_on",
-        *[F.col(f"_{c}_text").alias(c) for c in PRICE_FIELDS],
-        F.col("_volume_text").alias("volume_raw"), F.col("_bad").alias("reason"))
-    good = typed.filter(F.col("_bad") == "").drop(
-        "_bad", "_volume_text", *[f"_{c}_text" for c in PRICE_FIELDS])
-    return good, quarantine
+    return good_rows(typed), quarantined_rows(typed)
 
 
 def dedup_bars(good: DataFrame) -> DataFrame:

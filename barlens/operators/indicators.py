@@ -46,24 +46,35 @@ def rolling_mean(col: str, n: int, keys=SERIES_KEYS) -> Column:
     return _frame_mean(total, count, n, w)
 
 
-def _frame_mean(total: Column, count: Column, n: int, w: Window) -> Column:
-    s = total - F.coalesce(F.lag(total, n).over(w), F.lit(0))
-    c = count - F.coalesce(F.lag(count, n).over(w), F.lit(0))
+def _frame_mean(total: Column, count: Column, n: int, w: Window, back: int = 0) -> Column:
+    """Mean of the ``n`` rows ending ``back`` rows before the current one,
+    from running ``total``/``count`` columns."""
+    def at(c: Column, k: int) -> Column:
+        return c if k == 0 else F.lag(c, k).over(w)
+    s = F.coalesce(at(total, back), F.lit(0)) - F.coalesce(at(total, back + n), F.lit(0))
+    c = F.coalesce(at(count, back), F.lit(0)) - F.coalesce(at(count, back + n), F.lit(0))
     return F.try_divide(s.cast("double"), c)
 
 
 def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
-             prefix: str = "sma_", keys=SERIES_KEYS) -> DataFrame:
-    """WIN-8: simple moving averages of ``col`` over row frames.
-
-    All periods share one running sum and count (see ``rolling_mean``)."""
+             prefix: str = "sma_", keys=SERIES_KEYS, prev: bool = False) -> DataFrame:
+    """WIN-8 (+ WIN-11 when ``prev``): moving averages of ``col`` over row
+    frames, and each one's previous-row value ``prev_<prefix><n>``.
+
+    All periods share one running sum and count (see ``rolling_mean``); the
+    previous row's mean comes from the same running columns shifted by one,
+    which is exactly ``lag(mean)`` (NULL on the first row) without another
+    window pass.
+    """
     w = series_window(keys)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     base = df.withColumns({"_run_sum": F.sum(col).over(running),
                            "_run_cnt": F.count(col).over(running)})
-    return base.withColumns({
-        f"{prefix}{n}": _frame_mean(F.col("_run_sum"), F.col("_run_cnt"), n, w)
-        for n in periods}).drop("_run_sum", "_run_cnt")
+    rs, rc = F.col("_run_sum"), F.col("_run_cnt")
+    cols = {f"{prefix}{n}": _frame_mean(rs, rc, n, w) for n in periods}
+    if prev:
+        cols.update({f"prev_{prefix}{n}": _frame_mean(rs, rc, n, w, back=1) for n in periods})
+    return base.withColumns(cols).drop("_run_sum", "_run_cnt")
 
 
 def with_prev(df: DataFrame, cols, prefix: str = "prev_", keys=SERIES_KEYS) -> DataFrame:

@@ -2,15 +2,18 @@
 instrument and strategy, then price the round trip.
 
 The reference joins each BUY to every later SELL (a theta self-join) and
-keeps the earliest. Here the signal columns are unpivoted in one pass and a
-running window, ordered by date descending, carries "the nearest later
-SELL" down to each row: linear per series, no join and no pairs emitted.
-The windows are keyed by a superset of the indicator windows' key, so they
-reuse that shuffle instead of adding one.
+keeps the earliest. Here one window pass over the bar rows, ordered by date
+descending with a running frame, carries "the nearest later SELL" of every
+strategy down to each row: linear per series, no join, no pairs emitted.
+The window is keyed like the indicator windows, so it reuses their shuffle.
+Collapsing strategies that bought on the same day (the reference keeps the
+one that sells first) is then a per-row minimum over a small array.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +30,7 @@ PNL_COLUMNS = ["shares_bought", "profit_or_loss", "percent_profit_loss"]
 
 
 def signal_rows(df: DataFrame, signal_cols) -> DataFrame:
-    """SET-2/FLT-4: one row per (bar, strategy) that carries a signal.
-
-    An ``explode`` (Generate) rather than ``unpivot`` (Expand): Generate keeps
-    the input's hash partitioning, so the pairing windows below need no new
-    shuffle.
-    """
+    """SET-2/FLT-4: one row per (bar, strategy) that carries a signal."""
     ids = [*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close"]
     pairs = F.array(*[F.struct(F.lit(c).alias("strategy"), F.col(c).alias("signal"))
                       for c in signal_cols])
@@ -41,45 +39,62 @@ def signal_rows(df: DataFrame, signal_cols) -> DataFrame:
             .filter(F.col("signal").isNotNull()))
 
 
+# Orders open trades (no sell date) after closed ones when collapsing.
+_NO_SELL = dt.date(9999, 12, 31)
+
+
 def pair_trades(df: DataFrame, signal_cols, collapse: bool = True,
                 include_open: bool = False, keep_rank: bool = False,
                 notional=NOTIONAL) -> DataFrame:
-    """Round-trip trades with P&L.
+    """Round-trip trades with P&L, from a frame with one row per bar and one
+    BUY/SELL/NULL column per strategy.
 
     collapse: like the reference, keep one trade per (instrument, buy day)
       across strategies - the one with the earliest sell; ties go to the
       smaller strategy name.
     include_open: keep BUYs that never sold (status OPEN, NULL sell side).
-    keep_rank: keep the collapse rank column ``rn`` (always 1 when collapsing).
+    keep_rank: add the reference's collapse rank ``rn`` (always 1 here).
     """
-    sig = signal_rows(df, signal_cols)
-    later = (Window.partitionBy(*SERIES_KEYS, "strategy")
+    signal_cols = list(signal_cols)
+    later = (Window.partitionBy(*SERIES_KEYS)
              .orderBy(F.col("transaction_date").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
-    sell = F.when(F.col("signal") == "SELL",
-                  F.struct(F.col("transaction_date").alias("d"), F.col("last_close").alias("p")))
-    paired = (sig.withColumn("_sell", F.last(sell, ignorenulls=True).over(later))
-              .filter(F.col("signal") == "BUY")
-              .select(*BAR_ATTRIBUTES,
-                      F.col("transaction_date").alias("buy_date"),
-                      F.col("_sell.d").alias("sell_date"),
-                      "volume",
-                      F.col("last_close").alias("buy_price"),
-                      F.col("_sell.p").alias("sell_price"),
-                      "strategy"))
-    if not include_open:
-        paired = paired.filter(F.col("sell_date").isNotNull())
+
+    def next_sell(c):
+        sell = F.when(F.col(c) == "SELL", F.struct(F.col("transaction_date").alias("d"),
+                                                   F.col("last_close").alias("p")))
+        return F.last(sell, ignorenulls=True).over(later)
+
+    with_next = df.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
+                          *signal_cols,
+                          *[next_sell(c).alias(f"_next_{i}") for i, c in enumerate(signal_cols)])
+    cands = F.array(*[
+        F.when(F.col(c) == "BUY", F.struct(
+            F.coalesce(F.col(f"_next_{i}.d"), F.lit(_NO_SELL)).alias("k"),
+            F.lit(c).alias("strategy"),
+            F.col(f"_next_{i}.d").alias("sell_date"),
+            F.col(f"_next_{i}.p").alias("sell_price")))
+        for i, c in enumerate(signal_cols)])
+    keep = (lambda x: x.isNotNull()) if include_open else \
+        (lambda x: x.isNotNull() & x.getField("sell_date").isNotNull())
+    trades = with_next.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
+                              F.filter(cands, keep).alias("_c")).filter(F.size("_c") > 0)
+    pick = F.array_min("_c") if collapse else F.explode("_c")
+    paired = trades.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
+                           pick.alias("_t"))
     paired = paired.select(
-        *BAR_ATTRIBUTES, "buy_date", "sell_date", "volume", "buy_price", "sell_price",
-        year_text("buy_date").alias("buy_year"),
-        year_text("sell_date").alias("sell_year"),
-        F.when(F.col("sell_date").isNotNull(), "CLOSED").otherwise("OPEN").alias("status"),
-        "strategy")
+        *BAR_ATTRIBUTES,
+        F.col("transaction_date").alias("buy_date"),
+        F.col("_t.sell_date").alias("sell_date"),
+        "volume",
+        F.col("last_close").alias("buy_price"),
+        F.col("_t.sell_price").alias("sell_price"),
+        year_text("transaction_date").alias("buy_year"),
+        year_text("_t.sell_date").alias("sell_year"),
+        F.when(F.col("_t.sell_date").isNotNull(), "CLOSED").otherwise("OPEN").alias("status"),
+        F.col("_t.strategy").alias("strategy"))
     cols = list(TRADE_COLUMNS)
-    if collapse:
-        w = (Window.partitionBy(*SERIES_KEYS, "buy_date")
-             .orderBy(F.col("sell_date").asc_nulls_last(), F.col("strategy")))
-        paired = paired.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1)
-        if keep_rank:
-            cols.append("rn")
+    if collapse and keep_rank:
+        paired = paired.withColumn("rn", F.lit(1))
+        cols.append("rn")
     return paired.withColumns(pnl_columns(notional=notional)).select(*cols, *PNL_COLUMNS)

@@ -41,8 +41,7 @@ def sma_strategy(stock: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,
     bars = daily_liquid_bars(stock, min_avg_volume).select(
         *BAR_ATTRIBUTES, "transaction_id", "quarter_start", "transaction_date", "volume",
         "last_min", "last_max", "last_open", "last_close")
-    smas = [f"sma_{n}" for n in periods]
-    return with_prev(with_sma(bars, periods), smas)
+    return with_sma(bars, periods, prev=True)
 
 
 def sma_crossover(sma: DataFrame, pairs=SMA_PAIRS) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.functions import cap_bucket, crossover
-from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, tag_raw,
-                                    type_bars, typed_feeds)
+from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, good_rows,
+                                    tag_raw, type_bars, typed_feeds)
 from barlens.operators.ema import ema_resume, ema_state, with_ema
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
                                           liquid, volume_spikes)
@@ -208,7 +208,7 @@ def q_html_table(spark, sf_dir):
 
 
 def _typed_raw(raw: DataFrame, frequency: str) -> DataFrame:
-    return type_bars(tag_raw(raw, frequency, 1)).filter(F.col("_bad") == "").select(
+    return good_rows(type_bars(tag_raw(raw, frequency, 1))).select(
         "pair_id", "transaction_date", "last_open", "last_close", "last_min", "last_max",
         "volume", "change_percent", "record_created_on")
 

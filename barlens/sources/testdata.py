@@ -173,8 +173,8 @@ def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> d
     return out
 
 
-# Landed inputs per (application, scale directory): table name -> path.
-_LANDED: dict[tuple[str, str], dict[str, str]] = {}
+# Landed inputs per (application, scale directory): table name -> DataFrame.
+_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -186,18 +186,18 @@ def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     aggregated once) and every query reads those tables.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    paths = _LANDED.get(key)
-    if paths is None:
+    landed = _LANDED.get(key)
+    if landed is None:
         base = scratch_path(spark, "landing")
         bars_path = f"{base}/bars"
         bars_from_lineitem(table(spark, sf_dir, "lineitem")).write.parquet(bars_path)
         frames = inputs(spark, sf_dir, spark.read.parquet(bars_path))
-        paths = {}
+        landed = {}
         for name, df in frames.items():
-            paths[name] = f"{base}/{name}"
-            df.write.parquet(paths[name])
-        _LANDED[key] = paths
-    return {name: spark.read.parquet(p) for name, p in paths.items()}
+            df.write.parquet(f"{base}/{name}")
+            landed[name] = spark.read.parquet(f"{base}/{name}")
+        _LANDED[key] = landed
+    return dict(landed)
 
 
 # --- document inputs ----------------------------------------------------------

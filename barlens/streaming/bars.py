@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlens.operators.bars import dedup_bars, type_bars
+from barlens.operators.bars import dedup_bars, good_rows, quarantined_rows, type_bars
 from barlens.schemas import RAW_BAR
 
 LANDING_SCHEMA = T.StructType([*RAW_BAR.fields, T.StructField("frequency", T.StringType())])
@@ -35,12 +35,9 @@ def upsert_latest(target: str) -> Callable[[DataFrame, int], None]:
     """ST-2: the ``foreachBatch`` body for ``target``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         typed = type_bars(batch.withColumn("_source_rank", F.lit(batch_id)))
-        good = typed.filter(F.col("_bad") == "").drop(
-            "_bad", "_volume_text", *[c for c in typed.columns if c.endswith("_text")])
-        (dedup_bars(good).withColumn("_batch", F.lit(batch_id))
+        (dedup_bars(good_rows(typed)).withColumn("_batch", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}"))
-        bad = typed.filter(F.col("_bad") != "")
-        (bad.select("pair_id", "frequency", "record_created_on", F.col("_bad").alias("reason"))
+        (quarantined_rows(typed)
          .write.mode("overwrite").parquet(f"{target}_quarantine/batch_id={batch_id}"))
     return run
 
