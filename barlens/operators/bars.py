@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from barlens.functions import (cap_bucket, parse_count, parse_price, quarter_start,
                                yyyymmdd)
-from barlens.operators.joins import join_reference
-from barlens.schemas import STOCK_DATA_COLUMNS
+from barlens.functions import sqlexpr as X
+from barlens.functions.sqlexpr import run_sql
+from barlens.operators.joins import fits
+from barlens.schemas import RAW_BAR, STOCK_DATA_COLUMNS
 
 PRICE_FIELDS = ("last_open", "last_close", "last_min", "last_max")
 BAR_KEY = ("pair_id", "frequency", "transaction_date")
@@ -52,20 +54,17 @@ def tag_raw(raw: DataFrame, frequency: str, source_rank: int) -> DataFrame:
 def type_bars(tagged: DataFrame) -> DataFrame:
     """Text -> typed bar columns (SC-3..SC-6), plus ``_ok``: every field that
     has text parsed, and the row has an instrument and a date."""
-    typed = tagged.select(
-        "pair_id",
-        F.col("row_date_timestamp").cast("date").alias("transaction_date"),
-        *[parse_price(F.col(c)).alias(c) for c in PRICE_FIELDS],
-        parse_count(F.col("volume_raw")).alias("volume"),
-        F.col("change_percent_raw").alias("change_percent"),
-        "frequency", "record_created_on", "_source_rank",
-        *[F.col(c).alias(f"_{c}_text") for c in PRICE_FIELDS],
-        F.col("volume_raw").alias("_volume_text"),
-    )
-    ok = F.col("pair_id").isNotNull() & F.col("transaction_date").isNotNull()
-    for c, text in _CHECKED:
-        ok = ok & ~_failed(c, text)
-    return typed.withColumn("_ok", ok)
+    def failed(typed: str, text: str) -> str:
+        return f"({typed} IS NULL AND TRIM({text}) IS NOT NULL AND TRIM({text}) <> '')"
+    checks = " AND ".join(f"NOT {failed(c, t)}" for c, t in _CHECKED)
+    prices = ", ".join(f"{X.parse_price(c)} AS {c}" for c in PRICE_FIELDS)
+    texts = ", ".join(f"{c} AS _{c}_text" for c in PRICE_FIELDS)
+    return run_sql(f"""
+        SELECT *, (pair_id IS NOT NULL AND transaction_date IS NOT NULL AND {checks}) AS _ok FROM (
+          SELECT pair_id, CAST(row_date_timestamp AS DATE) AS transaction_date, {prices},
+                 {X.parse_count('volume_raw')} AS volume, change_percent_raw AS change_percent,
+                 frequency, record_created_on, _source_rank, {texts}, volume_raw AS _volume_text
+          FROM {{src}})""", src=tagged)
 
 
 _CHECKED = [*[(c, f"_{c}_text") for c in PRICE_FIELDS], ("volume", "_volume_text")]
@@ -99,62 +98,78 @@ def quarantined_rows(typed: DataFrame) -> DataFrame:
 def typed_feeds(historical_daily: DataFrame, historical_weekly: DataFrame,
                 current_daily: DataFrame, current_weekly: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SET-1 + SC-3..SC-6: (typed good rows, quarantined raw rows with a reason)."""
-    tagged = (tag_raw(historical_daily, "daily", 0)
-              .unionByName(tag_raw(historical_weekly, "weekly", 0))
-              .unionByName(tag_raw(current_daily, "daily", 1))
-              .unionByName(tag_raw(current_weekly, "weekly", 1)))
+    raw = [f.name for f in RAW_BAR.fields]
+    branches = [("hd", "daily", 0), ("hw", "weekly", 0), ("cd", "daily", 1), ("cw", "weekly", 1)]
+    union = " UNION ALL ".join(
+        f"SELECT {', '.join(raw)}, '{freq}' AS frequency, {rank} AS _source_rank FROM {{{name}}}"
+        for name, freq, rank in branches)
+    tagged = run_sql(union, hd=historical_daily, hw=historical_weekly,
+                     cd=current_daily, cw=current_weekly)
     typed = type_bars(tagged)
     return good_rows(typed), quarantined_rows(typed)
 
 
+def _order_sql(order: list[str]) -> str:
+    return ", ".join(order)
+
+
+_DEDUP_ORDER = ["record_created_on DESC NULLS LAST", "_source_rank DESC",
+                *[f"{c} DESC NULLS LAST" for c in (*PRICE_FIELDS, "volume", "change_percent")]]
+
+
 def dedup_bars(good: DataFrame) -> DataFrame:
     """WIN-1: one row per (pair_id, frequency, transaction_date). The latest
     load wins; on equal load times the current feed wins; remaining ties
-    fall to the full row so the choice is deterministic."""
-    return latest_per(
-        good, list(BAR_KEY),
-        [F.col("record_created_on").desc_nulls_last(), F.col("_source_rank").desc(),
-         *[F.col(c).desc_nulls_last() for c in (*PRICE_FIELDS, "volume", "change_percent")]],
-    ).drop("_source_rank")
+    fall to the full row so the choice is deterministic.
+
+    ``row_number() = 1``: Catalyst plans a WindowGroupLimit that keeps only
+    each key's winner on the map side, before the shuffle."""
+    cols = [c for c in good.columns if c != "_source_rank"]
+    return run_sql(
+        f"SELECT {', '.join(cols)} FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY {', '.join(BAR_KEY)} "
+        f"ORDER BY {_order_sql(_DEDUP_ORDER)}) AS _rn FROM {{src}}) WHERE _rn = 1", src=good)
 
 
 def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
                current_daily: DataFrame, current_weekly: DataFrame,
-               assets: DataFrame) -> tuple[DataFrame, DataFrame]:
+               assets: DataFrame, assets_small: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """MDL-3. Return (stock_data, quarantine).
 
     stock_data has one row per (pair_id, frequency, transaction_date) (see
     ``dedup_bars``). Bars without an asset row are dropped (inner join, JN-1).
     quarantine holds raw rows whose text did not parse, with a reason.
+    ``assets_small``: whether the asset side may be broadcast; measured with
+    a bounded count when not given.
     """
     good, quarantine = typed_feeds(historical_daily, historical_weekly,
                                    current_daily, current_weekly)
     latest = dedup_bars(good)
-    bars = join_reference(latest, unique_assets(assets), "pair_id")
-    return (bars.select(
-        "pair_id",
-        yyyymmdd("transaction_date").alias("transaction_id"),
-        "transaction_date", "last_open", "last_close", "last_min", "last_max",
-        "volume", "change_percent", "frequency", "uid", "primary_uid", "ticker",
-        "stock_name", "sector", "primary_sector", "secondary_sector", "market_cap",
-        cap_bucket("market_cap").alias("market_cap_category"),
-        quarter_start("transaction_date").alias("quarter_start"),
-        latest["record_created_on"],
-        F.lit(1).alias("row_num"),
-    ).select(*STOCK_DATA_COLUMNS), quarantine)
+    ua = unique_assets(assets)
+    if assets_small is None:
+        assets_small = fits(ua)
+    hint = "BROADCAST(a)" if assets_small else "SHUFFLE_MERGE(a)"
+    out = run_sql(f"""
+        SELECT /*+ {hint} */ b.pair_id, date_format(b.transaction_date, 'yyyyMMdd') AS transaction_id,
+               b.transaction_date, b.last_open, b.last_close, b.last_min, b.last_max, b.volume,
+               b.change_percent, b.frequency, a.uid, a.primary_uid, a.ticker, a.stock_name,
+               a.sector, a.primary_sector, a.secondary_sector, a.market_cap,
+               {X.cap_bucket('a.market_cap')} AS market_cap_category,
+               CAST(date_trunc('quarter', b.transaction_date) AS DATE) AS quarter_start,
+               b.record_created_on, 1 AS row_num
+        FROM {{bars}} b JOIN {{assets}} a ON b.pair_id = a.pair_id""", bars=latest, assets=ua)
+    return out.select(*STOCK_DATA_COLUMNS), quarantine
 
 
 def unique_assets(assets: DataFrame) -> DataFrame:
     """One asset row per pair_id (latest load, then uid), so a duplicated
     master row cannot fan bars out."""
-    return latest_per(
-        assets.select("pair_id", "uid", "primary_uid", "ticker", "stock_name", "sector",
-                      "primary_sector", "secondary_sector", "market_cap",
-                      F.col("record_created_on").alias("_asset_loaded")),
-        ["pair_id"],
-        [F.col("_asset_loaded").desc_nulls_last(), F.col("uid").asc_nulls_last(),
-         F.col("ticker").asc_nulls_last()],
-    ).drop("_asset_loaded")
+    return run_sql("""
+        SELECT pair_id, uid, primary_uid, ticker, stock_name, sector, primary_sector,
+               secondary_sector, market_cap FROM (
+          SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY record_created_on DESC NULLS LAST,
+                                       uid ASC NULLS LAST, ticker ASC NULLS LAST) AS _rn
+          FROM {src} WHERE pair_id IS NOT NULL) WHERE _rn = 1""", src=assets)
 
 
 def bars_between(df: DataFrame, lo, hi, col: str = "transaction_date") -> DataFrame:

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlens.functions import sqlexpr as X
+from barlens.functions.sqlexpr import run_sql
+
 SERIES_KEYS = ("pair_id", "ticker")
 ORDER_COL = "transaction_date"
 
@@ -56,6 +59,10 @@ def _frame_mean(total: Column, count: Column, n: int, w: Window, back: int = 0)
     return F.try_divide(s.cast("double"), c)
 
 
+def _series_clause(keys) -> str:
+    return f"PARTITION BY {', '.join(keys)} ORDER BY {ORDER_COL}"
+
+
 def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
              prefix: str = "sma_", keys=SERIES_KEYS, prev: bool = False) -> DataFrame:
     """WIN-8 (+ WIN-11 when ``prev``): moving averages of ``col`` over row
@@ -66,15 +73,16 @@ def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
     which is exactly ``lag(mean)`` (NULL on the first row) without another
     window pass.
     """
-    w = series_window(keys)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    base = df.withColumns({"_run_sum": F.sum(col).over(running),
-                           "_run_cnt": F.count(col).over(running)})
-    rs, rc = F.col("_run_sum"), F.col("_run_cnt")
-    cols = {f"{prefix}{n}": _frame_mean(rs, rc, n, w) for n in periods}
+    w = f"({_series_clause(keys)})"
+    cols = [f"{X.frame_mean('_rs', '_rc', n, w)} AS {prefix}{n}" for n in periods]
     if prev:
-        cols.update({f"prev_{prefix}{n}": _frame_mean(rs, rc, n, w, back=1) for n in periods})
-    return base.withColumns(cols).drop("_run_sum", "_run_cnt")
+        cols += [f"{X.frame_mean('_rs', '_rc', n, w, back=1)} AS prev_{prefix}{n}" for n in periods]
+    keep = ", ".join(df.columns)
+    return run_sql(f"""
+        SELECT {keep}, {', '.join(cols)} FROM (
+          SELECT *, SUM({col}) OVER r AS _rs, COUNT({col}) OVER r AS _rc FROM {{src}}
+          WINDOW r AS ({_series_clause(keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+                   src=df)
 
 
 def with_prev(df: DataFrame, cols, prefix: str = "prev_", keys=SERIES_KEYS) -> DataFrame:
@@ -99,27 +107,31 @@ def daily_liquid_bars(stock_data: DataFrame, min_avg_volume: float = MIN_AVG_VOL
 
     Same rows as ``daily.join(liquid(...), "pair_id", "left_semi")``, but the
     whole-history mean is a window over the series partition (a series has a
-    single ticker), so it rides on the shuffle and sort that the indicator
-    windows need anyway instead of scanning the bars a second time for an
-    aggregate and joining it back.
+    single ticker), ordered like the indicator windows: it rides on the
+    shuffle and sort those need anyway, instead of scanning the bars a second
+    time for an aggregate and joining it back.
     """
-    daily = stock_data.filter(F.col("frequency") == "daily")
-    w = Window.partitionBy(*keys)
-    mean = F.sum("volume").over(w).cast("double") / F.count("volume").over(w)
-    return (daily.withColumn("_avg_volume", mean)
-            .filter(F.col("_avg_volume") > F.lit(float(min_avg_volume)))
-            .drop("_avg_volume"))
+    keep = ", ".join(stock_data.columns)
+    return run_sql(f"""
+        SELECT {keep} FROM (
+          SELECT *, CAST(SUM(volume) OVER a AS DOUBLE) / COUNT(volume) OVER a AS _avg_volume
+          FROM {{src}} WHERE frequency = 'daily'
+          WINDOW a AS ({_series_clause(keys)}
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+        WHERE _avg_volume > {X.double(min_avg_volume)}""", src=stock_data)
 
 
 def volume_spikes(stock_data: DataFrame, period: int = 30, factor: float = 1.5,
-                  frequency: str = "daily") -> DataFrame:
+                  frequency: str = "daily", keys=SERIES_KEYS) -> DataFrame:
     """MDL-10: bars whose volume exceeds ``factor`` x the trailing mean
     (current row included). No liquidity filter, like the reference."""
-    bars = stock_data.filter(F.col("frequency") == frequency)
+    w = f"({_series_clause(keys)})"
     avg_name = f"avg_volume_{period}"
-    status = F.when(F.col("volume") > F.lit(float(factor)) * F.col(avg_name),
-                    "VOLUME SPIKE").otherwise("NORMAL VOLUME")
-    return (bars.select("pair_id", "ticker", "stock_name", "transaction_date", "volume",
-                        rolling_mean("volume", period).alias(avg_name))
-            .withColumn("volume_status", status)
-            .filter(F.col("volume_status") == "VOLUME SPIKE"))
+    return run_sql(f"""
+        SELECT *, 'VOLUME SPIKE' AS volume_status FROM (
+          SELECT pair_id, ticker, stock_name, transaction_date, volume,
+                 {X.frame_mean('_rs', '_rc', period, w)} AS {avg_name} FROM (
+            SELECT *, SUM(volume) OVER r AS _rs, COUNT(volume) OVER r AS _rc
+            FROM {{src}} WHERE frequency = '{frequency}'
+            WINDOW r AS ({_series_clause(keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))
+        WHERE volume > {X.double(factor)} * {avg_name}""", src=stock_data)

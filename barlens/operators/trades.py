@@ -17,7 +17,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlens.functions import pnl_columns, year_text
+from barlens.functions import sqlexpr as X
+from barlens.functions.sqlexpr import run_sql
 from barlens.functions.money import NOTIONAL
 from barlens.operators.indicators import SERIES_KEYS
 from barlens.schemas import BAR_ATTRIBUTES
@@ -56,45 +57,36 @@ def pair_trades(df: DataFrame, signal_cols, collapse: bool = True,
     keep_rank: add the reference's collapse rank ``rn`` (always 1 here).
     """
     signal_cols = list(signal_cols)
-    later = (Window.partitionBy(*SERIES_KEYS)
-             .orderBy(F.col("transaction_date").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-
-    def next_sell(c):
-        sell = F.when(F.col(c) == "SELL", F.struct(F.col("transaction_date").alias("d"),
-                                                   F.col("last_close").alias("p")))
-        return F.last(sell, ignorenulls=True).over(later)
-
-    with_next = df.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
-                          *signal_cols,
-                          *[next_sell(c).alias(f"_next_{i}") for i, c in enumerate(signal_cols)])
-    cands = F.array(*[
-        F.when(F.col(c) == "BUY", F.struct(
-            F.coalesce(F.col(f"_next_{i}.d"), F.lit(_NO_SELL)).alias("k"),
-            F.lit(c).alias("strategy"),
-            F.col(f"_next_{i}.d").alias("sell_date"),
-            F.col(f"_next_{i}.p").alias("sell_price")))
-        for i, c in enumerate(signal_cols)])
-    keep = (lambda x: x.isNotNull()) if include_open else \
-        (lambda x: x.isNotNull() & x.getField("sell_date").isNotNull())
-    trades = with_next.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
-                              F.filter(cands, keep).alias("_c")).filter(F.size("_c") > 0)
-    pick = F.array_min("_c") if collapse else F.explode("_c")
-    paired = trades.select(*BAR_ATTRIBUTES, "transaction_date", "volume", "last_close",
-                           pick.alias("_t"))
-    paired = paired.select(
-        *BAR_ATTRIBUTES,
-        F.col("transaction_date").alias("buy_date"),
-        F.col("_t.sell_date").alias("sell_date"),
-        "volume",
-        F.col("last_close").alias("buy_price"),
-        F.col("_t.sell_price").alias("sell_price"),
-        year_text("transaction_date").alias("buy_year"),
-        year_text("_t.sell_date").alias("sell_year"),
-        F.when(F.col("_t.sell_date").isNotNull(), "CLOSED").otherwise("OPEN").alias("status"),
-        F.col("_t.strategy").alias("strategy"))
-    cols = list(TRADE_COLUMNS)
-    if collapse and keep_rank:
-        paired = paired.withColumn("rn", F.lit(1))
-        cols.append("rn")
-    return paired.withColumns(pnl_columns(notional=notional)).select(*cols, *PNL_COLUMNS)
+    attrs = ", ".join(BAR_ATTRIBUTES)
+    keys = ", ".join(SERIES_KEYS)
+    nexts = ", ".join(
+        f"last(CASE WHEN {c} = 'SELL' THEN named_struct('d', transaction_date, 'p', last_close) END,"
+        f" true) OVER later AS _next_{i}" for i, c in enumerate(signal_cols))
+    cands = ", ".join(
+        f"CASE WHEN {c} = 'BUY' THEN named_struct("
+        f"'k', coalesce(_next_{i}.d, DATE '{_NO_SELL.isoformat()}'), 'strategy', '{c}', "
+        f"'sell_date', _next_{i}.d, 'sell_price', _next_{i}.p) END" for i, c in enumerate(signal_cols))
+    keep = "x IS NOT NULL" + ("" if include_open else " AND x.sell_date IS NOT NULL")
+    pick = "array_min(_c)" if collapse else "explode(_c)"
+    rn = ", 1 AS rn" if collapse and keep_rank else ""
+    return run_sql(f"""
+        SELECT {attrs}, buy_date, sell_date, volume, buy_price, sell_price, buy_year, sell_year,
+               status, strategy{rn}, {', '.join(X.pnl('buy_price', 'sell_price', notional))}
+        FROM (
+          SELECT {attrs}, transaction_date AS buy_date, _t.sell_date AS sell_date, volume,
+                 last_close AS buy_price, _t.sell_price AS sell_price,
+                 date_format(transaction_date, 'yyyy') AS buy_year,
+                 date_format(_t.sell_date, 'yyyy') AS sell_year,
+                 CASE WHEN _t.sell_date IS NOT NULL THEN 'CLOSED' ELSE 'OPEN' END AS status,
+                 _t.strategy AS strategy
+          FROM (
+            SELECT *, {pick} AS _t FROM (
+              SELECT {attrs}, transaction_date, volume, last_close,
+                     filter(array({cands}), x -> {keep}) AS _c
+              FROM (
+                SELECT {attrs}, transaction_date, volume, last_close, {', '.join(signal_cols)},
+                       {nexts}
+                FROM {{src}}
+                WINDOW later AS (PARTITION BY {keys} ORDER BY transaction_date DESC
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+            WHERE size(_c) > 0))""", src=df)

@@ -28,10 +28,11 @@ INDICATOR_BASE = [*BAR_ATTRIBUTES, "transaction_id", "transaction_date", "volume
                   "last_min", "last_max", "last_open", "last_close"]
 
 
-def stock_data(feeds: dict[str, DataFrame]) -> DataFrame:
+def stock_data(feeds: dict[str, DataFrame], assets_small: bool | None = None) -> DataFrame:
     """MDL-3 from the four raw feeds and the asset master."""
     clean, _ = unify_bars(feeds["historical_daily"], feeds["historical_weekly"],
-                          feeds["current_daily"], feeds["current_weekly"], feeds["assets"])
+                          feeds["current_daily"], feeds["current_weekly"], feeds["assets"],
+                          assets_small)
     return clean
 
 

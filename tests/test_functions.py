@@ -56,3 +56,22 @@ def test_pnl_is_exact_decimal(spark):
     assert r.percent_profit_loss == Decimal("0.34")
     zero = spark.createDataFrame([(Decimal(0), Decimal(1))], "buy_price decimal(10,4), sell_price decimal(10,4)")
     assert zero.withColumns(pnl_columns()).first().shares_bought is None
+
+
+def test_sql_text_rules_match_column_rules(spark):
+    from barlens.functions import sqlexpr as X
+    rows = [(t, m, f, s, pf, ps, b, e) for t, m, f, s, pf, ps, b, e in [
+        ("1,231.50", None, 2.0, 1.0, 1.0, 1.0, Decimal("300.0000"), Decimal("301.0050")),
+        (" 12.0 ", 5e10, 0.5, 1.0, 2.0, 1.0, Decimal("999.9900"), Decimal("12.3400")),
+        ("-", 2e12 + 1, 2.0, 1.0, None, 1.0, Decimal("0.0001"), Decimal("999999.9999")),
+        ("NaN", 4.9e11, 1.0, 1.0, 1.0, 2.0, Decimal("1.0000"), Decimal("1.0000"))]]
+    df = spark.createDataFrame(rows, "t string, m double, f double, s double, pf double, ps double, "
+                                     "buy_price decimal(10,4), sell_price decimal(10,4)")
+    col = df.select(parse_price("t").alias("a"), parse_count("t").alias("b"), cap_bucket("m").alias("c"),
+                    crossover("f", "s", "pf", "ps").alias("d"),
+                    crossover("f", "s", "pf", "ps", strict=False).alias("e"),
+                    *[v.alias(k) for k, v in pnl_columns().items()]).collect()
+    sql = df.selectExpr(f"{X.parse_price('t')} AS a", f"{X.parse_count('t')} AS b",
+                        f"{X.cap_bucket('m')} AS c", f"{X.crossover('f', 's', 'pf', 'ps')} AS d",
+                        f"{X.crossover('f', 's', 'pf', 'ps', False)} AS e", *X.pnl()).collect()
+    assert [tuple(r) for r in col] == [tuple(r) for r in sql]
