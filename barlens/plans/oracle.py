@@ -52,9 +52,10 @@ def pnl_sql(buy: str = "buy_price", sell: str = "sell_price") -> str:
     x16 = f"({q12} * {S} - {_pow10(21)})"
     d = f"({S} - {B})"
     r15 = f"(sign({d}) * ((2 * abs({d}) * {_pow10(15)} + {B}) // (2 * {B})))"
-    return (f"{scaled(_hround(q12, 12, 2), 2)} AS shares_bought, "
-            f"{scaled(_hround(x16, 16, 2), 2)} AS profit_or_loss, "
-            f"{scaled(_hround(f'({r15} * 100)', 15, 2), 2)} AS percent_profit_loss")
+    # result types as Spark derives them for these decimal expressions
+    return (f"CAST({scaled(_hround(q12, 12, 2), 2)} AS DECIMAL(13,2)) AS shares_bought, "
+            f"CAST({scaled(_hround(x16, 16, 2), 2)} AS DECIMAL(21,2)) AS profit_or_loss, "
+            f"CAST({scaled(_hround(f'({r15} * 100)', 15, 2), 2)} AS DECIMAL(18,2)) AS percent_profit_loss")
 
 
 BARS_CTE = """

@@ -502,7 +502,7 @@ SELECT *, 'VOLUME SPIKE' AS volume_status FROM (
 WHERE volume > 1.5 * avg_volume_30"""
     roll = """
 rollup AS (
-  SELECT buy_year, market_cap_category, strategy, SUM(profit_or_loss) AS pl,
+  SELECT buy_year, market_cap_category, strategy, CAST(SUM(profit_or_loss) AS DECIMAL(31,2)) AS pl,
          COUNT(*) AS no_of_trades
   FROM (SELECT buy_year, market_cap_category, strategy, profit_or_loss FROM ema_trades
         UNION ALL

@@ -96,3 +96,12 @@ def test_liquidity_window_equals_semi_join(spark):
     via_window = sorted(r.pair_id for r in daily_liquid_bars(stock, 500).select("pair_id").distinct().collect())
     via_agg = sorted(r.pair_id for r in liquid(stock, 500).collect())
     assert via_window == via_agg == [2]
+
+
+def test_non_strict_start_fires_on_row_two(spark):
+    from barlens.operators.signals import with_crossovers
+    ema = with_ema(series(spark, [10, 11]))
+    strict = with_crossovers(ema, "ema", ((9, 21),)).orderBy("transaction_date").collect()
+    loose = with_crossovers(ema, "ema", ((9, 21),), strict=False).orderBy("transaction_date").collect()
+    assert [r.ema_signal_9_21 for r in strict] == [None, None]
+    assert [r.ema_signal_9_21 for r in loose] == [None, "BUY"]
