@@ -95,3 +95,10 @@ def year_text(d) -> Column:
 
 def quarter_start(d) -> Column:
     return F.date_trunc("quarter", _c(d)).cast("date")
+
+
+def wall_clock(value) -> Column:
+    """A TIMESTAMP_NTZ literal for a naive datetime (or ISO text), built from
+    text so that no session or process time zone shifts the wall clock."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlens.functions import wall_clock
 from barlens.session import scratch_path
 
 
@@ -62,7 +63,7 @@ def append_bars(df: DataFrame, target: str, pair_id=None, loaded_at=None,
     out = df
     if pair_id is not None:
         out = out.withColumn("pair_id", F.lit(pair_id).cast("bigint"))
-    stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
+    stamp = wall_clock(loaded_at) if loaded_at is not None else F.localtimestamp()
     append_rows(out.withColumn("record_created_on", stamp), target, partition_by)
 
 

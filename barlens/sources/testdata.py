@@ -20,6 +20,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlens.functions import wall_clock
+
 from barlens.schemas import RAW_BAR
 from barlens.session import scratch_path
 
@@ -97,7 +99,7 @@ def assets_from_supplier(supplier: DataFrame, nation: DataFrame, region: DataFra
                     cap.alias("market_cap"),
                     F.col("r_name").alias("primary_sector"),
                     F.col("n_name").alias("secondary_sector"),
-                    F.lit(ASSETS_LOADED_AT).cast("timestamp_ntz").alias("record_created_on")))
+                    wall_clock(ASSETS_LOADED_AT).alias("record_created_on")))
 
 
 def screen_from_supplier(supplier: DataFrame) -> DataFrame:
@@ -109,7 +111,7 @@ def screen_from_supplier(supplier: DataFrame) -> DataFrame:
         (k + 500000).cast("string").alias("bse_code"),
         F.concat(F.lit("  "), F.lower("s_name"), F.lit(" ")).alias("nse_code"),
         F.lit("Manufacturing").alias("industry"),
-        F.lit(ASSETS_LOADED_AT).cast("timestamp_ntz").alias("record_created_on"))
+        wall_clock(ASSETS_LOADED_AT).alias("record_created_on"))
 
 
 def render_raw(bars: DataFrame, loaded_at: dt.datetime) -> DataFrame:
@@ -136,7 +138,7 @@ def render_raw(bars: DataFrame, loaded_at: dt.datetime) -> DataFrame:
         "last_max_raw": F.col("last_max").cast("string"),
         "last_min_raw": F.col("last_min").cast("string"),
         "change_percent_raw": pct.cast("string"),
-        "record_created_on": F.lit(loaded_at).cast("timestamp_ntz"),
+        "record_created_on": wall_clock(loaded_at),
     }
     return bars.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_BAR.fields])
 
