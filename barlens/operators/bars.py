@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlens.functions import (cap_bucket, parse_count, parse_price, quarter_start,
-                               yyyymmdd)
 from barlens.functions import sqlexpr as X
 from barlens.functions.sqlexpr import run_sql
 from barlens.operators.joins import fits

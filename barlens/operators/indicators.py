@@ -9,7 +9,7 @@ A series holds at most one bar per instrument, frequency and calendar day
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlens.functions import sqlexpr as X
@@ -33,32 +33,6 @@ def with_seq(df: DataFrame, name: str = "seq_num", keys=SERIES_KEYS) -> DataFram
     return df.withColumn(name, F.row_number().over(series_window(keys)))
 
 
-def rolling_mean(col: str, n: int, keys=SERIES_KEYS) -> Column:
-    """Mean over the last ``n`` rows (fewer at the start of a series).
-
-    Spark re-aggregates a moving ROWS frame for every row (O(n) per row), so
-    the frame sum is taken as a difference of running sums instead: one
-    running SUM/COUNT per column (O(1) per row) and an O(1) ``lag``. The sums
-    are exact (DECIMAL or BIGINT), so the difference equals the frame sum
-    exactly, and it is divided once - the result does not depend on how the
-    frame would have been summed.
-    """
-    w = series_window(keys)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    total, count = F.sum(col).over(running), F.count(col).over(running)
-    return _frame_mean(total, count, n, w)
-
-
-def _frame_mean(total: Column, count: Column, n: int, w: Window, back: int = 0) -> Column:
-    """Mean of the ``n`` rows ending ``back`` rows before the current one,
-    from running ``total``/``count`` columns."""
-    def at(c: Column, k: int) -> Column:
-        return c if k == 0 else F.lag(c, k).over(w)
-    s = F.coalesce(at(total, back), F.lit(0)) - F.coalesce(at(total, back + n), F.lit(0))
-    c = F.coalesce(at(count, back), F.lit(0)) - F.coalesce(at(count, back + n), F.lit(0))
-    return F.try_divide(s.cast("double"), c)
-
-
 def _series_clause(keys) -> str:
     return f"PARTITION BY {', '.join(keys)} ORDER BY {ORDER_COL}"
 
@@ -68,7 +42,13 @@ def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
     """WIN-8 (+ WIN-11 when ``prev``): moving averages of ``col`` over row
     frames, and each one's previous-row value ``prev_<prefix><n>``.
 
-    All periods share one running sum and count (see ``rolling_mean``); the
+    Spark re-aggregates a moving ROWS frame for every row (O(n) per row), so
+    each frame sum is a difference of running sums instead: one running
+    SUM/COUNT (O(1) per row) and O(1) ``lag``s. The sums are exact (DECIMAL
+    or BIGINT), so the difference equals the frame sum exactly, and it is
+    divided once.
+
+    All periods share one running sum and count (``sqlexpr.frame_mean``); the
     previous row's mean comes from the same running columns shifted by one,
     which is exactly ``lag(mean)`` (NULL on the first row) without another
     window pass.

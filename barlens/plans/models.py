@@ -18,7 +18,7 @@ from barlens.operators.bars import unify_bars
 from barlens.operators.compare import compare_strategies
 from barlens.operators.ema import with_ema
 from barlens.operators.indicators import (EMA_PERIODS, MIN_AVG_VOLUME, SMA_PERIODS,
-                                          daily_liquid_bars, with_prev, with_sma)
+                                          daily_liquid_bars, with_sma)
 from barlens.operators.signals import (EMA_PAIRS, EMA_TRADED, SMA_PAIRS, SMA_TRADED,
                                        with_crossovers)
 from barlens.operators.trades import pair_trades

@@ -22,7 +22,6 @@ from barlens.operators.joins import fits
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
                                           liquid, volume_spikes)
 from barlens.operators.signals import EMA_PAIRS, EMA_TRADED, SMA_PAIRS, SMA_TRADED
-from barlens.operators.trades import pair_trades
 from barlens.operators.universe import pending, universe
 from barlens.plans import models
 from barlens.plans import oracle as O

@@ -69,3 +69,23 @@ def test_not_in_with_null_is_empty(spark):
     loaded2 = spark.createDataFrame([(1,)], "pair_id bigint")
     assert sorted(r.pair_id for r in pending(u, loaded2).collect()) == [2, 3]
     assert pending(u, spark.createDataFrame([], "pair_id bigint")).count() == 3
+
+
+def test_api_helpers(spark):
+    from pyspark.sql import functions as F
+    from barlens.operators.bars import latest_per
+    from barlens.operators.indicators import with_seq
+    from barlens.sinks import as_view
+    from barlens.sources.readers import valid_date, window_before
+    df = spark.createDataFrame([(1, "2024-01-02", 5), (1, "2024-01-01", 7), (2, "bad", 1)],
+                               "k bigint, d string, v int")
+    top = latest_per(df, ["k"], [F.col("v").desc()]).collect()
+    assert sorted((r.k, r.v) for r in top) == [(1, 7), (2, 1)]
+    typed = df.withColumn("d", valid_date("d"))
+    assert typed.filter("k = 2").first().d is None
+    seq = with_seq(typed.filter("d IS NOT NULL").withColumnRenamed("k", "pair_id")
+                   .withColumn("ticker", F.lit("t")).withColumnRenamed("d", "transaction_date"))
+    assert sorted((r.transaction_date.day, r.seq_num) for r in seq.collect()) == [(1, 1), (2, 2)]
+    assert window_before(dt.date(2024, 1, 20)) == (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    as_view(df, "api_helpers_view")
+    assert spark.table("api_helpers_view").count() == 3

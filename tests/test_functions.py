@@ -1,7 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from barlens.functions import (after_first_colon, cap_bucket, crossover, decode_entities,
                                normalize_code, parse_count, parse_price, pnl_columns)
 

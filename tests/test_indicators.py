@@ -2,7 +2,6 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -5,7 +5,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from barlens.operators.trades import pair_trades
-from barlens.schemas import BAR_ATTRIBUTES
 
 SIG_SCHEMA = ("pair_id bigint, ticker string, stock_name string, primary_uid string, "
               "primary_sector string, secondary_sector string, market_cap decimal(24,4), "
