@@ -45,6 +45,7 @@ def get_spark(master: str | None = None, app: str = "barlens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,3 +76,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/barlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``barlens`` usable in Python workers (grouped Arrow calls and
+    the stateful stream processor run functions defined here).
+
+    The package is zipped once per application and added with
+    ``addPyFile``, which Spark distributes to every executor; nothing needs
+    to be installed on the workers.
+    """
+    import shutil
+
+    import barlens
+    from pyspark import cloudpickle
+    # Functions and classes of this package travel with their code, so a
+    # Python process that never received the zip (the stateful stream's
+    # driver-side runner) can still load them.
+    cloudpickle.register_pickle_by_value(barlens)
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tempfile.mkdtemp(prefix="barlens-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "barlens"), "zip", pkg_root, "barlens")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
