@@ -266,7 +266,8 @@ def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
         stream = spark.readStream.schema(ev.schema).parquet(landing)
         run_available_now(stream_indicators(stream).writeStream.format("parquet")
                           .option("path", out).option("checkpointLocation", ckpt)
-                          .outputMode("append"))
+                          .outputMode("append"),
+                          spark=spark, state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(out)
 
 

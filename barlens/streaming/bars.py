@@ -54,9 +54,23 @@ def compact(spark: SparkSession, target: str, out: str) -> None:
     latest_view(spark, target).write.mode("overwrite").parquet(out)
 
 
-def run_available_now(writer, timeout_s: int = 600) -> None:
-    """Start a streaming write with ``trigger(availableNow=True)`` and wait."""
-    q = writer.trigger(availableNow=True).start()
+def run_available_now(writer, timeout_s: int = 600, spark: SparkSession | None = None,
+                      state_partitions: int | None = None) -> None:
+    """Start a streaming write with ``trigger(availableNow=True)`` and wait.
+
+    ``state_partitions`` sets the shuffle partitions the query starts with,
+    which fixes its state-store partition count for the life of the
+    checkpoint; the session setting is restored afterwards.
+    """
+    previous = None
+    if state_partitions and spark is not None:
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = writer.trigger(availableNow=True).start()
+    finally:
+        if previous is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
