@@ -1,4 +1,5 @@
-"""Per-instrument indicators: sequence numbers, SMAs, lags, EMAs, liquidity.
+"""Per-instrument indicators: sequence numbers, SMAs and their lags, liquidity,
+volume spikes (EMAs are in ``ema.py``).
 
 Every window here uses the same partitioning, ``(pair_id, ticker)`` ordered
 by ``transaction_date``, so all of them share one shuffle and one sort.
