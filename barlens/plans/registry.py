@@ -53,7 +53,7 @@ class Inputs:
         self.feeds = testdata.landed_inputs(spark, sf_dir)
         # the landed asset table does not change within an application, so
         # its broadcast decision (a bounded count) is measured once
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
         if key not in _ASSETS_SMALL:
             _ASSETS_SMALL[key] = fits(unique_assets(self.feeds["assets"]))
         self.assets_small = _ASSETS_SMALL[key]
@@ -66,7 +66,7 @@ class Inputs:
         return models.stock_data(feeds, self.assets_small)
 
 
-_ASSETS_SMALL: dict[tuple[str, str], bool] = {}
+_ASSETS_SMALL: dict[tuple[str, int, str], bool] = {}
 
 
 def _inputs(spark, sf_dir) -> Inputs:

@@ -175,8 +175,8 @@ def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> d
     return out
 
 
-# Landed inputs per (application, scale directory): table name -> DataFrame.
-_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+# Landed inputs per (application, session, scale directory): name -> DataFrame.
+_LANDED: dict[tuple[str, int, str], dict[str, DataFrame]] = {}
 
 
 def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -187,7 +187,7 @@ def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     daily bars, from which the four feeds are cut, so ``lineitem`` is
     aggregated once) and every query reads those tables.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
     landed = _LANDED.get(key)
     if landed is None:
         base = scratch_path(spark, "landing")

@@ -89,3 +89,15 @@ def test_api_helpers(spark):
     assert window_before(dt.date(2024, 1, 20)) == (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
     as_view(df, "api_helpers_view")
     assert spark.table("api_helpers_view").count() == 3
+
+
+def test_dedup_is_idempotent(spark):
+    from barlens.operators.bars import dedup_bars, typed_feeds
+    d = dt.date(2024, 1, 2)
+    hist = raw_rows(spark, [(1, d, "10", T0), (1, d, "12", T0), (2, d, "20", T0)])
+    cur = raw_rows(spark, [(1, d, "11", T0 + dt.timedelta(hours=1))])
+    good, _ = typed_feeds(hist, empty_raw(spark), cur, empty_raw(spark))
+    once = dedup_bars(good)
+    twice = dedup_bars(once.withColumn("_source_rank", F.lit(0)))
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert once.count() == 2
