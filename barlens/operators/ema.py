@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlens.operators.indicators import EMA_PERIODS, ORDER_COL, SERIES_KEYS
 
@@ -128,7 +129,7 @@ def ema_resume(new_rows: DataFrame, state: DataFrame, periods=EMA_PERIODS,
 
     def run(rows: pa.Table, st_rows: pa.Table) -> pa.Table:
         if rows.num_rows == 0:
-            return pa.Table.from_pylist([], schema=_arrow_schema(out_schema, rows))
+            return pa.Table.from_pylist([], schema=to_arrow_schema(out_schema))
         rows = rows.sort_by([(order, "ascending")])
         last_date, seeds = None, {n: None for n in periods}
         if st_rows.num_rows:
@@ -156,13 +157,35 @@ def ema_resume(new_rows: DataFrame, state: DataFrame, periods=EMA_PERIODS,
             .applyInArrow(run, out_schema))
 
 
-def _arrow_schema(spark_schema: T.StructType, like: pa.Table) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return to_arrow_schema(spark_schema)
-
-
 def rebuild_series(bars: DataFrame, late_rows: DataFrame, periods=EMA_PERIODS,
                    keys=SERIES_KEYS) -> DataFrame:
     """Recompute whole series for instruments that received late bars."""
     touched = late_rows.select(*keys).distinct()
     return with_ema(bars.join(touched, list(keys), "left_semi"), periods, keys=keys)
+
+
+def apply_delivery(history: DataFrame, state: DataFrame, delivered: DataFrame,
+                   bars: DataFrame, periods=EMA_PERIODS, keys=SERIES_KEYS) -> DataFrame:
+    """Corrected incremental EMA table after one delivery of bars (ST-6).
+
+    history   - the current EMA rows (``with_ema`` output, narrow or wide)
+    state     - ``ema_state`` of ``history``
+    delivered - the new or corrected bars of this load
+    bars      - every bar after the load (used only for touched series)
+
+    Series whose delivery holds a bar on or before their stored last date
+    (a correction or a late bar), or that have no state yet, are rebuilt
+    from ``bars``; every other series keeps its history and continues from
+    its state. The result equals recomputing the whole table from ``bars``,
+    while only the touched series are read in full.
+    """
+    keys = list(keys)
+    cols = history.columns
+    out = ema_resume(delivered, state, periods, keys=keys)
+    late = out.filter(F.col("late")).select(*keys)
+    fresh = delivered.select(*keys).distinct().join(state.select(*keys), keys, "left_anti")
+    touched = late.unionByName(fresh).distinct()
+    rebuilt = with_ema(bars.join(touched, keys, "left_semi"), periods, keys=keys)
+    kept = history.join(touched, keys, "left_anti")
+    resumed = out.filter(~F.col("late")).drop("late").join(touched, keys, "left_anti")
+    return kept.select(*cols).unionByName(resumed.select(*cols)).unionByName(rebuilt.select(*cols))

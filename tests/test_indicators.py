@@ -104,3 +104,25 @@ def test_non_strict_start_fires_on_row_two(spark):
     loose = with_crossovers(ema, "ema", ((9, 21),), strict=False).orderBy("transaction_date").collect()
     assert [r.ema_signal_9_21 for r in strict] == [None, None]
     assert [r.ema_signal_9_21 for r in loose] == [None, "BUY"]
+
+
+def test_apply_delivery_equals_full_recompute(spark):
+    from barlens.operators.ema import apply_delivery
+    rnd = random.Random(9)
+    a = series(spark, [round(rnd.uniform(10, 20), 2) for _ in range(60)], pair_id=1, ticker="A")
+    b = series(spark, [round(rnd.uniform(10, 20), 2) for _ in range(60)], pair_id=2, ticker="B")
+    before = a.unionByName(b).filter(F.col("transaction_date") <= F.lit(dt.date(2024, 2, 9)))
+    history = with_ema(before)
+    state = ema_state(history)
+    # delivery: new days for both; instrument 1 also corrects an old bar; instrument 3 is new
+    corrected = a.filter(F.col("transaction_date") == F.lit(dt.date(2024, 1, 20))).withColumn(
+        "last_close", F.lit(Decimal("99.0000")))
+    c = series(spark, [5, 6, 7], pair_id=3, ticker="C")
+    new_days = a.unionByName(b).filter(F.col("transaction_date") > F.lit(dt.date(2024, 2, 9)))
+    delivered = new_days.unionByName(corrected).unionByName(c)
+    after = (a.filter(F.col("transaction_date") != F.lit(dt.date(2024, 1, 20))).unionByName(corrected)
+             .unionByName(b).unionByName(c))
+    got = apply_delivery(history, state, delivered, after)
+    want = with_ema(after)
+    cols = ["pair_id", "transaction_date", "ema_9", "ema_21", "ema_50", "prev_ema_9"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
