@@ -17,7 +17,7 @@ from barlens.functions import cap_bucket, crossover
 from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, good_rows,
                                     tag_raw, type_bars, typed_feeds)
 from barlens.operators.bars import unique_assets
-from barlens.operators.ema import ema_resume, ema_state, with_ema
+from barlens.operators.ema import apply_delivery, ema_resume, ema_state, with_ema
 from barlens.operators.joins import fits
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
                                           liquid, volume_spikes)
@@ -305,6 +305,22 @@ def q_stream_latest(spark, sf_dir):
     return latest_view(spark, target)
 
 
+def q_ema_delivery(spark, sf_dir):
+    """Corrected incremental EMA (EMA-2, ST-6): the EMA table as it stood
+    before the current feeds, then the current feeds' days delivered -
+    corrected June bars make their series rebuild, the rest resume from
+    state. Must equal recomputing the whole table."""
+    inp = _inputs(spark, sf_dir)
+    narrow = ["pair_id", "ticker", "stock_name", "transaction_date", "last_close"]
+    keys = ["pair_id", "ticker"]
+    before = daily_liquid_bars(inp.stock(current=False), MIN_AVG_VOLUME).select(*narrow)
+    after = daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(*narrow)
+    live = after.select(*keys).distinct()          # series still in the table
+    history = with_ema(before).join(live, keys, "left_semi")
+    delivered = after.filter(F.col("transaction_date") >= F.lit(testdata.CURRENT_FROM))
+    return apply_delivery(history, ema_state(history), delivered, after)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_unified": q_bars_unified,
     "bars_latest": q_bars_latest,
@@ -326,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strategy_compare": q_strategy_compare,
     "ema_incremental_reseed": q_ema_incremental_reseed,
     "ema_incremental_resume": q_ema_incremental_resume,
+    "ema_delivery": q_ema_delivery,
     "asset_json": q_asset_json,
     "html_table": q_html_table,
     "bar_landing": q_bar_landing,
@@ -544,6 +561,9 @@ daily_v2 AS (
     o["ema_incremental_reseed"] = _with(
         v1, _ema_ctes("daily_v1", "run1", narrow), _ema_ctes("daily_v2", "run2", narrow)) + (
         _incremental_select("run1") + "\nUNION ALL\n" + _incremental_select("run2"))
+    o["ema_delivery"] = _with(_ema_ctes("liquid_daily", "fullrun", narrow)) + (
+        "SELECT pair_id, ticker, stock_name, transaction_date, last_close, ema_9, ema_21, ema_50, "
+        "prev_ema_9, prev_ema_21, prev_ema_50 FROM fullrun")
     o["ema_incremental_resume"] = _with(_ema_ctes("liquid_daily", "fullrun", narrow)) + (
         _incremental_select("fullrun", f"transaction_date > {_d(RESUME_CUT)}"))
     o["asset_json"] = f"""
