@@ -190,8 +190,10 @@ def q_ema_incremental_resume(spark, sf_dir):
     """Corrected incremental form: state after RESUME_CUT carried into the
     next batch; must equal the full recomputation after the cut."""
     inp = _inputs(spark, sf_dir)
-    bars = daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(
-        "pair_id", "ticker", "stock_name", "transaction_date", "last_close")
+    # an incremental job reads a stored bar table: write it once, so both
+    # sides below are Parquet scans with the date filter pushed down
+    bars = materialize(daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(
+        "pair_id", "ticker", "stock_name", "transaction_date", "last_close"), "resume-bars")
     before = bars.filter(F.col("transaction_date") <= F.lit(RESUME_CUT))
     after = bars.filter(F.col("transaction_date") > F.lit(RESUME_CUT))
     state = ema_state(with_ema(before, EMA_PERIODS, prev=False))
