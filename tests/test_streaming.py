@@ -68,3 +68,15 @@ def test_stream_upsert_keeps_latest_and_is_idempotent(spark):
     # replaying batch 0 rewrites the same partition: no duplicate rows
     upsert_latest(target)(first, 0)
     assert latest_view(spark, target).count() == 2
+
+
+def test_compact_folds_batches_into_latest(spark):
+    from barlens.streaming.bars import compact
+    d = dt.date(2024, 1, 2)
+    base = scratch_path(spark, "test-compact")
+    target, out = f"{base}/t", f"{base}/c"
+    upsert_latest(target)(raw_rows(spark, [(1, d, "10", T0)]).withColumn("frequency", F.lit("daily")), 0)
+    upsert_latest(target)(raw_rows(spark, [(1, d, "12", T0)]).withColumn("frequency", F.lit("daily")), 1)
+    compact(spark, target, out)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 1 and str(rows[0].last_close) == "12.0000"   # later batch wins the tie
