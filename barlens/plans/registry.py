@@ -168,8 +168,11 @@ def q_volume_spike(spark, sf_dir):
 
 def q_strategy_compare(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
-    # the hub table feeds both strategy families: write it once
-    stock = materialize(inp.stock(), "stock-data")
+    # the hub table feeds both strategy families: write once the slice they
+    # read (daily bars, indicator columns)
+    cols = [*models.INDICATOR_BASE, "quarter_start", "frequency"]
+    stock = materialize(inp.stock().filter(F.col("frequency") == "daily").select(*cols),
+                        "stock-data")
     sma = models.sma_backtest(models.sma_crossover(models.sma_strategy(stock, MIN_AVG_VOLUME)))
     ema = models.ema_backtest(models.ema_crossover(models.ema_strategy(stock, MIN_AVG_VOLUME)))
     return models.strategy_compare(sma, ema)
