@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlens.llm import mixing, sharding
+from barlens.llm import mixing, near_dup, sharding
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -17,6 +17,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count, component and representative of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard, slot and next shard of every document."""
     return sharding.digest(table(spark, sf_dir, "documents"), SHARDS)
@@ -25,6 +30,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing": op2_mixing,
+        "op7_near_dup": op7_near_dup,
         "op8_sharding": op8_sharding,
     }
 
