@@ -3,6 +3,8 @@ word splitting, balanced distributed numbering."""
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -67,6 +69,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def balanced_buckets(rows: int) -> int:
+    """Buckets of the two-level numbering: both the rows of a bucket and the
+    buckets of a group grow with the square root of the table."""
+    return max(1, isqrt(rows) // 16)
+
+
 def running_starts(rows: DataFrame, group: list[str], bucket: str, order: list, weight: str,
                    out: str) -> DataFrame:
     """``out`` = sum of ``weight`` over all earlier rows of the same group.

@@ -79,18 +79,17 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", out: str = "shard")
     return C.with_result(docs, **{out: jump_hash(F.col(key), shards)})
 
 
-def slots(rows: DataFrame, shard_col: str, order: list[str], rows_per_bucket: int = 50_000) -> DataFrame:
+def slots(rows: DataFrame, shard_col: str, order: list[str]) -> DataFrame:
     """Number the rows of each shard 0, 1, 2, ... by (hash, order); column ``slot``.
 
     ``rows`` must consist of ``shard_col`` and the ``order`` columns (all that a row
     is identified by). Equal rows are counted, numbered as one and expanded again
     in chunks, so a row that repeats a billion times is no hot key. Within a shard
-    the rows are cut by hash into buckets of about ``rows_per_bucket``.
+    the rows are cut by hash into buckets, see ``balanced_buckets``.
     """
     cols = [shard_col, *[c for c in order if c != shard_col]]
     counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    total = rows.count()
-    buckets = max(1, total // rows_per_bucket)
+    buckets = C.balanced_buckets(rows.count())
     bucketed = counted.withColumn("__b", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)))
     starts = C.running_starts(bucketed, [shard_col], "__b", [F.col(c) for c in cols], "__n", "__slot0")
     chunk = 10_000
