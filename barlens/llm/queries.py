@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlens.llm import mixing, near_dup, sharding
+from barlens.llm import language_id, mixing, near_dup, sharding
 from barlens.llm.common import table
 
 SHARDS = 8
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.digest(table(spark, sf_dir, "documents"))
@@ -29,6 +34,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
         "op7_near_dup": op7_near_dup,
         "op8_sharding": op8_sharding,
