@@ -33,6 +33,12 @@ def with_result(df: DataFrame, **cols: Column) -> DataFrame:
     return out.withColumnsRenamed({t: c for c, t in tmp.items()})
 
 
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus a column that is computed once per row. An ordinary projection may be
+    merged into a later lambda function and be computed again for every element."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def text_crc(col: str) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes of a string column (null: null)."""
     return F.crc32(F.col(col).cast("binary"))
