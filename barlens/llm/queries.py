@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlens.llm import decontamination, language_id, mixing, near_dup, sharding
+from barlens.llm import decontamination, language_id, license_scan, mixing, near_dup, sharding
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -22,6 +22,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates found in every document."""
+    return license_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers, names and units."""
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
+        "op4_license_scan": op4_license_scan,
         "op5_decontamination": op5_decontamination,
         "op7_near_dup": op7_near_dup,
         "op8_sharding": op8_sharding,
