@@ -4,16 +4,19 @@
    its word sequence and a MinHash signature. Equal sequences are one class;
    everything below works on classes, named by a 64-bit hash of the digest.
 2. Classes that agree on all rows of a band are candidates. A band's bucket is
-   not expanded into pairs: its members are compared with one hub each (least,
-   then greatest key). Members whose components still differ after that are
-   compared across components, so no pair that shares a band is left untested
-   unless it is already known to be connected.
+   not expanded into pairs: its members are compared with one random member, the
+   hub; as hubs differ from band to band, most of a large group is connected then.
 3. Candidate signatures are compared batch by batch. After n compared rows with
    m agreeing, the posterior of the similarity under a uniform prior is
    Beta(m + 1, n - m + 1); a pair is dropped once the probability that its
    similarity reaches the threshold falls below ``miss``.
 4. Survivors are verified on their full shingle sets, in integers.
-5. Verified links give connected components; the least doc_id represents each.
+5. Members of a bucket that hubs left in different components may still be linked.
+   Of these pairs, those that a prefix, length and position filter on the full
+   sets (rarest shingle first) can't rule out go through steps 3 and 4 as well.
+   The filter is exact, so nothing is lost by it; a group of texts that share much
+   but not enough costs rows in proportion to its size, not to its square.
+6. Verified links give connected components; the least doc_id represents each.
 
 With bands of ``band_rows`` rows a pair at the threshold t shares no band with
 probability (1 - t**band_rows) ** bands: 5e-6 at 0.75 with 32 bands of 4.
@@ -30,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlens.llm.components import connected_components
@@ -88,6 +91,18 @@ def _confirm(batches: Iterator[pa.RecordBatch], threshold: tuple) -> Iterator[pa
             [batch.column(i).take(pa.array(keep, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
 
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, n, comp, packed set) -> one row per shingle, a few sets at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = [np.frombuffer(x.as_py(), np.int64) for x in part.column(3)]
+            rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(i).take(pa.array(rows)) for i in range(3)),
+                 pa.array(np.concatenate(sets), pa.int64())], names=["cid", "n", "comp", "shingle"])
+
+
 class NearDup:
     """The stages of the operator over one table of (doc_id, text)."""
 
@@ -110,33 +125,37 @@ class NearDup:
             .withColumn("cid", F.xxhash64("key")), "dup-classes")
 
     def _members(self) -> DataFrame:
-        """(bucket, cid, n, lo, hi) of every class in every band it shares with another
-        class; lo and hi are the bucket's least and greatest class."""
+        """(bucket, cid, n, hub) of every class in every band it shares with another class."""
         w = 4 * self.band_rows
         band = F.explode(F.sequence(F.lit(0), F.lit(self.bands - 1))).alias("band")
+        # which member is the hub: the least id under a mask of the bucket's own
+        mask = F.xxhash64("bucket", F.lit("hub"))
         placed = (self.classes.select("cid", "n", "sig", band)
-                  .select(F.xxhash64(F.expr(f"substring(sig, band * {w} + 1, {w})"), "band").alias("bucket"), "cid", "n"))
-        shared = (placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("lo"),
-                                               F.max("cid").alias("hi")).filter("c > 1").drop("c"))
-        return materialize(placed.join(shared, "bucket"), "dup-members")
+                  .select(F.xxhash64(F.expr(f"substring(sig, band * {w} + 1, {w})"), "band").alias("bucket"), "cid", "n")
+                  .withColumn("masked", F.col("cid").bitwiseXOR(mask)))
+        shared = (placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("masked").alias("least"))
+                  .filter("c > 1").select("bucket", F.col("least").bitwiseXOR(mask).alias("hub")))
+        return materialize(placed.drop("masked").join(shared, "bucket"), "dup-members")
+
+    def _sets(self, members: DataFrame) -> DataFrame:
+        """(cid, shingles) of every class that has candidates; each text is read once."""
+        ids = members.select("cid").distinct()
+        wanted = self.classes.join(ids, "cid", "left_semi").select("least_id").distinct()
+        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi").select("text")
+        width = self.width
+        sets = (texts.mapInArrow(lambda it: set_batches(it, width), "key binary, shingles binary")
+                .select(F.xxhash64("key").alias("cid"), "shingles").join(ids, "cid", "left_semi"))
+        return materialize(sets.groupBy("cid").agg(F.first("shingles").alias("shingles")), "dup-sets")
 
-    def _links(self, pairs: DataFrame) -> DataFrame:
+    def _links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Verified links among candidate pairs (a, b)."""
         signatures = self.classes.select("cid", "sig")
         sides = (pairs.join(signatures.withColumnsRenamed({"cid": "a", "sig": "sig_a"}), "a")
                  .join(signatures.withColumnsRenamed({"cid": "b", "sig": "sig_b"}), "b")
                  .select("a", "b", "sig_a", "sig_b"))
         rows, step, miss = self.rows, self.step, self.miss
-        t, threshold, width = self.threshold[0] / self.threshold[1], self.threshold, self.width
-        alive = materialize(sides.mapInArrow(lambda it: _survive(it, rows, step, t, miss), "a bigint, b bigint"),
-                            "dup-alive")
-        ids = alive.select(F.col("a").alias("cid")).union(alive.select("b")).distinct()
-        wanted = self.classes.join(ids, "cid", "left_semi").select("least_id").distinct()
-        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi").select("text")
-        sets = (texts.mapInArrow(lambda it: set_batches(it, width), "key binary, shingles binary")
-                .select(F.xxhash64("key").alias("cid"), "shingles")
-                .join(ids, "cid", "left_semi").groupBy("cid").agg(F.first("shingles").alias("shingles")))
-        sets = materialize(sets, "dup-sets")
+        t, threshold = self.threshold[0] / self.threshold[1], self.threshold
+        alive = sides.mapInArrow(lambda it: _survive(it, rows, step, t, miss), "a bigint, b bigint")
         full = (alive.join(sets.withColumnsRenamed({"cid": "a", "shingles": "set_a"}), "a")
                 .join(sets.withColumnsRenamed({"cid": "b", "shingles": "set_b"}), "b")
                 .select("a", "b", "set_a", "set_b"))
@@ -147,39 +166,53 @@ class NearDup:
         num, den = self.threshold
         return F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
 
+    def _cross_pairs(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs (a, b) in different components that share a bucket's company and that
+        the filters on their full sets leave open."""
+        num, den = self.threshold
+        placed = (members.join(comps.withColumnsRenamed({"node": "cid", "component": "comp"}), "cid", "left")
+                  .withColumn("comp", F.coalesce("comp", "cid")))
+        split = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                 .filter("c0 <> c1").select("bucket"))
+        open_ = placed.join(split, "bucket", "left_semi").select("cid", "n", "comp").distinct()
+        open_ = materialize(open_, "dup-open")
+        tokens = (sets.join(open_, "cid").select("cid", "n", "comp", "shingles")
+                  .mapInArrow(_explode_sets, "cid bigint, n bigint, comp bigint, shingle bigint"))
+        tokens = materialize(tokens, "dup-tokens")
+        df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+        # a set's shingles, rarest first; the threshold leaves n - ceil(t * n) + 1 to its prefix
+        order = Window.partitionBy("cid").orderBy("df", "shingle")
+        entries = (tokens.join(df, "shingle").withColumn("p", F.row_number().over(order) - 1)
+                   .filter((F.col("df") > 1) & (F.lit(den) * (F.col("n") - F.col("p")) >= F.lit(num) * F.col("n")))
+                   .select("shingle", "cid", "n", "comp", "p"))
+        entries = materialize(entries, "dup-prefixes")
+        # the most frequent component of a shingle is home; only others look for partners
+        home = (entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
+                .groupBy("shingle").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k"))
+                .filter("k > 1").select("shingle", F.col("top.comp").alias("home")))
+        met = entries.join(home, "shingle")
+        away = met.filter("comp <> home").select("shingle", F.col("cid").alias("a"), F.col("n").alias("na"),
+                                                 F.col("comp").alias("ca"), F.col("p").alias("pa"))
+        room = F.lit(den + num) * F.least(F.col("n") - F.col("p"), F.col("na") - F.col("pa")) \
+            >= F.lit(num) * (F.col("n") + F.col("na"))
+        return (met.join(away, "shingle").filter("comp <> ca and (comp = home or cid < a)")
+                .filter(self._near("n", "na") & room)
+                .select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct())
+
     def components(self) -> DataFrame:
         """(cid, comp) of every class that is linked with another one."""
         members = self._members()
+        sets = self._sets(members)
         sizes = self.classes.select(F.col("cid").alias("hub"), F.col("n").alias("hub_n"))
-        stars = members.select(F.col("lo").alias("hub"), "cid", "n").union(members.select("hi", "cid", "n"))
-        stars = (stars.filter("hub <> cid").distinct().join(sizes, "hub").filter(self._near("n", "hub_n"))
+        stars = (members.select("hub", "cid", "n").filter("hub <> cid").distinct()
+                 .join(sizes, "hub").filter(self._near("n", "hub_n"))
                  .select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct())
-        links = self._links(stars)
+        links = self._links(stars, sets)
         comps = materialize(connected_components(links), "dup-comps")
-        # what two hubs could not connect: pairs of one bucket in different components
-        placed = (members.select("bucket", "cid", "n", "lo", "hi")
-                  .join(comps.withColumnsRenamed({"node": "cid", "component": "comp"}), "cid", "left")
-                  .withColumn("comp", F.coalesce("comp", "cid")))
-        split = placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-        # the component of the bucket's least class holds most of it, as a rule: only
-        # the others look for partners
-        home = placed.filter("cid = lo").select("bucket", F.col("comp").alias("home"))
-        open_ = materialize(placed.join(split.select("bucket"), "bucket").join(home, "bucket")
-                            .select("bucket", "cid", "n", "comp", "home", "lo", "hi"), "dup-open")
-        away = open_.filter("comp <> home").select("bucket", F.col("cid").alias("a"), F.col("n").alias("na"),
-                                                   F.col("comp").alias("ca"))
-        # a pair outside home is met from both sides, one side counts; hubs are done
-        cross = (open_.join(away, "bucket")
-                 .filter("comp <> ca and (comp = home or cid < a) and cid <> lo and cid <> hi and a <> lo and a <> hi")
-                 .filter(self._near("n", "na"))
-                 .select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct())
-        late = self._links(cross.join(stars, ["a", "b"], "left_anti"))
-        if late.isEmpty():
-            return comps.withColumnsRenamed({"node": "cid", "component": "comp"})
-        # the links found late join components that already stand
-        all_links = links.union(late)
-        return materialize(connected_components(all_links), "dup-comps").withColumnsRenamed(
-            {"node": "cid", "component": "comp"})
+        late = self._links(self._cross_pairs(members, comps, sets), sets)
+        if not late.isEmpty():
+            comps = materialize(connected_components(links.union(late)), "dup-comps")
+        return comps.withColumnsRenamed({"node": "cid", "component": "comp"})
 
     def digest(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""
