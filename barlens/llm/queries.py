@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlens.llm import decontamination, language_id, license_scan, mixing, near_dup, sharding
+from barlens.llm import decontamination, language_id, license_scan, mixing, near_dup, quality, sharding, toxicity
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -22,6 +22,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label posterior, score and decision for every document."""
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates found in every document."""
     return license_scan.digest(table(spark, sf_dir, "documents"))
@@ -32,6 +37,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count, component and representative of every document."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -46,8 +56,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
+        "op3_quality": op3_quality,
         "op4_license_scan": op4_license_scan,
         "op5_decontamination": op5_decontamination,
+        "op6_toxicity": op6_toxicity,
         "op7_near_dup": op7_near_dup,
         "op8_sharding": op8_sharding,
     }
