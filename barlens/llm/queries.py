@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlens.llm import decontamination, language_id, license_scan, mixing, near_dup, quality, sharding, toxicity
+from barlens.llm import (chat, decontamination, language_id, license_scan, mixing, near_dup, quality, sharding, topk,
+                         toxicity)
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -52,6 +53,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every query vector."""
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its packed form."""
+    return chat.digest(chat.with_trap(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -62,8 +73,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": op6_toxicity,
         "op7_near_dup": op7_near_dup,
         "op8_sharding": op8_sharding,
+        "op9_topk": op9_topk,
+        "op10_chat": op10_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL}
+    return {"op2_mixing": mixing.SQL, "op9_topk": topk.SQL, "op10_chat": chat.SQL}
