@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from barlens.llm import (chat, decontamination, language_id, license_scan, mixing, near_dup, quality, sharding, topk,
                          toxicity)
 from barlens.llm.common import table
@@ -75,8 +76,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_topk": op9_topk,
         "op10_chat": op10_chat,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "op9_topk": topk.SQL, "op10_chat": chat.SQL}
+    named = {"op2_mixing": mixing.SQL, "op9_topk": topk.SQL, "op10_chat": chat.SQL}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        named["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return named
