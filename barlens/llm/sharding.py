@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlens.llm import common as C
+from barlens.sinks import materialize
 
 # Fixed values of the published jump consistent hash.
 MULTIPLIER = 2862933555777941757
@@ -113,6 +114,7 @@ def digest(docs: DataFrame, shards: int) -> DataFrame:
     narrow = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("bigint").alias("size"),
                          F.crc32(text.cast("binary")).alias("text_crc32"))
     placed = shard(narrow, shards)
-    placed = shard(placed, shards + 1, out="grown_shard")
+    # texts are read once; numbering works on the stored narrow rows
+    placed = materialize(shard(placed, shards + 1, out="grown_shard"), "shard-rows")
     numbered = slots(placed, "shard", ["doc_id", "size", "text_crc32", "grown_shard"])
     return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
