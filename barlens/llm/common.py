@@ -75,6 +75,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def hex_number(digest: Column, digits: int) -> Column:
+    """The first hexadecimal digits of a digest as a number."""
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint")
+
+
 def balanced_buckets(rows: int) -> int:
     """Buckets of the two-level numbering: both the rows of a bucket and the
     buckets of a group grow with the square root of the table."""

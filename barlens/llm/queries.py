@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from barlens.llm import (chat, decontamination, language_id, license_scan, mixing, near_dup, quality, sharding, topk,
-                         toxicity)
+from barlens.llm import (chat, decontamination, language_id, license_scan, mixing, near_dup, oracles, quality, sharding,
+                         topk, toxicity)
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -81,7 +81,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    named = {"op2_mixing": mixing.SQL, "op9_topk": topk.SQL, "op10_chat": chat.SQL}
+    named = {
+        "op2_mixing": mixing.SQL,
+        "op4_license_scan": oracles.license_scan(),
+        "op5_decontamination": oracles.decontamination(),
+        "op7_near_dup": oracles.NEAR_DUP,
+        "op8_sharding": oracles.sharding(SHARDS),
+        "op9_topk": topk.SQL,
+        "op10_chat": chat.SQL,
+    }
     if corpus_pipeline.ORACLE_SQL is not None:
         named["pipeline"] = corpus_pipeline.ORACLE_SQL
     return named

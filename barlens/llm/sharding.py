@@ -91,7 +91,8 @@ def slots(rows: DataFrame, shard_col: str, order: list[str]) -> DataFrame:
     cols = [shard_col, *[c for c in order if c != shard_col]]
     counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     buckets = C.balanced_buckets(rows.count())
-    bucketed = counted.withColumn("__b", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)))
+    spread = C.hex_number(F.md5(F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).cast("binary")), 4)
+    bucketed = counted.withColumn("__b", F.floor(spread * F.lit(buckets) / F.lit(65536)))
     starts = C.running_starts(bucketed, [shard_col], "__b", [F.col(c) for c in cols], "__n", "__slot0")
     chunk = 10_000
     lots = (starts.withColumn("__lot", F.explode(F.sequence(F.lit(0).cast("bigint"),
