@@ -166,9 +166,10 @@ def slot_values(texts: DataFrame, met: DataFrame, enough: DataFrame, items: Data
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated rows."""
+    d, t = C.fresh(docs, "bad_id"), C.fresh(docs, "bad_text")
     bad = materialize(contaminated(docs, benchmark).select(
-        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left_anti")
+        F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct(), "contaminated")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(t)), "left_anti")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlens.llm import common as C
 from barlens.llm.components import connected_components
 from barlens.llm.shingles import overlap, set_batches, sign_batches
 from barlens.sinks import materialize
@@ -235,6 +236,6 @@ def near_duplicates(docs: DataFrame, **params) -> DataFrame:
 
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
     """``docs`` without the rows of documents that another one represents."""
-    gone = (near_duplicates(docs, **params).filter(~F.col("kept"))
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(materialize(gone, "dup-gone"), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    name = C.fresh(docs, "gone")
+    gone = near_duplicates(docs, **params).filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(materialize(gone, "dup-gone"), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -1,0 +1,81 @@
+import zlib
+from collections import defaultdict
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from barlens.llm import sharding
+
+MASK = (1 << 64) - 1
+
+
+def jump(key, shards):
+    """The published loop."""
+    key &= MASK
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) & MASK
+        j = int(float(b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash_equals_the_published_loop(spark):
+    keys = [0, 1, -1, 2 ** 63 - 1, -2 ** 63, 123456789012345678, *range(2, 200)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for n in (1, 2, 8, 9, 33):
+        got = {r["k"]: r["s"] for r in df.select("k", sharding.jump_hash(F.col("k"), n).alias("s")).collect()}
+        assert got == {k: jump(k, n) for k in keys}
+
+
+def test_appending_a_shard_moves_rows_into_it_only(documents):
+    got = sharding.shard(sharding.shard(documents.select("doc_id"), 8), 9, out="grown").collect()
+    assert all(r["grown"] in (r["shard"], 8) for r in got)
+    moved = sum(r["grown"] == 8 for r in got)
+    assert 0.05 * len(got) < moved < 0.2 * len(got)
+
+
+def test_digest_by_brute_force(documents, texts):
+    slots = defaultdict(list)
+    for r in sharding.digest(documents, 8).collect():
+        data = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+        assert (r["shard"], r["grown_shard"], r["law"]) == (jump(r["doc_id"], 8), jump(r["doc_id"], 9), "key")
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_odd_rows(odd, empty):
+    got = sharding.digest(odd, 3).collect()
+    assert len(got) == odd.count()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        assert r["shard"] == jump(r["doc_id"] or 0, 3)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {r["size"] for r in got if r["doc_id"] in (1, 2)} == {1}
+    assert sharding.digest(empty, 3).count() == 0
+    kept = sharding.shard(odd, 3)
+    assert sorted(kept.columns) == sorted(odd.columns) and kept.schema["shard"].dataType.simpleString() == "int"
+
+
+def test_many_equal_rows_are_numbered_in_chunks(spark):
+    df = spark.range(25_003).select(F.lit(7).alias("shard"), F.lit("x").alias("k"))
+    got = sharding.slots(df, "shard", ["k"])
+    assert got.agg(F.min("slot"), F.max("slot"), F.countDistinct("slot")).first() == (0, 25_002, 25_003)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(-2 ** 63, 2 ** 63 - 1), st.integers(1, 12))
+def test_limb_arithmetic(key, shards):
+    """The 32-bit limb step of jump_hash, restated in Python, equals the 64-bit product."""
+    a, m = sharding.MULTIPLIER, sharding.M32
+    k = key & MASK
+    hi, lo = k >> 32, k & m
+    a_hi, a_lo = a >> 32, a & m
+    sum_lo = lo * (a_lo & 0xFFFF) + 1 + (((lo * (a_lo >> 16)) & 0xFFFF) << 16)
+    carry = (sum_lo >> 32) + ((lo * (a_lo >> 16)) >> 16)
+    low = lambda x, y: (x * (y & 0xFFFF) + (((x * (y >> 16)) & 0xFFFF) << 16)) & m
+    assert sum_lo < 2 ** 63 and lo * (a_lo >> 16) < 2 ** 63
+    assert ((((carry + low(lo, a_hi) + low(hi, a_lo)) & m) << 32) | (sum_lo & m)) == (k * a + 1) & MASK
