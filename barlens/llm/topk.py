@@ -8,9 +8,9 @@ is the smallest Euclidean distance:
 
 The distances of every vector to ``PIVOTS`` pivots are computed once. For a query,
 the largest difference between its own and a candidate's pivot distances bounds
-their distance from below, hence the score from above. Candidates are evaluated
-in the order of that bound until the k-th best score exceeds the bound of the
-next one; the rest can't enter the result.
+their distance from below, hence the score from above. The candidates of the
+best bounds are evaluated first; then, of the others, exactly those whose bound
+still reaches the k-th best score so far. The rest can't enter the result.
 
 Candidates are cut into stripes and queries into blocks; each (block, stripe) is
 one group of bounded size that yields k rows per query, and Spark ranks those.
@@ -40,8 +40,8 @@ PIVOTS = 16
 #: Vectors that the pivots are chosen from.
 SAMPLE = 1000
 STRIPE, BLOCK = 4096, 4096
-#: Candidates evaluated at once.
-CHUNK = 256
+#: Candidates evaluated first, and queries handled at once.
+FIRST, BATCH = 128, 32
 
 
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -60,13 +60,16 @@ def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.reshape(len(column), dim)
 
 
+def exact_in_double(x: np.ndarray, q: np.ndarray) -> bool:
+    """Whether every partial sum of an inner product is an exact integer in a double."""
+    return float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1]) < 2.0 ** 53
+
+
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact x @ q; in floating point where every partial sum is an exact integer."""
-    top = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1])
-    if top < 2.0 ** 53:
-        return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    exact = x.astype(object) @ q.astype(object)
-    return np.clip(exact, -2 ** 63, 2 ** 63 - 1).astype(np.int64)
+    """Exact inner products (rows of q by rows of x), clipped to 64 bits."""
+    if x.dtype == np.float64:
+        return q @ x.T
+    return np.clip((q.astype(object) @ x.astype(object).T), -2 ** 63, 2 ** 63 - 1).astype(np.int64).reshape(len(q), len(x))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -101,43 +104,48 @@ class Space:
         return np.sqrt(np.maximum(d2, 0))
 
 
-def search(ids: np.ndarray, x: np.ndarray, table: np.ndarray, q_id: int, q: np.ndarray, q_row: np.ndarray,
-           space: Space, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(ids, scores, evaluated) of the k best candidates of one query in a stripe."""
-    lower = np.abs(table - q_row[:, None]).max(axis=0) if len(table) else np.zeros(len(ids))
-    q2 = float((q.astype(np.float64) ** 2).sum())
-    # the bound is computed in floating point: leave room for its rounding
-    slack = 1e-7 * (q2 + space.longest2) + 1.0
-    best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
-    order, done = None, 0
-    while done < len(ids):
-        if done == 0 and len(ids) > CHUNK:
-            take = np.argpartition(lower, CHUNK - 1)[:CHUNK]
-        else:
-            if order is None:
-                # what the first evaluations leave, in the order of the bound
-                rest = np.ones(len(ids), bool)
-                if done:
-                    rest[take] = False
-                if len(best) == k:
-                    rest &= (q2 + space.longest2 - lower ** 2) / 2 + slack >= best[-1]
-                order = np.flatnonzero(rest)
-                order = order[np.argsort(lower[order], kind="stable")]
-                at = 0
-            if at >= len(order):
-                break
-            take = order[at:at + CHUNK]
-            if len(best) == k and (q2 + space.longest2 - lower[take[0]] ** 2) / 2 + slack < best[-1]:
-                break
-            at += CHUNK
-        done += len(take)
-        score = products(x[take], q)
-        own = (ids[take] == q_id) & (x[take] == q).all(axis=1)
-        best_ids = np.concatenate([best_ids, ids[take][~own]])
-        best = np.concatenate([best, score[~own]])
-        top = np.lexsort((best_ids, -best))[:k]
-        best_ids, best = best_ids[top], best[top]
-    return best_ids, best, done
+def best_of(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, ties to smaller ids."""
+    if len(score) > k:
+        at = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+    else:
+        at = np.arange(len(score))
+    return at[np.lexsort((ids[at], -score[at]))[:k]]
+
+
+def search(ids: np.ndarray, x: np.ndarray, table: np.ndarray, q_ids: np.ndarray, q: np.ndarray, near: np.ndarray,
+           space: Space, k: int) -> tuple[list, int]:
+    """For each query of a batch the (ids, scores) of the k best candidates of a stripe; and
+    how many candidates were evaluated in all."""
+    own = [np.flatnonzero(ids == i) for i in q_ids]
+    own = [at[(x[at] == v).all(axis=1)] for at, v in zip(own, q)]
+    q2 = (q.astype(np.float64) ** 2).sum(axis=1) + space.longest2
+    # the bounds are computed in floating point: leave room for their rounding
+    slack = 1e-5 * q2 + 1.0
+    lower = np.zeros((len(q), len(ids)), np.float32)
+    for row, d in zip(table, near.T.astype(np.float32)):
+        np.maximum(lower, np.abs(row[None, :] - d[:, None]), out=lower)
+    evaluated, out = 0, []
+    alive = np.ones(lower.shape, bool)
+    if len(ids) > FIRST:
+        first = np.argpartition(lower, FIRST - 1, axis=1)[:, :FIRST]
+        for i in range(len(q)):
+            at = np.setdiff1d(first[i], own[i])
+            if len(at) >= k:
+                score = products(x[at], q[i:i + 1])[0]
+                kth = np.partition(score, len(at) - k)[len(at) - k]
+                alive[i] = (q2[i] - lower[i].astype(np.float64) ** 2) / 2 + slack[i] >= kth
+                alive[i, first[i]] = True
+    # what bounds leave of most candidates is cheaper as one product
+    dense = products(x, q) if alive.mean() > 0.2 else None
+    for i in range(len(q)):
+        alive[i, own[i]] = False
+        at = np.flatnonzero(alive[i])
+        evaluated += len(at)
+        score = dense[i, at] if dense is not None else products(x[at], q[i:i + 1])[0]
+        top = best_of(ids[at], score, k)
+        out.append((ids[at][top], score[top].astype(np.int64)))
+    return out, evaluated
 
 
 RESULT = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
@@ -189,12 +197,17 @@ def _search_length(vectors: DataFrame, d, is_query: Column, k: int, pivots: int)
         space, out = shared.value, []
         if qs.num_rows and xs.num_rows:
             x, q = matrix(xs["v"], dim), matrix(qs["v"], dim)
+            if exact_in_double(x, q):
+                x, q = x.astype(np.float64), q.astype(np.float64)
             ids, q_ids, q_rows = (c.to_numpy() for c in (xs["vec_id"], qs["query_id"], qs["query_row"]))
-            table = np.ascontiguousarray(xs["t"].combine_chunks().flatten().to_numpy().reshape(len(ids), len(space.pivots)).T)
+            table = xs["t"].combine_chunks().flatten().to_numpy().reshape(len(ids), len(space.pivots))
+            table = np.ascontiguousarray(table.T.astype(np.float32))
             near = space.query_table(q.astype(np.float64))
-            for i in range(len(q)):
-                got, score, _ = search(ids, x, table, q_ids[i], q[i], near[i], space, k)
-                out.append((np.full(len(got), q_rows[i]), np.full(len(got), q_ids[i]), got, score))
+            for at in range(0, len(q), BATCH):
+                part = slice(at, at + BATCH)
+                found, _ = search(ids, x, table, q_ids[part], q[part], near[part], space, k)
+                out += [(np.full(len(got), r), np.full(len(got), i), got, score)
+                        for r, i, (got, score) in zip(q_rows[part], q_ids[part], found)]
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_row", "query_id", "vec_id", "score"), cols)})
 
