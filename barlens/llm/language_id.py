@@ -73,7 +73,9 @@ def presence(points: np.ndarray, row: np.ndarray) -> None:
             break
         h = (h[:len(points) - n + 1] + points[n - 1:]) * np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
-        row[(h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - 14)] = 1.0
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        row[(h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - 14)] = 1.0
 
 
 def windows(points: np.ndarray) -> list[np.ndarray]:
