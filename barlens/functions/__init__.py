@@ -10,6 +10,7 @@ from barlens.functions.scalar import (  # noqa: F401
     parse_count,
     parse_price,
     quarter_start,
+    strip_space,
     wall_clock,
     year_text,
     yyyymmdd,

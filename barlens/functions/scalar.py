@@ -8,6 +8,9 @@ become NULL here and are counted by the callers' quarantine outputs.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +24,8 @@ SMALL_CAP_RANGE = (50000000000, 500000000000)   # [5e10, 5e11] -> Small Cap
 MICRO_CAP_BELOW = 50000000000          # < 5e10            -> Micro Cap
 CAP_LABELS = ("Unknown", "Large Cap", "Mid Cap", "Small Cap", "Micro Cap", "Other")
 
-# HTML entities decoded in screen text; `&amp;` goes last so
-# that an escaped entity such as `&amp;lt;` decodes only one level.
-HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&nbsp;", " "), ("&amp;", "&"))
+# The named HTML entities, from Python's own table of them.
+HTML_ENTITIES = {name.rstrip(";"): text for name, text in html5.items() if name.endswith(";")}
 
 
 def _c(x) -> Column:
@@ -55,10 +56,43 @@ def normalize_code(text) -> Column:
 
 
 def decode_entities(text) -> Column:
-    out = _c(text)
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Named, decimal and hexadecimal entities, each decoded once; unknown names stay.
+
+    The text is cut before every ``&``; each piece then begins with at most one entity,
+    so what an entity decodes to is never read as the beginning of another one.
+    """
+    named = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")  # one folded literal
+
+    def piece(x: Column) -> Column:
+        name = F.regexp_extract(x, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.regexp_extract(x, r"^&#([0-9]{1,7});", 1)
+        hexed = F.regexp_extract(x, r"^&#[xX]([0-9A-Fa-f]{1,6});", 1)
+        code = F.when(digits != "", digits.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        sign = F.when(code.between(1, 0x10FFFF), _code_point(code)).when(name != "", F.try_element_at(named, name))
+        rest = F.regexp_replace(x, r"^&#?[A-Za-z0-9]+;", "")
+        return F.when(sign.isNotNull(), F.concat(sign, rest)).otherwise(x)
+
+    t = _c(text)
+    decoded = F.array_join(F.transform(F.split(t, "(?=&)"), piece), "")
+    return F.when(F.instr(t, "&") > 0, decoded).otherwise(t)
+
+
+def _code_point(code: Column) -> Column:
+    """The character of a code point (its UTF-8 bytes, put together)."""
+    def byte(x):
+        return F.lpad(F.hex(x.cast("bigint")), 2, "0")
+
+    tail = lambda shift: byte(F.shiftright(code, shift).bitwiseAND(F.lit(0x3F)) + 0x80)
+    utf8 = (F.when(code < 0x80, byte(code))
+            .when(code < 0x800, F.concat(byte(F.shiftright(code, 6) + 0xC0), tail(0)))
+            .when(code < 0x10000, F.concat(byte(F.shiftright(code, 12) + 0xE0), tail(6), tail(0)))
+            .otherwise(F.concat(byte(F.shiftright(code, 18) + 0xF0), tail(12), tail(6), tail(0))))
+    return F.decode(F.unhex(utf8), "UTF-8")
+
+
+def strip_space(text) -> Column:
+    """Without white space of any kind (no-break spaces too) on both ends (SC-12)."""
+    return F.regexp_replace(_c(text), r"(?U)^[\s\u00A0]+|[\s\u00A0]+$", "")
 
 
 def cap_bucket(market_cap) -> Column:

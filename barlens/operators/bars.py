@@ -6,9 +6,8 @@ Plan shape (one job):
                                               \\--> latest per (pair, freq, day)
                                                    [partial top-1 per map task,
                                                     shuffle, final top-1]
-                                              --> join assets (broadcast only
-                                                  when a bounded count proves the
-                                                  asset side small; else SMJ)
+                                              --> join assets (strategy by the
+                                                  bytes measured at run time)
 
 A day that was delivered many times (a hot "group of copies") is cut down to
 one row per map task before the shuffle, so it cannot overload one reducer.
@@ -21,7 +20,6 @@ from pyspark.sql import functions as F
 
 from barlens.functions import sqlexpr as X
 from barlens.functions.sqlexpr import run_sql
-from barlens.operators.joins import fits
 from barlens.schemas import RAW_BAR, STOCK_DATA_COLUMNS
 
 PRICE_FIELDS = ("last_open", "last_close", "last_min", "last_max")
@@ -82,8 +80,15 @@ def bad_reason(typed: DataFrame) -> Column:
     return F.concat_ws(",", *reasons)
 
 
-def good_rows(typed: DataFrame) -> DataFrame:
-    return typed.filter("_ok").drop("_ok", "_volume_text", *[f"_{c}_text" for c in PRICE_FIELDS])
+def good_rows(typed: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows that parsed. ``strict``: a row that didn't fails the job, as the load of a
+    typed table does; nothing is left out in silence."""
+    ok = F.col("_ok")
+    if strict:
+        said = F.concat(F.lit("bar that does not parse: pair_id "), F.coalesce(F.col("pair_id").cast("string"), F.lit("NULL")),
+                        F.lit(", fields "), bad_reason(typed))
+        ok = F.when(ok, True).otherwise(F.raise_error(said).cast("boolean"))
+    return typed.filter(ok).drop("_ok", "_volume_text", *[f"_{c}_text" for c in PRICE_FIELDS])
 
 
 def quarantined_rows(typed: DataFrame) -> DataFrame:
@@ -94,8 +99,10 @@ def quarantined_rows(typed: DataFrame) -> DataFrame:
 
 
 def typed_feeds(historical_daily: DataFrame, historical_weekly: DataFrame,
-                current_daily: DataFrame, current_weekly: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """SET-1 + SC-3..SC-6: (typed good rows, quarantined raw rows with a reason)."""
+                current_daily: DataFrame, current_weekly: DataFrame,
+                strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SET-1 + SC-3..SC-6: (typed good rows, quarantined raw rows with a reason).
+    ``strict``: see ``good_rows``."""
     raw = [f.name for f in RAW_BAR.fields]
     branches = [("hd", "daily", 0), ("hw", "weekly", 0), ("cd", "daily", 1), ("cw", "weekly", 1)]
     union = " UNION ALL ".join(
@@ -104,7 +111,7 @@ def typed_feeds(historical_daily: DataFrame, historical_weekly: DataFrame,
     tagged = run_sql(union, hd=historical_daily, hw=historical_weekly,
                      cd=current_daily, cw=current_weekly)
     typed = type_bars(tagged)
-    return good_rows(typed), quarantined_rows(typed)
+    return good_rows(typed, strict), quarantined_rows(typed)
 
 
 def _order_sql(order: list[str]) -> str:
@@ -131,24 +138,19 @@ def dedup_bars(good: DataFrame) -> DataFrame:
 
 def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
                current_daily: DataFrame, current_weekly: DataFrame,
-               assets: DataFrame, assets_small: bool | None = None) -> tuple[DataFrame, DataFrame]:
+               assets: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """MDL-3. Return (stock_data, quarantine).
 
     stock_data has one row per (pair_id, frequency, transaction_date) (see
     ``dedup_bars``). Bars without an asset row are dropped (inner join, JN-1).
     quarantine holds raw rows whose text did not parse, with a reason.
-    ``assets_small``: whether the asset side may be broadcast; measured with
-    a bounded count when not given.
     """
     good, quarantine = typed_feeds(historical_daily, historical_weekly,
-                                   current_daily, current_weekly)
+                                   current_daily, current_weekly, strict)
     latest = dedup_bars(good)
     ua = unique_assets(assets)
-    if assets_small is None:
-        assets_small = fits(ua)
-    hint = "BROADCAST(a)" if assets_small else "SHUFFLE_MERGE(a)"
     out = run_sql(f"""
-        SELECT /*+ {hint} */ b.pair_id, date_format(b.transaction_date, 'yyyyMMdd') AS transaction_id,
+        SELECT b.pair_id, date_format(b.transaction_date, 'yyyyMMdd') AS transaction_id,
                b.transaction_date, b.last_open, b.last_close, b.last_min, b.last_max, b.volume,
                b.change_percent, b.frequency, a.uid, a.primary_uid, a.ticker, a.stock_name,
                a.sector, a.primary_sector, a.secondary_sector, a.market_cap,

@@ -134,7 +134,10 @@ def ema_resume(new_rows: DataFrame, state: DataFrame, periods=EMA_PERIODS,
         last_date, seeds = None, {n: None for n in periods}
         if st_rows.num_rows:
             s = st_rows.to_pylist()[0]
-            last_date, seeds = s["last_date"], {n: s[f"ema_{n}"] for n in periods}
+            # a NULL close made the stored EMA NULL: the series goes on as NULL, it
+            # doesn't start again
+            last_date = s["last_date"]
+            seeds = {n: math.nan if s[f"ema_{n}"] is None else s[f"ema_{n}"] for n in periods}
         dates = rows.column(order).to_pylist()
         late = [last_date is not None and d is not None and d <= last_date for d in dates]
         xs = rows.column(_X).to_numpy(zero_copy_only=False).tolist()
@@ -175,17 +178,22 @@ def apply_delivery(history: DataFrame, state: DataFrame, delivered: DataFrame,
 
     Series whose delivery holds a bar on or before their stored last date
     (a correction or a late bar), or that have no state yet, are rebuilt
-    from ``bars``; every other series keeps its history and continues from
-    its state. The result equals recomputing the whole table from ``bars``,
-    while only the touched series are read in full.
+    from ``bars``; every other series that is still in ``bars`` keeps its history
+    and continues from its state; series that left ``bars`` go. The result equals
+    recomputing the whole table from ``bars``, while only the touched series are
+    read in full.
+
+    Which series are touched comes from one small aggregate of the delivery
+    against the state, so each of the two Python passes (resume, rebuild) runs
+    once and only over its own series.
     """
     keys = list(keys)
     cols = history.columns
-    out = ema_resume(delivered, state, periods, keys=keys)
-    late = out.filter(F.col("late")).select(*keys)
-    fresh = delivered.select(*keys).distinct().join(state.select(*keys), keys, "left_anti")
-    touched = late.unionByName(fresh).distinct()
+    live = bars.select(*keys).distinct()
+    firsts = delivered.groupBy(*keys).agg(F.min(ORDER_COL).alias("_first"))
+    touched = (firsts.join(state.select(*keys, "last_date"), keys, "left")
+               .filter(F.col("last_date").isNull() | (F.col("_first") <= F.col("last_date"))).select(*keys))
     rebuilt = with_ema(bars.join(touched, keys, "left_semi"), periods, keys=keys)
-    kept = history.join(touched, keys, "left_anti")
-    resumed = out.filter(~F.col("late")).drop("late").join(touched, keys, "left_anti")
+    kept = history.join(live, keys, "left_semi").join(touched, keys, "left_anti")
+    resumed = ema_resume(delivered.join(touched, keys, "left_anti"), state, periods, keys=keys)
     return kept.select(*cols).unionByName(resumed.select(*cols)).unionByName(rebuilt.select(*cols))

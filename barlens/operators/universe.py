@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlens.functions import after_first_colon, normalize_code
-from barlens.operators.joins import join_reference
 
 
 def compliant_codes(screen: DataFrame, flag_value: str = "True") -> DataFrame:
@@ -28,9 +27,9 @@ def universe(screen: DataFrame, assets: DataFrame) -> DataFrame:
         "pair_id",
         F.explode(F.array(after_first_colon("uid"), after_first_colon("primary_uid")))
         .alias("code"))
-    # both sides grow with the instrument count: broadcast the screen codes
-    # only when a bounded count proves them small
-    return (join_reference(ids.filter(F.col("code").isNotNull()), compliant_codes(screen), "code")
+    # both sides grow with the instrument count: adaptive execution broadcasts
+    # one only where its measured bytes allow it
+    return (ids.filter(F.col("code").isNotNull()).join(compliant_codes(screen), "code")
             .select("pair_id")
             .distinct())
 
@@ -42,7 +41,7 @@ def pending(universe_ids: DataFrame, loaded: DataFrame, null_aware: bool = True)
     the loaded rows empties the result. null_aware=False is ``NOT EXISTS``.
     """
     done = loaded.select(F.col("pair_id").alias("_done")).distinct()
-    kept = join_reference(universe_ids, done, universe_ids["pair_id"] == done["_done"], "left_anti")
+    kept = universe_ids.join(done, universe_ids["pair_id"] == done["_done"], "left_anti")
     if not null_aware:
         return kept
     # SQL NOT IN: one NULL on the right makes the test unknown for every row;

@@ -28,12 +28,18 @@ INDICATOR_BASE = [*BAR_ATTRIBUTES, "transaction_id", "transaction_date", "volume
                   "last_min", "last_max", "last_open", "last_close"]
 
 
-def stock_data(feeds: dict[str, DataFrame], assets_small: bool | None = None) -> DataFrame:
-    """MDL-3 from the four raw feeds and the asset master."""
-    clean, _ = unify_bars(feeds["historical_daily"], feeds["historical_weekly"],
-                          feeds["current_daily"], feeds["current_weekly"], feeds["assets"],
-                          assets_small)
-    return clean
+def stock_data(feeds: dict[str, DataFrame]) -> DataFrame:
+    """MDL-3 from the four raw feeds and the asset master. A raw bar that does not
+    parse fails the job, so no series is shortened in silence."""
+    return unify_bars(feeds["historical_daily"], feeds["historical_weekly"], feeds["current_daily"],
+                      feeds["current_weekly"], feeds["assets"], strict=True)[0]
+
+
+def stock_data_and_quarantine(feeds: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """MDL-3 for feeds that may hold bad rows: (the table, the rows left out with their
+    reasons). Callers land both."""
+    return unify_bars(feeds["historical_daily"], feeds["historical_weekly"], feeds["current_daily"],
+                      feeds["current_weekly"], feeds["assets"])
 
 
 def sma_strategy(stock: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,

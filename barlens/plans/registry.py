@@ -7,8 +7,9 @@ derives the engine's inputs from them (``barlens.sources.testdata``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,7 @@ from pyspark.sql import functions as F
 from barlens.functions import cap_bucket, crossover
 from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, good_rows,
                                     tag_raw, type_bars, typed_feeds)
-from barlens.operators.bars import unique_assets
 from barlens.operators.ema import apply_delivery, ema_resume, ema_state, with_ema
-from barlens.operators.joins import fits
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
                                           liquid, volume_spikes)
 from barlens.operators.signals import EMA_PAIRS, EMA_TRADED, SMA_PAIRS, SMA_TRADED
@@ -26,11 +25,12 @@ from barlens.operators.universe import pending, universe
 from barlens.plans import models
 from barlens.plans import oracle as O
 from barlens.session import scratch_path
-from barlens.sinks import materialize, reload_partitions, replace_table, write_csv
+from barlens.sinks import (append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
+                           reload_partitions, replace_table, write_csv)
 from barlens.sources import testdata
 from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest
-from barlens.streaming.indicators import stream_indicators
-from barlens.sources.readers import (extract_html_table, read_assets, read_bar_csv,
+from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
+from barlens.sources.readers import (corrupt_bars, corrupt_csv, extract_html_table, read_assets, read_bar_csv,
                                      read_bar_landing)
 
 # Fixed parameters of the registered queries.
@@ -39,8 +39,6 @@ from barlens.sources.readers import (extract_html_table, read_assets, read_bar_c
 # restated in those units: 28.5 keeps about half of the instruments.
 MIN_AVG_VOLUME = 28.5
 RANGE = (dt.date(1998, 1, 1), dt.date(1999, 12, 31))
-AS_OF = dt.date(2001, 11, 4)          # last day in the generated feeds
-DELTA_DAYS = 15                       # the delta loader's window
 RESUME_CUT = dt.date(2000, 12, 31)
 
 
@@ -51,22 +49,13 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.feeds = testdata.landed_inputs(spark, sf_dir)
-        # the landed asset table does not change within an application, so
-        # its broadcast decision (a bounded count) is measured once
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-        if key not in _ASSETS_SMALL:
-            _ASSETS_SMALL[key] = fits(unique_assets(self.feeds["assets"]))
-        self.assets_small = _ASSETS_SMALL[key]
 
     def stock(self, current: bool = True) -> DataFrame:
         feeds = dict(self.feeds)
         if not current:   # the table as it stood before the current feeds landed
             feeds["current_daily"] = feeds["current_daily"].filter(F.lit(False))
             feeds["current_weekly"] = feeds["current_weekly"].filter(F.lit(False))
-        return models.stock_data(feeds, self.assets_small)
-
-
-_ASSETS_SMALL: dict[tuple[str, int, str], bool] = {}
+        return models.stock_data(feeds)
 
 
 def _inputs(spark, sf_dir) -> Inputs:
@@ -105,13 +94,35 @@ def q_universe(spark, sf_dir):
 
 
 def q_pending(spark, sf_dir):
+    """MDL-2: compliant instruments without a row in the whole historical daily table."""
+    f = _inputs(spark, sf_dir).feeds
+    return pending(universe(f["screen"], f["assets"]), testdata.partly_loaded(f["historical_daily"]))
+
+
+def q_pending_null(spark, sf_dir):
+    """JN-4: the same while the table holds one row without instrument: SQL NOT IN is
+    then unknown for every instrument."""
     f = _inputs(spark, sf_dir).feeds
-    lo = AS_OF - dt.timedelta(days=DELTA_DAYS)
-    good, _ = typed_feeds(f["historical_daily"].filter(F.lit(False)),
-                          f["historical_weekly"].filter(F.lit(False)),
-                          f["current_daily"], f["current_weekly"].filter(F.lit(False)))
-    loaded = bars_between(good, lo, AS_OF)
-    return pending(universe(f["screen"], f["assets"]), loaded)
+    loaded = testdata.partly_loaded(f["historical_daily"]).select("pair_id")
+    return pending(universe(f["screen"], f["assets"]),
+                   loaded.unionByName(spark.createDataFrame([(None,)], "pair_id bigint")))
+
+
+def q_pending_assets(spark, sf_dir):
+    """MDL-2 over all assets, as a sequential load asks it; in order (AGG-5)."""
+    f = _inputs(spark, sf_dir).feeds
+    return pending(f["assets"].select("pair_id").distinct(), testdata.partly_loaded(f["historical_daily"]),
+                   null_aware=False).orderBy("pair_id")
+
+
+def q_bars_quarantine(spark, sf_dir):
+    """MDL-3's rows left out: the feeds with spoilt bars among them; the good rows are the
+    bars as they were, the others come back with the fields that spoilt them."""
+    f = testdata.spoilt_feeds(_inputs(spark, sf_dir).feeds)
+    good, bad = typed_feeds(f["historical_daily"], f["historical_weekly"], f["current_daily"], f["current_weekly"])
+    kept = good.groupBy("pair_id", "frequency").agg(F.count(F.lit(1)).alias("n")).withColumn("reason", F.lit(None).cast("string"))
+    left = bad.groupBy("pair_id", "frequency", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(left)
 
 
 def q_liquid(spark, sf_dir):
@@ -183,7 +194,8 @@ def q_ema_incremental_reseed(spark, sf_dir):
     before the current feeds landed, the second over the refreshed table,
     limited to bars after the first run's global high-water mark."""
     inp = _inputs(spark, sf_dir)
-    run1 = models.ema_incremental(inp.stock(current=False), None, MIN_AVG_VOLUME)
+    # the first run's result is a table; its mark is read from there
+    run1 = materialize(models.ema_incremental(inp.stock(current=False), None, MIN_AVG_VOLUME), "ema-run1")
     hw = models.high_water(run1)
     run2 = models.ema_incremental(inp.stock(), hw, MIN_AVG_VOLUME)
     return run1.unionByName(run2)
@@ -200,7 +212,8 @@ def q_ema_incremental_resume(spark, sf_dir):
     before = bars.filter(F.col("transaction_date") <= F.lit(RESUME_CUT))
     after = bars.filter(F.col("transaction_date") > F.lit(RESUME_CUT))
     state = ema_state(with_ema(before, EMA_PERIODS, prev=False))
-    out = ema_resume(after, state).filter(~F.col("late"))
+    # the cut divides the days, so no row after it can be late
+    out = ema_resume(after, state)
     return out.withColumn(
         "crossover_signal",
         crossover("ema_9", "ema_21", "prev_ema_9", "prev_ema_21", strict=False),
@@ -230,21 +243,64 @@ def _typed_raw(raw: DataFrame, frequency: str) -> DataFrame:
 
 
 def q_bar_landing(spark, sf_dir):
-    """SRC-3: the current daily feed landed as one API document per
-    instrument (folders ``pair_id=<id>``), read back and typed."""
+    """SRC-3: all four feeds landed as API documents, one per instrument and year
+    (folders ``pair_id=<id>``), read back and typed."""
     f = _inputs(spark, sf_dir).feeds
     path = scratch_path(spark, "bar-landing")
-    testdata.bar_documents(f["current_daily"]).write.partitionBy("pair_id").text(path)
-    raw = read_bar_landing(spark, path, loaded_at=testdata.CURRENT_LOADED_AT)
-    return _typed_raw(raw, "daily")
+    out = []
+    for name, loaded_at in testdata.FEEDS.items():
+        testdata.bar_documents(f[name]).write.partitionBy("pair_id").text(f"{path}/{name}")
+        raw = read_bar_landing(spark, f"{path}/{name}", loaded_at=loaded_at)
+        out.append(_typed_raw(raw, name.split("_")[1]))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_landing_corrupt(spark, sf_dir):
+    """SRC-1/3/4: documents and lines cut off in the middle, which the readers leave out,
+    come back from the readers of corrupt records; with the rows that were read."""
+    f = _inputs(spark, sf_dir).feeds
+    path = scratch_path(spark, "corrupt-landing")
+    whole = testdata.bar_documents(f["current_weekly"])
+    cut = whole.filter("pair_id % 5 = 0").withColumn("value", F.expr("substring(value, 1, length(value) - 20)"))
+    whole.unionByName(cut).write.partitionBy("pair_id").text(f"{path}/json")
+    read = read_bar_landing(spark, f"{path}/json", loaded_at=testdata.CURRENT_LOADED_AT)
+    write_csv(f["current_weekly"], f"{path}/csv")
+    short = f["current_weekly"].filter("pair_id % 7 = 0").select("pair_id", F.lit("cut").alias("rest"))
+    short.write.mode("append").option("header", True).csv(f"{path}/csv")
+    rows = lambda kind, df: df.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind))
+    lines = corrupt_csv(spark, f"{path}/csv")
+    return (rows("read", read).unionByName(rows("corrupt document", corrupt_bars(spark, f"{path}/json")))
+            .unionByName(rows("corrupt line", lines)))
 
 
 def q_bar_csv(spark, sf_dir):
-    """SRC-4 + SNK-10: the current weekly feed staged as CSV and read back."""
+    """SRC-4 + SNK-10: all four feeds staged as CSV and read back by position."""
     f = _inputs(spark, sf_dir).feeds
     path = scratch_path(spark, "bar-csv")
-    write_csv(f["current_weekly"], path)
-    return _typed_raw(read_bar_csv(spark, path), "weekly")
+    out = []
+    for name in testdata.FEEDS:
+        write_csv(f[name], f"{path}/{name}")
+        out.append(_typed_raw(read_bar_csv(spark, f"{path}/{name}"), name.split("_")[1]))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_sink_chain(spark, sf_dir):
+    """SNK-2, 4, 5, 7, 8, 9 on a catalog table: create it, append the historical daily
+    feed, delete all, append it again, append what is newer, and read it as a view."""
+    f = _inputs(spark, sf_dir).feeds
+    name = f"barlens_chain_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "sink-chain")
+    cols = ["pair_id", "row_date_timestamp", "last_close_raw", "record_created_on"]
+    hist, cur = f["historical_daily"].select(*cols), f["current_daily"].select(*cols)
+    spark.sql(f"CREATE TABLE {name} (pair_id BIGINT, row_date_timestamp TIMESTAMP_NTZ, last_close_raw STRING, "
+              f"record_created_on TIMESTAMP_NTZ) USING parquet LOCATION '{path}'")
+    create_table(spark, name, hist.schema)          # already there: nothing happens
+    append_rows(hist, name)
+    delete_all(spark, name)
+    append_bars(hist.drop("record_created_on"), name, loaded_at=testdata.HISTORICAL_LOADED_AT)
+    append_newer(spark, cur, name, date_col="row_date_timestamp")
+    as_view(spark.table(name), f"{name}_view")
+    return spark.table(f"{name}_view")
 
 
 def q_table_roundtrip(spark, sf_dir):
@@ -259,27 +315,30 @@ def q_table_roundtrip(spark, sf_dir):
 
 
 def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
-    """Land ``events`` in two batches (split at the median event id), run the
-    indicator stream once per landed batch (``availableNow``, one checkpoint),
-    and read the file sink back."""
-    ev = testdata.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    """Land ``events`` in two batches (split at the median event id, some events late, some
+    values NULL), run the indicator stream once per landed batch (``availableNow``, one
+    checkpoint), read the file sink back and rebuild what late events touched."""
+    ev = testdata.live_events(testdata.table(spark, sf_dir, "events"))
     cut = ev.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     base = scratch_path(spark, name)
     landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
-    for batch in (ev.filter(F.col("event_id") <= cut), ev.filter(F.col("event_id") > cut)):
+    # of some instruments every seventh early event comes with the second delivery, late
+    held_back = (F.col("user_id") % 5 == 0) & (F.col("event_id") % 7 == 3)
+    first = F.coalesce((F.col("event_id") <= cut) & ~held_back, F.lit(False))
+    for batch in (ev.filter(first), ev.filter(~first)):
         batch.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(ev.schema).parquet(landing)
         run_available_now(stream_indicators(stream).writeStream.format("parquet")
                           .option("path", out).option("checkpointLocation", ckpt)
                           .outputMode("append"),
-                          spark=spark, state_partitions=spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(out)
+                          spark=spark, state_partitions=spark.sparkContext.defaultParallelism, conf=STATE_CONF)
+    return with_rebuilt(spark.read.parquet(out), spark.read.parquet(landing))
 
 
 def q_ema_stream(spark, sf_dir):
     """ST-1/3/4: EMAs, lags and the 9/21 signal carried across micro-batches."""
     out = _indicator_stream(spark, sf_dir, "ema-stream")
-    return out.filter(~F.col("late")).select(
+    return out.select(
         "user_id", "ts", "event_id", "value",
         *[f"ema_{n}" for n in EMA_PERIODS], *[f"prev_ema_{n}" for n in EMA_PERIODS],
         "ema_signal_9_21")
@@ -288,7 +347,7 @@ def q_ema_stream(spark, sf_dir):
 def q_volume_spike_stream(spark, sf_dir):
     """ST-5: trailing 30-row mean kept in list state; spike rows only."""
     out = _indicator_stream(spark, sf_dir, "spike-stream")
-    return out.filter(~F.col("late") & (F.col("volume_status") == "VOLUME SPIKE")).select(
+    return out.filter(F.col("volume_status") == "VOLUME SPIKE").select(
         "user_id", "ts", "event_id", "value", "avg_value_30", "volume_status")
 
 
@@ -314,16 +373,17 @@ def q_ema_delivery(spark, sf_dir):
     """Corrected incremental EMA (EMA-2, ST-6): the EMA table as it stood
     before the current feeds, then the current feeds' days delivered -
     corrected June bars make their series rebuild, the rest resume from
-    state. Must equal recomputing the whole table."""
+    state; series that fell below the liquidity floor leave. Must equal
+    recomputing the whole table."""
     inp = _inputs(spark, sf_dir)
     narrow = ["pair_id", "ticker", "stock_name", "transaction_date", "last_close"]
-    keys = ["pair_id", "ticker"]
     before = daily_liquid_bars(inp.stock(current=False), MIN_AVG_VOLUME).select(*narrow)
-    after = daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(*narrow)
-    live = after.select(*keys).distinct()          # series still in the table
-    history = with_ema(before).join(live, keys, "left_semi")
+    # an incremental job finds its inputs stored: the bars, the table so far, its state
+    after = materialize(daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(*narrow), "delivery-bars")
+    history = materialize(with_ema(before), "delivery-history")
+    state = materialize(ema_state(history), "delivery-state")
     delivered = after.filter(F.col("transaction_date") >= F.lit(testdata.CURRENT_FROM))
-    return apply_delivery(history, ema_state(history), delivered, after)
+    return apply_delivery(history, state, delivered, after)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -334,6 +394,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_range": q_bars_range,
     "universe": q_universe,
     "pending": q_pending,
+    "pending_null": q_pending_null,
+    "pending_assets": q_pending_assets,
+    "bars_quarantine": q_bars_quarantine,
     "liquid": q_liquid,
     "sma_strategy": q_sma_strategy,
     "sma_crossover": q_sma_crossover,
@@ -352,6 +415,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "html_table": q_html_table,
     "bar_landing": q_bar_landing,
     "bar_csv": q_bar_csv,
+    "landing_corrupt": q_landing_corrupt,
+    "sink_chain": q_sink_chain,
     "table_roundtrip": q_table_roundtrip,
     "ema_stream": q_ema_stream,
     "volume_spike_stream": q_volume_spike_stream,
@@ -422,43 +487,29 @@ def _ema_ctes(src: str = "liquid_daily", name: str = "ema_strategy",
   WINDOW w AS (PARTITION BY r.pair_id, r.ticker ORDER BY r.transaction_date))"""
 
 
-def _trades_sql(src: str, strategies, collapse: bool, keep_rank: bool) -> str:
-    def branch(sig: str, side: str) -> str:
-        return (f"SELECT {ATTRS}, transaction_date, volume, last_close, '{sig}' AS strategy "
-                f"FROM {src} WHERE {sig} = '{side}'")
-    buys = "\n  UNION ALL ".join(branch(s, "BUY") for s in strategies)
-    sells = "\n  UNION ALL ".join(branch(s, "SELL") for s in strategies)
-    part = "b.pair_id, b.transaction_date" + ("" if collapse else ", b.strategy")
-    battrs = ", ".join(f"b.{c.strip()}" for c in ATTRS.split(","))
-    rn = ", rn" if keep_rank else ""
+def _trades_ctes(name: str, src: str, strategies, collapse: bool, keep_rank: bool) -> str:
+    """Each BUY meets the nearest later SELL of its strategy (as-of join); of a BUY day's
+    strategies the one that sells first, then by name, is kept."""
+    signals = ", ".join(strategies)
+    attrs = ", ".join(f"b.{c.strip()}" for c in ATTRS.split(","))
+    one = "first_of = 1" if collapse else "TRUE"
+    rn = ", CAST(1 AS INTEGER) AS rn" if keep_rank else ""
     return f"""
-buys AS ({buys}),
-sells AS ({sells}),
-pairs AS (
-  SELECT {battrs}, b.transaction_date AS buy_date, s.transaction_date AS sell_date,
-         b.volume, b.last_close AS buy_price, s.last_close AS sell_price,
-         strftime(b.transaction_date, '%Y') AS buy_year,
-         strftime(s.transaction_date, '%Y') AS sell_year,
-         'CLOSED' AS status, b.strategy,
-         CAST(row_number() OVER (PARTITION BY {part}
-                                 ORDER BY s.transaction_date, b.strategy) AS INTEGER) AS rn
-  FROM buys b JOIN sells s
-    ON b.pair_id = s.pair_id AND b.strategy = s.strategy
-   AND s.transaction_date > b.transaction_date)
-SELECT {ATTRS}, buy_date, sell_date, volume, buy_price, sell_price, buy_year, sell_year,
-       status, strategy{rn}, {O.pnl_sql()}
-FROM pairs WHERE rn = 1"""
-
-
-def _trades_cte(name: str, src: str, strategies, keep_rank: bool) -> str:
-    body = _trades_sql(src, strategies, True, keep_rank)
-    # Re-shape "buys AS (...), ... SELECT ..." into named CTEs.
-    head, select = body.rsplit("\nSELECT ", 1)
-    head = head.replace("buys AS", f"{name}_buys AS").replace("sells AS", f"{name}_sells AS")
-    head = head.replace("pairs AS", f"{name}_pairs AS")
-    head = head.replace("FROM buys b JOIN sells s", f"FROM {name}_buys b JOIN {name}_sells s")
-    select = select.replace("FROM pairs", f"FROM {name}_pairs")
-    return f"{head},\n{name} AS (SELECT {select})"
+{name}_marks AS (
+  UNPIVOT (SELECT {ATTRS}, transaction_date, volume, last_close, {signals} FROM {src})
+  ON {signals} INTO NAME strategy VALUE side),
+{name}_met AS (
+  SELECT {attrs}, b.transaction_date AS buy_date, s.transaction_date AS sell_date, b.volume,
+         b.last_close AS buy_price, s.last_close AS sell_price, b.strategy,
+         row_number() OVER (PARTITION BY b.pair_id, b.transaction_date
+                            ORDER BY s.transaction_date, b.strategy) AS first_of
+  FROM (FROM {name}_marks WHERE side = 'BUY') b
+  ASOF JOIN (FROM {name}_marks WHERE side = 'SELL') s
+    ON b.pair_id = s.pair_id AND b.strategy = s.strategy AND b.transaction_date < s.transaction_date),
+{name} AS (
+  SELECT {ATTRS}, buy_date, sell_date, volume, buy_price, sell_price, strftime(buy_date, '%Y') AS buy_year,
+         strftime(sell_date, '%Y') AS sell_year, 'CLOSED' AS status, strategy{rn}, {O.pnl_sql()}
+  FROM {name}_met WHERE {one})"""
 
 
 def _with(*extra: str) -> str:
@@ -488,26 +539,44 @@ def _oracles() -> dict[str, str]:
         f"SELECT * FROM stock_data WHERE transaction_date BETWEEN {_d(lo)} AND {_d(hi)}")
     universe_sql = """
 universe AS (
-  SELECT DISTINCT b.pair_id
-  FROM (SELECT DISTINCT upper(trim(nse_code)) AS nse_code FROM screen WHERE halal_ind = 'True') a
-  JOIN (SELECT pair_id,
-               CASE WHEN instr(uid, ':') > 0 THEN substr(uid, instr(uid, ':') + 1) END AS uid,
-               CASE WHEN instr(primary_uid, ':') > 0
-                    THEN substr(primary_uid, instr(primary_uid, ':') + 1) END AS primary_uid
-        FROM assets) b
-    ON a.nse_code = b.uid OR a.nse_code = b.primary_uid)"""
+  SELECT DISTINCT pair_id FROM assets
+  WHERE EXISTS (
+    SELECT 1 FROM screen WHERE halal_ind = 'True' AND list_contains(
+      list_transform(list_filter([uid, primary_uid], lambda i: contains(i, ':')),
+                     lambda i: regexp_replace(i, '^[^:]*:', '')), upper(trim(nse_code)))))"""
     o["universe"] = O.with_ctes(universe_sql) + "SELECT pair_id FROM universe"
-    wlo = AS_OF - dt.timedelta(days=DELTA_DAYS)
-    o["pending"] = O.with_ctes(universe_sql) + (
-        "SELECT pair_id FROM universe WHERE pair_id NOT IN ("
-        "SELECT pair_id FROM typed WHERE src = 1 AND frequency = 'daily' "
-        f"AND transaction_date BETWEEN {_d(wlo)} AND {_d(AS_OF)})")
+    loaded = f"SELECT pair_id FROM bars WHERE transaction_date < {O.HIST_BEFORE} AND pair_id % 9 <> 4"
+    o["pending"] = O.with_ctes(universe_sql) + f"SELECT pair_id FROM universe WHERE pair_id NOT IN ({loaded})"
+    o["pending_null"] = O.with_ctes(universe_sql) + (
+        f"SELECT pair_id FROM universe WHERE pair_id NOT IN ({loaded} UNION ALL SELECT NULL)")
+    o["pending_assets"] = O.with_ctes() + f"SELECT DISTINCT pair_id FROM assets EXCEPT ({loaded})"
+    o["bars_quarantine"] = O.with_ctes() + """
+SELECT pair_id, frequency, reason, COUNT(*) AS n FROM (
+  SELECT pair_id, frequency, CASE
+    WHEN pair_id % 6 = 1 AND day(transaction_date) = 3 THEN 'last_close'
+    WHEN pair_id % 6 = 2 AND day(transaction_date) = 4 THEN 'last_open,volume_raw'
+    WHEN pair_id % 6 = 3 AND day(transaction_date) = 5 THEN 'row_date_timestamp' END AS reason
+  FROM typed)
+GROUP BY ALL"""
+    o["landing_corrupt"] = O.with_ctes() + """
+, w AS (SELECT pair_id, year(transaction_date) AS y, COUNT(*) AS n FROM typed
+        WHERE src = 1 AND frequency = 'weekly' GROUP BY ALL)
+SELECT pair_id, CAST(SUM(n) AS BIGINT) AS n, 'read' AS kind FROM w GROUP BY pair_id
+UNION ALL SELECT pair_id, COUNT(*), 'corrupt document' FROM w WHERE pair_id % 5 = 0 GROUP BY pair_id
+UNION ALL SELECT pair_id, CAST(SUM(n) AS BIGINT), 'corrupt line' FROM w WHERE pair_id % 7 = 0 GROUP BY pair_id""".replace(", w AS", "SELECT * FROM (WITH w AS", 1) + ")"
+    o["sink_chain"] = O.with_ctes() + f"""
+SELECT pair_id, CAST(transaction_date AS TIMESTAMP) AS row_date_timestamp, CAST(last_close AS VARCHAR) AS last_close_raw,
+       loaded AS record_created_on
+FROM feed_rows
+WHERE frequency = 'daily' AND (src = 0 OR transaction_date > (
+  SELECT MAX(transaction_date) FROM feed_rows WHERE src = 0 AND frequency = 'daily'))"""
     o["liquid"] = _with() + "SELECT pair_id, avg_volume FROM liquid"
     o["sma_strategy"] = _with(_sma_ctes()) + "SELECT * FROM sma_strategy"
     o["sma_crossover"] = _with(_sma_ctes()) + "SELECT * FROM sma_crossover"
-    o["sma_backtest"] = _with(_sma_ctes(), _trades_sql("sma_crossover", SMA_TRADED, True, True))
+    o["sma_backtest"] = _with(
+        _sma_ctes(), _trades_ctes("trades", "sma_crossover", SMA_TRADED, True, True)) + "SELECT * FROM trades"
     o["sma_backtest_per_strategy"] = _with(
-        _sma_ctes(), _trades_sql("sma_crossover", SMA_TRADED, False, False))
+        _sma_ctes(), _trades_ctes("trades", "sma_crossover", SMA_TRADED, False, False)) + "SELECT * FROM trades"
     ema_sigs = ", ".join(_signal_case("ema", a, b) for a, b in EMA_PAIRS)
     ema_loose = ", ".join(_signal_case("ema", a, b, strict=False) for a, b in EMA_PAIRS)
     ema_cross = f"\nema_crossover AS (SELECT *, {ema_sigs} FROM ema_strategy)"
@@ -515,7 +584,7 @@ universe AS (
     o["ema_crossover"] = _with(_ema_ctes(), ema_cross) + "SELECT * FROM ema_crossover"
     o["ema_crossover_loose"] = _with(_ema_ctes()) + f"SELECT *, {ema_loose} FROM ema_strategy"
     o["ema_backtest"] = _with(_ema_ctes(), ema_cross,
-                              _trades_sql("ema_crossover", EMA_TRADED, True, False))
+                              _trades_ctes("trades", "ema_crossover", EMA_TRADED, True, False)) + "SELECT * FROM trades"
     o["volume_spike"] = O.with_ctes() + f"""
 SELECT *, 'VOLUME SPIKE' AS volume_status FROM (
   SELECT pair_id, ticker, stock_name, transaction_date, volume,
@@ -532,8 +601,8 @@ rollup AS (
   GROUP BY 1, 2, 3)"""
     o["strategy_compare"] = _with(
         _sma_ctes(), _ema_ctes(), ema_cross,
-        _trades_cte("sma_trades", "sma_crossover", SMA_TRADED, True),
-        _trades_cte("ema_trades", "ema_crossover", EMA_TRADED, False), roll) + """
+        _trades_ctes("sma_trades", "sma_crossover", SMA_TRADED, True, True),
+        _trades_ctes("ema_trades", "ema_crossover", EMA_TRADED, True, False), roll) + """
 SELECT *,
   CAST(row_number() OVER (PARTITION BY market_cap_category, buy_year
                           ORDER BY pl DESC NULLS LAST, strategy) AS INTEGER) AS rank_best_strategy_for_market,
@@ -589,8 +658,8 @@ SELECT CASE WHEN p_size % 3 <> 0 THEN 'True' ELSE 'False' END AS halal_ind,
 FROM part"""
     typed_cols = ("SELECT pair_id, transaction_date, last_open, last_close, last_min, last_max, "
                   "volume, change_percent, loaded AS record_created_on FROM typed ")
-    o["bar_landing"] = O.with_ctes() + typed_cols + "WHERE src = 1 AND frequency = 'daily'"
-    o["bar_csv"] = O.with_ctes() + typed_cols + "WHERE src = 1 AND frequency = 'weekly'"
+    o["bar_landing"] = O.with_ctes() + typed_cols
+    o["bar_csv"] = O.with_ctes() + typed_cols
     o["table_roundtrip"] = O.with_ctes(O.latest_cte("latest_v1", "src = 0"),
                                        O.stock_data_cte("stock_v1", "latest_v1")) + (
         "SELECT * FROM stock_v1 WHERE frequency = 'daily' "
@@ -601,10 +670,12 @@ FROM part"""
         for n in EMA_PERIODS)
     lags = ", ".join(f"LAG(e.ema_{n}) OVER w AS prev_ema_{n}" for n in EMA_PERIODS)
     o["ema_stream"] = f"""
-WITH RECURSIVE r AS (
+WITH RECURSIVE live AS (
+  SELECT user_id, ts, event_id, CASE WHEN user_id % 4 <> 1 OR event_id % 11 <> 5 THEN value END AS value FROM events),
+r AS (
   SELECT user_id, ts, event_id, value,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq
-  FROM events),
+  FROM live),
 rec(user_id, seq, ema_9, ema_21, ema_50) AS (
   SELECT user_id, seq, value, value, value FROM r WHERE seq = 1
   UNION ALL
@@ -614,12 +685,12 @@ ind AS (
   SELECT r.user_id, r.ts, r.event_id, r.value, e.ema_9, e.ema_21, e.ema_50, {lags}
   FROM r JOIN rec e ON r.user_id = e.user_id AND r.seq = e.seq
   WINDOW w AS (PARTITION BY r.user_id ORDER BY r.seq))
-SELECT *, {_signal_case("ema", 9, 21)} FROM ind"""
+SELECT *, {_signal_case("ema", 9, 21, strict=False)} FROM ind"""
     o["volume_spike_stream"] = """
 SELECT user_id, ts, event_id, value, avg_value_30, 'VOLUME SPIKE' AS volume_status FROM (
   SELECT user_id, ts, event_id, value,
-         CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / COUNT(*) OVER w AS avg_value_30
-  FROM events
+         CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / COUNT(value) OVER w AS avg_value_30
+  FROM (SELECT user_id, ts, event_id, CASE WHEN user_id % 4 <> 1 OR event_id % 11 <> 5 THEN value END AS value FROM events)
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
 WHERE value > 1.5 * avg_value_30"""
     return o

@@ -53,7 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir``; only when that is unset (a local test
-    session) do we create a private folder and register it.
+    session) do we create a private folder and register it; a cluster session
+    without it is refused, as executors would each see a folder of their own.
     """
     global _LOCAL_DIR
     sc = spark.sparkContext
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="barlens-ckpt-")
         path = _LOCAL_DIR

@@ -77,14 +77,26 @@ def reload_partitions(df: DataFrame, target: str, partition_by) -> None:
          .insertInto(target))
 
 
-def delete_all(spark: SparkSession, target: str) -> None:
+def delete_all(spark: SparkSession, target: str, partition_by=()) -> None:
     """SNK-5: remove every row, keep the schema."""
-    empty = read_target(spark, target).limit(0)
-    if _is_path(target):
-        # Reading and overwriting one path in one job is not allowed; the
-        # empty frame's plan is cut from the source first.
-        empty = spark.createDataFrame([], empty.schema)
-    replace_table(empty, target)
+    if not _is_path(target):
+        if spark.catalog.getTable(target).tableType == "MANAGED":
+            spark.sql(f"TRUNCATE TABLE {target}")
+            return
+        # TRUNCATE refuses external tables; a static overwrite by no rows empties all
+        # their partitions (insertInto takes the mode from the session only)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        mode = spark.conf.get(key)
+        spark.conf.set(key, "static")
+        try:
+            spark.createDataFrame([], spark.table(target).schema).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, mode)
+        return
+    # Reading and overwriting one path in one job is not allowed; the empty
+    # frame is made from the schema alone. Its partition columns stay ordinary
+    # columns of the empty table; a later partitioned write restores the layout.
+    replace_table(spark.createDataFrame([], read_target(spark, target).schema), target, partition_by)
 
 
 def append_newer(spark: SparkSession, df: DataFrame, target: str,
@@ -106,6 +118,9 @@ def append_newer(spark: SparkSession, df: DataFrame, target: str,
         newer = (df.join(marks, per_key, "left")
                  .filter(F.col("_hw").isNull() | (F.col(date_col) > F.col("_hw")))
                  .drop("_hw"))
+    # stored before the append: what is returned must not be computed again from
+    # the target it was appended to
+    newer = materialize(newer, "append-newer")
     append_rows(newer, target)
     return newer
 

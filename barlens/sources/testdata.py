@@ -31,6 +31,9 @@ CURRENT_FROM = dt.date(2001, 6, 1)        # current feeds hold bars from this da
 HISTORICAL_LOADED_AT = dt.datetime(2001, 7, 1, 6, 0, 0)
 CURRENT_LOADED_AT = dt.datetime(2001, 11, 5, 12, 30, 0)
 ASSETS_LOADED_AT = dt.datetime(2001, 1, 1, 0, 0, 0)
+#: The four raw feeds and their load times.
+FEEDS = {"historical_daily": HISTORICAL_LOADED_AT, "historical_weekly": HISTORICAL_LOADED_AT,
+         "current_daily": CURRENT_LOADED_AT, "current_weekly": CURRENT_LOADED_AT}
 CURRENT_CLOSE_BUMP = Decimal("0.01")      # current rows re-state the close
 MARKET_CAP_FACTOR = 300000000             # s_acctbal -> market cap
 
@@ -162,6 +165,29 @@ def raw_feeds(bars: DataFrame) -> dict[str, DataFrame]:
             "current_daily": cd, "current_weekly": cw}
 
 
+def partly_loaded(historical: DataFrame) -> DataFrame:
+    """A historical table whose load has not come to every instrument yet."""
+    return historical.filter(F.col("pair_id") % 9 != 4)
+
+
+def spoilt_feeds(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The feeds with bars that don't parse: a close with letters, an open beyond the
+    price type together with a count of words, a missing date."""
+    at = lambda rest, day: (F.col("pair_id") % 6 == rest) & (F.dayofmonth("row_date_timestamp") == day)
+    return {n: df.withColumns({
+        "last_close": F.when(at(1, 3), "12.3o").otherwise(F.col("last_close")),
+        "last_open": F.when(at(2, 4), "1,000,000.00").otherwise(F.col("last_open")),
+        "volume_raw": F.when(at(2, 4), "many").otherwise(F.col("volume_raw")),
+        "row_date_timestamp": F.when(~at(3, 5), F.col("row_date_timestamp")),
+    }) if n in FEEDS else df for n, df in feeds.items()}
+
+
+def live_events(events: DataFrame) -> DataFrame:
+    """(user_id, ts, event_id, value) with some values missing."""
+    gap = (F.col("user_id") % 4 == 1) & (F.col("event_id") % 11 == 5)
+    return events.select("user_id", "ts", "event_id", F.when(~gap, F.col("value")).alias("value"))
+
+
 def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> dict[str, DataFrame]:
     """Everything the bar pipeline reads, derived from one scale directory
     (as plans; nothing is written)."""
@@ -257,7 +283,7 @@ def asset_documents(supplier: DataFrame, nation: DataFrame, region: DataFrame) -
 
 
 def _escape(c) -> F.Column:
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")),
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&#x26;")),
                                F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
@@ -271,7 +297,8 @@ def screen_pages(part: DataFrame) -> DataFrame:
                    F.lit('.jpg" alt="">'))
 
     def td(i, body):
-        return F.concat(F.lit(f'<td class="column-{i}">'), body, F.lit("</td>"))
+        # cells stand on lines of their own, between no-break spaces
+        return F.concat(F.lit(f'<td data-cell="{i}">\n  &nbsp;'), body, F.lit("&#160;\t\n</td >"))
 
     tr = F.concat(F.lit("\n<tr>"),
                   td(1, img), td(2, _escape(F.col("p_name"))),
@@ -279,8 +306,8 @@ def screen_pages(part: DataFrame) -> DataFrame:
                   td(4, F.upper(F.replace("p_name", F.lit(" "), F.lit("-")))),
                   td(5, _escape(F.concat(F.col("p_type"), F.lit(" & "), F.col("p_brand")))),
                   td(6, F.lit('<a href="#">More</a>')), F.lit("</tr>"))
-    head = ("<html><body><table><thead><tr><th>Halal</th><th>NAME</th><th>BSE-ID</th>"
-            "<th>NSECode</th><th>Industry</th><th>More</th></tr></thead><tbody>")
+    head = ("<html><body><table><thead><tr><th>flag</th><th>company</th><th>number</th>"
+            "<th>code</th><th>branch</th><th>link</th></tr></thead><tbody>")
     rows = part.select(F.floor(k / SCREEN_ROWS_PER_PAGE).alias("page_id"), k, tr.alias("tr"))
     return (rows.groupBy("page_id")
             .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), F.col("tr")))).alias("trs"))
@@ -290,12 +317,11 @@ def screen_pages(part: DataFrame) -> DataFrame:
 
 def bar_documents(raw: DataFrame) -> DataFrame:
     """Raw bar rows -> one API document ``{"data": [...]}`` per instrument
-    (column ``value``) plus ``pair_id`` for the landing folder layout. A
-    document holds one instrument's delta window, so its size is bounded by
-    the window length."""
+    and year (column ``value``) plus ``pair_id`` for the landing folder layout, so
+    a document is bounded by the days of a year."""
     from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
     payload = F.struct(*[F.col(c) for c in RAW_BAR_PAYLOAD_FIELDS])
-    return (raw.groupBy("pair_id")
+    return (raw.groupBy("pair_id", F.year("row_date_timestamp").alias("_year"))
             .agg(F.sort_array(F.collect_list(F.struct(F.col("row_date_timestamp").alias("t"),
                                                       payload.alias("p")))).alias("ps"))
             .select("pair_id", F.to_json(F.struct(F.col("ps.p").alias("data"))).alias("value")))

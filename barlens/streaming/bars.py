@@ -54,26 +54,27 @@ def compact(spark: SparkSession, target: str, out: str) -> None:
     latest_view(spark, target).write.mode("overwrite").parquet(out)
 
 
-def run_available_now(writer, timeout_s: int = 600, spark: SparkSession | None = None,
-                      state_partitions: int | None = None) -> None:
-    """Start a streaming write with ``trigger(availableNow=True)`` and wait.
-
-    ``state_partitions`` sets the shuffle partitions the query starts with,
-    which fixes its state-store partition count for the life of the
-    checkpoint; the session setting is restored afterwards.
+def run_available_now(writer, spark: SparkSession | None = None, state_partitions: int | None = None,
+                      conf: dict[str, str] | None = None) -> None:
+    """Start a streaming write with ``trigger(availableNow=True)`` and wait for its end,
+    however long the backlog takes.
+
+    ``state_partitions`` sets the shuffle partitions the query starts with, which
+    fixes its state-store partition count for the life of the checkpoint; ``conf``
+    holds other settings it starts with (a query takes them over for good). The
+    session's own values are restored at once.
     """
-    previous = None
-    if state_partitions and spark is not None:
-        previous = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    held = dict(conf or {})
+    if state_partitions:
+        held["spark.sql.shuffle.partitions"] = str(state_partitions)
+    previous = {k: spark.conf.get(k, None) for k in held} if spark is not None else {}
+    for k in previous:
+        spark.conf.set(k, held[k])
     try:
         q = writer.trigger(availableNow=True).start()
     finally:
-        if previous is not None:
-            spark.conf.set("spark.sql.shuffle.partitions", previous)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
+        for k, v in previous.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -9,7 +9,7 @@ Each micro-batch continues the series exactly where the previous one
 stopped, so any split of the input into batches gives the same rows as one
 batch run (and as the batch ``with_ema``). A row at or before the stored
 position is *late*: it is emitted with ``late = true`` and no indicators,
-and does not touch the state; callers rebuild that instrument in batch.
+and does not touch the state; ``with_rebuilt`` computes that instrument again.
 
 State is O(1 + period) per instrument, whatever the stream length, and
 Spark spreads instruments over tasks; one micro-batch bounds the rows a key
@@ -18,15 +18,17 @@ sees at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from barlens.operators.ema import alpha
+from barlens.functions import crossover
+from barlens.operators.ema import alpha, with_ema
 from barlens.operators.indicators import EMA_PERIODS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,22 +56,31 @@ def output_schema(key: str, time_col: str, id_col: str, value: str) -> T.StructT
     ])
 
 
-def _signal(f, s, pf, ps):
+def _signal(f, s, pf, ps, strict):
     if pf is None or ps is None:
         return None
-    if f > s and pf < ps:
+    if f > s and (pf < ps or not strict and pf == ps):
         return "BUY"
-    if f < s and pf > ps:
+    if f < s and (pf > ps or not strict and pf == ps):
         return "SELL"
     return None
 
 
+def _null(x):
+    """NaN stands for NULL inside the recurrence."""
+    return None if x is None or math.isnan(x) else x
+
+
 class IndicatorProcessor(StatefulProcessor):
-    """EMA 9/21/50 with lags and the strict 9/21 signal, plus the trailing
-    ``period``-row mean of the value and the spike flag."""
+    """EMA 9/21/50 with lags and the 9/21 signal (``strict`` or accepting a touch), plus
+    the trailing ``period``-row mean of the value and the spike flag.
+
+    A NULL value makes the EMAs NULL from there on; in the trailing mean it takes up
+    a row and counts for nothing, as in SQL's AVG."""
 
     def __init__(self, key: str, time_col: str, id_col: str, value: str,
-                 period: int = 30, factor: float = 1.5):
+                 period: int = 30, factor: float = 1.5, strict: bool = False):
+        self.strict = strict
         self.key, self.time_col, self.id_col, self.value = key, time_col, id_col, value
         self.period, self.factor = period, factor
         self.names = [f.name for f in output_schema(key, time_col, id_col, value).fields]
@@ -86,14 +97,14 @@ class IndicatorProcessor(StatefulProcessor):
         pdf = pdf.sort_values([self.time_col, self.id_col], kind="stable", ignore_index=True)
         if self.ema.exists():
             last_t, last_id, n, *es = self.ema.get()
-            emas = dict(zip(EMA_PERIODS, es))
+            emas = {p: math.nan if e is None else e for p, e in zip(EMA_PERIODS, es)}
         else:
             last_t, last_id, n, emas = None, None, 0, {p: None for p in EMA_PERIODS}
         ring = [r[0] for r in self.window.get()] if self.window.exists() else []
         t_us = (pdf[self.time_col].astype("int64") // 1000).tolist()
         ids = pdf[self.id_col].tolist()
-        xs = pdf[self.value].tolist()
-        cents = pdf["value_cents"].tolist()
+        xs = [math.nan if pd.isna(x) else x for x in pdf[self.value].tolist()]
+        cents = [None if pd.isna(c) else int(c) for c in pdf["value_cents"].tolist()]
         out = {c: [] for c in self.names}
         for t, i, x, c in zip(t_us, ids, xs, cents):
             late = last_t is not None and (t, i) <= (last_t, last_id)
@@ -110,42 +121,72 @@ class IndicatorProcessor(StatefulProcessor):
             for p in EMA_PERIODS:
                 a = alpha(p)
                 emas[p] = x if emas[p] is None else x * a + emas[p] * (1.0 - a)
-                out[f"ema_{p}"].append(emas[p])
-                out[f"prev_ema_{p}"].append(prev[p])
-            out["ema_signal_9_21"].append(_signal(emas[9], emas[21], prev[9], prev[21]))
+                out[f"ema_{p}"].append(_null(emas[p]))
+                out[f"prev_ema_{p}"].append(_null(prev[p]))
+            out["ema_signal_9_21"].append(_signal(emas[9], emas[21], prev[9], prev[21], self.strict))
             ring.append(c)
             ring = ring[-self.period:]
-            avg = (sum(ring) / 100) / len(ring)
+            known = [v for v in ring if v is not None]
+            avg = (sum(known) / 100) / len(known) if known else None
             out["avg_value_30"].append(avg)
             out["volume_status"].append(
-                "VOLUME SPIKE" if x > self.factor * avg else "NORMAL VOLUME")
+                "VOLUME SPIKE" if avg is not None and x > self.factor * avg else "NORMAL VOLUME")
             last_t, last_id, n = t, i, n + 1
         if last_t is not None:
-            self.ema.update((last_t, last_id, n, *[emas[p] for p in EMA_PERIODS]))
+            self.ema.update((last_t, last_id, n, *[_null(emas[p]) for p in EMA_PERIODS]))
             self.window.put([(v,) for v in ring[-(self.period - 1):]] if self.period > 1 else [])
         out[self.key] = [key[0]] * len(pdf)
         out[self.time_col] = pdf[self.time_col].tolist()
         out[self.id_col] = ids
-        out[self.value] = xs
+        out[self.value] = [_null(x) for x in xs]
         yield pd.DataFrame({c: out[c] for c in self.names})
 
     def close(self) -> None:
         pass
 
 
+#: Settings that a query with ``stream_indicators`` must start with.
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+
+
 def stream_indicators(df: DataFrame, key: str = "user_id", time_col: str = "ts",
                       id_col: str = "event_id", value: str = "value",
-                      period: int = 30, factor: float = 1.5) -> DataFrame:
+                      period: int = 30, factor: float = 1.5, strict: bool = False) -> DataFrame:
     """Attach live indicators to a (streaming or batch) frame of
-    (key, time, id, value) rows. Needs the RocksDB state store provider."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    (key, time, id, value) rows. The query must start with ``STATE_CONF``."""
     prepared = df.select(
         F.col(key).cast("bigint").alias(key), F.col(time_col).cast("timestamp_ntz").alias(time_col),
         F.col(id_col).cast("bigint").alias(id_col), F.col(value).cast("double").alias(value),
         (F.col(value).cast("decimal(18,2)") * 100).cast("bigint").alias("value_cents"))
-    proc = IndicatorProcessor(key, time_col, id_col, value, period, factor)
+    proc = IndicatorProcessor(key, time_col, id_col, value, period, factor, strict)
     return (prepared.groupBy(key)
             .transformWithStateInPandas(proc, output_schema(key, time_col, id_col, value),
                                         "Append", "None"))
+
+
+def with_rebuilt(out: DataFrame, landed: DataFrame, key: str = "user_id", time_col: str = "ts",
+                 id_col: str = "event_id", value: str = "value", period: int = 30, factor: float = 1.5,
+                 strict: bool = False) -> DataFrame:
+    """ST-6: the stream's output with every key that got a late row rebuilt.
+
+    ``out`` is what the stream has emitted, ``landed`` all rows landed so far. Only keys
+    with late rows are computed again, in batch, by window functions and ``with_ema``;
+    all other rows stay as emitted.
+    """
+    touched = out.filter(F.col("late")).select(key).distinct()
+    rows = (landed.join(touched, key, "left_semi")
+            .select(F.col(key).cast("bigint").alias(key), F.col(time_col).cast("timestamp_ntz").alias(time_col),
+                    F.col(id_col).cast("bigint").alias(id_col), F.col(value).cast("double").alias(value))
+            .withColumn("_at", F.struct(time_col, id_col)))
+    w = Window.partitionBy(key).orderBy(time_col, id_col)
+    rows = rows.withColumn("_seq", F.row_number().over(w)).drop("_at")
+    ema = with_ema(rows, EMA_PERIODS, col=value, keys=(key,), order="_seq").drop("_seq")
+    near = w.rowsBetween(1 - period, 0)
+    money = F.col(value).cast("decimal(18,2)")
+    avg = F.sum(money).over(near).cast("double") / F.when(F.count(money).over(near) > 0, F.count(money).over(near))
+    done = (ema.withColumn("avg_value_30", avg)
+            .withColumn("ema_signal_9_21", crossover("ema_9", "ema_21", "prev_ema_9", "prev_ema_21", strict))
+            .withColumn("volume_status", F.when(F.col(value) > F.lit(factor) * F.col("avg_value_30"), "VOLUME SPIKE")
+                        .otherwise("NORMAL VOLUME"))
+            .withColumn("late", F.lit(False)))
+    return out.join(touched, key, "left_anti").unionByName(done.select(*out.columns))

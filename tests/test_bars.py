@@ -101,3 +101,19 @@ def test_dedup_is_idempotent(spark):
     twice = dedup_bars(once.withColumn("_source_rank", F.lit(0)))
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     assert once.count() == 2
+
+
+def test_strict_models_fail_on_bad_rows(spark):
+    """The batch models never shorten a series in silence: a bad bar fails the job; the
+    form with a quarantine returns every row on one side or the other."""
+    import pytest
+
+    from barlens.plans.models import stock_data, stock_data_and_quarantine
+    d = dt.date(2024, 1, 2)
+    feeds = {"historical_daily": raw_rows(spark, [(1, d, "10", T0), (1, d + dt.timedelta(days=1), "1,000,000.00", T0)]),
+             "historical_weekly": empty_raw(spark), "current_daily": empty_raw(spark), "current_weekly": empty_raw(spark),
+             "assets": assets(spark, [(1, "AAA", None)])}
+    with pytest.raises(Exception, match="does not parse: pair_id 1"):
+        stock_data(feeds).collect()
+    clean, bad = stock_data_and_quarantine(feeds)
+    assert clean.count() == 1 and bad.count() == 1

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barlens.operators.ema import alpha, ema_path, ema_resume, ema_state, rebuild_series, with_ema
+from barlens.operators.ema import alpha, apply_delivery, ema_path, ema_resume, ema_state, rebuild_series, with_ema
 from barlens.operators.indicators import daily_liquid_bars, liquid, with_prev, with_sma
 from barlens.plans import models
 from helpers import days
@@ -126,3 +126,28 @@ def test_apply_delivery_equals_full_recompute(spark):
     want = with_ema(after)
     cols = ["pair_id", "transaction_date", "ema_9", "ema_21", "ema_50", "prev_ema_9"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_ema_resume_after_a_null_close(spark):
+    """A NULL close before or after the cut: resuming equals the full run, NULL for good."""
+    for closes, cut in (([10, 11, None, 12, 13, 14], 4), ([10, 11, 12, None, 13, 14], 3), ([None, 1, 2, 3, 4, 5], 2)):
+        rows = [(1, "T", d, None if c is None else float(c)) for d, c in zip(days(6), closes)]
+        bars = spark.createDataFrame(rows, "pair_id bigint, ticker string, transaction_date date, last_close double")
+        full = {r.transaction_date: tuple(r)[4:] for r in with_ema(bars).collect()}
+        day = days(6)[cut - 1]
+        state = ema_state(with_ema(bars.filter(F.col("transaction_date") <= day), prev=False))
+        out = ema_resume(bars.filter(F.col("transaction_date") > day), state).drop("late").collect()
+        assert len(out) == 6 - cut
+        for r in out:
+            assert tuple(r)[4:] == full[r.transaction_date]
+
+
+def test_apply_delivery_lets_series_leave(spark):
+    """A series that is no longer among the bars (below the liquidity floor) goes."""
+    schema = "pair_id bigint, ticker string, transaction_date date, last_close double"
+    old = spark.createDataFrame([(p, "T", d, 1.0 * p + i) for p in (1, 2) for i, d in enumerate(days(4))], schema)
+    new = spark.createDataFrame([(1, "T", d, 1.0 + i) for i, d in enumerate(days(6))], schema)
+    history = with_ema(old)
+    delivered = new.filter(F.col("transaction_date") > days(6)[3])
+    got = apply_delivery(history, ema_state(history), delivered, new)
+    assert sorted(got.collect()) == sorted(with_ema(new).select(*got.columns).collect())

@@ -5,16 +5,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from barlens.plans import registry
 
 SF = "/root/testdata/sf0.001"
-BATCH_QUERIES = [q for q in E.queries() if q not in
+BATCH_QUERIES = [q for q in registry.queries() if q not in
                  ("ema_stream", "volume_spike_stream", "stream_latest", "bar_landing", "bar_csv",
-                  "table_roundtrip", "asset_json", "ema_incremental_reseed")]
+                  "landing_corrupt", "sink_chain", "table_roundtrip", "asset_json", "ema_incremental_reseed")]
 
 
 def plan(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = registry.queries()[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -38,6 +38,12 @@ def test_sma_chain_shuffles(spark):
     assert "Expand" not in p                   # signals exploded, not unpivoted
 
 
+def test_delivery_reads_stored_tables_and_calls_python_twice(spark):
+    p = plan(spark, "ema_delivery")
+    assert p.count("Scan parquet") <= 12, p.count("Scan parquet")
+    assert p.count("FlatMapGroupsInArrow") + p.count("FlatMapCoGroupsInArrow") == 2
+
+
 def test_scan_prunes_columns(spark):
     # every price text gates a row (unparseable -> quarantine), but unused
     # payload columns never leave the raw-bar scan

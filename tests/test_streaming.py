@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barlens.operators.ema import with_ema
 from barlens.session import scratch_path
 from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest
-from barlens.streaming.indicators import stream_indicators
+from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
 from helpers import T0, raw_rows
 
 COLS = ["user_id", "event_id", "ema_9", "ema_21", "ema_50", "prev_ema_9", "avg_value_30", "late"]
@@ -28,10 +28,40 @@ def _run(spark, batches):
         b.write.mode("append").parquet(landing)
         run_available_now(stream_indicators(spark.readStream.schema(schema).parquet(landing))
                           .writeStream.format("parquet").option("path", out)
-                          .option("checkpointLocation", ckpt).outputMode("append"))
+                          .option("checkpointLocation", ckpt).outputMode("append"), spark=spark, conf=STATE_CONF)
     return spark.read.parquet(out)
 
 
+def test_null_value_then_second_batch(spark):
+    """A gap makes the EMAs NULL for good, is skipped by the mean, and the next batch goes on."""
+    t0 = dt.datetime(2024, 1, 1)
+    values = [0.0, 1.0, 2.0, None, 4.0, 5.0, 60.0]
+    ev = spark.createDataFrame([(i, t0 + dt.timedelta(minutes=i), 1, v) for i, v in enumerate(values)],
+                               "event_id bigint, ts timestamp_ntz, user_id bigint, value double")
+    out = _run(spark, [ev.filter("event_id < 5"), ev.filter("event_id >= 5")]).orderBy("event_id").collect()
+    assert [r.ema_9 is None for r in out] == [False, False, False, True, True, True, True]
+    means = [sum(v for v in values[:i + 1] if v is not None) / sum(v is not None for v in values[:i + 1]) for i in range(7)]
+    assert [r.avg_value_30 for r in out] == means
+    assert [r.volume_status for r in out][3:] == ["NORMAL VOLUME", "VOLUME SPIKE", "VOLUME SPIKE", "VOLUME SPIKE"]
+
+
+def test_late_rows_are_rebuilt(spark):
+    ev = _events(spark, n=200, users=3)
+    late = ev.filter("user_id = 1 and event_id % 9 = 2")
+    rest = ev.join(late, "event_id", "left_anti").select(*ev.columns)
+    out = _run(spark, [rest, late])
+    assert out.filter("late").count() == late.count() > 0
+    whole = _run(spark, [ev])
+    assert sorted(with_rebuilt(out, ev).collect()) == sorted(whole.collect())
+
+
+def test_signal_forms():
+    from barlens.streaming.indicators import _signal
+    assert _signal(2, 1, 1, 1, False) == "BUY" and _signal(2, 1, 1, 1, True) is None
+    assert _signal(1, 2, 1, 1, False) == "SELL" and _signal(1, 2, 2, 1, True) == "SELL"
+    assert _signal(1, 2, None, 1, False) is None and _signal(float("nan"), 2, 3, 1, False) is None
+
+
 def test_two_batches_equal_one_batch_and_batch_ema(spark):
     ev = _events(spark)
     one = _run(spark, [ev])
