@@ -146,11 +146,11 @@ def render_raw(bars: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return bars.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_BAR.fields])
 
 
-def raw_feeds(bars: DataFrame) -> dict[str, DataFrame]:
+def raw_feeds(bars: DataFrame, weekly: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four raw bar tables. June 2001 is in both the historical and the
     current feeds; the current copy has a bumped close and a later load time,
     so deduplication must keep it."""
-    weekly = weekly_from_daily(bars)
+    weekly = weekly_from_daily(bars) if weekly is None else weekly
 
     def split(b: DataFrame):
         hist = b.filter(F.col("transaction_date") < F.lit(HISTORICAL_BEFORE))
@@ -188,12 +188,13 @@ def live_events(events: DataFrame) -> DataFrame:
     return events.select("user_id", "ts", "event_id", F.when(~gap, F.col("value")).alias("value"))
 
 
-def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> dict[str, DataFrame]:
+def inputs(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None,
+           weekly: DataFrame | None = None) -> dict[str, DataFrame]:
     """Everything the bar pipeline reads, derived from one scale directory
     (as plans; nothing is written)."""
     if bars is None:
         bars = bars_from_lineitem(table(spark, sf_dir, "lineitem"))
-    out = raw_feeds(bars)
+    out = raw_feeds(bars, weekly)
     out["assets"] = assets_from_supplier(table(spark, sf_dir, "supplier"),
                                          table(spark, sf_dir, "nation"),
                                          table(spark, sf_dir, "region"))
@@ -210,7 +211,7 @@ def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     The reference's models read stored raw tables; here the loaders' output
     is written once as Parquet under the shared checkpoint folder (first the
-    daily bars, from which the four feeds are cut, so ``lineitem`` is
+    daily and the weekly bars, from which the four feeds are cut, so each is
     aggregated once) and every query reads those tables.
     """
     key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
@@ -219,7 +220,9 @@ def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         base = scratch_path(spark, "landing")
         bars_path = f"{base}/bars"
         bars_from_lineitem(table(spark, sf_dir, "lineitem")).write.parquet(bars_path)
-        frames = inputs(spark, sf_dir, spark.read.parquet(bars_path))
+        bars = spark.read.parquet(bars_path)
+        weekly_from_daily(bars).write.parquet(f"{base}/weekly")
+        frames = inputs(spark, sf_dir, bars, spark.read.parquet(f"{base}/weekly"))
         landed = {}
         for name, df in frames.items():
             df.write.parquet(f"{base}/{name}")
