@@ -52,6 +52,25 @@ LABELLERS = ("symbols", "bare marks", "capitals", "digits", "exclamations", "rep
 SILENT = 2
 
 
+class Kinds(dict):
+    """word -> four flags: clean word, begins like running text, capitals only, marks
+    only; forgets when large."""
+
+    LIMIT = 300_000
+
+    def __missing__(self, w: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        flags = self[w] = (bool(_CLEAN.match(w)) + 2 * (w[0] > 127 or 97 <= w[0] <= 122)
+                           + 4 * (len(w) > 1 and w.isupper()) + 8 * (not w.translate(None, _SYMBOLS)))
+        return flags
+
+
+_kinds = Kinds()
+#: For each flag, the flag sets that hold it.
+_HAS = [[x for x in range(16) if x >> bit & 1] for bit in range(4)]
+
+
 def _vote(value: float, good: float, bad: float) -> int:
     """1 (good) up to ``good``, -1 (bad) from ``bad`` on, else 0; or the other way round."""
     if good > bad:
@@ -73,14 +92,8 @@ def votes(text: bytes) -> list[int]:
     joined = b"".join(words)
     chars = len(joined)
     lines = [x for x in text.split(b"\n") if x.strip()]
-    # a word is judged once, however often a long text repeats it
-    kinds: dict[bytes, int] = {}
-    for w in words:
-        kinds[w] = kinds.get(w, 0) + 1
-    clean = sum(k for w, k in kinds.items() if _CLEAN.match(w))
-    plain = sum(k for w, k in kinds.items() if not w[:1].isupper() and w[:1].isalpha() or w[0] > 127)
-    shouted = sum(k for w, k in kinds.items() if len(w) > 1 and w.isupper())
-    bare = sum(k for w, k in kinds.items() if not w.translate(None, _SYMBOLS))
+    of_kind = np.bincount(np.fromiter(map(_kinds.__getitem__, words), np.uint8, n), minlength=16)
+    clean, plain, shouted, bare = (int(of_kind[has].sum()) for has in _HAS)
     # repeats are judged by stretches, or every long text would look repetitive
     variety = sum(len(set(words[i:i + 100])) for i in range(0, n, 100)) / n
     return [
@@ -132,20 +145,38 @@ def posterior(patterns: np.ndarray, share: np.ndarray, table: np.ndarray) -> np.
     return p[:, 1] / p.sum(axis=1)
 
 
-_SHAPES = ((re.compile(rb"[0-9]+"), b"0"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"))
+_CLASS = bytes(48 if chr(c).isdigit() and c < 128 else 65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else c
+               for c in range(256))
+_RUNS = re.compile(rb"([0Aa])\1+")
 
 
 def shape(word: bytes) -> bytes:
     """Runs of digits, capitals and other letters as one sign each; marks stay."""
-    for run, sign in _SHAPES:
-        word = run.sub(sign, word)
-    return word
+    return _RUNS.sub(rb"\1", word.translate(_CLASS))
+
+
+class ShapeSlots(dict):
+    """word with its letters replaced by their classes -> slot of its shape."""
+
+    def __missing__(self, classes: bytes) -> int:
+        if len(self) >= Features.LIMIT:
+            self.clear()
+        slot = self[classes] = xxhash.xxh3_64_intdigest(b"\0" + _RUNS.sub(rb"\1", classes)) >> (64 - BITS)
+        return slot
 
 
 #: Slot that counts words repeating the word before them.
 STUTTER = 0
 
 
+_shape_slots = ShapeSlots()
+
+
+def slots_of(word: bytes) -> tuple[int, int]:
+    """Slots of the lower-cased word and of its shape."""
+    return xxhash.xxh3_64_intdigest(word.lower()) >> (64 - BITS), _shape_slots[word.translate(_CLASS)]
+
+
 class Features(dict):
     """word -> hashed slots of the word and of its shape; forgets when large."""
 
@@ -154,29 +185,34 @@ class Features(dict):
     def __missing__(self, word: bytes) -> tuple[int, int]:
         if len(self) >= self.LIMIT:
             self.clear()
-        slots = self[word] = tuple(xxhash.xxh3_64_intdigest(x) >> (64 - BITS)
-                                   for x in (word.lower(), b"\0" + shape(word)))
+        slots = self[word] = slots_of(word)
         return slots
 
 
+class WordSums(dict):
+    """word -> summed weight of its slots; forgets when large."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= Features.LIMIT:
+            self.clear()
+        one, other = slots_of(word)
+        s = self[word] = self.weights[one] + self.weights[other]
+        return s
+
+
 class Scorer:
     """Logistic in the mean weight of a text's hashed features."""
 
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
-        self.sums: dict[bytes, float] = {}
-        self.slots = Features()
-
-    def _sum(self, word: bytes) -> float:
-        s = self.sums.get(word)
-        if s is None:
-            if len(self.sums) >= Features.LIMIT:
-                self.sums.clear()
-            s = self.sums[word] = float(sum(self.weights[i] for i in self.slots[word]))
-        return s
+        self.sums = WordSums(weights)
 
     def __call__(self, words: list) -> float:
-        total = sum(map(self._sum, words)) + stutters(words) * self.weights[STUTTER]
+        total = sum(map(self.sums.__getitem__, words)) + stutters(words) * float(self.weights[STUTTER])
         z = self.bias + total / len(words)
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
