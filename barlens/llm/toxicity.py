@@ -37,7 +37,7 @@ from barlens.llm import common as C
 
 THRESHOLD = 0.3
 CUT = log(THRESHOLD / (1 - THRESHOLD))
-PER_CLASS = 3000
+PER_CLASS = 2000
 MAX_BYTES = 200_000
 #: Longest instance in words; longer sentences are cut.
 SENTENCE = 40
