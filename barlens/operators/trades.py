@@ -35,7 +35,7 @@ _NO_SELL = dt.date(9999, 12, 31)
 
 def pair_trades(df: DataFrame, signal_cols, collapse: bool = True,
                 include_open: bool = False, keep_rank: bool = False,
-                notional=NOTIONAL) -> DataFrame:
+                notional=NOTIONAL, attributes=BAR_ATTRIBUTES) -> DataFrame:
     """Round-trip trades with P&L, from a frame with one row per bar and one
     BUY/SELL/NULL column per strategy.
 
@@ -44,9 +44,10 @@ def pair_trades(df: DataFrame, signal_cols, collapse: bool = True,
       smaller strategy name.
     include_open: keep BUYs that never sold (status OPEN, NULL sell side).
     keep_rank: add the reference's collapse rank ``rn`` (always 1 here).
+    attributes: instrument columns to carry; the series keys at least.
     """
     signal_cols = list(signal_cols)
-    attrs = ", ".join(BAR_ATTRIBUTES)
+    attrs = ", ".join(attributes)
     keys = ", ".join(SERIES_KEYS)
     nexts = ", ".join(
         f"last(CASE WHEN {c} = 'SELL' THEN named_struct('d', transaction_date, 'p', last_close) END,"

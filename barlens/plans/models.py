@@ -13,15 +13,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlens.functions import crossover
-from barlens.operators.bars import unify_bars
+from barlens.functions import cap_bucket, crossover
+from barlens.operators.bars import unify_bars, unique_assets
 from barlens.operators.compare import compare_strategies
 from barlens.operators.ema import with_ema
 from barlens.operators.indicators import (EMA_PERIODS, MIN_AVG_VOLUME, SMA_PERIODS,
                                           daily_liquid_bars, with_sma)
 from barlens.operators.signals import (EMA_PAIRS, EMA_TRADED, SMA_PAIRS, SMA_TRADED,
                                        with_crossovers)
-from barlens.operators.trades import pair_trades
+from barlens.operators.trades import PNL_COLUMNS, TRADE_COLUMNS, pair_trades
 from barlens.schemas import BAR_ATTRIBUTES
 
 INDICATOR_BASE = [*BAR_ATTRIBUTES, "transaction_id", "transaction_date", "volume",
@@ -62,9 +62,10 @@ def sma_backtest(cross: DataFrame, strategies=SMA_TRADED, collapse: bool = True)
 
 
 def ema_strategy(stock: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,
-                 periods=EMA_PERIODS) -> DataFrame:
-    """MDL-7: daily bars of liquid instruments with EMAs and their lags."""
-    bars = daily_liquid_bars(stock, min_avg_volume).select(*INDICATOR_BASE)
+                 periods=EMA_PERIODS, columns=INDICATOR_BASE) -> DataFrame:
+    """MDL-7: daily bars of liquid instruments with EMAs and their lags. ``columns`` are
+    all that goes through the grouped Arrow call, which Catalyst cannot prune."""
+    bars = daily_liquid_bars(stock, min_avg_volume).select(*columns)
     return with_ema(bars, periods)
 
 
@@ -78,6 +79,26 @@ def ema_backtest(cross: DataFrame, strategies=EMA_TRADED) -> DataFrame:
     return pair_trades(cross, strategies, collapse=True, keep_rank=False)
 
 
+#: What an EMA trade is made from; instrument attributes join the trades, not the bars.
+TRADE_BASE = ["pair_id", "ticker", "transaction_date", "volume", "last_close"]
+
+
+def asset_attributes(assets: DataFrame) -> DataFrame:
+    """The instrument columns of trades, one row per pair_id."""
+    return unique_assets(assets).withColumn("market_cap_category", cap_bucket("market_cap")).select(*BAR_ATTRIBUTES)
+
+
+def ema_trades(stock: DataFrame, assets: DataFrame, min_avg_volume: float = MIN_AVG_VOLUME,
+               strategies=EMA_TRADED) -> DataFrame:
+    """MDL-8 from the unified bars: the same trades as ``ema_backtest`` over
+    ``ema_crossover`` over ``ema_strategy``, with five narrow columns through both
+    shuffles and the Arrow call, and the attributes joined to the few trades."""
+    cross = ema_crossover(ema_strategy(stock, min_avg_volume, columns=TRADE_BASE))
+    trades = pair_trades(cross, strategies, attributes=["pair_id", "ticker"])
+    more = asset_attributes(assets).drop("ticker")
+    return trades.join(more, "pair_id").select(*TRADE_COLUMNS, *PNL_COLUMNS)
+
+
 INCREMENTAL_COLUMNS = ["pair_id", "ticker", "stock_name", "transaction_date",
                        "ema_9", "ema_21", "ema_50", "prev_ema_9", "prev_ema_21",
                        "crossover_signal"]

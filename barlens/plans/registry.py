@@ -170,7 +170,8 @@ def q_ema_crossover_loose(spark, sf_dir):
 
 
 def q_ema_backtest(spark, sf_dir):
-    return models.ema_backtest(models.ema_crossover(_ema(spark, sf_dir)))
+    inp = _inputs(spark, sf_dir)
+    return models.ema_trades(inp.stock(), inp.feeds["assets"], MIN_AVG_VOLUME)
 
 
 def q_volume_spike(spark, sf_dir):
@@ -185,7 +186,7 @@ def q_strategy_compare(spark, sf_dir):
     stock = materialize(inp.stock().filter(F.col("frequency") == "daily").select(*cols),
                         "stock-data")
     sma = models.sma_backtest(models.sma_crossover(models.sma_strategy(stock, MIN_AVG_VOLUME)))
-    ema = models.ema_backtest(models.ema_crossover(models.ema_strategy(stock, MIN_AVG_VOLUME)))
+    ema = models.ema_trades(stock, inp.feeds["assets"], MIN_AVG_VOLUME)
     return models.strategy_compare(sma, ema)
 
 
