@@ -9,7 +9,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__
+from barlens.plans import registry as E
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -56,6 +57,6 @@ def test_every_query_has_an_oracle():
 
 
 def test_entry_runs(spark):
-    df = E.entry(spark)
+    df = __spark_entry__.entry(spark)
     assert df.count() > 0
     assert "profit_or_loss" in df.columns
