@@ -8,9 +8,10 @@ matches. For matched items with placeholders, the values are compared: a
 re-parameterised question replaces equal values by equal values, so item values
 and document values must map one to one (slot consistency).
 
-A document is contaminated by an item when ``CONTAINMENT`` of the item's windows
-occur in it and ``CONSISTENCY`` of the item's slot values are mapped
-consistently. Windows made of placeholders for more than half match nothing.
+Meetings of windows are grouped into alignments by their offset (place in the
+document less place in the item). A document is contaminated by an item when in one
+alignment ``CONTAINMENT`` of the item's windows occur and ``CONSISTENCY`` of the
+item's slot values are mapped consistently. Windows made of placeholders for more than half match nothing.
 
 Defined cases: a null or empty text has no windows and is clean; items with
 fewer than ``MIN_TOKENS`` tokens can't be told from chance and are skipped; an item
@@ -42,6 +43,8 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "sec", "mi
          "pounds", "ounces", "grams", "liters", "litres", "dollars", "cents", "euros", "percent")
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
+#: Forms that are joined, in the order in which they are reported: tokens and what stands for each.
+FORMS = {"template": ("toks", "canon")}
 
 
 def _is_mark(t: Column) -> Column:
@@ -53,15 +56,15 @@ def _is_number(t: Column) -> Column:
 
 
 def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
-    """``rows`` with an array of (raw, canon) in place of the text: the tokens and what
-    they are in the template."""
+    """``rows`` with an array of (raw, canon) in place of the text: the lower-cased tokens
+    and what they are in the template."""
     found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
 
     def one(t: Column, i: Column) -> Column:
         before = F.when(i > 0, F.get(F.col("__found"), i - 1))
         first = F.substring(t, 1, 1)
         is_name = (first != F.lower(first)) & before.isNotNull() & ~_is_mark(before)
-        return F.struct(t.alias("raw"), F.when(_is_number(t), F.lit(NUM))
+        return F.struct(F.lower(t).alias("raw"), F.when(_is_number(t), F.lit(NUM))
                         .when(_is_number(before) & F.lower(t).isin(*UNITS), F.lit(UNIT))
                         .when(is_name, F.lit(NAME)).otherwise(F.lower(t)).alias("canon"))
 
@@ -70,6 +73,10 @@ def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
     return C.settled(split.drop("text"), name, typed).drop("__found")
 
 
+def _hashes(tokens: str, field: str) -> Column:
+    return F.transform(tokens, lambda s: F.xxhash64(s[field]))
+
+
 def _windows(canon: Column, width: Column | int) -> Column:
     """Hash of each window of ``width`` template tokens, by position."""
     width = F.lit(width) if isinstance(width, int) else width
@@ -79,21 +86,28 @@ def _windows(canon: Column, width: Column | int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, width, n_windows, at, hash, slots) of every usable benchmark window;
-    slots: array of (place in the window, raw value)."""
-    item = tokenised(benchmark.select("item_id", "text")).filter(F.size("toks") >= MIN_TOKENS)
-    item = (C.settled(item, "canon", F.transform("toks", lambda s: F.xxhash64(s["canon"])))
-            .withColumn("width", F.least(F.size("toks"), F.lit(WINDOW))))
-    placed = item.select("item_id", "toks", "canon", "width",
-                         F.posexplode(_windows(F.col("canon"), F.col("width"))).alias("at", "hash"))
-    window = F.slice("toks", F.col("at") + 1, F.col("width"))
-    slots = F.filter(F.transform(window, lambda s, i: F.struct(i.alias("place"), s["raw"].alias("value"),
-                                                               s["canon"].alias("kind"))),
-                     lambda s: s["kind"].isin(*SLOTS))
-    usable = placed.select("item_id", "width", "at", "hash", slots.alias("slots")) \
-        .filter(2 * F.size("slots") <= F.col("width"))
-    counts = usable.groupBy(F.col("item_id").alias("__item")).agg(F.count(F.lit(1)).alias("n_windows"))
-    return usable.join(counts, F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
+    """(form, item_id, width, reach, n_windows, at, hash, slots) of every usable benchmark
+    window; reach: tokens of the item; slots: array of (place in the window, raw value)."""
+    item = tokenised(benchmark.select("item_id", "text"))
+    usable = None
+    for form, (tokens, field) in FORMS.items():
+        one = (item.select("item_id", F.lit(form).alias("form"), F.col(tokens).alias("toks"))
+               .filter(F.size("toks") >= MIN_TOKENS))
+        one = (C.settled(one, "hashes", _hashes("toks", field))
+               .withColumn("reach", F.size("toks")).withColumn("width", F.least(F.size("toks"), F.lit(WINDOW))))
+        placed = one.select("form", "item_id", "toks", "reach", "width",
+                            F.posexplode(_windows(F.col("hashes"), F.col("width"))).alias("at", "hash"))
+        window = F.slice("toks", F.col("at") + 1, F.col("width"))
+        slots = F.filter(F.transform(window, lambda s, i: F.struct(i.alias("place"), s["raw"].alias("value"),
+                                                                   s[field].alias("kind"))),
+                         lambda s: s["kind"].isin(*SLOTS))
+        placed = placed.select("form", "item_id", "width", "reach", "at", "hash", slots.alias("slots")) \
+            .filter(2 * F.size("slots") <= F.col("width"))
+        usable = placed if usable is None else usable.unionByName(placed)
+    counts = usable.groupBy(F.col("item_id").alias("__item"), F.col("form").alias("__form")).agg(
+        F.count(F.lit(1)).alias("n_windows"))
+    return usable.join(counts, F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("form") == F.col("__form"))) \
+        .drop("__item", "__form")
 
 
 def row_key() -> list[Column]:
@@ -104,63 +118,101 @@ def row_key() -> list[Column]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated (document, item): doc_id, item_id, n_windows, matched,
     containment, n_values, n_consistent, kind (``exact`` where all slot values are the
-    item's own, else ``re-parameterised``), text_hash."""
+    item's own, else ``re-parameterised``), text_hash. The figures are those of the
+    best alignment of the first form that has one."""
     items = materialize(benchmark_windows(benchmark), "benchmark-windows")
-    widths = [r[0] for r in items.select("width").distinct().collect()]  # at most WINDOW values
-    known = items.select("hash", "width", "item_id", "at", "n_windows")
+    widths = [tuple(r) for r in items.select("form", "width").distinct().collect()]  # at most WINDOW values a form
+    known = items.select("form", "hash", "width", "item_id", "at", "n_windows", "reach")
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
     texts = docs.select(*row_key(), "text")
     # template tokens as hashes: windows are then hashed over fixed-width values
-    canon = C.settled(tokenised(texts), "canon", F.transform("toks", lambda s: F.xxhash64(s["canon"])))
-    per_width = F.array(*[F.struct(F.lit(w).alias("w"), _windows(F.col("canon"), w).alias("hashes")) for w in widths]) \
-        if widths else F.array().cast("array<struct<w:int,hashes:array<bigint>>>")
-    windows = (canon.select("doc_id", "text_hash", F.explode(per_width).alias("p"))
-               .select("doc_id", "text_hash", F.col("p.w").alias("width"), F.posexplode("p.hashes").alias("doc_at", "hash")))
-    # one place for each window of an item, however often a document repeats it
-    met = materialize(windows.join(known, ["hash", "width"])
-                      .groupBy("doc_id", "text_hash", "item_id", "n_windows", "width", "at")
-                      .agg(F.min("doc_at").alias("doc_at")), "benchmark-met")
-    pair = ["doc_id", "text_hash", "item_id"]
-    enough = (met.groupBy(*pair, "n_windows").agg(F.count(F.lit(1)).alias("matched"))
-              .filter(F.col("matched") >= F.lit(CONTAINMENT) * F.col("n_windows")))
-    values = slot_values(texts, met, enough, items)
-    judged = values.groupBy(*pair).agg(
+    hashed = tokenised(texts)
+    for form, (tokens, field) in FORMS.items():
+        hashed = C.settled(hashed, f"__{form}", _hashes(tokens, field))
+    per_width = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(w).alias("w"), _windows(F.col(f"__{f}"), w).alias("hashes"))
+                          for f, w in widths]) \
+        if widths else F.array().cast("array<struct<f:string,w:int,hashes:array<bigint>>>")
+    windows = (hashed.select("doc_id", "text_hash", F.explode(per_width).alias("p"))
+               .select("doc_id", "text_hash", F.col("p.f").alias("form"), F.col("p.w").alias("width"),
+                       F.posexplode("p.hashes").alias("doc_at", "hash")))
+    pair = ["doc_id", "text_hash", "item_id", "form"]
+    met = materialize(windows.join(known, ["form", "hash", "width"])
+                      .select(*pair, "n_windows", "width", "reach", "at", "doc_at").distinct(), "benchmark-met")
+    placed, enough = alignments(met, pair)
+    key = [*pair, "scale", "part"]
+    values = slot_values(texts, placed, enough, items, key)
+    judged = values.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_values"), F.sum(F.when(F.col("images") == 1, 1).otherwise(0)).alias("n_consistent"),
         F.min("same").alias("same"))
-    same_pair = [F.col(f"e.{c}").eqNullSafe(F.col(f"j.{c}")) for c in pair]
-    out = enough.alias("e").join(judged.alias("j"), same_pair, "left").select(
-        "e.doc_id", "e.item_id", "e.n_windows", "e.matched",
-        (F.col("e.matched") / F.col("e.n_windows")).alias("containment"),
-        F.coalesce("j.n_values", F.lit(0)).cast("bigint").alias("n_values"),
-        F.coalesce("j.n_consistent", F.lit(0)).cast("bigint").alias("n_consistent"),
-        F.when(F.coalesce("j.same", F.lit(True)), "exact").otherwise("re-parameterised").alias("kind"), "e.text_hash")
-    return out.filter(F.col("n_consistent") >= F.lit(CONSISTENCY) * F.col("n_values"))
-
-
-def slot_values(texts: DataFrame, met: DataFrame, enough: DataFrame, items: DataFrame) -> DataFrame:
-    """For each (document, item, item value): ``images``, 1 if it is mapped one to one,
+    best = (enough.alias("e").join(judged.alias("j"), _same("e", "j", key), "left")
+            .select("e.doc_id", "e.text_hash", "e.item_id", "e.form", "e.n_windows", "e.matched",
+                    F.coalesce("j.n_values", F.lit(0)).cast("bigint").alias("n_values"),
+                    F.coalesce("j.n_consistent", F.lit(0)).cast("bigint").alias("n_consistent"),
+                    F.coalesce("j.same", F.lit(True)).alias("same"))
+            .filter(F.col("n_consistent") >= F.lit(CONSISTENCY) * F.col("n_values")))
+    rank = F.create_map(*[F.lit(x) for i, form in enumerate(FORMS) for x in (form, -i)])
+    best = best.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct(
+        rank[F.col("form")].alias("rank"), "matched", "same", "n_consistent", "n_values", "n_windows")).alias("b"))
+    return best.select(
+        "doc_id", "item_id", "b.n_windows", "b.matched", (F.col("b.matched") / F.col("b.n_windows")).alias("containment"),
+        "b.n_values", "b.n_consistent", F.when(F.col("b.same"), "exact").otherwise("re-parameterised").alias("kind"),
+        "text_hash")
+
+
+def _same(a: str, b: str, columns: list[str]) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns]
+
+
+def alignments(met: DataFrame, pair: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(one place for each window of every alignment; the alignments that hold enough windows).
+
+    An alignment is a set of meetings whose offsets (doc_at - at) agree: one offset; two
+    grids of offsets within ``WINDOW`` and two within the item's length, as names of more
+    words move what follows; and the whole document. A copy beside a variant of itself
+    and an item that repeats its template are whole in their own alignment.
+    """
+    possible = (met.groupBy(*pair, "n_windows").agg(F.count_distinct("at").alias("m"))
+                .filter(F.col("m") >= F.lit(CONTAINMENT) * F.col("n_windows")))
+    shift, reach, whole = F.col("doc_at") - F.col("at"), F.col("reach"), F.lit(0).cast("bigint")
+    near = F.lit(WINDOW)
+    parts = [whole, shift, F.floor(shift / near), F.floor((shift + near / 2) / near),
+             F.floor(shift / reach), F.floor((shift + reach / 2) / reach)]
+    part = F.explode(F.array(*[F.struct(F.lit(i).alias("scale"), p.cast("bigint").alias("part"))
+                               for i, p in enumerate(parts)])).alias("p")
+    placed = materialize(
+        met.alias("m").join(possible.alias("o"), _same("m", "o", pair), "left_semi")
+        .select(*pair, "n_windows", "at", "doc_at", part)
+        .groupBy(*pair, "n_windows", F.col("p.scale").alias("scale"), F.col("p.part").alias("part"), "at")
+        .agg(F.min("doc_at").alias("doc_at")), "benchmark-placed")
+    return placed, (placed.groupBy(*pair, "n_windows", "scale", "part").agg(F.count(F.lit(1)).alias("matched"))
+                    .filter(F.col("matched") >= F.lit(CONTAINMENT) * F.col("n_windows")))
+
+
+def slot_values(texts: DataFrame, placed: DataFrame, enough: DataFrame, items: DataFrame, key: list[str]) -> DataFrame:
+    """For each (alignment, item value): ``images``, 1 if it is mapped one to one,
     and whether it meets itself only. Of the texts, only matched ones are split again."""
-    slots = items.select("item_id", "at", F.explode("slots").alias("s"))
-    pair = ["doc_id", "text_hash", "item_id"]
-    m, e, s = met.alias("m"), enough.alias("e"), slots.alias("s0")
-    wanted = (m.join(e, [F.col(f"m.{c}").eqNullSafe(F.col(f"e.{c}")) for c in pair], "left_semi").alias("w")
-              .join(s, F.col("w.item_id").eqNullSafe(F.col("s0.item_id")) & (F.col("w.at") == F.col("s0.at")))
-              .select("w.doc_id", "w.text_hash", "w.item_id", F.col("s0.s.value").alias("value"),
+    slots = items.select("form", "item_id", "at", F.explode("slots").alias("s"))
+    wanted = (placed.alias("m").join(enough.alias("e"), _same("m", "e", key), "left_semi").alias("w")
+              .join(slots.alias("s0"), _same("w", "s0", ["form", "item_id", "at"]))
+              .select(*[f"w.{c}" for c in key], F.col("s0.s.value").alias("value"),
                       (F.col("w.doc_at") + F.col("s0.s.place")).alias("place")))
     wanted = materialize(wanted, "benchmark-slots")
     some = wanted.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     same_row = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t"))
     raw = tokenised(texts.join(some, same_row, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
-    raw = raw.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"),
-                     F.posexplode(F.transform("toks", lambda x: x["raw"])).alias("__place", "image"))
-    met_values = (wanted.join(raw, same_row & (F.col("place") == F.col("__place")))
-                  .select(*pair, F.lower("value").alias("value"), F.lower("image").alias("image")).distinct())
+    raws = F.array(*[F.struct(F.lit(form).alias("f"), F.transform(tokens, lambda x: x["raw"]).alias("raw"))
+                     for form, (tokens, _) in FORMS.items()])
+    raw = (raw.select("doc_id", "text_hash", F.explode(raws).alias("p"))
+           .select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("p.f").alias("__f"),
+                   F.posexplode("p.raw").alias("__place", "image")))
+    met_values = (wanted.join(raw, same_row & (F.col("form") == F.col("__f")) & (F.col("place") == F.col("__place")))
+                  .select(*key, "value", "image").distinct())
     # a consistent value has one image, and is the only one that has it
-    by_value, by_image = Window.partitionBy(*pair, "value"), Window.partitionBy(*pair, "image")
+    by_value, by_image = Window.partitionBy(*key, "value"), Window.partitionBy(*key, "image")
     paired = (met_values.withColumn("images", F.count(F.lit(1)).over(by_value))
               .withColumn("origins", F.count(F.lit(1)).over(by_image)))
-    return paired.groupBy(*pair, "value").agg(
+    return paired.groupBy(*key, "value").agg(
         F.max(F.greatest("images", "origins")).alias("images"), F.min(F.col("image") == F.col("value")).alias("same"))
 
 

@@ -74,3 +74,12 @@ def test_main_path_runs_no_python(documents, spark):
     from tests.llm.conftest import SF
     plan = X.digest(documents, table(spark, SF, "benchmark"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_repeated_templates_and_variants_before_the_copy(spark):
+    twice = "Tom has 3 red apples and 5 green pears. Ann has 7 red apples and 9 green pears."
+    drive = "Every week John drives 12 km to work and 5 km to Mary. How many km does John drive every week?"
+    variant = "Every week Bill drives 30 km to work and 8 km to Sue."
+    docs = [(1, f"Before it. {twice} After it."), (2, f"{variant} {drive}"), (3, f"{drive} {variant}"), (4, variant)]
+    got = found(spark, [(1, twice), (2, drive)], docs)
+    assert got == {(1, 1): "exact", (2, 2): "exact", (3, 2): "exact"}
