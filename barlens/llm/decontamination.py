@@ -4,7 +4,9 @@ DataFrame functions only.
 Numbers, names and units of texts and benchmark items become typed
 placeholders; what remains is a template. Windows of ``WINDOW`` template tokens
 are hash-joined, so a question whose numbers or names were exchanged still
-matches. For matched items with placeholders, the values are compared: a
+matches. A capital letter makes a name only inside a sentence; in a second form
+(``capitals``) every capitalised word is one, whatever stands before it, so names that
+open a sentence and items quoted inside one match as well. For matched items with placeholders, the values are compared: a
 re-parameterised question replaces equal values by equal values, so item values
 and document values must map one to one (slot consistency).
 
@@ -44,7 +46,7 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "sec", "mi
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
 #: Forms that are joined, in the order in which they are reported: tokens and what stands for each.
-FORMS = {"template": ("toks", "canon")}
+FORMS = {"template": ("toks", "canon"), "capitals": ("toks", "caps")}
 
 
 def _is_mark(t: Column) -> Column:
@@ -56,17 +58,21 @@ def _is_number(t: Column) -> Column:
 
 
 def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
-    """``rows`` with an array of (raw, canon) in place of the text: the lower-cased tokens
-    and what they are in the template."""
+    """``rows`` with an array of (raw, canon, caps) in place of the text: the lower-cased
+    tokens, what they are in the template, and the same with every capitalised word a name."""
     found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
 
     def one(t: Column, i: Column) -> Column:
         before = F.when(i > 0, F.get(F.col("__found"), i - 1))
         first = F.substring(t, 1, 1)
-        is_name = (first != F.lower(first)) & before.isNotNull() & ~_is_mark(before)
-        return F.struct(F.lower(t).alias("raw"), F.when(_is_number(t), F.lit(NUM))
-                        .when(_is_number(before) & F.lower(t).isin(*UNITS), F.lit(UNIT))
-                        .when(is_name, F.lit(NAME)).otherwise(F.lower(t)).alias("canon"))
+        capital = first != F.lower(first)
+
+        def typed_as(is_name: Column) -> Column:
+            return (F.when(_is_number(t), F.lit(NUM)).when(_is_number(before) & F.lower(t).isin(*UNITS), F.lit(UNIT))
+                    .when(is_name, F.lit(NAME)).otherwise(F.lower(t)))
+
+        return F.struct(F.lower(t).alias("raw"), typed_as(capital & before.isNotNull() & ~_is_mark(before)).alias("canon"),
+                        typed_as(capital).alias("caps"))
 
     split = C.settled(rows, "__found", found)
     typed = F.filter(F.transform("__found", one), lambda s: ~_is_mark(s["raw"]))

@@ -83,3 +83,11 @@ def test_repeated_templates_and_variants_before_the_copy(spark):
     docs = [(1, f"Before it. {twice} After it."), (2, f"{variant} {drive}"), (3, f"{drive} {variant}"), (4, variant)]
     got = found(spark, [(1, twice), (2, drive)], docs)
     assert got == {(1, 1): "exact", (2, 2): "exact", (3, 2): "exact"}
+
+
+def test_names_that_open_sentences(spark):
+    picks = "Tom picks 12 apples on Monday. Tom gives 5 apples to his sister. Tom eats 3 apples. How many apples are left?"
+    items = [(1, picks), (2, "What is the capital of France?")]
+    docs = [(1, picks.replace("Tom", "Kim").replace("12", "14")), (2, 'He asked "What is the capital of France?" again.'),
+            (3, "Somebody asked what is the best way to the town."), (4, picks.replace("Tom", "Kim").replace("12", "5").replace("3", "5"))]
+    assert found(spark, items, docs) == {(1, 1): "re-parameterised", (2, 2): "exact"}
