@@ -13,10 +13,14 @@ and document values must map one to one (slot consistency).
 Meetings of windows are grouped into alignments by their offset (place in the
 document less place in the item). A document is contaminated by an item when in one
 alignment ``CONTAINMENT`` of the item's windows occur and ``CONSISTENCY`` of the
-item's slot values are mapped consistently. Windows made of placeholders for more than half match nothing.
+item's slot values are mapped consistently. Windows made of placeholders for more than half match nothing; they
+do in the third form (``plain``), lower-cased words and numbers as they stand, which
+finds word-for-word copies of items that hardly have a template. Scripts without
+spaces count by characters in the last two forms.
 
 Defined cases: a null or empty text has no windows and is clean; items with
-fewer than ``MIN_TOKENS`` tokens can't be told from chance and are skipped; an item
+fewer than ``MIN_TOKENS`` tokens can't be told from chance and are skipped, as are
+items of numbers alone; an item
 shorter than a window is one window; rows are judged one by one, also where
 doc_id repeats or is null; empty tables give empty results.
 """
@@ -46,7 +50,9 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "sec", "mi
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
 #: Forms that are joined, in the order in which they are reported: tokens and what stands for each.
-FORMS = {"template": ("toks", "canon"), "capitals": ("toks", "caps")}
+FORMS = {"template": ("toks", "canon"), "capitals": ("chars", "caps"), "plain": ("chars", "raw")}
+# Scripts written without spaces: their words count character by character.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
 def _is_mark(t: Column) -> Column:
@@ -59,7 +65,8 @@ def _is_number(t: Column) -> Column:
 
 def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
     """``rows`` with an array of (raw, canon, caps) in place of the text: the lower-cased
-    tokens, what they are in the template, and the same with every capitalised word a name."""
+    tokens, what they are in the template, and the same with every capitalised word a name;
+    and ``chars``, the same with words of unspaced scripts cut into characters."""
     found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
 
     def one(t: Column, i: Column) -> Column:
@@ -74,9 +81,16 @@ def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
         return F.struct(F.lower(t).alias("raw"), typed_as(capital & before.isNotNull() & ~_is_mark(before)).alias("canon"),
                         typed_as(capital).alias("caps"))
 
-    split = C.settled(rows, "__found", found)
+    def cut(s: Column) -> Column:
+        letters = F.transform(F.split(s["raw"], ""), lambda c: F.struct(c.alias("raw"), c.alias("canon"), c.alias("caps")))
+        return F.when(s["raw"].rlike(UNSPACED), letters).otherwise(F.array(s))
+
+    unspaced = F.coalesce(F.col("text").rlike(UNSPACED), F.lit(False))
+    split = C.settled(rows.withColumn("__unspaced", unspaced), "__found", found)
     typed = F.filter(F.transform("__found", one), lambda s: ~_is_mark(s["raw"]))
-    return C.settled(split.drop("text"), name, typed).drop("__found")
+    typed = C.settled(split.drop("text"), name, typed).drop("__found")
+    chars = F.when(F.col("__unspaced"), F.flatten(F.transform(name, cut))).otherwise(F.col(name))
+    return C.settled(typed, "chars", chars).drop("__unspaced")
 
 
 def _hashes(tokens: str, field: str) -> Column:
@@ -98,7 +112,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     usable = None
     for form, (tokens, field) in FORMS.items():
         one = (item.select("item_id", F.lit(form).alias("form"), F.col(tokens).alias("toks"))
-               .filter(F.size("toks") >= MIN_TOKENS))
+               .filter((F.size("toks") >= MIN_TOKENS) & F.exists("toks", lambda s: ~_is_number(s["raw"]))))
         one = (C.settled(one, "hashes", _hashes("toks", field))
                .withColumn("reach", F.size("toks")).withColumn("width", F.least(F.size("toks"), F.lit(WINDOW))))
         placed = one.select("form", "item_id", "toks", "reach", "width",

@@ -91,3 +91,10 @@ def test_names_that_open_sentences(spark):
     docs = [(1, picks.replace("Tom", "Kim").replace("12", "14")), (2, 'He asked "What is the capital of France?" again.'),
             (3, "Somebody asked what is the best way to the town."), (4, picks.replace("Tom", "Kim").replace("12", "5").replace("3", "5"))]
     assert found(spark, items, docs) == {(1, 1): "re-parameterised", (2, 2): "exact"}
+
+
+def test_verbatim_copies_without_a_template(spark):
+    items = [(1, "Compute 3 + 4 * 5 - 2."), (2, "WHAT IS THE CAPITAL CITY OF FRANCE"),
+             (3, "小明有三个苹果，他又买了五个，现在一共有几个？"), (4, "Anna, Ben, Carla, Dora and Emil Meet Fritz Gauss In Bonn")]
+    docs = [(i, f"Before it: {t} After it.") for i, t in items] + [(5, items[3][1].lower()), (6, "小明有三本书。"), (7, "Compute 9 + 4 * 5 - 2.")]
+    assert found(spark, items, docs) == {**{(i, i): "exact" for i in range(1, 5)}, (5, 4): "exact"}
