@@ -13,7 +13,9 @@ and looks at few pairs:
   of that token on; pairs that can't reach ``need`` are not verified.
 
 Blocks are the lines of a text; a longer line is cut into overlapping windows, so
-every stretch of ``OVERLAP`` words lies within one block. The whole text is read.
+every stretch of ``OVERLAP`` words of a line lies within one block. The whole text is
+read. Notices wrapped over lines, and templates longer than a block, are found in
+windows over the whole text as wide as the template asks.
 Beside the join, the base phrases of the contract are counted word by word.
 
 Defined cases: a null text is empty, an empty text has no words and no labels;
@@ -82,6 +84,7 @@ class Index:
     def __init__(self, templates: dict[str, str], rank: dict[bytes, tuple], containment: float):
         self.rank = rank
         self.items = []
+        self.lengths = []
         self.prefix: dict[bytes, list] = {}
         for label, text in sorted(templates.items()):
             tokens = sorted(set(words_of(text.encode())), key=lambda w: rank.get(w, (0, w)))
@@ -90,6 +93,7 @@ class Index:
             need = max(1, need_of(len(tokens), containment))
             k = len(self.items)
             self.items.append((label, frozenset(tokens), need))
+            self.lengths.append(len(words_of(text.encode())))
             for place in range(len(tokens) - need + 1):
                 self.prefix.setdefault(tokens[place], []).append((k, place))
         self.keys = self.prefix.keys()
@@ -117,6 +121,16 @@ class Index:
                     yield label, held / len(tokens)
 
 
+    def wrapped(self, words: list, present: set) -> Iterator[tuple[str, float]]:
+        """(label, containment) over the whole text, line breaks as plain separators: for each
+        template windows of twice its words, so every stretch as long as it lies in one."""
+        for (label, tokens, need), n in zip(self.items, self.lengths):
+            if len(tokens & present) >= need:
+                held = max(len(tokens.intersection(words[at:at + 2 * n])) for at in range(0, max(1, len(words) - n), n))
+                if held >= need:
+                    yield label, held / len(tokens)
+
+
 def vocabulary(templates: dict[str, str]) -> list[bytes]:
     return sorted({w for t in templates.values() for w in words_of(t.encode())})
 
@@ -184,6 +198,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
                     for block in blocks(text):
                         for label, share in index.matches(block):
                             best[label] = max(share, best.get(label, 0.0))
+                    for label, share in index.wrapped(words, present):
+                        best[label] = max(share, best.get(label, 0.0))
                 rows.append((len(words), len(starts), min(starts, default=None), max(starts, default=None),
                              ",".join(sorted(base)), ",".join(sorted(base | best.keys())),
                              1.0 if base else max(best.values(), default=0.0), sorted(best.items())))

@@ -88,3 +88,21 @@ def test_odd_rows(odd, empty, spark):
     far = spark.createDataFrame([(1, "x " * 500_000 + "ALL rights, RESERVED")], "doc_id long, text string")
     r = X.digest(far).first()
     assert (r["n_words"], r["first_word"], r["last_word"], r["labels"]) == (500_003, 500_000, 500_000, "reserved")
+
+
+def test_wrapped_notices_and_long_templates(spark):
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General "
+           "Public License as published by\n# the Free Software Foundation, either version 3")
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+           "documentation files (the \"Software\"), to deal")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+           "following conditions\nare met:")
+    filler = "\n".join("some other words stand here" for _ in range(50))
+    rows = [(i, f"{filler}\n{t}\n{filler}") for i, t in enumerate((gpl, mit, bsd))] + [(3, filler), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: {t["label"]: t["containment"] for t in r["templates"]} for r in X.scan(df).collect()}
+    assert got == {0: {"gpl-notice": 1.0}, 1: {"mit-grant": 1.0}, 2: {"bsd": 1.0}, 3: {}, 4: {}}
+    long = " ".join(f"term{i}" for i in range(150))
+    for text in (long, long.replace(" ", "\n")):
+        one = spark.createDataFrame([(1, f"{filler} {text} {filler}")], "doc_id long, text string")
+        assert X.scan(one, {"long": long}).first()["labels"] == "long"
