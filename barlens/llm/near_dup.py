@@ -23,7 +23,9 @@ probability (1 - t**band_rows) ** bands: 5e-6 at 0.75 with 32 bands of 4.
 
 Defined cases: null or blank texts are empty, linked with nothing and kept;
 rows that repeat a doc_id are the same document; a null id never represents a
-component that has another id; an empty table gives an empty table.
+component that has another id; an empty table gives an empty table. Removal
+(``deduplicate``) goes by id and text: an id on several texts, or none, loses only
+the rows that another one represents.
 """
 
 from __future__ import annotations
@@ -109,7 +111,7 @@ class NearDup:
 
     def __init__(self, docs: DataFrame, width: int = WIDTH, threshold: tuple = THRESHOLD, bands: int = BANDS,
                  band_rows: int = BAND_ROWS, step: int = STEP, miss: float = MISS):
-        self.docs = docs.select("doc_id", "text")
+        self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
         self.width, self.threshold, self.bands, self.band_rows = width, threshold, bands, band_rows
         self.step, self.miss = step, miss
         self.rows = bands * band_rows
@@ -117,7 +119,7 @@ class NearDup:
         width, rows = self.width, self.rows
         self.signed = materialize(self.docs.mapInArrow(
             lambda it: sign_batches(it, width, rows),
-            f"doc_id {id_type}, n_shingles bigint, key binary, sig binary"), "dup-signed")
+            f"doc_id {id_type}, text_hash bigint, n_shingles bigint, key binary, sig binary"), "dup-signed")
         worded = self.signed.filter(F.col("key").isNotNull())
         # equal sequences have equal signatures: any row of the class will do
         self.classes = materialize(worded.groupBy("key").agg(
@@ -235,7 +237,29 @@ def near_duplicates(docs: DataFrame, **params) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` without the rows of documents that another one represents."""
-    name = C.fresh(docs, "gone")
-    gone = near_duplicates(docs, **params).filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(materialize(gone, "dup-gone"), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    """``docs`` without the rows that another one represents, decided by id and text: one
+    document of each group stays. Rows equal in both are one document, but without an
+    id nothing says so, and one of them stays."""
+    name, digest = C.fresh(docs, "gone"), C.fresh(docs, "gone_text")
+    dup = NearDup(docs, **params)
+    comps = dup.components()
+    classes = dup.classes.select("key", "copies", "cid").join(comps, "cid", "left").filter("copies > 1 or comp is not null")
+    # the members of every group, rows of one id and text counted as one
+    members = materialize(
+        dup.signed.join(classes.select("key", F.coalesce("comp", "cid").alias("grp")), "key")
+        .groupBy("grp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")), "dup-group-members")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    heads = members.groupBy(F.col("grp").alias("__grp")).agg(F.min(place).alias("head"))
+    judged = members.join(heads, F.col("grp") == F.col("__grp")).withColumn("first", place.eqNullSafe(F.col("head")))
+    # a head of several rows without id: all go, and one of them comes back
+    single = F.col("first") & (F.col("doc_id").isNotNull() | (F.col("c") == 1))
+    judged = materialize(judged.select(F.col("doc_id").alias(name), F.col("text_hash").alias(digest), "first",
+                                       single.alias("stays")).filter("not stays"), "dup-gone")
+    text = F.xxhash64("text")
+    out = docs.join(judged.select(name, digest), F.col("doc_id").eqNullSafe(F.col(name)) & (text == F.col(digest)), "left_anti")
+    back = judged.filter("first").select(digest)
+    if back.isEmpty():
+        return out
+    one = (docs.filter(F.col("doc_id").isNull()).join(back, text == F.col(digest))
+           .dropDuplicates([digest]).drop(digest))
+    return out.unionByName(one)

@@ -64,7 +64,7 @@ def text_key(words: list) -> bytes:
 
 
 def sign_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, n_shingles, key, sig); key and sig are null
+    """(doc_id, text, text_hash) -> (doc_id, text_hash, n_shingles, key, sig); key and sig are null
     where a text has no words."""
     memo, sign = WordHashes(), Signer(rows)
     for batch in batches:
@@ -77,8 +77,8 @@ def sign_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int) -> It
             keys.append(text_key(words) if words else None)
             sigs.append(sign(s).tobytes() if words else None)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "n_shingles", "key", "sig"])
+            [ids, batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
+            names=["doc_id", "text_hash", "n_shingles", "key", "sig"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:

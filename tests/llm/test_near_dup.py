@@ -138,3 +138,13 @@ def test_components(spark):
 
 def test_words_split_on_ascii_white_space_only():
     assert words_of("A B C d\x0be\x1fÀ".encode()) == ["a b c".encode(), b"d", "e\x1fÀ".encode()]
+
+
+def test_rows_without_or_with_repeated_ids_leave_one_by_one(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(20)) for k in "abcd")
+    rows = [(3, b), (5, b), (5, a), (8, a), (None, a), (None, c), (None, d), (None, d), (None, d + " more")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n long")
+    left = near_dup.deduplicate(df)
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert left.columns == df.columns and len(got) == 4
+    assert {(3, b), (5, a), (None, c)} < set(got) and len([t for i, t in got if i is None and t.startswith(d)]) == 1
