@@ -12,6 +12,14 @@ from barlens.llm import sharding as S
 LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
 
 
+# The 256 remainders of CRC-32 and the checksum of the bytes given in hex as ``x``, ``n`` of them.
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"""
+CRC = """xor(list_reduce(
+    list_concat([4294967295], list_transform(range(n), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295)"""
+
+
 def _list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -134,13 +142,10 @@ WITH RECURSIVE jump(doc_id, n, key, b, j) AS (
   UNION ALL{steps}),
 place AS (SELECT doc_id, n, max(b)::INTEGER AS shard FROM jump GROUP BY ALL),
 step AS (
-  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+  {CRC_TABLE}),
 h AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
 crc AS (
-  SELECT doc_id, n + 1 AS size, xor(list_reduce(
-    list_concat([4294967295], list_transform(range(n), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
-    lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) AS text_crc32
+  SELECT doc_id, n + 1 AS size, {CRC} AS text_crc32
   FROM h, step),
 r AS (
   SELECT c.doc_id, c.size::BIGINT AS size, c.text_crc32::BIGINT AS text_crc32, a.shard, g.shard AS grown_shard
@@ -152,3 +157,35 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, (row_number() OVER (PARTIT
     doc_id NULLS FIRST, size, text_crc32, grown_shard) - 1)::BIGINT AS slot, grown_shard
 FROM r, nb
 """
+
+
+# Near words by deletion: equal but for one place, or one is the other without a letter.
+SPELLING = f"""
+WITH RECURSIVE u AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{ascii_uppercase}', '{ascii_lowercase}') AS run
+  FROM documents),
+r AS MATERIALIZED (
+  SELECT run, count(*) AS c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, any_value(doc_id) AS doc_id
+  FROM u WHERE length(run) >= 5 GROUP BY run, u.doc_id),
+step AS ({CRC_TABLE}),
+h AS (SELECT run, c, {CRC} AS h FROM (SELECT *, length(x) // 2 AS n FROM r), step),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+x AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+nb AS MATERIALIZED (
+  SELECT DISTINCT a, b FROM (
+    SELECT p.word AS a, q.word AS b FROM x p JOIN x q ON p.d = q.d AND p.i = q.i AND p.word <> q.word
+    UNION ALL SELECT x.word, v.word FROM x JOIN v ON x.d = v.word
+    UNION ALL SELECT v.word, x.word FROM x JOIN v ON x.d = v.word)),
+g AS (
+  SELECT a AS word, count(*) AS n_near, min((-o.n, b)) AS best FROM nb JOIN v o ON o.word = b GROUP BY a),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * v.n THEN best[2] END AS form,
+    CASE WHEN -best[1] >= 2 * v.n THEN -best[1] END AS form_n
+  FROM v LEFT JOIN g USING (word)),
+way(word, at) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN way USING (word) JOIN f e ON e.word = way.at WHERE e.form IS NULL
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from barlens.llm import (chat, decontamination, language_id, license_scan, mixing, near_dup, oracles, quality, sharding,
-                         topk, toxicity)
+from barlens.llm import (chat, decontamination, language_id, license_scan, line_dedup, mixing, near_dup, oracles, periodic_runs,
+                         quality, sharding, spelling, topk, toxicity)
 from barlens.llm.common import table
 
 SHARDS = 8
@@ -64,6 +64,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.with_trap(table(spark, sf_dir, "conversations")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which are made periodic."""
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stay elsewhere."""
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent forms."""
+    return spelling.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -76,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_topk": op9_topk,
         "op10_chat": op10_chat,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_spelling": op13_spelling,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -89,6 +107,8 @@ def oracle_sql() -> dict[str, str]:
         "op8_sharding": oracles.sharding(SHARDS),
         "op9_topk": topk.SQL,
         "op10_chat": chat.SQL,
+        "op12_line_dedup": line_dedup.SQL,
+        "op13_spelling": oracles.SPELLING,
     }
     if corpus_pipeline.ORACLE_SQL is not None:
         named["pipeline"] = corpus_pipeline.ORACLE_SQL
