@@ -185,7 +185,7 @@ f AS MATERIALIZED (
   SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * v.n THEN best[2] END AS form,
     CASE WHEN -best[1] >= 2 * v.n THEN -best[1] END AS form_n
   FROM v LEFT JOIN g USING (word)),
-way(word, at) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.at WHERE f.form IS NOT NULL)
-SELECT f.word, f.form, way.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
-FROM f JOIN way USING (word) JOIN f e ON e.word = way.at WHERE e.form IS NULL
+way(word, stop) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.stop WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.stop AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN way USING (word) JOIN f e ON e.word = way.stop WHERE e.form IS NULL
 """
