@@ -9,10 +9,11 @@ at most one of two disjoint bigrams, so of two near words the one whose prefix e
 bigram included.
 
 Position limits make the join exact on more than the bigram: behind an untouched
-pivot either all before it, or all after it, is untouched too, and of the side that
-was edited one half is. The join key therefore holds the pivot's place, both word
-lengths, and a hash of the untouched pieces, so even a frequent bigram brings
-together words only that agree in all but half a side. What meets is verified.
+pivot either all before it or all after it is untouched, so the bigram stands in the
+same place, counted from that end, in both words. Going on from the pivot, either the next
+``STEP`` letters are untouched as well, or all that follows them is. The join key is a hash
+of the untouched pieces; a frequent bigram brings together only words that agree in all
+but a few letters, or but what follows them. What meets is verified.
 
 A word's form is its near word with most occurrences, if those are ``ratio`` times the
 word's. Forms are followed to the last by pointer doubling; every step multiplies the
@@ -47,6 +48,8 @@ RATIO = 2
 #: Runs whose CRC-32 this divides lose a letter (see ``counted_words``).
 PLANT = 97
 PREFIX = 3
+#: Letters after a pivot that are tried as one piece.
+STEP = 4
 
 
 def planted(run: str, doc: int, plant: int = PLANT) -> str:
@@ -126,61 +129,49 @@ def _key(*parts) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _pivot_keys(r: str, at: int, shortest: int) -> Iterator[int]:
-    """Keys of a word that looks for partners by its pivot at ``at``, for each length of the partner."""
-    n = len(r)
-    right, left = at + 2 + (n - at - 2) // 2, at // 2
-    for m in range(max(n - 1, shortest), n + 2):
-        yield _key("after", 2, at, n, m, r[:right])                       # edit in the second half of what follows
-        yield _key("after", 1, at, n, m, r[:at + 2], r[right:])           # in its first half
-        yield _key("before", 1, n - at, n, m, r[left:])                   # in the first half of what precedes
-        yield _key("before", 2, n - at, n, m, r[:left], r[at:])           # in its second half
-
-
-def _prefix_keys(s: str, at: int, shortest: int) -> Iterator[int]:
-    """Keys under which a word is found by the bigram at ``at``, for each length of the seeker."""
-    m = len(s)
-    for n in range(max(m - 1, shortest), m + 2):
-        shift = m - n
-        if at + 2 <= n:                                  # the edit comes after: same place in both words
-            cut = at + 2 + (n - at - 2) // 2
-            yield _key("after", 2, at, n, m, s[:cut])
-            yield _key("after", 1, at, n, m, s[:at + 2], s[cut + shift:])
-        place = at - shift                               # it comes before: same place from the end
-        if 0 <= place <= n - 2:
-            cut = place // 2
-            if cut + shift >= 0:
-                yield _key("before", 1, n - place, n, m, s[cut + shift:])
-            yield _key("before", 2, n - place, n, m, s[:cut], s[at:])
+def _seek(r: str, at: int, side: str) -> set[int]:
+    """Keys of a word that looks for words with the bigram at ``at`` in the same place and all
+    letters before it; the partner may be a letter shorter or longer."""
+    end = at + 2 + STEP
+    keys = {_key(side, at, r[:at + 2], r[end - d:]) for d in (-1, 0, 1)}     # the edit is in the step
+    if len(r) >= end:
+        keys.add(_key(side, r[:end]))                                        # it comes later
+    return keys
+
+
+def _hold(s: str, at: int, side: str) -> set[int]:
+    """Keys under which a word is found by its bigram at ``at``."""
+    end = at + 2 + STEP
+    keys = {_key(side, at, s[:at + 2], s[end:])}
+    if len(s) >= end:
+        keys.add(_key(side, s[:end]))
+    return keys
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch], order: dict[str, int], frequency: dict[str, int],
-                 shortest: int) -> Iterator[pa.RecordBatch]:
-    """(word, n) -> (key, seeks, last, word, n); last: rank of the prefix's last bigram."""
-    names = ["key", "seeks", "last", "word", "n"]
+                 seek: bool) -> Iterator[pa.RecordBatch]:
+    """(word) -> (key, word): of its pivots if it seeks, else of all bigrams that are not behind
+    the last one of its prefix."""
+    made = _seek if seek else _hold
     for batch in batches:
-        keys, seeks, last, rows = [], [], [], []
+        keys, rows = [], []
         for i, word in enumerate(batch.column(0).to_pylist()):
             grams = [word[k:k + 2] for k in range(len(word) - 1)]
             ranks = [order[g] for g in grams]
             by_rank = sorted(range(len(grams)), key=lambda k: (ranks[k], k))
-            prefix = sorted(by_rank[:PREFIX])
-            end = ranks[by_rank[PREFIX - 1]]
-            before = len(keys)
-            for at in pivots([(k, frequency[grams[k]]) for k in prefix]):
-                keys.extend(_pivot_keys(word, at, shortest))
-            seeks += [True] * (len(keys) - before)
-            middle = len(keys)
-            for at, rank in enumerate(ranks):
-                if rank <= end:
-                    keys.extend(_prefix_keys(word, at, shortest))
-            seeks += [False] * (len(keys) - middle)
-            last += [end] * (len(keys) - before)
-            rows += [i] * (len(keys) - before)
-        rows = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(seeks, pa.bool_()), pa.array(last, pa.int32()),
-             batch.column(0).take(rows), batch.column(1).take(rows)], names=names)
+            if seek:
+                places = pivots([(k, frequency[grams[k]]) for k in sorted(by_rank[:PREFIX])])
+            else:
+                end = ranks[by_rank[PREFIX - 1]]
+                places = [k for k, rank in enumerate(ranks) if rank <= end]
+            back = word[::-1]
+            own = set()
+            for at in places:
+                own |= made(word, at, ">") | made(back, len(word) - at - 2, "<")
+            keys.extend(own)
+            rows += [i] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(0).take(pa.array(rows, pa.int64()))],
+                                         names=["key", "word"])
 
 
 def near_words(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -190,18 +181,14 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
         raise ValueError(f"words need {PREFIX + 1} code points to have {PREFIX} bigrams")
     frequency = gram_frequencies(words)
     order = {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))}
-    keyed = materialize(words.select("word", "n").mapInArrow(
-        lambda it: _key_batches(it, order, frequency, min_length),
-        "key bigint, seeks boolean, last int, word string, n bigint"), "spelling-keys")
-    seeker = keyed.filter("seeks").select("key", F.col("last").alias("last_r"), F.col("word").alias("r"), F.col("n").alias("nr"))
-    found = keyed.filter("not seeks").select("key", "last", "word", "n")
-    met = (seeker.join(found, "key").filter((F.col("last_r") <= F.col("last")) & (F.col("r") != F.col("word")))
+    sides = [words.select("word").mapInArrow(lambda it, seek=seek: _key_batches(it, order, frequency, seek), "key bigint, word string")
+             for seek in (True, False)]
+    met = (sides[0].withColumnRenamed("word", "r").join(sides[1], "key")
+           .filter((F.col("r") != F.col("word")) & (F.abs(F.length("r") - F.length("word")) <= 1))
            .filter(F.levenshtein("r", "word", 1) == 1))
-    swap = F.col("r") < F.col("word")
-    return met.select(F.when(swap, F.col("r")).otherwise(F.col("word")).alias("a"),
-                      F.when(swap, F.col("nr")).otherwise(F.col("n")).alias("na"),
-                      F.when(swap, F.col("word")).otherwise(F.col("r")).alias("b"),
-                      F.when(swap, F.col("n")).otherwise(F.col("nr")).alias("nb")).distinct()
+    pairs = met.select(F.least("r", "word").alias("a"), F.greatest("r", "word").alias("b")).distinct()
+    n = {c: words.select(F.col("word").alias(c), F.col("n").alias(f"n{c}")) for c in "ab"}
+    return pairs.join(n["a"], "a").join(n["b"], "b").select("a", "na", "b", "nb")
 
 
 def roots(forms: DataFrame) -> DataFrame:

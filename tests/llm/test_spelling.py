@@ -102,10 +102,11 @@ def test_every_edit_shares_a_key(r, at, letter, edit, rng):
     rng.shuffle(grams)
     order = {g: i for i, g in enumerate(grams)}
     import pyarrow as pa
-    words = pa.RecordBatch.from_arrays([pa.array([r, s]), pa.array([1, 1])], names=["word", "n"])
-    keyed = next(S._key_batches(iter([words]), order, {g: 1 + i // 3 for g, i in order.items()}, 5)).to_pylist()
-    assert any(x["key"] == y["key"] and x["word"] != y["word"] and x["seeks"] and not y["seeks"] and x["last"] <= y["last"]
-               for x in keyed for y in keyed)
+    words = pa.RecordBatch.from_arrays([pa.array([r, s])], names=["word"])
+    seek, hold = (next(S._key_batches(iter([words]), order, {g: 1 + i // 3 for g, i in order.items()}, x)).to_pylist()
+                  for x in (True, False))
+    last = {w: sorted(order[w[k:k + 2]] for k in range(len(w) - 1))[2] for w in (r, s)}
+    assert any(x["key"] == y["key"] and x["word"] != y["word"] and last[x["word"]] <= last[y["word"]] for x in seek for y in hold)
 
 
 def test_pivots_are_the_lightest_disjoint_pair():
@@ -119,7 +120,7 @@ def test_pivots_are_the_lightest_disjoint_pair():
 
 
 def test_frequent_bigrams_bring_few_candidates(spark):
-    """Words that share their bigrams and lengths but not their halves don't meet."""
+    """Words that share their ends and their length but no more of them don't meet."""
     rng = random.Random(9)
     counts = []
     for size in (200, 400, 800):
@@ -129,9 +130,9 @@ def test_frequent_bigrams_bring_few_candidates(spark):
         words = frame(spark, {w: 3 for w in words})
         frequency = S.gram_frequencies(words)
         order = {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))}
-        keyed = words.mapInArrow(lambda it: S._key_batches(it, order, frequency, 5),
-                                 "key bigint, seeks boolean, last int, word string, n bigint")
-        met = keyed.filter("seeks").select("key", "word").join(keyed.filter("not seeks").select("key", "last"), "key")
+        seek, hold = (words.select("word").mapInArrow(lambda it, x=x: S._key_batches(it, order, frequency, x), "key bigint, word string")
+                      for x in (True, False))
+        met = seek.join(hold.select("key"), "key")
         counts.append(met.count() / size)
     assert counts[2] < 2 * counts[0]
 
