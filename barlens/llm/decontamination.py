@@ -93,8 +93,49 @@ def tokenised(rows: DataFrame, name: str = "toks") -> DataFrame:
     return C.settled(typed, "chars", chars).drop("__unspaced")
 
 
-def _hashes(tokens: str, field: str) -> Column:
-    return F.transform(tokens, lambda s: F.xxhash64(s[field]))
+def _hash(s: Column, field: str) -> Column:
+    """What stands for a token in a window's hash: the raw token's hash or its placeholder's number."""
+    out = F.xxhash64(s["raw"])
+    for k, slot in enumerate(SLOTS) if field != "raw" else ():
+        out = F.when(s[field] == slot, F.lit(k + 1).cast("bigint")).otherwise(out)
+    return out
+
+
+def hashed_tokens(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``toks`` and ``chars`` as in ``tokenised``, in place of the text, of (raw: hash of the
+    lower-cased token; canon, caps: number of the placeholder, null where the token stands). It looks at
+    first letters where it can, and makes no string but the lower-cased token."""
+    found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
+    unspaced = F.coalesce(F.col("text").rlike(UNSPACED), F.lit(False))
+    marks = [ord(m) for m in ".!?:\n"]
+    none = F.lit(None).cast("bigint")
+    code = {slot: F.lit(k + 1).cast("bigint") for k, slot in enumerate(SLOTS)}
+
+    def one(t: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(F.col("__found"), i - 1))
+        first, lead = F.ascii(t), F.ascii(before)
+        initial = F.substring(t, 1, 1)
+        capital = F.when(first < 128, first.between(65, 90)).otherwise(initial != F.lower(initial))
+
+        def typed_as(is_name: Column) -> Column:
+            return (F.when(first.between(48, 57), code[NUM])
+                    .when(lead.between(48, 57) & F.lower(t).isin(*UNITS), code[UNIT]).when(is_name, code[NAME]))
+
+        return F.struct(F.xxhash64(F.lower(t)).alias("raw"), typed_as(capital & before.isNotNull() & ~lead.isin(*marks)).alias("canon"),
+                        typed_as(capital).alias("caps"), first.isin(*marks).alias("mark"))
+
+    def letters(t: Column, s: Column) -> Column:
+        each = F.transform(F.split(F.lower(t), ""), lambda c: F.struct(
+            F.xxhash64(c).alias("raw"), none.alias("canon"), none.alias("caps"), F.lit(False).alias("mark")))
+        return F.when(t.rlike(UNSPACED), each).otherwise(F.array(s))
+
+    split = C.settled(rows.withColumn("__unspaced", unspaced), "__found", found)
+    typed = C.settled(split.drop("text"), "__typed", F.transform("__found", one))
+    cut = F.flatten(F.zip_with("__found", "__typed", letters))
+    kept = [F.filter(x, lambda s: ~s["mark"]) for x in (F.col("__typed"), cut)]
+    toks = C.settled(typed, "toks", kept[0])
+    return C.settled(toks, "chars", F.when(F.col("__unspaced"), kept[1]).otherwise(F.col("toks"))) \
+        .drop("__unspaced", "__found", "__typed")
 
 
 def _windows(canon: Column, width: Column | int) -> Column:
@@ -113,7 +154,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     for form, (tokens, field) in FORMS.items():
         one = (item.select("item_id", F.lit(form).alias("form"), F.col(tokens).alias("toks"))
                .filter((F.size("toks") >= MIN_TOKENS) & F.exists("toks", lambda s: ~_is_number(s["raw"]))))
-        one = (C.settled(one, "hashes", _hashes("toks", field))
+        one = (C.settled(one, "hashes", F.transform("toks", lambda s: _hash(s, field)))
                .withColumn("reach", F.size("toks")).withColumn("width", F.least(F.size("toks"), F.lit(WINDOW))))
         placed = one.select("form", "item_id", "toks", "reach", "width",
                             F.posexplode(_windows(F.col("hashes"), F.col("width"))).alias("at", "hash"))
@@ -130,6 +171,28 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         .drop("__item", "__form")
 
 
+def document_windows(texts: DataFrame, widths: list[tuple[str, int]]) -> DataFrame:
+    """(doc_id, text_hash, form, width, doc_at, hash) of every window of the given (form, width)s.
+
+    A row per place is generated first and its windows are hashed after that, column by column:
+    so both steps, and the join that follows, run in compiled code, and no array is sliced.
+    """
+    if not widths:
+        widths = [("template", WINDOW)]
+    hashed = hashed_tokens(texts)
+    at = F.col("doc_at")
+    places = hashed.withColumn("doc_at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("toks"), F.size("chars"), F.lit(1)) - 1)))
+    made = []
+    for form, width in widths:
+        tokens, field = FORMS[form]
+        each = [F.get(F.col(tokens), at + k) for k in range(width)]
+        elements = [x["raw"] if field == "raw" else F.coalesce(x[field], x["raw"]) for x in each]
+        made.append(F.when(at + width <= F.size(tokens), F.struct(
+            F.lit(form).alias("form"), F.lit(width).alias("width"), F.xxhash64(*elements).alias("hash"))))
+    return (places.select("doc_id", "text_hash", "doc_at", F.explode(F.array(*made)).alias("w")).filter(F.col("w").isNotNull())
+            .select("doc_id", "text_hash", "w.form", "w.width", "doc_at", "w.hash"))
+
+
 def row_key() -> list[Column]:
     """What tells rows apart even where doc_id repeats or is null."""
     return [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]
@@ -146,16 +209,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
     texts = docs.select(*row_key(), "text")
-    # template tokens as hashes: windows are then hashed over fixed-width values
-    hashed = tokenised(texts)
-    for form, (tokens, field) in FORMS.items():
-        hashed = C.settled(hashed, f"__{form}", _hashes(tokens, field))
-    per_width = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(w).alias("w"), _windows(F.col(f"__{f}"), w).alias("hashes"))
-                          for f, w in widths]) \
-        if widths else F.array().cast("array<struct<f:string,w:int,hashes:array<bigint>>>")
-    windows = (hashed.select("doc_id", "text_hash", F.explode(per_width).alias("p"))
-               .select("doc_id", "text_hash", F.col("p.f").alias("form"), F.col("p.w").alias("width"),
-                       F.posexplode("p.hashes").alias("doc_at", "hash")))
+    windows = document_windows(texts, widths)
     pair = ["doc_id", "text_hash", "item_id", "form"]
     met = materialize(windows.join(known, ["form", "hash", "width"])
                       .select(*pair, "n_windows", "width", "reach", "at", "doc_at").distinct(), "benchmark-met")
@@ -218,15 +272,19 @@ def slot_values(texts: DataFrame, placed: DataFrame, enough: DataFrame, items: D
               .select(*[f"w.{c}" for c in key], F.col("s0.s.value").alias("value"),
                       (F.col("w.doc_at") + F.col("s0.s.place")).alias("place")))
     wanted = materialize(wanted, "benchmark-slots")
-    some = wanted.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
+    # a row per text, with all places that are looked up in it; no token but those leaves the row
+    row = ["doc_id", "text_hash"]
+    asked = (wanted.groupBy(*row).agg(F.collect_set(F.struct("form", "place")).alias("__asked"))
+             .select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "__asked"))
     same_row = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t"))
-    raw = tokenised(texts.join(some, same_row, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
-    raws = F.array(*[F.struct(F.lit(form).alias("f"), F.transform(tokens, lambda x: x["raw"]).alias("raw"))
-                     for form, (tokens, _) in FORMS.items()])
-    raw = (raw.select("doc_id", "text_hash", F.explode(raws).alias("p"))
-           .select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("p.f").alias("__f"),
-                   F.posexplode("p.raw").alias("__place", "image")))
-    met_values = (wanted.join(raw, same_row & (F.col("form") == F.col("__f")) & (F.col("place") == F.col("__place")))
+    split = tokenised(texts.join(asked, same_row).dropDuplicates(row))
+    image = F.lit(None).cast("string")
+    for form, (tokens, _) in FORMS.items():
+        image = F.when(F.col("p.form") == form, F.get(F.col(tokens), F.col("p.place"))["raw"]).otherwise(image)
+    found = (split.withColumn("p", F.explode("__asked"))
+             .select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("p.form").alias("__f"),
+                     F.col("p.place").alias("__place"), image.alias("image")))
+    met_values = (wanted.join(found, same_row & (F.col("form") == F.col("__f")) & (F.col("place") == F.col("__place")))
                   .select(*key, "value", "image").distinct())
     # a consistent value has one image, and is the only one that has it
     by_value, by_image = Window.partitionBy(*key, "value"), Window.partitionBy(*key, "image")
