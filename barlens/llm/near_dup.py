@@ -4,8 +4,11 @@
    its word sequence and a MinHash signature. Equal sequences are one class;
    everything below works on classes, named by a 64-bit hash of the digest.
 2. Classes that agree on all rows of a band are candidates. A band's bucket is
-   not expanded into pairs: its members are compared with one random member, the
-   hub; as hubs differ from band to band, most of a large group is connected then.
+   not expanded into pairs: its members have one random member, the hub, for company.
+   Of the up to ``bands`` hubs of a class only the least is compared at first, which
+   connects most of a large group. Of what is left, only hubs in another
+   component count, and of all pairs between two components a few at a time
+   (one, eight, 64, ...), until none is left that was not compared.
 3. Candidate signatures are compared batch by batch. After n compared rows with
    m agreeing, the posterior of the similarity under a uniform prior is
    Beta(m + 1, n - m + 1); a pair is dropped once the probability that its
@@ -14,8 +17,12 @@
 5. Members of a bucket that hubs left in different components may still be linked.
    Of these pairs, those that a prefix, length and position filter on the full
    sets (rarest shingle first) can't rule out go through steps 3 and 4 as well.
-   The filter is exact, so nothing is lost by it; a group of texts that share much
-   but not enough costs rows in proportion to its size, not to its square.
+   The filter is exact, so nothing is lost by it. The larger set of a pair looks with
+   the n - 0.75 n + 1 rarest of its n shingles, the smaller one is found by the
+   n - 0.857 n + 1 rarest of its own: 2 t / (1 + t) of the smaller set must be shared. So the
+   shingles that a crowd of texts has in common, but that are less than that part of
+   each, are found by no one, and shingles that no one is found by are left out
+   before the join.
 6. Verified links give connected components; the least doc_id represents each.
 
 With bands of ``band_rows`` rows a pair at the threshold t shares no band with
@@ -128,7 +135,7 @@ class NearDup:
             .withColumn("cid", F.xxhash64("key")), "dup-classes")
 
     def _members(self) -> DataFrame:
-        """(bucket, cid, n, hub) of every class in every band it shares with another class."""
+        """(bucket, cid, n, hub, hub_n) of every class in every band it shares with another class."""
         w = 4 * self.band_rows
         band = F.explode(F.sequence(F.lit(0), F.lit(self.bands - 1))).alias("band")
         # which member is the hub: the least id under a mask of the bucket's own
@@ -136,8 +143,9 @@ class NearDup:
         placed = (self.classes.select("cid", "n", "sig", band)
                   .select(F.xxhash64(F.expr(f"substring(sig, band * {w} + 1, {w})"), "band").alias("bucket"), "cid", "n")
                   .withColumn("masked", F.col("cid").bitwiseXOR(mask)))
-        shared = (placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("masked").alias("least"))
-                  .filter("c > 1").select("bucket", F.col("least").bitwiseXOR(mask).alias("hub")))
+        shared = (placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("masked", "n")).alias("least"))
+                  .filter("c > 1").select("bucket", F.col("least.masked").bitwiseXOR(mask).alias("hub"),
+                                          F.col("least.n").alias("hub_n")))
         return materialize(placed.drop("masked").join(shared, "bucket"), "dup-members")
 
     def _sets(self, members: DataFrame) -> DataFrame:
@@ -169,9 +177,9 @@ class NearDup:
         num, den = self.threshold
         return F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
 
-    def _cross_pairs(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs (a, b) in different components that share a bucket's company and that
-        the filters on their full sets leave open."""
+    def _prefix_sides(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        """(seekers, holders), to be joined on ``shingle``: prefix entries of classes that share a
+        bucket's company with another component."""
         num, den = self.threshold
         placed = (members.join(comps.withColumnsRenamed({"node": "cid", "component": "comp"}), "cid", "left")
                   .withColumn("comp", F.coalesce("comp", "cid")))
@@ -182,35 +190,82 @@ class NearDup:
         tokens = (sets.join(open_, "cid").select("cid", "n", "comp", "shingles")
                   .mapInArrow(_explode_sets, "cid bigint, n bigint, comp bigint, shingle bigint"))
         tokens = materialize(tokens, "dup-tokens")
-        df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-        # a set's shingles, rarest first; the threshold leaves n - ceil(t * n) + 1 to its prefix
+        df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        # a set's shingles, rarest first; those that stand nowhere else come before all others
         order = Window.partitionBy("cid").orderBy("df", "shingle")
-        entries = (tokens.join(df, "shingle").withColumn("p", F.row_number().over(order) - 1)
-                   .filter((F.col("df") > 1) & (F.lit(den) * (F.col("n") - F.col("p")) >= F.lit(num) * F.col("n")))
-                   .select("shingle", "cid", "n", "comp", "p"))
+        shared = tokens.join(df, "shingle")
+        alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("cid"))
+        entries = (shared.withColumn("p", alone + F.row_number().over(order) - 1)
+                   .filter(F.lit(den) * (F.col("n") - F.col("p")) >= F.lit(num) * F.col("n"))
+                   .withColumn("holds", F.lit(den + num) * (F.col("n") - F.col("p")) >= F.lit(2 * num) * F.col("n"))
+                   .select("shingle", "cid", "n", "comp", "p", "holds"))
         entries = materialize(entries, "dup-prefixes")
-        # the most frequent component of a shingle is home; only others look for partners
-        home = (entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"))
-                .groupBy("shingle").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k"))
-                .filter("k > 1").select("shingle", F.col("top.comp").alias("home")))
-        met = entries.join(home, "shingle")
-        away = met.filter("comp <> home").select("shingle", F.col("cid").alias("a"), F.col("n").alias("na"),
-                                                 F.col("comp").alias("ca"), F.col("p").alias("pa"))
-        room = F.lit(den + num) * F.least(F.col("n") - F.col("p"), F.col("na") - F.col("pa")) \
-            >= F.lit(num) * (F.col("n") + F.col("na"))
-        return (met.join(away, "shingle").filter("comp <> ca and (comp = home or cid < a)")
-                .filter(self._near("n", "na") & room)
-                .select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct())
+        # the most frequent component of a shingle is home: no two of home meet
+        home = (entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("holds").alias("h"))
+                .groupBy("shingle").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k"), F.max("h").alias("h"))
+                .filter("k > 1 and h").select("shingle", F.col("top.comp").alias("home")))
+        met = materialize(entries.join(home, "shingle"), "dup-met")
+        held = met.filter("holds").select("shingle", *[F.col(c).alias(f"{c}_h") for c in ("cid", "n", "comp", "p", "home")])
+        return [(met, held.filter("comp_h <> home_h")), (met.filter("comp <> home"), held.filter("comp_h = home_h"))]
+
+    def _cross_pairs(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs (a, b) in different components that share a bucket's company and that
+        the filters on their full sets leave open."""
+        num, den = self.threshold
+        room = F.lit(den + num) * F.least(F.col("n") - F.col("p"), F.col("n_h") - F.col("p_h")) \
+            >= F.lit(num) * (F.col("n") + F.col("n_h"))
+        pairs = [seek.join(hold, "shingle").filter("n >= n_h and comp <> comp_h").filter(self._near("n", "n_h") & room)
+                 .select(F.least("cid", "cid_h").alias("a"), F.greatest("cid", "cid_h").alias("b"))
+                 for seek, hold in self._prefix_sides(members, comps, sets)]
+        return pairs[0].union(pairs[1]).distinct()
+
+    def _hub_links(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """Verified links among classes and hubs that connect what can be connected by them."""
+        stars = members.filter("hub <> cid").filter(self._near("n", "hub_n"))
+        first = stars.groupBy("cid").agg(F.min("hub").alias("hub")) \
+            .select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
+        first = materialize(first, "dup-first")
+        links = [self._links(first, sets)]
+        comps = materialize(connected_components(links[0]), "dup-comps").withColumnsRenamed({"node": "cid", "component": "comp"})
+        # buckets whose members are not all in the hub's component
+        placed = members.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        split = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                              F.max(F.when(F.col("cid") == F.col("hub"), F.col("comp"))).alias("hub_comp"))
+                 .filter("c0 <> c1").select("bucket", "hub_comp"))
+        left = (placed.filter(self._near("n", "hub_n")).join(split, "bucket").filter("comp <> hub_comp")
+                .select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b"),
+                        F.least("comp", "hub_comp").alias("ca"), F.greatest("comp", "hub_comp").alias("cb")).distinct()
+                .join(first, ["a", "b"], "left_anti"))
+        left = materialize(left, "dup-left")
+        share = 1
+        while True:
+            some = F.pmod(F.xxhash64("a", "b"), F.lit(share))
+            take = materialize(left.groupBy("ca", "cb", some.alias("s")).agg(F.min(F.struct("a", "b")).alias("p"))
+                               .select("p.a", "p.b", "ca", "cb"), "dup-take")
+            if take.isEmpty():
+                break
+            links.append(self._links(take.select("a", "b"), sets))
+            left = left.join(take.select("a", "b"), ["a", "b"], "left_anti")
+            if not links[-1].isEmpty():
+                joined = connected_components(take.join(links[-1], ["a", "b"], "left_semi").select("ca", "cb"))
+                joined = materialize(joined, "dup-joined")
+                for c in ("ca", "cb"):
+                    left = (left.join(joined.withColumnsRenamed({"node": c, "component": "to"}), c, "left")
+                            .withColumn(c, F.coalesce("to", c)).drop("to"))
+                left = left.filter("ca <> cb").select(
+                    "a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
+            left = materialize(left, "dup-left")
+            share *= 8
+        out = links[0]
+        for more in links[1:]:
+            out = out.union(more)
+        return out
 
     def components(self) -> DataFrame:
         """(cid, comp) of every class that is linked with another one."""
         members = self._members()
         sets = self._sets(members)
-        sizes = self.classes.select(F.col("cid").alias("hub"), F.col("n").alias("hub_n"))
-        stars = (members.select("hub", "cid", "n").filter("hub <> cid").distinct()
-                 .join(sizes, "hub").filter(self._near("n", "hub_n"))
-                 .select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct())
-        links = self._links(stars, sets)
+        links = self._hub_links(members, sets)
         comps = materialize(connected_components(links), "dup-comps")
         late = self._links(self._cross_pairs(members, comps, sets), sets)
         if not late.isEmpty():
@@ -239,7 +294,8 @@ def near_duplicates(docs: DataFrame, **params) -> DataFrame:
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
     """``docs`` without the rows that another one represents, decided by id and text: one
     document of each group stays. Rows equal in both are one document, but without an
-    id nothing says so, and one of them stays."""
+    id nothing says so, and one of them stays. The texts are dealt by id and digest once, at any
+    size: who goes may be a third of all rows."""
     name, digest = C.fresh(docs, "gone"), C.fresh(docs, "gone_text")
     dup = NearDup(docs, **params)
     comps = dup.components()
@@ -256,7 +312,7 @@ def deduplicate(docs: DataFrame, **params) -> DataFrame:
     judged = materialize(judged.select(F.col("doc_id").alias(name), F.col("text_hash").alias(digest), "first",
                                        single.alias("stays")).filter("not stays"), "dup-gone")
     text = F.xxhash64("text")
-    out = docs.join(judged.select(name, digest), F.col("doc_id").eqNullSafe(F.col(name)) & (text == F.col(digest)), "left_anti")
+    out = docs.join(judged.select(name, digest).hint("merge"), F.col("doc_id").eqNullSafe(F.col(name)) & (text == F.col(digest)), "left_anti")
     back = judged.filter("first").select(digest)
     if back.isEmpty():
         return out
