@@ -101,41 +101,45 @@ def _hash(s: Column, field: str) -> Column:
     return out
 
 
-def hashed_tokens(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``toks`` and ``chars`` as in ``tokenised``, in place of the text, of (raw: hash of the
-    lower-cased token; canon, caps: number of the placeholder, null where the token stands). It looks at
-    first letters where it can, and makes no string but the lower-cased token."""
-    found = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
-    unspaced = F.coalesce(F.col("text").rlike(UNSPACED), F.lit(False))
-    marks = [ord(m) for m in ".!?:\n"]
-    none = F.lit(None).cast("bigint")
-    code = {slot: F.lit(k + 1).cast("bigint") for k, slot in enumerate(SLOTS)}
+# A token with the mark before it, if one stands there; the token alone is the group.
+MARKED = r"(?:[.!?:\n][^\p{L}0-9]*)?([0-9]+(?:[.,][0-9]+)*|\p{L}+)"
+#: Placeholders of a token in the template and with every capitalised word a name, as 4 * canon + caps.
+KINDS = {NUM: 4 + 1, NAME: 8 + 2, UNIT: 12 + 3}
 
-    def one(t: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get(F.col("__found"), i - 1))
-        first, lead = F.ascii(t), F.ascii(before)
-        initial = F.substring(t, 1, 1)
-        capital = F.when(first < 128, first.between(65, 90)).otherwise(initial != F.lower(initial))
 
-        def typed_as(is_name: Column) -> Column:
-            return (F.when(first.between(48, 57), code[NUM])
-                    .when(lead.between(48, 57) & F.lower(t).isin(*UNITS), code[UNIT]).when(is_name, code[NAME]))
-
-        return F.struct(F.xxhash64(F.lower(t)).alias("raw"), typed_as(capital & before.isNotNull() & ~lead.isin(*marks)).alias("canon"),
-                        typed_as(capital).alias("caps"), first.isin(*marks).alias("mark"))
-
-    def letters(t: Column, s: Column) -> Column:
-        each = F.transform(F.split(F.lower(t), ""), lambda c: F.struct(
-            F.xxhash64(c).alias("raw"), none.alias("canon"), none.alias("caps"), F.lit(False).alias("mark")))
-        return F.when(t.rlike(UNSPACED), each).otherwise(F.array(s))
-
-    split = C.settled(rows.withColumn("__unspaced", unspaced), "__found", found)
-    typed = C.settled(split.drop("text"), "__typed", F.transform("__found", one))
-    cut = F.flatten(F.zip_with("__found", "__typed", letters))
-    kept = [F.filter(x, lambda s: ~s["mark"]) for x in (F.col("__typed"), cut)]
-    toks = C.settled(typed, "toks", kept[0])
-    return C.settled(toks, "chars", F.when(F.col("__unspaced"), kept[1]).otherwise(F.col("toks"))) \
-        .drop("__unspaced", "__found", "__typed")
+def hashed_tokens(rows: DataFrame) -> DataFrame:
+    """``rows`` with arrays in place of the text: ``toks`` and ``chars``, hashes of the lower-cased tokens
+    as in ``tokenised``, and ``toks_kind`` and ``chars_kind``, what stands for them (``KINDS``, 0 where the
+    token does). Plain numbers and comparisons of strings, so that a token costs little."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # characters from U+0E00 on are rare in most texts, and quickly looked for
+    unspaced = F.coalesce(F.col("text").rlike(r"[^\x00-\u0DFF]") & F.col("text").rlike(UNSPACED), F.lit(False))
+    rows = C.settled(rows.withColumn("__unspaced", unspaced), "__bare", F.regexp_extract_all(text, F.lit(MARKED), F.lit(1)))
+    rows = C.settled(rows, "__full", F.regexp_extract_all(text, F.lit(MARKED), F.lit(0))).drop("text")
+
+    def number(t: Column) -> Column:
+        return (t >= "0") & (t < ":")
+
+    def kind(t: Column, i: Column) -> Column:
+        follows = F.get(F.col("__full"), i) == t                 # no mark before it
+        initial = F.substring(t, 1, 1)
+        capital = F.when(t < "\u0080", (t >= "A") & (t < "[")).otherwise(initial != F.lower(initial))
+        counted = (i > 0) & number(F.get(F.col("__bare"), i - 1))
+        # most tokens are small letters that follow no number
+        return (F.when((t >= "a") & (t < "{") & ~counted, 0).when(number(t), KINDS[NUM])
+                .when(counted & follows & F.lower(t).isin(*UNITS), KINDS[UNIT])
+                .when(capital, F.when((i > 0) & follows, KINDS[NAME]).otherwise(KINDS[NAME] % 4)).otherwise(0))
+
+    rows = C.settled(rows, "toks", F.transform("__bare", lambda t: F.xxhash64(F.lower(t))))
+    rows = C.settled(rows, "toks_kind", F.transform("__bare", kind))
+    cut = F.col("__unspaced")
+    chars = F.transform("__bare", lambda t, i: F.when(t.rlike(UNSPACED), F.transform(F.split(F.lower(t), ""), lambda c: F.xxhash64(c)))
+                        .otherwise(F.array(F.get(F.col("toks"), i))))
+    kinds = F.transform("__bare", lambda t, i: F.when(t.rlike(UNSPACED), F.transform(F.split(F.lower(t), ""), lambda c: F.lit(0)))
+                        .otherwise(F.array(F.get(F.col("toks_kind"), i))))
+    rows = C.settled(rows, "chars", F.when(cut, F.flatten(chars)).otherwise(F.col("toks")))
+    return C.settled(rows, "chars_kind", F.when(cut, F.flatten(kinds)).otherwise(F.col("toks_kind"))) \
+        .drop("__unspaced", "__bare", "__full")
 
 
 def _windows(canon: Column, width: Column | int) -> Column:
@@ -185,9 +189,13 @@ def document_windows(texts: DataFrame, widths: list[tuple[str, int]]) -> DataFra
     made = []
     for form, width in widths:
         tokens, field = FORMS[form]
-        each = [F.get(F.col(tokens), at + k) for k in range(width)]
-        elements = [x["raw"] if field == "raw" else F.coalesce(x[field], x["raw"]) for x in each]
-        made.append(F.when(at + width <= F.size(tokens), F.struct(
+        hashes, kinds = F.col(tokens), F.col(f"{tokens}_kind")
+        elements = []
+        for k in range(width):
+            raw, kind = F.get(hashes, at + k), F.get(kinds, at + k)
+            slot = F.shiftright(kind, 2) if field == "canon" else kind.bitwiseAND(F.lit(3))
+            elements.append(raw if field == "raw" else F.when(slot > 0, slot.cast("bigint")).otherwise(raw))
+        made.append(F.when(at + width <= F.size(hashes), F.struct(
             F.lit(form).alias("form"), F.lit(width).alias("width"), F.xxhash64(*elements).alias("hash"))))
     return (places.select("doc_id", "text_hash", "doc_at", F.explode(F.array(*made)).alias("w")).filter(F.col("w").isNotNull())
             .select("doc_id", "text_hash", "w.form", "w.width", "doc_at", "w.hash"))
