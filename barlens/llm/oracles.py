@@ -43,29 +43,46 @@ FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 
 
 def license_scan() -> str:
+    """Base phrases place by place; every block of every template from its first to its last word."""
     phrases = " UNION ALL ".join(f"SELECT {_list(p.split())} AS p, '{label}' AS label" for p, label in L.PHRASES.items())
-    templates = " UNION ALL ".join(
-        f"SELECT '{label}' AS label, {_list(sorted({w.decode() for w in L.words_of(t.encode())}))} AS t"
-        for label, t in L.TEMPLATES.items())
+    templates = []
+    for k, t in enumerate(L.TEMPLATES):
+        words = [w.decode() for w in L.words_of(t.text.encode())]
+        n = len(set(words))
+        templates.append(f"SELECT {k} AS k, '{t.label}' AS label, {_list(sorted(set(words)))} AS t, {n} AS size, "
+                         f"{L.need_of(n, L.CONTAINMENT)} AS need, {L.width_of(len(words))} AS width, "
+                         f"{_list(t.must)}::VARCHAR[] AS must, {_list(t.never)}::VARCHAR[] AS never")
     word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
-    step = L.BLOCK - L.OVERLAP
     return f"""
-WITH d AS MATERIALIZED (SELECT doc_id, {LOWER} AS t, regexp_extract_all({LOWER}, {word}) AS w FROM documents),
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWER}, {word}) AS w FROM documents),
 ph AS ({phrases}),
-tm AS ({templates}),
+tm AS MATERIALIZED ({" UNION ALL ".join(templates)}),
 b AS (
   SELECT doc_id, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS pos FROM d, ph),
 ba AS (
   SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels
   FROM b GROUP BY doc_id),
-li AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), {word}) AS w FROM d),
-bl AS (
-  SELECT doc_id, w[k + 1:k + {L.BLOCK}] AS w FROM (
-    SELECT doc_id, w, unnest(list_concat([0], range({step}, greatest({step}, len(w) - {L.OVERLAP}), {step}))) AS k FROM li)),
-m AS (
-  SELECT doc_id, label, max(len(list_intersect(t, w)) / len(t)) AS share FROM bl, tm
-  WHERE len(list_intersect(t, w)) >= {L.CONTAINMENT} * len(t) - 1e-9 GROUP BY ALL),
-me AS (SELECT doc_id, list(label) AS labels, max(share) AS share FROM m GROUP BY doc_id)
+tok AS (SELECT k, unnest(t) AS word FROM tm),
+hit AS MATERIALIZED (
+  SELECT doc_id, k, pos, word FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d) JOIN tok USING (word)),
+run AS (
+  SELECT e.doc_id, e.k, e.pos AS last, min(s.pos) AS start, count(DISTINCT s.word) AS held
+  FROM hit e JOIN tm USING (k) JOIN hit s ON s.doc_id = e.doc_id AND s.k = e.k AND s.pos BETWEEN e.pos - tm.width + 1 AND e.pos
+  GROUP BY ALL),
+blk AS MATERIALIZED (
+  SELECT DISTINCT doc_id, label, start, last, -held::DOUBLE / size AS r1, -size AS r2, last - start + 1 AS length
+  FROM run JOIN tm USING (k) JOIN d USING (doc_id)
+  WHERE held >= need AND list_has_all(w[start + 1:last + 1], must)
+    AND NOT list_has_any(w[greatest(0, last + 1 - width) + 1:start + width], never)),
+top AS MATERIALIZED (
+  SELECT * FROM blk b WHERE NOT EXISTS (
+    SELECT 1 FROM blk o WHERE o.doc_id = b.doc_id AND o.label = b.label AND o.start <= b.last AND b.start <= o.last
+      AND (o.r1, o.r2, o.length, o.start) < (b.r1, b.r2, b.length, b.start))),
+me AS (
+  SELECT doc_id, list(label) AS labels, max(-r1) AS share FROM top b WHERE NOT EXISTS (
+    SELECT 1 FROM top o WHERE o.doc_id = b.doc_id AND o.label <> b.label AND o.start <= b.last AND b.start <= o.last
+      AND (o.r1, o.r2) < (b.r1, b.r2))
+  GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
   last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(ba.labels, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(ba.labels, []), coalesce(me.labels, [])))), ',') AS labels,
