@@ -13,7 +13,10 @@ are the mean over its windows by length, so long texts don't saturate the
 presence rows and need no more memory than short ones.
 
 The model is fitted on a bounded sample: about ``PER_LANGUAGE`` documents of each
-language, one window of each, drawn by a hash of the id.
+language, fewer where languages are many (``SAMPLE`` in all, but ``LEAST`` of each), one
+window of each, drawn by a hash of the id. Every language that has usable rows is
+learned. Kernel rows are made batch by batch and only their sums are kept, so the fit holds the
+sample's texts, the landmark matrix (64 KiB a landmark) and two small square sums.
 
 Defined cases: ``und`` with score 0 where a text is null or has no letter, or
 where nothing could be learned; a document's copies get the same answer; equal
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlens.llm import common as C
+from barlens.sinks import materialize
 
 UND = "und"
 WINDOW = 4096
@@ -42,8 +46,10 @@ DIM = 1 << 14
 BATCH = 128
 #: Documents per language that the model is fitted on, in expectation.
 PER_LANGUAGE = 400
-#: Languages learned at most, the most frequent ones.
-MAX_LANGUAGES = 1000
+#: Documents in all that the model is fitted on, in expectation, unless LEAST of each language are more.
+SAMPLE = 40_000
+LEAST = 8
+#: Landmarks, at least one of each language.
 LANDMARKS = 128
 RIDGE = 1e-3
 
@@ -103,42 +109,58 @@ class Model:
 
 def fit(texts: list[str], langs: list[str]) -> Model | None:
     """Kernel ridge regression on Nystroem landmarks, each language alike in weight."""
-    pairs = [(lang, p) for lang, p in zip(langs, map(normalise, texts)) if len(p)]
-    if not pairs:
+    seen = np.fromiter((any(map(str.isalpha, t)) for t in texts), bool, len(texts))
+    used = np.flatnonzero(seen)
+    if not len(used):
         return None
-    labels = sorted({lang for lang, _ in pairs})
-    of = np.array([labels.index(lang) for lang, _ in pairs])
-    rows = np.zeros((len(pairs), DIM), np.float32)
-    for row, (_, points) in zip(rows, pairs):
-        presence(points[:WINDOW], row)
+    labels = sorted({langs[i] for i in used})
+    number = {lang: k for k, lang in enumerate(labels)}
+    of = np.array([number[langs[i]] for i in used])
+
+    def rows_of(members: np.ndarray) -> np.ndarray:
+        rows = np.zeros((len(members), DIM), np.float32)
+        for row, i in zip(rows, members):
+            presence(normalise(texts[used[i]])[:WINDOW], row)
+        return rows
+
     each = max(1, LANDMARKS // len(labels))
-    chosen = np.concatenate([np.flatnonzero(of == k)[:each] for k in range(len(labels))])
-    model = Model(labels, [np.flatnonzero(rows[i]).astype(np.int32) for i in chosen], None)
-    k_nm = np.concatenate([model.kernel(rows[i:i + BATCH]) for i in range(0, len(rows), BATCH)]).astype(np.float64)
-    k_mm = k_nm[chosen]
+    # the first of each language, in the order of the sample
+    order = np.argsort(of, kind="stable")
+    first = np.searchsorted(of[order], np.arange(len(labels)))
+    chosen = np.concatenate([order[a:b][:each] for a, b in zip(first, [*first[1:], len(order)])])
+    marks = [np.flatnonzero(rows_of([i])[0]).astype(np.int32) for i in chosen]
+    model = Model(labels, marks, None)
     weight = 1 / np.bincount(of)[of]
-    y = (of[:, None] == np.arange(len(labels))) * 1.0
-    left = k_nm.T @ (k_nm * weight[:, None]) + RIDGE * (k_mm + 1e-6 * np.eye(len(chosen)))
-    model.alpha = np.linalg.solve(left, k_nm.T @ (y * weight[:, None])).astype(np.float32)
+    kk, ky = np.zeros((len(chosen), len(chosen))), np.zeros((len(chosen), len(labels)))
+    for at in range(0, len(used), BATCH):
+        part = np.arange(at, min(at + BATCH, len(used)))
+        k = model.kernel(rows_of(part)).astype(np.float64)
+        heavy = k * weight[part, None]
+        kk += k.T @ heavy
+        np.add.at(ky.T, of[part], heavy)
+    k_mm = np.concatenate([model.kernel(rows_of(chosen[i:i + BATCH])) for i in range(0, len(chosen), BATCH)]).astype(np.float64)
+    left = kk + RIDGE * (k_mm + 1e-6 * np.eye(len(chosen)))
+    model.alpha = np.linalg.solve(left, ky).astype(np.float32)
     model.dense = None
     return model
 
 
 def training_sample(docs: DataFrame, usable: Column) -> DataFrame:
-    """(text window, lang) of about PER_LANGUAGE documents of each language."""
+    """(text window, lang) of some documents of each language, see ``SAMPLE``."""
     labelled = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    share = {r["lang"]: min(1.0, PER_LANGUAGE / r["n"]) for r in counts.collect()}
-    if not share:
+    counts = materialize(labelled.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    languages = counts.count()
+    if not languages:
         return labelled.select("text", "lang").limit(0)
+    each = max(LEAST, min(PER_LANGUAGE, SAMPLE // languages))
     grid = 1 << 30
     h = F.xxhash64(F.col("doc_id").cast("string"), F.lit("language"))
-    rate = F.create_map(*[x for lang, p in share.items() for x in (F.lit(lang), F.lit(int(p * grid)))])
+    # the number of rows of a language that repeat an id is not bounded by the rate: twice the share is taken at most
+    rate = counts.select("of", F.least(F.lit(1.0), F.lit(each) / F.col("n")).alias("rate"))
     start = F.lit(1) + F.pmod(F.xxhash64(h), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int")
-    # the expected size is bounded; rows that repeat an id could still exceed it
-    return (labelled.filter(F.pmod(h, F.lit(grid)) < rate[F.col("lang")])
+    return (labelled.join(rate, F.col("lang") == F.col("of")).filter(F.pmod(h, F.lit(grid)) < F.col("rate") * F.lit(grid))
             .select(F.col("text").substr(start, F.lit(WINDOW)).alias("text"), "lang", h.alias("h"))
-            .orderBy("h", "text").limit(2 * PER_LANGUAGE * len(share)).select("text", "lang"))
+            .orderBy("h", "text").limit(2 * each * languages).select("text", "lang"))
 
 
 def train(docs: DataFrame, usable: Column) -> Model | None:
