@@ -147,7 +147,11 @@ def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
     """
     good, quarantine = typed_feeds(historical_daily, historical_weekly,
                                    current_daily, current_weekly, strict)
-    latest = dedup_bars(good)
+    return asset_joined(dedup_bars(good), assets), quarantine
+
+
+def asset_joined(latest: DataFrame, assets: DataFrame) -> DataFrame:
+    """JN-1, PRJ-5, SC-6, SC-8: deduplicated bars with the attributes of their instrument."""
     ua = unique_assets(assets)
     out = run_sql(f"""
         SELECT b.pair_id, date_format(b.transaction_date, 'yyyyMMdd') AS transaction_id,
@@ -158,7 +162,7 @@ def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
                CAST(date_trunc('quarter', b.transaction_date) AS DATE) AS quarter_start,
                b.record_created_on, 1 AS row_num
         FROM {{bars}} b JOIN {{assets}} a ON b.pair_id = a.pair_id""", bars=latest, assets=ua)
-    return out.select(*STOCK_DATA_COLUMNS), quarantine
+    return out.select(*STOCK_DATA_COLUMNS)
 
 
 def unique_assets(assets: DataFrame) -> DataFrame:
@@ -172,9 +176,9 @@ def unique_assets(assets: DataFrame) -> DataFrame:
           FROM {src} WHERE pair_id IS NOT NULL) WHERE _rn = 1""", src=assets)
 
 
-def bars_between(df: DataFrame, lo, hi, col: str = "transaction_date") -> DataFrame:
+def bars_between(df: DataFrame, lo, hi, col: str | Column = "transaction_date") -> DataFrame:
     """SRC-7: closed date range; pushed into the Parquet scan when ``df`` is a scan."""
-    return df.filter(F.col(col).between(F.lit(lo), F.lit(hi)))
+    return df.filter((F.col(col) if isinstance(col, str) else col).between(F.lit(lo), F.lit(hi)))
 
 
 def frequency_counts(stock_data: DataFrame) -> DataFrame:

@@ -3,30 +3,35 @@
     e(1) = x(1);   e(n) = x(n) * a + e(n-1) * (1 - a),   a = 2 / (N + 1)
 
 This is an ordered recurrence, which no built-in window function expresses
-in linear time, so each series is handed to Python as one Arrow table
-(``groupBy(pair_id, ticker).applyInArrow``). Only the close is converted to
-numbers; every other column passes through as Arrow data untouched. The
-recurrence is evaluated step by step in the order written above, so the
+in linear time. The rows of a series are numbered by an ordinary window
+(``row_number``), which brings them together and in order and shares its shuffle and
+sort with the other windows of the series; ``mapInArrow`` then reads the ordered
+rows batch by batch and carries the last EMAs from row to row and from batch to
+batch. A task holds one Arrow batch and a few numbers, however long a series is.
+Only the close is converted to numbers; every other column passes through as Arrow data
+untouched.
+
+The recurrence is evaluated step by step in the order written above, so the
 result is bit-identical to the same recurrence written in SQL. A NULL close
 makes that EMA NULL from there on, as SQL arithmetic does.
-
-A series is bounded by the calendar (one bar per instrument and day), so a
-group fits a task at any table size; Spark spreads instruments over tasks.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlens.operators.indicators import EMA_PERIODS, ORDER_COL, SERIES_KEYS
 
-_X = "_ema_input"
+#: Helper columns: the input, the row's number in its series, whether the recurrence starts there,
+#: whether it passes the row by.
+_X, _SEQ, _NEW, _LATE = "_ema_input", "_ema_seq", "_ema_new", "_ema_late"
+_HELPERS = (_X, _SEQ, _NEW, _LATE)
 
 
 def alpha(n: int) -> float:
@@ -47,11 +52,6 @@ def ema_path(xs: list, a: float, seed: float | None = None) -> list:
     return out
 
 
-def _nan_to_null(values: list) -> pa.Array:
-    return pa.array([None if (v is None or math.isnan(v)) else v for v in values],
-                    type=pa.float64())
-
-
 def _ema_columns(periods, prev: bool) -> list[str]:
     cols = [f"ema_{n}" for n in periods]
     if prev:
@@ -59,28 +59,71 @@ def _ema_columns(periods, prev: bool) -> list[str]:
     return cols
 
 
+def _seed(n: int) -> str:
+    return f"_ema_seed_{n}"
+
+
+def _recur(batches: Iterator[pa.RecordBatch], periods: tuple, names: list[str], prev: bool) -> Iterator[pa.RecordBatch]:
+    """Ordered rows with the helper columns -> columns ``names``. The EMAs of the row before
+    are all that is kept between rows."""
+    carry: list = [None] * len(periods)
+    last = 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        def column(name):
+            return batch.column(batch.schema.get_field_index(name))
+        seq = column(_SEQ).to_numpy()
+        before = np.concatenate([[last], seq[:-1]])
+        if ((seq != 1) & (seq != before + 1)).any():
+            raise ValueError("the rows of a series are not together and in order")
+        last = seq[-1]
+        new, late = (column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (_NEW, _LATE))
+        xs = column(_X).to_numpy(zero_copy_only=False).astype(float).tolist()
+        seeds = {p: column(_seed(p)) for p in periods if batch.schema.get_field_index(_seed(p)) >= 0}
+        cuts = np.flatnonzero(new | np.concatenate([[True], late[1:] != late[:-1]])).tolist()
+        now, was = np.full((len(periods), n), np.nan), np.full((len(periods), n), np.nan)
+        for a, b in zip(cuts, [*cuts[1:], n]):
+            if late[a]:
+                continue
+            for k, p in enumerate(periods):
+                if new[a]:
+                    # NaN is a stored NULL: the series goes on as NULL, it doesn't start again
+                    carry[k] = seeds[p][a].as_py() if p in seeds else None
+                path = ema_path(xs[a:b], alpha(p), carry[k])
+                now[k, a:b] = path
+                was[k, a] = np.nan if carry[k] is None else carry[k]
+                was[k, a + 1:b] = path[:-1]
+                carry[k] = path[-1]
+        made = {f"ema_{p}": pa.array(now[k], from_pandas=True) for k, p in enumerate(periods)}
+        if prev:
+            made |= {f"prev_ema_{p}": pa.array(was[k], from_pandas=True) for k, p in enumerate(periods)}
+        made["late"] = pa.array(late)
+        yield pa.RecordBatch.from_arrays([made[c] if c in made else column(c) for c in names], names=names)
+
+
+def _recurrence(rows: DataFrame, keys, order: list, periods: tuple, prev: bool, extra: tuple = ()) -> DataFrame:
+    """``rows`` (with ``_X``, ``_LATE`` and, where series go on, seeds) through the recurrence."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    before = F.lag(_LATE).over(w)
+    rows = (rows.withColumn(_SEQ, F.row_number().over(w))
+            .withColumn(_NEW, ~F.col(_LATE) & F.coalesce(before, F.lit(True))))
+    helpers = {*_HELPERS, *(_seed(n) for n in periods)}
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in helpers]
+                          + [T.StructField(c, T.DoubleType()) for c in _ema_columns(periods, prev)]
+                          + [T.StructField(c, T.BooleanType()) for c in extra])
+    names = schema.fieldNames()
+    # the window has sorted them already: no second sort is planned
+    ordered = rows.sortWithinPartitions(*keys, *order)
+    return ordered.mapInArrow(lambda it: _recur(it, periods, names, prev), schema)
+
+
 def with_ema(df: DataFrame, periods=EMA_PERIODS, col: str = "last_close",
              keys=SERIES_KEYS, order: str = ORDER_COL, prev: bool = True) -> DataFrame:
     """Add ``ema_<n>`` (and ``prev_ema_<n>``, the previous row's EMA) columns."""
-    periods = tuple(periods)
-    base = df.withColumn(_X, F.col(col).cast("double"))
-    out_schema = T.StructType(
-        [f for f in base.schema.fields if f.name != _X]
-        + [T.StructField(c, T.DoubleType()) for c in _ema_columns(periods, prev)])
-    names = [f.name for f in out_schema.fields]
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(order, "ascending")])
-        xs = table.column(_X).to_numpy(zero_copy_only=False).tolist()
-        table = table.drop_columns([_X])
-        for n in periods:
-            path = ema_path(xs, alpha(n))
-            table = table.append_column(f"ema_{n}", _nan_to_null(path))
-            if prev:
-                table = table.append_column(f"prev_ema_{n}", _nan_to_null([None] + path[:-1]))
-        return table.select(names)
-
-    return base.groupBy(*keys).applyInArrow(run, out_schema)
+    base = df.withColumn(_X, F.col(col).cast("double")).withColumn(_LATE, F.lit(False))
+    return _recurrence(base, keys, [F.col(order)], tuple(periods), prev)
 
 
 # --- EMA-2: resume from stored state --------------------------------------
@@ -114,50 +157,18 @@ def ema_resume(new_rows: DataFrame, state: DataFrame, periods=EMA_PERIODS,
     on or before the stored last date. Late rows get NULL EMAs; they mean the
     series must be rebuilt (``rebuild_series``), since a corrected old bar
     changes every later EMA.
-    A series without state starts fresh, exactly like ``with_ema``.
-    Both inputs are co-grouped by series key, so state joins rows without a
-    separate join.
+    A series without state starts fresh, exactly like ``with_ema``. The state is
+    joined to the rows; each series reads its seeds from its first new row.
     """
     periods = tuple(periods)
-    base = new_rows.withColumn(_X, F.col(col).cast("double"))
-    out_schema = T.StructType(
-        [f for f in base.schema.fields if f.name != _X]
-        + [T.StructField(c, T.DoubleType()) for c in _ema_columns(periods, True)]
-        + [T.StructField("late", T.BooleanType())])
-    names = [f.name for f in out_schema.fields]
-    st = state.select(*keys, "last_date", *[f"ema_{n}" for n in periods])
-
-    def run(rows: pa.Table, st_rows: pa.Table) -> pa.Table:
-        if rows.num_rows == 0:
-            return pa.Table.from_pylist([], schema=to_arrow_schema(out_schema))
-        rows = rows.sort_by([(order, "ascending")])
-        last_date, seeds = None, {n: None for n in periods}
-        if st_rows.num_rows:
-            s = st_rows.to_pylist()[0]
-            # a NULL close made the stored EMA NULL: the series goes on as NULL, it
-            # doesn't start again
-            last_date = s["last_date"]
-            seeds = {n: math.nan if s[f"ema_{n}"] is None else s[f"ema_{n}"] for n in periods}
-        dates = rows.column(order).to_pylist()
-        late = [last_date is not None and d is not None and d <= last_date for d in dates]
-        xs = rows.column(_X).to_numpy(zero_copy_only=False).tolist()
-        fresh_idx = [i for i, is_late in enumerate(late) if not is_late]
-        table = rows.drop_columns([_X])
-        for n in periods:
-            path = ema_path([xs[i] for i in fresh_idx], alpha(n), seeds[n])
-            cur, prv = [None] * len(xs), [None] * len(xs)
-            before = seeds[n]
-            for j, i in enumerate(fresh_idx):
-                cur[i], prv[i] = path[j], before
-                before = path[j]
-            table = table.append_column(f"ema_{n}", _nan_to_null(cur))
-            table = table.append_column(f"prev_ema_{n}", _nan_to_null(prv))
-        table = table.append_column("late", pa.array(late, type=pa.bool_()))
-        return table.select(names)
-
-    return (base.groupBy(*keys)
-            .cogroup(st.groupBy(*keys))
-            .applyInArrow(run, out_schema))
+    seeds = state.select(*[F.col(k).alias(f"_state_{k}") for k in keys], F.col("last_date").alias("_state_date"),
+                         *[F.coalesce(F.col(f"ema_{n}"), F.lit(float("nan"))).alias(_seed(n)) for n in periods])
+    same = [F.col(k).eqNullSafe(F.col(f"_state_{k}")) for k in keys]
+    base = (new_rows.join(seeds, same, "left")
+            .withColumn(_X, F.col(col).cast("double"))
+            .withColumn(_LATE, F.coalesce(F.col(order) <= F.col("_state_date"), F.lit(False)))
+            .drop(*[f"_state_{k}" for k in keys], "_state_date"))
+    return _recurrence(base, keys, [F.col(_LATE).desc(), F.col(order)], periods, True, ("late",))
 
 
 def rebuild_series(bars: DataFrame, late_rows: DataFrame, periods=EMA_PERIODS,

@@ -34,14 +34,15 @@ def with_seq(df: DataFrame, name: str = "seq_num", keys=SERIES_KEYS) -> DataFram
     return df.withColumn(name, F.row_number().over(series_window(keys)))
 
 
-def _series_clause(keys) -> str:
-    return f"PARTITION BY {', '.join(keys)} ORDER BY {ORDER_COL}"
+def _series_clause(keys, order: str = ORDER_COL) -> str:
+    return f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
 
 
 def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
-             prefix: str = "sma_", keys=SERIES_KEYS, prev: bool = False) -> DataFrame:
+             prefix: str = "sma_", keys=SERIES_KEYS, prev: bool = False, order: str = ORDER_COL) -> DataFrame:
     """WIN-8 (+ WIN-11 when ``prev``): moving averages of ``col`` over row
-    frames, and each one's previous-row value ``prev_<prefix><n>``.
+    frames, and each one's previous-row value ``prev_<prefix><n>``. ``order``: the column or,
+    separated by commas, columns that order a series.
 
     Spark re-aggregates a moving ROWS frame for every row (O(n) per row), so
     each frame sum is a difference of running sums instead: one running
@@ -54,7 +55,7 @@ def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
     which is exactly ``lag(mean)`` (NULL on the first row) without another
     window pass.
     """
-    w = f"({_series_clause(keys)})"
+    w = f"({_series_clause(keys, order)})"
     cols = [f"{X.frame_mean('_rs', '_rc', n, w)} AS {prefix}{n}" for n in periods]
     if prev:
         cols += [f"{X.frame_mean('_rs', '_rc', n, w, back=1)} AS prev_{prefix}{n}" for n in periods]
@@ -62,7 +63,7 @@ def with_sma(df: DataFrame, periods=SMA_PERIODS, col: str = "last_close",
     return run_sql(f"""
         SELECT {keep}, {', '.join(cols)} FROM (
           SELECT *, SUM({col}) OVER r AS _rs, COUNT({col}) OVER r AS _rc FROM {{src}}
-          WINDOW r AS ({_series_clause(keys)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+          WINDOW r AS ({_series_clause(keys, order)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
                    src=df)
 
 

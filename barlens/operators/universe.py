@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlens.functions import after_first_colon, normalize_code
+from barlens.functions.sqlexpr import run_sql
 
 
 def compliant_codes(screen: DataFrame, flag_value: str = "True") -> DataFrame:
@@ -40,16 +41,13 @@ def pending(universe_ids: DataFrame, loaded: DataFrame, null_aware: bool = True)
     null_aware=True keeps SQL ``NOT IN`` semantics: one NULL pair_id among
     the loaded rows empties the result. null_aware=False is ``NOT EXISTS``.
     """
-    done = loaded.select(F.col("pair_id").alias("_done")).distinct()
-    kept = universe_ids.join(done, universe_ids["pair_id"] == done["_done"], "left_anti")
     if not null_aware:
-        return kept
-    # SQL NOT IN: one NULL on the right makes the test unknown for every row;
-    # against an empty right side every row (even a NULL one) passes. Both
-    # facts come from one distributed aggregate that returns a single row.
-    n_rows, n_ids = loaded.agg(F.count(F.lit(1)), F.count("pair_id")).first()
-    if n_rows == 0:
-        return universe_ids
-    if n_ids < n_rows:
-        return universe_ids.limit(0)
-    return kept.filter(F.col("pair_id").isNotNull())
+        done = loaded.select(F.col("pair_id").alias("_done")).distinct()
+        return universe_ids.join(done, universe_ids["pair_id"] == done["_done"], "left_anti")
+    # SQL NOT IN: one NULL on the right makes the test unknown for every row; against an
+    # empty right side every row (even a NULL one) passes. Both facts are scalar
+    # subqueries of the same plan, so building it runs no job.
+    return run_sql("""
+        SELECT u.* FROM {u} u LEFT ANTI JOIN {l} l ON u.pair_id = l.pair_id
+        WHERE (SELECT count_if(pair_id IS NULL) FROM {l}) = 0
+          AND (u.pair_id IS NOT NULL OR (SELECT count(*) FROM {l}) = 0)""", u=universe_ids, l=loaded.select("pair_id"))

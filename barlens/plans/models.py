@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlens.functions import cap_bucket, crossover
@@ -104,15 +104,15 @@ INCREMENTAL_COLUMNS = ["pair_id", "ticker", "stock_name", "transaction_date",
                        "crossover_signal"]
 
 
-def ema_incremental(stock: DataFrame, after: dt.date | None = None,
+def ema_incremental(stock: DataFrame, after: dt.date | Column | None = None,
                     min_avg_volume: float = MIN_AVG_VOLUME) -> DataFrame:
     """MDL-9 as the reference runs it: when ``after`` is given (the target's
-    global high-water mark), only bars after it are processed and every
+    global high-water mark, a date or ``high_water`` of the target), only bars after it are processed and every
     series re-seeds at its first new bar (Q-4, Q-5). The 9/21 signal is the
     loose form (Q-3)."""
     bars = daily_liquid_bars(stock, min_avg_volume)
     if after is not None:
-        bars = bars.filter(F.col("transaction_date") > F.lit(after))
+        bars = bars.filter(F.col("transaction_date") > (after if isinstance(after, Column) else F.lit(after)))
     ema = with_ema(bars.select("pair_id", "ticker", "stock_name", "transaction_date",
                                "last_close"), EMA_PERIODS)
     return ema.withColumn(
@@ -121,9 +121,9 @@ def ema_incremental(stock: DataFrame, after: dt.date | None = None,
     ).select(*INCREMENTAL_COLUMNS)
 
 
-def high_water(target: DataFrame, col: str = "transaction_date"):
-    """AGG-3/FLT-7: the target's global max date (one scalar)."""
-    return target.agg(F.max(col)).first()[0]
+def high_water(target: DataFrame, col: str = "transaction_date") -> Column:
+    """AGG-3/FLT-7: the target's global max date, as a scalar subquery of the plan it is used in."""
+    return target.agg(F.max(col)).scalar()
 
 
 def strategy_compare(sma_trades: DataFrame, ema_trades: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ derives the engine's inputs from them (``barlens.sources.testdata``).
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 from collections.abc import Callable
 from functools import partial, reduce
@@ -15,23 +16,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.functions import cap_bucket, crossover
-from barlens.operators.bars import (bars_between, dedup_bars, frequency_counts, good_rows,
+from barlens.operators.bars import (PRICE_FIELDS, bars_between, dedup_bars, frequency_counts, good_rows,
                                     tag_raw, type_bars, typed_feeds)
 from barlens.operators.ema import apply_delivery, ema_resume, ema_state, with_ema
 from barlens.operators.indicators import (EMA_PERIODS, SMA_PERIODS, daily_liquid_bars,
-                                          liquid, volume_spikes)
+                                          liquid, volume_spikes, with_prev, with_seq)
 from barlens.operators.signals import EMA_PAIRS, EMA_TRADED, SMA_PAIRS, SMA_TRADED
 from barlens.operators.universe import pending, universe
-from barlens.plans import models
+from barlens.plans import cycle, models
 from barlens.plans import oracle as O
+from barlens.plans.hub import store_hub
 from barlens.session import scratch_path
+from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
 from barlens.sinks import (append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
-                           reload_partitions, replace_table, write_csv)
+                           publish, reload_partitions, replace_table, write_csv, write_sorted)
 from barlens.sources import testdata
-from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest
+from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest, without_repeats
 from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
+from barlens.streaming.moving import sma_columns, stream_sma, with_rebuilt_sma
 from barlens.sources.readers import (corrupt_bars, corrupt_csv, extract_html_table, read_assets, read_bar_csv,
-                                     read_bar_landing)
+                                     read_bar_landing, valid_date, window_before)
+from barlens.versioned import VersionedTable
 
 # Fixed parameters of the registered queries.
 # The generated bars count volume in lineitem quantity units (a few dozen a
@@ -40,6 +45,11 @@ from barlens.sources.readers import (corrupt_bars, corrupt_csv, extract_html_tab
 MIN_AVG_VOLUME = 28.5
 RANGE = (dt.date(1998, 1, 1), dt.date(1999, 12, 31))
 RESUME_CUT = dt.date(2000, 12, 31)
+#: Days on which the delta cycle runs, and its window.
+CYCLES = (dt.date(2001, 7, 3), dt.date(2001, 7, 17))
+WINDOW_AS_OF, WINDOW_DAYS = "2001-06-20", 15
+#: Files that a registered stream takes in one micro-batch.
+STREAM_FILES = 64
 
 
 class Inputs:
@@ -62,6 +72,21 @@ def _inputs(spark, sf_dir) -> Inputs:
     return Inputs(spark, sf_dir)
 
 
+# The hub table of each (application, session, scale directory).
+_HUBS: dict[tuple[str, int, str], str] = {}
+
+
+def stored_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stock_data`` as a stored, bucketed table, written once per application: what the
+    reference's models read (SNK-6)."""
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
+    if key not in _HUBS:
+        name = f"barlens_hub_{uuid.uuid4().hex[:12]}"
+        store_hub(_inputs(spark, sf_dir).stock(), name, scratch_path(spark, "hub"))
+        _HUBS[key] = name
+    return spark.table(_HUBS[key])
+
+
 # --- Spark side -------------------------------------------------------------
 
 def q_bars_unified(spark, sf_dir):
@@ -179,40 +204,117 @@ def q_volume_spike(spark, sf_dir):
 
 
 def q_strategy_compare(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
-    # the hub table feeds both strategy families: write once the slice they
-    # read (daily bars, indicator columns)
-    cols = [*models.INDICATOR_BASE, "quarter_start", "frequency"]
-    stock = materialize(inp.stock().filter(F.col("frequency") == "daily").select(*cols),
-                        "stock-data")
+    # both strategy families read the stored hub
+    stock = stored_hub(spark, sf_dir)
     sma = models.sma_backtest(models.sma_crossover(models.sma_strategy(stock, MIN_AVG_VOLUME)))
-    ema = models.ema_trades(stock, inp.feeds["assets"], MIN_AVG_VOLUME)
+    ema = models.ema_trades(stock, _inputs(spark, sf_dir).feeds["assets"], MIN_AVG_VOLUME)
     return models.strategy_compare(sma, ema)
 
 
+def q_hub_indicators(spark, sf_dir):
+    """SRC-5 / SNK-6: SMA, EMA and volume spikes of the stored hub, on its buckets as they lie."""
+    hub = stored_hub(spark, sf_dir)
+    keys = ["pair_id", "ticker", "transaction_date"]
+    sma = models.sma_strategy(hub, MIN_AVG_VOLUME).select(*keys, "sma_5", "sma_150", "prev_sma_150")
+    ema = models.ema_strategy(hub, MIN_AVG_VOLUME, columns=models.TRADE_BASE).select(*keys, "ema_9", "ema_50", "prev_ema_50")
+    long = [df.unpivot(keys, [c for c in df.columns if c not in keys], "indicator", "value") for df in (sma, ema)]
+    spikes = volume_spikes(hub).select(*keys, F.lit("avg_volume_30").alias("indicator"), F.col("avg_volume_30").alias("value"))
+    return reduce(DataFrame.unionByName, [*long, spikes])
+
+
+def q_delta_cycle(spark, sf_dir):
+    """E2: two scheduled cycles over stored bars, then the trades made from them. Each cycle
+    loads a window of 15 days for the compliant instruments, corrections included."""
+    f = _inputs(spark, sf_dir).feeds
+    store = cycle.bar_store(spark, scratch_path(spark, "cycle-bars"))
+    store.append(cycle.typed(f["historical_daily"], "daily", 0).unionByName(cycle.typed(f["historical_weekly"], "weekly", 0)),
+                 "history")
+    store.compact()
+    for as_of in CYCLES:
+        cycle.run_cycle(store, f["current_daily"], universe(f["screen"], f["assets"]), as_of)
+    stock = cycle.stock_data(store, f["assets"])
+    return models.sma_backtest(models.sma_crossover(models.sma_strategy(stock, MIN_AVG_VOLUME)))
+
+
+def q_sma_backtest_sorted(spark, sf_dir):
+    """SRT-1: the trades in their final order, with the position of each."""
+    return write_sorted(q_sma_backtest(spark, sf_dir), [F.col("pair_id").asc(), F.col("buy_date").desc()])
+
+
+def q_volume_spike_sorted(spark, sf_dir):
+    """SRT-2: the spikes, latest first, with the position of each."""
+    return write_sorted(q_volume_spike(spark, sf_dir), [F.col("transaction_date").desc(), F.col("pair_id").asc()])
+
+
+def q_pending_assets_sorted(spark, sf_dir):
+    """AGG-5: the instruments that are left to load as a sorted list."""
+    return write_sorted(q_pending_assets(spark, sf_dir), [F.col("pair_id").asc()])
+
+
+def q_bar_positions(spark, sf_dir):
+    """WIN-2: each daily bar's position in its series, and the close before it."""
+    bars = daily_liquid_bars(_inputs(spark, sf_dir).stock(), MIN_AVG_VOLUME).select(
+        "pair_id", "ticker", "transaction_date", "last_close")
+    return with_prev(with_seq(bars), ["last_close"])
+
+
+def q_bars_window(spark, sf_dir):
+    """SC-14 / SC-15: per instrument, the raw current bars whose date, given as text, parses; those
+    that fall into the window before a day; and those that don't parse."""
+    raw = testdata.dated_as_text(_inputs(spark, sf_dir).feeds["current_daily"])
+    lo, hi = window_before(dt.date.fromisoformat(WINDOW_AS_OF), WINDOW_DAYS)
+    day = valid_date("date_text")
+    return raw.groupBy("pair_id").agg(F.count(day).alias("n_valid"), F.count_if(day.between(F.lit(lo), F.lit(hi))).alias("n_window"),
+                                      F.count_if(day.isNull()).alias("n_invalid"))
+
+
+def q_publish_replay(spark, sf_dir):
+    """SNK-2 / SNK-3: loads that are replayed and one that fails its check leave the table as it
+    should be: history replaced, current bars appended, each once."""
+    f = _inputs(spark, sf_dir).feeds
+    path = scratch_path(spark, "published")
+    cols = ["pair_id", "row_date_timestamp", "last_close_raw"]
+    hist, cur = f["historical_daily"].select(*cols), f["current_daily"].select(*cols)
+
+    def whole(rows: DataFrame) -> None:
+        if not rows.filter("last_close_raw IS NULL").isEmpty():
+            raise ValueError("a bar without close")
+
+    def load(df, load_id, mode, at):
+        return publish(spark, df, path, load_id, mode, loaded_at=at, validate=whole)
+
+    load(cur, "first", "append", testdata.HISTORICAL_LOADED_AT)
+    load(hist, "history", "replace", testdata.HISTORICAL_LOADED_AT)
+    load(cur, "current", "append", testdata.CURRENT_LOADED_AT)
+    for df, load_id, mode in ((hist, "history", "replace"), (cur, "current", "append"), (cur, "first", "append")):
+        load(df, load_id, mode, testdata.CURRENT_LOADED_AT)             # replayed: nothing happens
+    try:
+        load(cur.withColumn("last_close_raw", F.lit(None).cast("string")), "broken", "replace", testdata.CURRENT_LOADED_AT)
+    except ValueError:
+        pass                                                            # kept out by its check
+    return VersionedTable(spark, path).read()
+
+
 def q_ema_incremental_reseed(spark, sf_dir):
     """Two runs of the reference's incremental model: the first over the table
     before the current feeds landed, the second over the refreshed table,
     limited to bars after the first run's global high-water mark."""
     inp = _inputs(spark, sf_dir)
-    # the first run's result is a table; its mark is read from there
+    # the first run's result is a table; its mark is read from there, inside the second run's plan
     run1 = materialize(models.ema_incremental(inp.stock(current=False), None, MIN_AVG_VOLUME), "ema-run1")
-    hw = models.high_water(run1)
-    run2 = models.ema_incremental(inp.stock(), hw, MIN_AVG_VOLUME)
+    run2 = models.ema_incremental(stored_hub(spark, sf_dir), models.high_water(run1), MIN_AVG_VOLUME)
     return run1.unionByName(run2)
 
 
 def q_ema_incremental_resume(spark, sf_dir):
     """Corrected incremental form: state after RESUME_CUT carried into the
     next batch; must equal the full recomputation after the cut."""
-    inp = _inputs(spark, sf_dir)
-    # an incremental job reads a stored bar table: write it once, so both
-    # sides below are Parquet scans with the date filter pushed down
-    bars = materialize(daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(
-        "pair_id", "ticker", "stock_name", "transaction_date", "last_close"), "resume-bars")
+    # an incremental job reads a stored bar table
+    bars = daily_liquid_bars(stored_hub(spark, sf_dir), MIN_AVG_VOLUME).select(
+        "pair_id", "ticker", "stock_name", "transaction_date", "last_close")
     before = bars.filter(F.col("transaction_date") <= F.lit(RESUME_CUT))
     after = bars.filter(F.col("transaction_date") > F.lit(RESUME_CUT))
-    state = ema_state(with_ema(before, EMA_PERIODS, prev=False))
+    state = ema_state(with_ema(before.drop("stock_name"), EMA_PERIODS, prev=False))
     # the cut divides the days, so no row after it can be late
     out = ema_resume(after, state)
     return out.withColumn(
@@ -285,6 +387,20 @@ def q_bar_csv(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+def q_bar_csv_staged(spark, sf_dir):
+    """SRC-4: the daily feeds staged as the loader does, 16 columns by position, one folder per
+    instrument, whose name and load time are stamped on the rows."""
+    f = _inputs(spark, sf_dir).feeds
+    path = scratch_path(spark, "bar-csv-staged")
+    out = []
+    for name in ("historical_daily", "current_daily"):
+        (f[name].select(*RAW_BAR_PAYLOAD_FIELDS, "pair_id").repartition("pair_id").write.partitionBy("pair_id")
+         .option("header", True).csv(f"{path}/{name}"))
+        raw = read_bar_csv(spark, f"{path}/{name}", loaded_at=testdata.FEEDS[name], by_folder=True)
+        out.append(_typed_raw(raw, "daily"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_sink_chain(spark, sf_dir):
     """SNK-2, 4, 5, 7, 8, 9 on a catalog table: create it, append the historical daily
     feed, delete all, append it again, append what is newer, and read it as a view."""
@@ -315,10 +431,10 @@ def q_table_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
+def _event_stream(spark, sf_dir, name: str, transform: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Land ``events`` in two batches (split at the median event id, some events late, some
-    values NULL), run the indicator stream once per landed batch (``availableNow``, one
-    checkpoint), read the file sink back and rebuild what late events touched."""
+    values NULL) and run ``transform`` as a stream once per landed batch (``availableNow``, one
+    checkpoint). (what the stream has written, what has landed)."""
     ev = testdata.live_events(testdata.table(spark, sf_dir, "events"))
     cut = ev.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     base = scratch_path(spark, name)
@@ -328,12 +444,23 @@ def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
     first = F.coalesce((F.col("event_id") <= cut) & ~held_back, F.lit(False))
     for batch in (ev.filter(first), ev.filter(~first)):
         batch.write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(ev.schema).parquet(landing)
-        run_available_now(stream_indicators(stream).writeStream.format("parquet")
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", STREAM_FILES).parquet(landing)
+        run_available_now(transform(stream).writeStream.format("parquet")
                           .option("path", out).option("checkpointLocation", ckpt)
                           .outputMode("append"),
                           spark=spark, state_partitions=spark.sparkContext.defaultParallelism, conf=STATE_CONF)
-    return with_rebuilt(spark.read.parquet(out), spark.read.parquet(landing))
+    return spark.read.parquet(out), spark.read.parquet(landing)
+
+
+def _indicator_stream(spark, sf_dir, name: str) -> DataFrame:
+    return with_rebuilt(*_event_stream(spark, sf_dir, name, stream_indicators))
+
+
+def q_sma_stream(spark, sf_dir):
+    """WIN-8, WIN-11, MDL-5 on a stream: moving averages, lags and signals carried across
+    micro-batches; instruments with late rows rebuilt."""
+    out = with_rebuilt_sma(*_event_stream(spark, sf_dir, "sma-stream", stream_sma))
+    return out.select("user_id", "ts", "event_id", "value", *sma_columns())
 
 
 def q_ema_stream(spark, sf_dir):
@@ -364,12 +491,32 @@ def q_stream_latest(spark, sf_dir):
                   tag("current_daily", "daily").unionByName(tag("current_weekly", "weekly")))
     for d in deliveries:
         d.write.mode("append").parquet(landing)
-        run_available_now(stream_bars(spark, landing).writeStream
-                          .foreachBatch(upsert_latest(target))
+        run_available_now(stream_bars(spark, landing, STREAM_FILES).writeStream
+                          .foreachBatch(upsert_latest(target, compact_every=2))
                           .option("checkpointLocation", ckpt))
     return latest_view(spark, target)
 
 
+def q_stream_redelivered(spark, sf_dir):
+    """ST-6: deliveries that overlap. The daily feeds come one after the other, then both come again
+    for the last 15 days that they share: identical bars are dropped, the corrected ones of June stay."""
+    f = _inputs(spark, sf_dir).feeds
+    base = scratch_path(spark, "redelivered")
+    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
+    daily = {n: f[n].withColumn("frequency", F.lit("daily")) for n in ("historical_daily", "current_daily")}
+    day = F.col("row_date_timestamp").cast("date")
+    again = [d.filter(day >= F.date_sub(F.lit(testdata.HISTORICAL_BEFORE), 15))
+             .withColumn("record_created_on", F.col("record_created_on") + F.expr("INTERVAL 1 DAY")) for d in daily.values()]
+    for d in (*daily.values(), again[0].unionByName(again[1])):
+        d.write.mode("append").parquet(landing)
+        stream = without_repeats(stream_bars(spark, landing, STREAM_FILES))
+        run_available_now(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                          .outputMode("append"), spark=spark, state_partitions=spark.sparkContext.defaultParallelism,
+                          conf=STATE_CONF)
+    typed = good_rows(type_bars(spark.read.parquet(out).withColumn("_source_rank", F.lit(0))))
+    return typed.select("pair_id", "transaction_date", *PRICE_FIELDS, "volume", "record_created_on")
+
+
 def q_ema_delivery(spark, sf_dir):
     """Corrected incremental EMA (EMA-2, ST-6): the EMA table as it stood
     before the current feeds, then the current feeds' days delivered -
@@ -380,7 +527,7 @@ def q_ema_delivery(spark, sf_dir):
     narrow = ["pair_id", "ticker", "stock_name", "transaction_date", "last_close"]
     before = daily_liquid_bars(inp.stock(current=False), MIN_AVG_VOLUME).select(*narrow)
     # an incremental job finds its inputs stored: the bars, the table so far, its state
-    after = materialize(daily_liquid_bars(inp.stock(), MIN_AVG_VOLUME).select(*narrow), "delivery-bars")
+    after = daily_liquid_bars(stored_hub(spark, sf_dir), MIN_AVG_VOLUME).select(*narrow)
     history = materialize(with_ema(before), "delivery-history")
     state = materialize(ema_state(history), "delivery-state")
     delivered = after.filter(F.col("transaction_date") >= F.lit(testdata.CURRENT_FROM))
@@ -422,6 +569,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ema_stream": q_ema_stream,
     "volume_spike_stream": q_volume_spike_stream,
     "stream_latest": q_stream_latest,
+    "sma_stream": q_sma_stream,
+    "stream_redelivered": q_stream_redelivered,
+    "hub_indicators": q_hub_indicators,
+    "delta_cycle": q_delta_cycle,
+    "publish_replay": q_publish_replay,
+    "sma_backtest_sorted": q_sma_backtest_sorted,
+    "volume_spike_sorted": q_volume_spike_sorted,
+    "pending_assets_sorted": q_pending_assets_sorted,
+    "bar_csv_staged": q_bar_csv_staged,
+    "bar_positions": q_bar_positions,
+    "bars_window": q_bars_window,
 }
 
 
@@ -694,6 +852,52 @@ SELECT user_id, ts, event_id, value, avg_value_30, 'VOLUME SPIKE' AS volume_stat
   FROM (SELECT user_id, ts, event_id, CASE WHEN user_id % 4 <> 1 OR event_id % 11 <> 5 THEN value END AS value FROM events)
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
 WHERE value > 1.5 * avg_value_30"""
+    live = "(SELECT user_id, ts, event_id, CASE WHEN user_id % 4 <> 1 OR event_id % 11 <> 5 THEN value END AS value FROM events)"
+    means = ", ".join(
+        f"CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER ({over} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS DOUBLE) "
+        f"/ nullif(COUNT(value) OVER ({over} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 0) AS sma_{n}"
+        for over in ["PARTITION BY user_id ORDER BY ts, event_id"] for n in SMA_PERIODS)
+    lags = ", ".join(f"LAG(sma_{n}) OVER w AS prev_sma_{n}" for n in SMA_PERIODS)
+    o["sma_stream"] = f"""
+WITH m AS (SELECT *, {means} FROM {live}),
+l AS (SELECT *, {lags} FROM m WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT *, {", ".join(_signal_case("sma", a, b) for a, b in SMA_PAIRS)} FROM l"""
+    o["stream_redelivered"] = O.with_ctes() + (
+        "SELECT pair_id, transaction_date, last_open, last_close, last_min, last_max, volume, loaded AS record_created_on "
+        "FROM typed WHERE frequency = 'daily'")
+    keys = "pair_id, ticker, transaction_date"
+    parts = [("sma_strategy", ("sma_5", "sma_150", "prev_sma_150")), ("ema_strategy", ("ema_9", "ema_50", "prev_ema_50"))]
+    o["hub_indicators"] = _with(_sma_ctes(), _ema_ctes()) + " UNION ALL ".join(
+        f"SELECT {keys}, '{c}' AS indicator, {c} AS value FROM {src}" for src, cols in parts for c in cols) + f"""
+UNION ALL SELECT {keys}, 'avg_volume_30', a FROM (
+  SELECT *, {O.sma_expr('volume', 30, 'a')} FROM stock_data WHERE frequency = 'daily') WHERE volume > 1.5 * a"""
+    days = " OR ".join(f"transaction_date BETWEEN {_d(x)} - {cycle.DELTA_DAYS} AND {_d(x)}" for x in CYCLES)
+    o["delta_cycle"] = O.with_ctes(
+        universe_sql,
+        O.latest_cte("latest_c", f"src = 0 OR frequency = 'daily' AND ({days}) AND pair_id IN (SELECT pair_id FROM universe)"),
+        O.stock_data_cte("stock_c", "latest_c"), O.liquid_cte(MIN_AVG_VOLUME).replace("FROM stock_data", "FROM stock_c"),
+        _sma_ctes(), _trades_ctes("trades", "sma_crossover", SMA_TRADED, True, True)) + "SELECT * FROM trades"
+    o["publish_replay"] = O.with_ctes() + """
+SELECT pair_id, CAST(transaction_date AS TIMESTAMP) AS row_date_timestamp, CAST(last_close AS VARCHAR) AS last_close_raw,
+       loaded AS record_created_on
+FROM feed_rows WHERE frequency = 'daily'"""
+    o["sma_backtest_sorted"] = _with(
+        _sma_ctes(), _trades_ctes("trades", "sma_crossover", SMA_TRADED, True, True)) + (
+        "SELECT *, row_number() OVER (ORDER BY pair_id, buy_date DESC) AS position FROM trades")
+    o["volume_spike_sorted"] = "SELECT *, row_number() OVER (ORDER BY transaction_date DESC, pair_id) AS position FROM (" + (
+        o["volume_spike"]) + ")"
+    o["pending_assets_sorted"] = "SELECT pair_id, row_number() OVER (ORDER BY pair_id) AS position FROM (" + o["pending_assets"] + ")"
+    o["bar_csv_staged"] = O.with_ctes() + typed_cols + "WHERE frequency = 'daily'"
+    o["bar_positions"] = _with() + """
+SELECT pair_id, ticker, transaction_date, last_close, CAST(row_number() OVER w AS INTEGER) AS seq_num,
+       lag(last_close) OVER w AS prev_last_close
+FROM liquid_daily WINDOW w AS (PARTITION BY pair_id, ticker ORDER BY transaction_date)"""
+    o["bars_window"] = O.with_ctes() + f"""
+SELECT pair_id, COUNT(*) FILTER (NOT (pair_id % 4 = 1 AND day(transaction_date) = 9)) AS n_valid,
+       COUNT(*) FILTER (NOT (pair_id % 4 = 1 AND day(transaction_date) = 9)
+                        AND transaction_date BETWEEN DATE '{WINDOW_AS_OF}' - {WINDOW_DAYS} AND DATE '{WINDOW_AS_OF}') AS n_window,
+       COUNT(*) FILTER (pair_id % 4 = 1 AND day(transaction_date) = 9) AS n_invalid
+FROM feed_rows WHERE src = 1 AND frequency = 'daily' GROUP BY pair_id"""
     return o
 
 

@@ -12,12 +12,13 @@ instead of truncating the whole table first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlens.functions import wall_clock
 from barlens.session import scratch_path
+from barlens.versioned import VersionedTable
 
 
 def _is_path(target: str) -> bool:
@@ -110,8 +111,8 @@ def append_newer(spark: SparkSession, df: DataFrame, target: str,
     if not exists(spark, target):
         newer = df
     elif per_key is None:
-        hw = read_target(spark, target).agg(F.max(date_col)).first()[0]
-        newer = df if hw is None else df.filter(F.col(date_col) > F.lit(hw))
+        mark = read_target(spark, target).agg(F.max(date_col)).scalar()
+        newer = df.filter(mark.isNull() | (F.col(date_col) > mark))
     else:
         marks = (read_target(spark, target).groupBy(*per_key)
                  .agg(F.max(date_col).alias("_hw")))
@@ -125,6 +126,42 @@ def append_newer(spark: SparkSession, df: DataFrame, target: str,
     return newer
 
 
+def publish(spark: SparkSession, df: DataFrame, path: str, load_id: str, mode: str = "append",
+            pair_id=None, loaded_at=None, validate=None) -> bool:
+    """SNK-2 / SNK-3 as a ``VersionedTable`` at ``path``: stage the stamped rows, validate them, and
+    make them part of the table (``append``) or the table itself (``replace``) in one step.
+    A load that is there already is recognised by ``load_id`` and does nothing (False)."""
+    if mode not in ("append", "replace"):
+        raise ValueError(f"mode is append or replace, not {mode}")
+    out = df if pair_id is None else df.withColumn("pair_id", F.lit(pair_id).cast("bigint"))
+    stamp = wall_clock(loaded_at) if loaded_at is not None else F.localtimestamp()
+    out = out.withColumn("record_created_on", stamp)
+    table = VersionedTable(spark, path)
+    return (table.append if mode == "append" else table.replace)(out, load_id, validate)
+
+
+def write_sorted(df: DataFrame, order: list[Column], position: str = "position", target: str | None = None) -> DataFrame:
+    """SRT-1..3: ``df`` in total order, with each row's ``position`` from 1.
+
+    Rows are dealt by ranges of ``order`` and sorted within each; the files of the stored
+    table follow each other in order. A row's position is its place in its file plus the
+    rows of all files before, so nothing is numbered in one task but one row per file.
+    ``order`` must tell all rows apart for a determined result.
+    """
+    spark = df.sparkSession
+    path = target or scratch_path(spark, "sorted")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumns({"_file": F.spark_partition_id(), "_place": place}).write.mode("overwrite").parquet(path))
+    stored = spark.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (stored.groupBy(F.col("_file").alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    # one row per written file
+    return (stored.join(F.broadcast(starts), F.col("_file") == F.col("_range"))
+            .withColumn(position, F.col("_start") + F.col("_place") + 1).drop("_file", "_place", "_range", "_start"))
+
+
 def as_view(df: DataFrame, name: str) -> None:
     """SNK-8: the default (view) materialisation."""
     df.createOrReplaceTempView(name)

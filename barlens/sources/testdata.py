@@ -182,6 +182,13 @@ def spoilt_feeds(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }) if n in FEEDS else df for n, df in feeds.items()}
 
 
+def dated_as_text(raw: DataFrame) -> DataFrame:
+    """(pair_id, date_text) of raw bars; the ninth of a month of some instruments is no date."""
+    day = F.col("row_date_timestamp").cast("date")
+    bad = (F.col("pair_id") % 4 == 1) & (F.dayofmonth(day) == 9)
+    return raw.select("pair_id", F.when(bad, F.date_format(day, "yyyy-MM-'3x'")).otherwise(day.cast("string")).alias("date_text"))
+
+
 def live_events(events: DataFrame) -> DataFrame:
     """(user_id, ts, event_id, value) with some values missing."""
     gap = (F.col("user_id") % 4 == 1) & (F.col("event_id") % 11 == 5)

@@ -1,57 +1,108 @@
 """ST-1 / ST-2 / ST-6: landed raw bars as a stream, upserted idempotently.
 
-Each micro-batch is typed, reduced to its latest row per bar key, and
-written to its own ``batch_id=<n>`` partition of the target with overwrite,
-so a replayed batch (after a failure) rewrites the same files: exactly-once
-output without a transactional table format. Readers take the latest row per
-key across batches (``latest_view``, merge on read); ``compact`` folds all
-batches into one partition when wanted. A later batch outranks an earlier
+Each micro-batch is typed, reduced to its latest row per bar key and loaded into a
+``MergeTable`` under its batch number: a replayed batch is recognised, a crash before
+the pointer is written changes nothing. Every ``compact_every`` batches the stream folds
+what they hold into the base, so a reader opens the base and at most that many
+folders, and merges only the months they touch. A later batch outranks an earlier
 one on equal load times.
+
+``without_repeats`` drops re-delivered bars before that, under an event-time watermark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlens.operators.bars import dedup_bars, good_rows, quarantined_rows, type_bars
 from barlens.schemas import RAW_BAR
+from barlens.versioned import MergeTable, VersionedTable
 
 LANDING_SCHEMA = T.StructType([*RAW_BAR.fields, T.StructField("frequency", T.StringType())])
 
 
 def stream_bars(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """ST-1: raw bar files (Parquet, RAW_BAR + ``frequency``) as a stream."""
+    """ST-1: raw bar files (Parquet, RAW_BAR + ``frequency``) as a stream; ``max_files`` bounds
+    what one micro-batch takes."""
     r = spark.readStream.schema(LANDING_SCHEMA).format("parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(landing)
 
 
-def upsert_latest(target: str) -> Callable[[DataFrame, int], None]:
+#: Batches after which a live table folds them into its base.
+COMPACT_EVERY = 8
+WRITER = "bars"
+
+
+def _latest(stored: DataFrame) -> DataFrame:
+    return dedup_bars(stored.withColumn("_source_rank", F.col("_batch")))
+
+
+def live_bars(spark: SparkSession, target: str) -> MergeTable:
+    """The live bar table at ``target``, in parts of one frequency and month."""
+    month = F.date_format("transaction_date", "yyyy-MM")
+    return MergeTable(spark, target, _latest, F.concat_ws("-", "frequency", month))
+
+
+def quarantine(spark: SparkSession, target: str) -> VersionedTable:
+    """Rows that the live table at ``target`` could not take."""
+    return VersionedTable(spark, f"{target}_quarantine")
+
+
+def upsert_latest(target: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """ST-2: the ``foreachBatch`` body for ``target``."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         typed = type_bars(batch.withColumn("_source_rank", F.lit(batch_id)))
-        (dedup_bars(good_rows(typed)).withColumn("_batch", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}"))
-        (quarantined_rows(typed)
-         .write.mode("overwrite").parquet(f"{target}_quarantine/batch_id={batch_id}"))
+        quarantine(spark, target).append(quarantined_rows(typed), (WRITER, batch_id))
+        live_bars(spark, target).upsert(dedup_bars(good_rows(typed)).withColumn("_batch", F.lit(batch_id).cast("bigint")),
+                                        (WRITER, batch_id), compact_every)
     return run
 
 
-def latest_view(spark: SparkSession, target: str) -> DataFrame:
-    """The current table: latest row per (pair_id, frequency, date) over all
-    stored batches."""
-    stored = spark.read.parquet(target)
-    return dedup_bars(stored.withColumnRenamed("batch_id", "_source_rank").drop("_batch"))
+def latest_view(spark: SparkSession, target: str, parts: Callable[[str], bool] | None = None) -> DataFrame:
+    """The current table: the latest row per (pair_id, frequency, date). ``parts`` picks
+    ``<frequency>-<yyyy-MM>`` parts; the files of others are not opened."""
+    return live_bars(spark, target).latest(parts).drop("_batch")
+
+
+def compact(spark: SparkSession, target: str, out: str | None = None) -> None:
+    """Fold all loaded batches into the base now, or write the current table to ``out``."""
+    if out is None:
+        live_bars(spark, target).compact()
+    else:
+        latest_view(spark, target).write.mode("overwrite").parquet(out)
+
 
+#: What may differ between two deliveries of one bar.
+LOAD_STAMP = "record_created_on"
 
-def compact(spark: SparkSession, target: str, out: str) -> None:
-    """Fold every stored batch into one table at ``out``."""
-    latest_view(spark, target).write.mode("overwrite").parquet(out)
+
+def without_repeats(stream: DataFrame, days: int = 15, arrived: Column | None = None) -> DataFrame:
+    """ST-6: a stream of raw bars without the ones delivered before with the same content.
+
+    Deliveries overlap, as every one brings the bars of the last ``days`` days again. A
+    bar counts as repeated if its key *and* a digest of all its values, the load stamp
+    aside, were seen; a correction has another digest and stays. The state forgets a bar
+    ``days`` after it arrived, so it holds the bars of one such span whatever the
+    length of the stream; a repeat after that passes, and the upsert takes it.
+
+    The watermark runs over the time of arrival (by default the landed file's), not over
+    the bar's date: files are taken in order of arrival, so a late correction of an old bar
+    is new by this clock and isn't lost.
+    """
+    at = F.col("_metadata.file_modification_time") if arrived is None else arrived
+    content = [c for c in stream.columns if c != LOAD_STAMP]
+    return (stream.withColumn("_arrived", at.cast("timestamp"))
+            .withColumn("_content", F.md5(F.to_json(F.struct(*content)).cast("binary")))
+            .withWatermark("_arrived", f"{days} days")
+            .dropDuplicatesWithinWatermark(["pair_id", "frequency", "row_date_timestamp", "_content"])
+            .drop("_arrived", "_content"))
 
 
 def run_available_now(writer, spark: SparkSession | None = None, state_partitions: int | None = None,

@@ -12,8 +12,9 @@ position is *late*: it is emitted with ``late = true`` and no indicators,
 and does not touch the state; ``with_rebuilt`` computes that instrument again.
 
 State is O(1 + period) per instrument, whatever the stream length, and
-Spark spreads instruments over tasks; one micro-batch bounds the rows a key
-sees at once.
+Spark spreads instruments over tasks. The input is taken frame by frame; of a key's rows
+in one micro-batch five numbers each are held to put them in order, and they come out
+in slices. ``maxFilesPerTrigger`` bounds a micro-batch.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +33,9 @@ from barlens.functions import crossover
 from barlens.operators.ema import alpha, with_ema
 from barlens.operators.indicators import EMA_PERIODS
 
+#: Rows that leave the processor at a time.
+SLICE = 20_000
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 EMA_STATE = T.StructType([
@@ -90,56 +95,59 @@ class IndicatorProcessor(StatefulProcessor):
         self.window = handle.getListState("window", WINDOW_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frames = [f for f in rows if len(f)]
-        if not frames:
+        # frame by frame; of each row only what the recurrence needs is kept to be put in order
+        parts = [(f[self.time_col].astype("int64").to_numpy() // 1000, f[self.id_col].to_numpy("int64"),
+                  f[self.value].to_numpy("float64"), f["value_cents"].fillna(0).to_numpy("int64"), f["value_cents"].isna().to_numpy())
+                 for f in rows if len(f)]
+        if not parts:
             return
-        pdf = pd.concat(frames, ignore_index=True)
-        pdf = pdf.sort_values([self.time_col, self.id_col], kind="stable", ignore_index=True)
+        t_us, ids, xs, cents, missing = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        order = np.lexsort((ids, t_us))
         if self.ema.exists():
             last_t, last_id, n, *es = self.ema.get()
             emas = {p: math.nan if e is None else e for p, e in zip(EMA_PERIODS, es)}
         else:
             last_t, last_id, n, emas = None, None, 0, {p: None for p in EMA_PERIODS}
         ring = [r[0] for r in self.window.get()] if self.window.exists() else []
-        t_us = (pdf[self.time_col].astype("int64") // 1000).tolist()
-        ids = pdf[self.id_col].tolist()
-        xs = [math.nan if pd.isna(x) else x for x in pdf[self.value].tolist()]
-        cents = [None if pd.isna(c) else int(c) for c in pdf["value_cents"].tolist()]
-        out = {c: [] for c in self.names}
-        for t, i, x, c in zip(t_us, ids, xs, cents):
-            late = last_t is not None and (t, i) <= (last_t, last_id)
-            out["late"].append(late)
-            if late:
+        for at in range(0, len(order), SLICE):
+            part = order[at:at + SLICE]
+            out = {c: [] for c in self.names}
+            for t, i, x, c, gone in zip(t_us[part].tolist(), ids[part].tolist(), xs[part].tolist(), cents[part].tolist(),
+                                        missing[part].tolist()):
+                late = last_t is not None and (t, i) <= (last_t, last_id)
+                out["late"].append(late)
+                if late:
+                    for p in EMA_PERIODS:
+                        out[f"ema_{p}"].append(None)
+                        out[f"prev_ema_{p}"].append(None)
+                    out["ema_signal_9_21"].append(None)
+                    out["avg_value_30"].append(None)
+                    out["volume_status"].append(None)
+                    continue
+                prev = dict(emas)
                 for p in EMA_PERIODS:
-                    out[f"ema_{p}"].append(None)
-                    out[f"prev_ema_{p}"].append(None)
-                out["ema_signal_9_21"].append(None)
-                out["avg_value_30"].append(None)
-                out["volume_status"].append(None)
-                continue
-            prev = dict(emas)
-            for p in EMA_PERIODS:
-                a = alpha(p)
-                emas[p] = x if emas[p] is None else x * a + emas[p] * (1.0 - a)
-                out[f"ema_{p}"].append(_null(emas[p]))
-                out[f"prev_ema_{p}"].append(_null(prev[p]))
-            out["ema_signal_9_21"].append(_signal(emas[9], emas[21], prev[9], prev[21], self.strict))
-            ring.append(c)
-            ring = ring[-self.period:]
-            known = [v for v in ring if v is not None]
-            avg = (sum(known) / 100) / len(known) if known else None
-            out["avg_value_30"].append(avg)
-            out["volume_status"].append(
-                "VOLUME SPIKE" if avg is not None and x > self.factor * avg else "NORMAL VOLUME")
-            last_t, last_id, n = t, i, n + 1
+                    a = alpha(p)
+                    emas[p] = x if emas[p] is None else x * a + emas[p] * (1.0 - a)
+                    out[f"ema_{p}"].append(_null(emas[p]))
+                    out[f"prev_ema_{p}"].append(_null(prev[p]))
+                out["ema_signal_9_21"].append(_signal(emas[9], emas[21], prev[9], prev[21], self.strict))
+                ring.append(None if gone else c)
+                ring = ring[-self.period:]
+                known = [v for v in ring if v is not None]
+                avg = (sum(known) / 100) / len(known) if known else None
+                out["avg_value_30"].append(avg)
+                out["volume_status"].append(
+                    "VOLUME SPIKE" if avg is not None and x > self.factor * avg else "NORMAL VOLUME")
+                last_t, last_id, n = t, i, n + 1
+            out[self.key] = [key[0]] * len(part)
+            out[self.time_col] = t_us[part].astype("datetime64[us]")
+            out[self.id_col] = ids[part]
+            out[self.value] = [_null(x) for x in xs[part].tolist()]
+            yield pd.DataFrame({c: out[c] for c in self.names})
         if last_t is not None:
             self.ema.update((last_t, last_id, n, *[_null(emas[p]) for p in EMA_PERIODS]))
             self.window.put([(v,) for v in ring[-(self.period - 1):]] if self.period > 1 else [])
-        out[self.key] = [key[0]] * len(pdf)
-        out[self.time_col] = pdf[self.time_col].tolist()
-        out[self.id_col] = ids
-        out[self.value] = [_null(x) for x in xs]
-        yield pd.DataFrame({c: out[c] for c in self.names})
 
     def close(self) -> None:
         pass

@@ -151,3 +151,49 @@ def test_apply_delivery_lets_series_leave(spark):
     delivered = new.filter(F.col("transaction_date") > days(6)[3])
     got = apply_delivery(history, ema_state(history), delivered, new)
     assert sorted(got.collect()) == sorted(with_ema(new).select(*got.columns).collect())
+
+
+def test_long_series_needs_one_batch_of_memory(spark):
+    """The recurrence yields batch by batch; what it holds between batches are the last EMAs."""
+    import pyarrow as pa
+
+    from barlens.operators import ema as E
+    n, size = 50_000, 500
+    values = [100 + (i * 37 % 11) - 5.0 for i in range(n)]
+    taken = []
+
+    def batches():
+        for a in range(0, n, size):
+            taken.append(a)
+            yield pa.RecordBatch.from_pydict({
+                E._X: values[a:a + size], E._SEQ: list(range(a + 1, a + size + 1)),
+                E._NEW: [a + i == 0 for i in range(size)], E._LATE: [False] * size, "k": [1] * size})
+
+    out, got = E._recur(batches(), (9, 21), ["k", "ema_9", "ema_21", "prev_ema_9"], True), []
+    for i, b in enumerate(out):
+        assert len(taken) == i + 1          # no batch is read ahead, none is kept
+        got += b.column(1).to_pylist()
+    assert got == E.ema_path(values, E.alpha(9))
+    broken = pa.RecordBatch.from_pydict({E._X: [1.0, 2.0], E._SEQ: [1, 3], E._NEW: [True, False], E._LATE: [False, False]})
+    import pytest
+    with pytest.raises(ValueError):
+        list(E._recur(iter([broken]), (9,), ["ema_9"], True))
+
+
+def test_ema_over_small_arrow_batches(spark):
+    """Series of many batches, and many series in a batch, give the recurrence."""
+    from barlens.operators.ema import alpha, ema_path
+    rnd = random.Random(3)
+    sizes = {1: 700, 2: 1, 3: 40, 4: 333}
+    closes = {p: [round(rnd.uniform(10, 20), 2) for _ in range(n)] for p, n in sizes.items()}
+    rows = [(p, "T", d, c) for p, cs in closes.items() for d, c in zip(days(len(cs)), cs)]
+    bars = spark.createDataFrame(rows, "pair_id bigint, ticker string, transaction_date date, last_close double").repartition(6)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        got = with_ema(bars).orderBy("pair_id", "transaction_date").collect()
+    finally:
+        spark.conf.set(key, before)
+    for p, cs in closes.items():
+        assert [r.ema_21 for r in got if r.pair_id == p] == ema_path(cs, alpha(21))

@@ -110,3 +110,55 @@ def test_compact_folds_batches_into_latest(spark):
     compact(spark, target, out)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and str(rows[0].last_close) == "12.0000"   # later batch wins the tie
+
+
+def _run_sma(spark, batches):
+    from barlens.streaming.moving import stream_sma
+    base = scratch_path(spark, "test-sma")
+    landing, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ck"
+    for b in batches:
+        b.write.mode("append").parquet(landing)
+        run_available_now(stream_sma(spark.readStream.schema(b.schema).parquet(landing))
+                          .writeStream.format("parquet").option("path", out)
+                          .option("checkpointLocation", ckpt).outputMode("append"), spark=spark, conf=STATE_CONF)
+    return spark.read.parquet(out)
+
+
+def _sma_by_hand(rows, periods):
+    """(event id, period) -> (mean, mean of the row before) by definition."""
+    out = {}
+    for n in periods:
+        means = []
+        for i in range(len(rows)):
+            known = [v for _, v in rows[max(0, i - n + 1):i + 1] if v is not None]
+            means.append((sum(round(v * 100) for v in known) / 100) / len(known) if known else None)
+        for i, (e, _) in enumerate(rows):
+            out[e, n] = means[i], means[i - 1] if i else None
+    return out
+
+
+def test_moving_averages_on_a_stream(spark):
+    """Three deliveries, values missing, series shorter and longer than the frames; late rows rebuilt."""
+    from barlens.operators.indicators import SMA_PERIODS
+    from barlens.streaming.moving import with_rebuilt_sma
+    ev = _events(spark, n=900, users=4).withColumn("value", F.when(F.col("event_id") % 13 != 4, F.col("value"))) \
+        .filter("user_id <> 3 or event_id < 40")
+    late = F.col("user_id") == 2
+    parts = [ev.filter((F.col("event_id") < 333) & ~(late & (F.col("event_id") % 10 == 7))),
+             ev.filter((F.col("event_id") >= 333) & (F.col("event_id") < 350)),
+             ev.filter((F.col("event_id") >= 350) | (F.col("event_id") < 333) & late & (F.col("event_id") % 10 == 7))]
+    out = _run_sma(spark, parts)
+    flagged = {r.user_id for r in out.filter("late").select("user_id").collect()}
+    assert flagged == {2}
+    got = {r.event_id: r for r in with_rebuilt_sma(out, ev).collect()}
+    rows = ev.orderBy("user_id", "ts", "event_id").collect()
+    assert len(got) == len(rows)
+    for user in range(4):
+        own = [(r.event_id, r.value) for r in rows if r.user_id == user]
+        for (e, n), (mean, prev) in _sma_by_hand(own, SMA_PERIODS).items():
+            assert (got[e][f"sma_{n}"], got[e][f"prev_sma_{n}"]) == (mean, prev), (user, e, n)
+    signals = {r.sma_signal_5_15 for r in got.values()}
+    assert signals == {None, "BUY", "SELL"}
+    for r in got.values():
+        up = r.prev_sma_5 is not None and r.sma_5 is not None and r.sma_5 > r.sma_15 and r.prev_sma_5 < r.prev_sma_15
+        assert (r.sma_signal_5_15 == "BUY") == up
