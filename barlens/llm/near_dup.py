@@ -6,9 +6,8 @@
 2. Classes that agree on all rows of a band are candidates. A band's bucket is
    not expanded into pairs: its members have one random member, the hub, for company.
    Of the up to ``bands`` hubs of a class only the least is compared at first, which
-   connects most of a large group. Of what is left, only hubs in another
-   component count, and of all pairs between two components a few at a time
-   (one, eight, 64, ...), until none is left that was not compared.
+   connects most of a large group. Then only hubs in another component count: first one
+   pair for any two components, and what is still apart after that.
 3. Candidate signatures are compared batch by batch. After n compared rows with
    m agreeing, the posterior of the similarity under a uniform prior is
    Beta(m + 1, n - m + 1); a pair is dropped once the probability that its
@@ -113,6 +112,10 @@ def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                  pa.array(np.concatenate(sets), pa.int64())], names=["cid", "n", "comp", "shingle"])
 
 
+def _classes_of(components: DataFrame) -> DataFrame:
+    return materialize(components.select(F.col("node").alias("cid"), F.col("component").alias("comp")), "dup-comps")
+
+
 class NearDup:
     """The stages of the operator over one table of (doc_id, text)."""
 
@@ -181,8 +184,7 @@ class NearDup:
         """(seekers, holders), to be joined on ``shingle``: prefix entries of classes that share a
         bucket's company with another component."""
         num, den = self.threshold
-        placed = (members.join(comps.withColumnsRenamed({"node": "cid", "component": "comp"}), "cid", "left")
-                  .withColumn("comp", F.coalesce("comp", "cid")))
+        placed = members.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         split = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                  .filter("c0 <> c1").select("bucket"))
         open_ = placed.join(split, "bucket", "left_semi").select("cid", "n", "comp").distinct()
@@ -209,24 +211,24 @@ class NearDup:
         return [(met, held.filter("comp_h <> home_h")), (met.filter("comp <> home"), held.filter("comp_h = home_h"))]
 
     def _cross_pairs(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs (a, b) in different components that share a bucket's company and that
+        """Pairs (a, b) in different components (ca, cb) that share a bucket's company and that
         the filters on their full sets leave open."""
         num, den = self.threshold
         room = F.lit(den + num) * F.least(F.col("n") - F.col("p"), F.col("n_h") - F.col("p_h")) \
             >= F.lit(num) * (F.col("n") + F.col("n_h"))
         pairs = [seek.join(hold, "shingle").filter("n >= n_h and comp <> comp_h").filter(self._near("n", "n_h") & room)
-                 .select(F.least("cid", "cid_h").alias("a"), F.greatest("cid", "cid_h").alias("b"))
+                 .select(F.least("cid", "cid_h").alias("a"), F.greatest("cid", "cid_h").alias("b"),
+                         F.least("comp", "comp_h").alias("ca"), F.greatest("comp", "comp_h").alias("cb"))
                  for seek, hold in self._prefix_sides(members, comps, sets)]
         return pairs[0].union(pairs[1]).distinct()
 
-    def _hub_links(self, members: DataFrame, sets: DataFrame) -> DataFrame:
-        """Verified links among classes and hubs that connect what can be connected by them."""
+    def _hub_components(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """(cid, comp) of the classes that links with their buckets' hubs connect."""
         stars = members.filter("hub <> cid").filter(self._near("n", "hub_n"))
         first = stars.groupBy("cid").agg(F.min("hub").alias("hub")) \
             .select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
         first = materialize(first, "dup-first")
-        links = [self._links(first, sets)]
-        comps = materialize(connected_components(links[0]), "dup-comps").withColumnsRenamed({"node": "cid", "component": "comp"})
+        comps = _classes_of(connected_components(self._links(first, sets)))
         # buckets whose members are not all in the hub's component
         placed = members.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         split = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
@@ -237,40 +239,33 @@ class NearDup:
                         F.least("comp", "hub_comp").alias("ca"), F.greatest("comp", "hub_comp").alias("cb")).distinct()
                 .join(first, ["a", "b"], "left_anti"))
         left = materialize(left, "dup-left")
-        share = 1
-        while True:
-            some = F.pmod(F.xxhash64("a", "b"), F.lit(share))
-            take = materialize(left.groupBy("ca", "cb", some.alias("s")).agg(F.min(F.struct("a", "b")).alias("p"))
-                               .select("p.a", "p.b", "ca", "cb"), "dup-take")
-            if take.isEmpty():
-                break
-            links.append(self._links(take.select("a", "b"), sets))
-            left = left.join(take.select("a", "b"), ["a", "b"], "left_anti")
-            if not links[-1].isEmpty():
-                joined = connected_components(take.join(links[-1], ["a", "b"], "left_semi").select("ca", "cb"))
-                joined = materialize(joined, "dup-joined")
-                for c in ("ca", "cb"):
-                    left = (left.join(joined.withColumnsRenamed({"node": c, "component": "to"}), c, "left")
-                            .withColumn(c, F.coalesce("to", c)).drop("to"))
-                left = left.filter("ca <> cb").select(
-                    "a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
-            left = materialize(left, "dup-left")
-            share *= 8
-        out = links[0]
-        for more in links[1:]:
-            out = out.union(more)
-        return out
+        one = materialize(left.groupBy("ca", "cb").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b", "ca", "cb"), "dup-one")
+        comps, joined = self._merge(comps, one, sets)
+        left = left.join(one.select("a", "b"), ["a", "b"], "left_anti")
+        for c in ("ca", "cb"):
+            left = (left.join(joined.withColumnsRenamed({"node": c, "component": "to"}), c, "left")
+                    .withColumn(c, F.coalesce("to", c)).drop("to"))
+        return self._merge(comps, materialize(left.filter("ca <> cb"), "dup-left"), sets)[0]
+
+    def _merge(self, comps: DataFrame, pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Verify candidate pairs (a, b) of components (ca, cb): the components joined by the links
+        among them, and which went where (node, component)."""
+        links = self._links(pairs.select("a", "b"), sets)
+        joined = materialize(connected_components(pairs.join(links, ["a", "b"], "left_semi").select("ca", "cb")), "dup-joined")
+        moved = (comps.join(joined.withColumnRenamed("node", "comp"), "comp", "left")
+                 .select("cid", F.coalesce("component", "comp").alias("comp")))
+        # components of one class have no row yet
+        single = joined.join(comps.select(F.col("cid").alias("node")), "node", "left_anti") \
+            .select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+        return materialize(moved.union(single), "dup-comps"), joined
 
     def components(self) -> DataFrame:
         """(cid, comp) of every class that is linked with another one."""
         members = self._members()
         sets = self._sets(members)
-        links = self._hub_links(members, sets)
-        comps = materialize(connected_components(links), "dup-comps")
-        late = self._links(self._cross_pairs(members, comps, sets), sets)
-        if not late.isEmpty():
-            comps = materialize(connected_components(links.union(late)), "dup-comps")
-        return comps.withColumnsRenamed({"node": "cid", "component": "comp"})
+        comps = self._hub_components(members, sets)
+        late = materialize(self._cross_pairs(members, comps, sets), "dup-late")
+        return comps if late.isEmpty() else self._merge(comps, late, sets)[0]
 
     def digest(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row."""

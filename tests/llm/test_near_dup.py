@@ -148,3 +148,36 @@ def test_rows_without_or_with_repeated_ids_leave_one_by_one(spark):
     got = [(r["doc_id"], r["text"]) for r in left.collect()]
     assert left.columns == df.columns and len(got) == 4
     assert {(3, b), (5, a), (None, c)} < set(got) and len([t for i, t in got if i is None and t.startswith(d)]) == 1
+
+
+def crowd(m, part, seed, words=100):
+    """``m`` texts that share ``part`` of their words, in the same places, and nothing else."""
+    rng = np.random.default_rng(seed)
+    own = set(rng.choice(words, round(words * (1 - part)), replace=False).tolist())
+    return {i: " ".join(f"x{i}_{k}" if k in own else f"w{k}" for k in range(words)) for i in range(m)}
+
+
+def test_boilerplate_does_not_meet_pair_by_pair(spark):
+    """Texts that are boilerplate to four fifths, each a component of its own: what the prefix
+    join brings together grows with the texts, not with their pairs."""
+    met = []
+    for m in (100, 200, 400):
+        rows = crowd(m, 0.8, 1)
+        df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+        dup = near_dup.NearDup(df)
+        members = dup._members()
+        sets = dup._sets(members)
+        comps = dup._hub_components(members, sets)
+        met.append(sum(a.join(b, "shingle").count() for a, b in dup._prefix_sides(members, comps, sets)))
+        if m == 100:
+            check(dup.digest().collect(), brute(rows))
+    assert all(b <= 2.2 * a + 100 for a, b in zip(met, met[1:])), met
+
+
+@pytest.mark.parametrize("part", [0.93, 0.96, 0.97])
+def test_boilerplate_around_the_threshold(spark, part):
+    """Shares of one word sequence that bring pairs just below and above the threshold."""
+    rows = crowd(60, part, 7, words=200)
+    rows |= {100 + i: t for i, t in crowd(60, part - 0.01, 8, words=200).items()}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    check(near_dup.near_duplicates(df).collect(), brute(rows))
