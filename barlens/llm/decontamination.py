@@ -18,9 +18,12 @@ do in the third form (``plain``), lower-cased words and numbers as they stand, w
 finds word-for-word copies of items that hardly have a template. Scripts without
 spaces count by characters in the last two forms.
 
+Items with fewer than ``MIN_TOKENS`` tokens, or of numbers alone, have no windows that could be
+told from chance. They are found word for word where they stand alone (form ``whole``): as whole
+clauses, from one mark, line end or end of the text to another.
+
 Defined cases: a null or empty text has no windows and is clean; items with
-fewer than ``MIN_TOKENS`` tokens can't be told from chance and are skipped, as are
-items of numbers alone; an item
+fewer than ``MIN_WHOLE`` tokens are skipped; an item
 shorter than a window is one window; rows are judged one by one, also where
 doc_id repeats or is null; empty tables give empty results.
 """
@@ -35,6 +38,8 @@ from barlens.sinks import materialize
 
 WINDOW = 8
 MIN_TOKENS = 5
+#: Tokens of the shortest item that is looked for as whole clauses.
+MIN_WHOLE = 3
 CONTAINMENT = 0.5
 CONSISTENCY = 0.8
 #: Above this many benchmark windows the join is left to Spark instead of broadcast
@@ -201,6 +206,48 @@ def document_windows(texts: DataFrame, widths: list[tuple[str, int]]) -> DataFra
             .select("doc_id", "text_hash", "w.form", "w.width", "doc_at", "w.hash"))
 
 
+WHOLE = "whole"
+
+
+def clauses(rows: DataFrame, name: str = "clauses") -> DataFrame:
+    """``rows`` with the text's clauses in its place: lower-cased tokens between marks, joined by spaces."""
+    parts = F.split(F.coalesce(F.col("text"), F.lit("")), r"[.!?:\n]+")
+    token = F.lit(r"[0-9]+(?:,[0-9]+)*|\p{L}+")
+    said = F.transform(parts, lambda x: F.array_join(F.regexp_extract_all(F.lower(x), token, F.lit(0)), " "))
+    return C.settled(rows.withColumn("__said", said).drop("text"), name, F.filter("__said", lambda x: x != "")).drop("__said")
+
+
+def _runs(said: Column, width: Column | int) -> Column:
+    """Hash of each run of ``width`` clauses."""
+    width = F.lit(width) if isinstance(width, int) else width
+    at = F.when(F.size(said) >= width, F.sequence(F.lit(1), F.size(said) - width + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(said, i, width), "\n")))
+
+
+def whole_items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, width, hash) of the items without windows: clauses, and the hash of all of them."""
+    item = tokenised(benchmark.select("item_id", "text", F.col("text").alias("__text")))
+    short = (F.size("toks") >= MIN_WHOLE) & ((F.size("chars") < MIN_TOKENS) | ~F.exists("toks", lambda s: ~_is_number(s["raw"])))
+    said = clauses(item.filter(short).select("item_id", F.col("__text").alias("text")))
+    return said.select("item_id", F.size("clauses").alias("width"), F.explode(_runs(F.col("clauses"), F.size("clauses"))).alias("hash"))
+
+
+def whole_copies(texts: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """Rows of ``contaminated`` for items that stand in a text as whole clauses; None if no item asks for it."""
+    items = materialize(whole_items(benchmark), "benchmark-whole")
+    widths = [r[0] for r in items.select("width").distinct().collect()]    # few: such items are short
+    if not widths:
+        return None
+    said = clauses(texts)
+    runs = F.array(*[F.struct(F.lit(w).alias("w"), _runs(F.col("clauses"), w).alias("h")) for w in widths])
+    met = (said.select("doc_id", "text_hash", F.explode(runs).alias("r"))
+           .select("doc_id", "text_hash", F.col("r.w").alias("width"), F.explode("r.h").alias("hash"))
+           .join(items, ["width", "hash"]).select("doc_id", "text_hash", "item_id").distinct())
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return met.select("doc_id", "item_id", one.alias("n_windows"), one.alias("matched"), F.lit(1.0).alias("containment"),
+                      none.alias("n_values"), none.alias("n_consistent"), F.lit("exact").alias("kind"), "text_hash")
+
+
 def row_key() -> list[Column]:
     """What tells rows apart even where doc_id repeats or is null."""
     return [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]
@@ -236,10 +283,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rank = F.create_map(*[F.lit(x) for i, form in enumerate(FORMS) for x in (form, -i)])
     best = best.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct(
         rank[F.col("form")].alias("rank"), "matched", "same", "n_consistent", "n_values", "n_windows")).alias("b"))
-    return best.select(
+    out = best.select(
         "doc_id", "item_id", "b.n_windows", "b.matched", (F.col("b.matched") / F.col("b.n_windows")).alias("containment"),
         "b.n_values", "b.n_consistent", F.when(F.col("b.same"), "exact").otherwise("re-parameterised").alias("kind"),
         "text_hash")
+    whole = whole_copies(texts, benchmark)
+    return out if whole is None else out.unionByName(whole)
 
 
 def _same(a: str, b: str, columns: list[str]) -> list[Column]:

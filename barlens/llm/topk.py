@@ -36,7 +36,7 @@ from barlens.sinks import materialize
 
 SCALE = 64
 K = 20
-PIVOTS = 16
+PIVOTS = 64
 #: Vectors that the pivots are chosen from.
 SAMPLE = 1000
 STRIPE, BLOCK = 4096, 4096
@@ -179,14 +179,15 @@ def _search_length(vectors: DataFrame, d, is_query: Column, k: int, pivots: int)
     # the pivot table: computed once per vector, before it is sent to the blocks
     def with_table(batches):
         for b in batches:
+            # single precision will do: bounds leave room for rounding
             x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, dim)
             t = shared.value.candidate_table(x).T
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(list(np.ascontiguousarray(t)), pa.list_(pa.float64()))], names=["vec_id", "v", "t"])
+                [*b.columns, pa.array(list(np.ascontiguousarray(t, np.float32)), pa.list_(pa.float32()))], names=["vec_id", "v", "t"])
 
     stripes, blocks = ceil(n / STRIPE), ceil(nq / BLOCK)
     row = F.xxhash64("vec_id", "v")
-    candidates = (vectors.select("vec_id", "v").mapInArrow(with_table, "vec_id bigint, v array<bigint>, t array<double>")
+    candidates = (vectors.select("vec_id", "v").mapInArrow(with_table, "vec_id bigint, v array<bigint>, t array<float>")
                   .withColumn("stripe", F.pmod(row, F.lit(stripes)).cast("int"))
                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     queries = (vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), "v", row.alias("query_row"))
@@ -201,7 +202,7 @@ def _search_length(vectors: DataFrame, d, is_query: Column, k: int, pivots: int)
                 x, q = x.astype(np.float64), q.astype(np.float64)
             ids, q_ids, q_rows = (c.to_numpy() for c in (xs["vec_id"], qs["query_id"], qs["query_row"]))
             table = xs["t"].combine_chunks().flatten().to_numpy().reshape(len(ids), len(space.pivots))
-            table = np.ascontiguousarray(table.T.astype(np.float32))
+            table = np.ascontiguousarray(table.T)
             near = space.query_table(q.astype(np.float64))
             for at in range(0, len(q), BATCH):
                 part = slice(at, at + BATCH)

@@ -25,14 +25,23 @@ def test_reparameterised_questions(spark):
     assert found(spark, [(1, ITEM)], docs) == {(1, 1): "exact", (2, 1): "re-parameterised"}
 
 
-def test_placeholders_alone_match_nothing(spark):
-    assert found(spark, [(1, "1 2 3 4 5 6 7 8 9 10")], [(1, "10 9 8 7 6 5 4 3 2 1"), (2, "1 2 3 4 5 6 7 8 9 10")]) == {}
+def test_numbers_alone_match_word_for_word_only(spark):
+    numbers = "1 2 3 4 5 6 7 8 9 10"
+    docs = [(1, "10 9 8 7 6 5 4 3 2 1"), (2, numbers), (3, f"It went {numbers}"), (4, f"So it went:\n{numbers}.\nAnd on.")]
+    assert found(spark, [(1, numbers)], docs) == {(2, 1): "exact", (4, 1): "exact"}
 
 
 def test_short_items(spark):
-    items = [(1, "one two three"), (2, "alpha beta gamma delta epsilon zeta")]
-    docs = [(1, "so one two three it is"), (2, "x alpha beta gamma delta epsilon zeta y"), (3, "alpha beta gamma delta")]
-    assert found(spark, items, docs) == {(2, 2): "exact"}
+    """Items too short for a window are found as whole clauses, and nowhere else."""
+    items = [(1, "one two three"), (2, "alpha beta gamma delta epsilon zeta"), (3, "Is 17 prime?"), (4, "True? False."), (5, "Go on. Then stop.")]
+    docs = [(1, "so one two three it is"), (2, "x alpha beta gamma delta epsilon zeta y"), (3, "alpha beta gamma delta"),
+            (4, "He counted: One, two, THREE! And went."), (5, "Then he asked\nis 17 prime?\nand left"), (6, "Is 18 prime? Is 17 primed?"),
+            (7, "True or not? False."), (8, "They said go on. Then stop."), (9, "Go on.\nThen stop"), (10, "True? False.")]
+    assert found(spark, items, docs) == {(2, 2): "exact", (4, 1): "exact", (5, 3): "exact", (9, 5): "exact"}
+    d, b = tables(spark, items, docs)
+    assert sorted(r["doc_id"] for r in X.decontaminate(d, b).collect()) == [1, 3, 6, 7, 8, 10]
+    r = X.digest(d, b).filter("doc_id = 5").first()
+    assert (r["n_windows"], r["matched"], r["containment"], r["n_values"], r["n_consistent"]) == (1, 1, 1.0, 0, 0)
 
 
 def test_whole_table_against_substrings(documents, texts, spark):

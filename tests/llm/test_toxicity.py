@@ -80,3 +80,27 @@ def test_odd_rows(odd, empty, spark, labels):
     assert len({r["score"] for r in got if r["doc_id"] in (1, 2, 3)}) == 1
     assert {r["score"] for r in X.digest(odd, marks.limit(0)).collect()} == {0.0}
     assert X.digest(empty, labels).count() == 0
+
+
+def test_all_scores_by_brute_force(documents, labels, texts, scored):
+    """Every document's score from the trained weights, word by word and sentence by sentence."""
+    import re
+    model = X.train(documents, labels, ~X.held_out())
+    assert model.weights
+
+    def weight(word):
+        word = word.encode()
+        parts = [word] + [word[:n] + b"*" for n in (4, 5) if len(word) > n]
+        return sum(model.weights.get(p, 0.0) for p in parts)
+
+    for i, text in texts.items():
+        clean, offending = 1 - model.leak, 0
+        for line in re.split(r"[.!?\n\r;]", text.lower()):
+            words = re.sub(r"[^\w'\x80-\U0010ffff]|_", " ", line, flags=re.ASCII).split()
+            words = [w for w in words if w]
+            for at in range(0, len(words), 40):
+                p = 1 / (1 + exp(-(model.bias + sum(map(weight, words[at:at + 40])))))
+                clean *= 1 - p
+                offending += p >= 0.3
+        assert scored[i]["score"] == pytest.approx(1 - clean, abs=1e-9), i
+        assert scored[i]["n_offending"] == offending
