@@ -10,6 +10,8 @@ divides decimals in DOUBLE.
 
 from __future__ import annotations
 
+from barlens.functions.scalar import LARGE_CAP_ABOVE, MICRO_CAP_BELOW, MID_CAP_RANGE, SMALL_CAP_RANGE
+
 # Fixed values shared with barlens.sources.testdata.
 HIST_BEFORE = "DATE '2001-07-01'"
 CUR_FROM = "DATE '2001-06-01'"
@@ -128,13 +130,15 @@ screen AS (
          s_name AS stock_name, '  ' || lower(s_name) || ' ' AS nse_code
   FROM supplier)"""
 
-CAP_CASE = """CASE WHEN market_cap IS NULL THEN 'Unknown'
-       WHEN market_cap > 2000000000000 THEN 'Large Cap'
-       WHEN market_cap BETWEEN 500000000000 AND 2000000000000 THEN 'Mid Cap'
-       WHEN market_cap BETWEEN 50000000000 AND 500000000000 THEN 'Small Cap'
-       WHEN market_cap < 50000000000 THEN 'Micro Cap'
+# Bounds and labels are the library's fixed values; the statement is DuckDB's own.
+CAP_CASE = f"""CASE WHEN market_cap IS NULL THEN 'Unknown'
+       WHEN market_cap > {LARGE_CAP_ABOVE} THEN 'Large Cap'
+       WHEN market_cap BETWEEN {MID_CAP_RANGE[0]} AND {MID_CAP_RANGE[1]} THEN 'Mid Cap'
+       WHEN market_cap BETWEEN {SMALL_CAP_RANGE[0]} AND {SMALL_CAP_RANGE[1]} THEN 'Small Cap'
+       WHEN market_cap < {MICRO_CAP_BELOW} THEN 'Micro Cap'
        ELSE 'Other' END"""
 
+
 def latest_cte(name: str, where: str = "TRUE") -> str:
     return f"""
 {name} AS (

@@ -34,8 +34,8 @@ from barlens.sources import testdata
 from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest, without_repeats
 from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
 from barlens.streaming.moving import sma_columns, stream_sma, with_rebuilt_sma
-from barlens.sources.readers import (corrupt_bars, corrupt_csv, extract_html_table, read_assets, read_bar_csv,
-                                     read_bar_landing, valid_date, window_before)
+from barlens.sources.readers import (SOURCES, corrupt_bars, corrupt_csv, extract_html_table, load_sources, read_assets,
+                                     read_bar_csv, read_bar_landing, valid_date, window_before)
 from barlens.versioned import VersionedTable
 
 # Fixed parameters of the registered queries.
@@ -222,6 +222,17 @@ def q_hub_indicators(spark, sf_dir):
     return reduce(DataFrame.unionByName, [*long, spikes])
 
 
+def q_catalog_sources(spark, sf_dir):
+    """SRC-5: the five declared sources as catalog tables, read through the checked registry and unified."""
+    f = _inputs(spark, sf_dir).feeds
+    path, prefix = scratch_path(spark, "sources"), f"barlens_{uuid.uuid4().hex[:12]}_"
+    feed_of = {n: "assets" if n == "assets_info" else n.replace("_stock_data", "") for n in SOURCES}
+    for name, feed in feed_of.items():
+        f[feed].write.option("path", f"{path}/{name}").saveAsTable(prefix + name)
+    tables = load_sources(spark, prefix=prefix)
+    return models.stock_data({feed: tables[name] for name, feed in feed_of.items()})
+
+
 def q_delta_cycle(spark, sf_dir):
     """E2: two scheduled cycles over stored bars, then the trades made from them. Each cycle
     loads a window of 15 days for the compliant instruments, corrections included."""
@@ -359,21 +370,25 @@ def q_bar_landing(spark, sf_dir):
 
 
 def q_landing_corrupt(spark, sf_dir):
-    """SRC-1/3/4: documents and lines cut off in the middle, which the readers leave out,
-    come back from the readers of corrupt records; with the rows that were read."""
+    """SRC-1/3/4: documents and lines of all four feeds cut off in the middle, which the readers leave
+    out, come back from the readers of corrupt records; with the rows that were read."""
     f = _inputs(spark, sf_dir).feeds
     path = scratch_path(spark, "corrupt-landing")
-    whole = testdata.bar_documents(f["current_weekly"])
-    cut = whole.filter("pair_id % 5 = 0").withColumn("value", F.expr("substring(value, 1, length(value) - 20)"))
-    whole.unionByName(cut).write.partitionBy("pair_id").text(f"{path}/json")
-    read = read_bar_landing(spark, f"{path}/json", loaded_at=testdata.CURRENT_LOADED_AT)
-    write_csv(f["current_weekly"], f"{path}/csv")
-    short = f["current_weekly"].filter("pair_id % 7 = 0").select("pair_id", F.lit("cut").alias("rest"))
-    short.write.mode("append").option("header", True).csv(f"{path}/csv")
-    rows = lambda kind, df: df.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind))
-    lines = corrupt_csv(spark, f"{path}/csv")
-    return (rows("read", read).unionByName(rows("corrupt document", corrupt_bars(spark, f"{path}/json")))
-            .unionByName(rows("corrupt line", lines)))
+    parts: dict[str, list[DataFrame]] = {"read": [], "corrupt document": [], "corrupt line": []}
+    for name, loaded_at in testdata.FEEDS.items():
+        docs, lines = f"{path}/{name}/json", f"{path}/{name}/csv"
+        whole = testdata.bar_documents(f[name])
+        cut = whole.filter("pair_id % 5 = 0").withColumn("value", F.expr("substring(value, 1, length(value) - 20)"))
+        whole.unionByName(cut).write.partitionBy("pair_id").text(docs)
+        write_csv(f[name], lines)
+        short = f[name].filter("pair_id % 7 = 0").select("pair_id", F.lit("cut").alias("rest"))
+        short.write.mode("append").option("header", True).csv(lines)
+        parts["read"].append(read_bar_landing(spark, docs, loaded_at=loaded_at).select("pair_id"))
+        parts["corrupt document"].append(corrupt_bars(spark, docs).select("pair_id"))
+        parts["corrupt line"].append(corrupt_csv(spark, lines).select("pair_id"))
+    counted = [reduce(DataFrame.unionByName, dfs).groupBy("pair_id").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind))
+               for kind, dfs in parts.items()]
+    return reduce(DataFrame.unionByName, counted)
 
 
 def q_bar_csv(spark, sf_dir):
@@ -572,6 +587,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sma_stream": q_sma_stream,
     "stream_redelivered": q_stream_redelivered,
     "hub_indicators": q_hub_indicators,
+    "catalog_sources": q_catalog_sources,
     "delta_cycle": q_delta_cycle,
     "publish_replay": q_publish_replay,
     "sma_backtest_sorted": q_sma_backtest_sorted,
@@ -717,12 +733,11 @@ SELECT pair_id, frequency, reason, COUNT(*) AS n FROM (
     WHEN pair_id % 6 = 3 AND day(transaction_date) = 5 THEN 'row_date_timestamp' END AS reason
   FROM typed)
 GROUP BY ALL"""
-    o["landing_corrupt"] = O.with_ctes() + """
-, w AS (SELECT pair_id, year(transaction_date) AS y, COUNT(*) AS n FROM typed
-        WHERE src = 1 AND frequency = 'weekly' GROUP BY ALL)
-SELECT pair_id, CAST(SUM(n) AS BIGINT) AS n, 'read' AS kind FROM w GROUP BY pair_id
-UNION ALL SELECT pair_id, COUNT(*), 'corrupt document' FROM w WHERE pair_id % 5 = 0 GROUP BY pair_id
-UNION ALL SELECT pair_id, CAST(SUM(n) AS BIGINT), 'corrupt line' FROM w WHERE pair_id % 7 = 0 GROUP BY pair_id""".replace(", w AS", "SELECT * FROM (WITH w AS", 1) + ")"
+    o["landing_corrupt"] = O.with_ctes("""
+per_year AS (SELECT src, frequency, pair_id, year(transaction_date) AS y, COUNT(*) AS n FROM typed GROUP BY ALL)""") + """
+SELECT pair_id, CAST(SUM(n) AS BIGINT) AS n, 'read' AS kind FROM per_year GROUP BY pair_id
+UNION ALL SELECT pair_id, COUNT(*), 'corrupt document' FROM per_year WHERE pair_id % 5 = 0 GROUP BY pair_id
+UNION ALL SELECT pair_id, CAST(SUM(n) AS BIGINT), 'corrupt line' FROM per_year WHERE pair_id % 7 = 0 GROUP BY pair_id"""
     o["sink_chain"] = O.with_ctes() + f"""
 SELECT pair_id, CAST(transaction_date AS TIMESTAMP) AS row_date_timestamp, CAST(last_close AS VARCHAR) AS last_close_raw,
        loaded AS record_created_on
@@ -877,6 +892,7 @@ UNION ALL SELECT {keys}, 'avg_volume_30', a FROM (
         O.latest_cte("latest_c", f"src = 0 OR frequency = 'daily' AND ({days}) AND pair_id IN (SELECT pair_id FROM universe)"),
         O.stock_data_cte("stock_c", "latest_c"), O.liquid_cte(MIN_AVG_VOLUME).replace("FROM stock_data", "FROM stock_c"),
         _sma_ctes(), _trades_ctes("trades", "sma_crossover", SMA_TRADED, True, True)) + "SELECT * FROM trades"
+    o["catalog_sources"] = o["bars_unified"]
     o["publish_replay"] = O.with_ctes() + """
 SELECT pair_id, CAST(transaction_date AS TIMESTAMP) AS row_date_timestamp, CAST(last_close AS VARCHAR) AS last_close_raw,
        loaded AS record_created_on

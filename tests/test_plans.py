@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 BATCH_QUERIES = [q for q in registry.queries() if q not in
                  ("ema_stream", "volume_spike_stream", "stream_latest", "bar_landing", "bar_csv",
                   "landing_corrupt", "sink_chain", "table_roundtrip", "asset_json", "ema_incremental_reseed",
-                  "sma_stream", "stream_redelivered", "publish_replay", "bar_csv_staged")]
+                  "sma_stream", "stream_redelivered", "publish_replay", "bar_csv_staged", "catalog_sources")]
 
 
 def plan(spark, name):
