@@ -11,7 +11,9 @@
 3. Candidate signatures are compared batch by batch. After n compared rows with
    m agreeing, the posterior of the similarity under a uniform prior is
    Beta(m + 1, n - m + 1); a pair is dropped once the probability that its
-   similarity reaches the threshold falls below ``miss``.
+   similarity reaches the threshold falls below ``miss``. Before that go the pairs whose odd sketches
+   (one bit for the shingles of a slot, flipped by each) differ in more bits than linked sets differ in
+   shingles: these can't be linked.
 4. Survivors are verified on their full shingle sets, in integers.
 5. Members of a bucket that hubs left in different components may still be linked.
    Of these pairs, those that a prefix, length and position filter on the full
@@ -21,7 +23,8 @@
    n - 0.857 n + 1 rarest of its own: 2 t / (1 + t) of the smaller set must be shared. So the
    shingles that a crowd of texts has in common, but that are less than that part of
    each, are found by no one, and shingles that no one is found by are left out
-   before the join.
+   before the join. Of a crowd of copies with edits of their own, which meet in the original's
+   shingles, the odd sketches leave the pairs close to the threshold, inside the join.
 6. Verified links give connected components; the least doc_id represents each.
 
 With bands of ``band_rows`` rows a pair at the threshold t shares no band with
@@ -37,16 +40,17 @@ the rows that another one represents.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlens.llm import common as C
 from barlens.llm.components import connected_components
-from barlens.llm.shingles import overlap, set_batches, sign_batches
+from barlens.llm.shingles import ODD_WORDS, overlap, set_batches, sign_batches
 from barlens.sinks import materialize
 
 WIDTH = 5
@@ -70,15 +74,21 @@ def least_agreement(n: int, t: float, miss: float) -> int:
     return next(m for m in range(n + 1) if upper_tail(m, n, t) >= miss)
 
 
-def _survive(batches: Iterator[pa.RecordBatch], rows: int, step: int, threshold: float,
+def _survive(batches: Iterator[pa.RecordBatch], rows: int, step: int, threshold: tuple,
              miss: float) -> Iterator[pa.RecordBatch]:
-    """(a, b, sig_a, sig_b) -> (a, b) of the pairs that no batch drops."""
-    need = {n: least_agreement(n, threshold, miss) for n in range(step, rows + 1, step)}
+    """(a, b, sig_a, sig_b, n_a, n_b, odd_a, odd_b) -> (a, b) of the pairs that neither the odd sketches nor a
+    batch of rows drops."""
+    num, den = threshold
+    need = {n: least_agreement(n, num / den, miss) for n in range(step, rows + 1, step)}
     for batch in batches:
         if not batch.num_rows:
             continue
         x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, rows) for i in (2, 3))
-        alive, agree = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+        # numpy counts the bits of absolute values
+        odd_a, odd_b = (batch.column(i).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1) for i in (6, 7))
+        sizes = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+        alive = np.flatnonzero((den + num) * np.bitwise_count(odd_a ^ odd_b).sum(axis=1, dtype=np.int64) <= (den - num) * sizes)
+        agree = np.zeros(len(alive), np.int64)
         for n in range(step, rows + 1, step):
             agree += (x[alive, n - step:n] == y[alive, n - step:n]).sum(axis=1)
             stay = agree >= need[n]
@@ -129,12 +139,12 @@ class NearDup:
         width, rows = self.width, self.rows
         self.signed = materialize(self.docs.mapInArrow(
             lambda it: sign_batches(it, width, rows),
-            f"doc_id {id_type}, text_hash bigint, n_shingles bigint, key binary, sig binary"), "dup-signed")
+            f"doc_id {id_type}, text_hash bigint, n_shingles bigint, key binary, sig binary, odd array<bigint>"), "dup-signed")
         worded = self.signed.filter(F.col("key").isNotNull())
         # equal sequences have equal signatures: any row of the class will do
         self.classes = materialize(worded.groupBy("key").agg(
             F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
-            F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+            F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd"))
             .withColumn("cid", F.xxhash64("key")), "dup-classes")
 
     def _members(self) -> DataFrame:
@@ -163,13 +173,12 @@ class NearDup:
 
     def _links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Verified links among candidate pairs (a, b)."""
-        signatures = self.classes.select("cid", "sig")
-        sides = (pairs.join(signatures.withColumnsRenamed({"cid": "a", "sig": "sig_a"}), "a")
-                 .join(signatures.withColumnsRenamed({"cid": "b", "sig": "sig_b"}), "b")
-                 .select("a", "b", "sig_a", "sig_b"))
-        rows, step, miss = self.rows, self.step, self.miss
-        t, threshold = self.threshold[0] / self.threshold[1], self.threshold
-        alive = sides.mapInArrow(lambda it: _survive(it, rows, step, t, miss), "a bigint, b bigint")
+        side = {s: self.classes.select(F.col("cid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "odd")])
+                for s in "ab"}
+        sides = (pairs.join(side["a"], "a").join(side["b"], "b")
+                 .select("a", "b", "sig_a", "sig_b", "n_a", "n_b", "odd_a", "odd_b"))
+        rows, step, miss, threshold = self.rows, self.step, self.miss, self.threshold
+        alive = sides.mapInArrow(lambda it: _survive(it, rows, step, threshold, miss), "a bigint, b bigint")
         full = (alive.join(sets.withColumnsRenamed({"cid": "a", "shingles": "set_a"}), "a")
                 .join(sets.withColumnsRenamed({"cid": "b", "shingles": "set_b"}), "b")
                 .select("a", "b", "set_a", "set_b"))
@@ -206,8 +215,8 @@ class NearDup:
         home = (entries.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("holds").alias("h"))
                 .groupBy("shingle").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k"), F.max("h").alias("h"))
                 .filter("k > 1 and h").select("shingle", F.col("top.comp").alias("home")))
-        met = materialize(entries.join(home, "shingle"), "dup-met")
-        held = met.filter("holds").select("shingle", *[F.col(c).alias(f"{c}_h") for c in ("cid", "n", "comp", "p", "home")])
+        met = materialize(entries.join(home, "shingle").join(self.classes.select("cid", "odd"), "cid"), "dup-met")
+        held = met.filter("holds").select("shingle", *[F.col(c).alias(f"{c}_h") for c in ("cid", "n", "comp", "p", "home", "odd")])
         return [(met, held.filter("comp_h <> home_h")), (met.filter("comp <> home"), held.filter("comp_h = home_h"))]
 
     def _cross_pairs(self, members: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
@@ -216,7 +225,10 @@ class NearDup:
         num, den = self.threshold
         room = F.lit(den + num) * F.least(F.col("n") - F.col("p"), F.col("n_h") - F.col("p_h")) \
             >= F.lit(num) * (F.col("n") + F.col("n_h"))
-        pairs = [seek.join(hold, "shingle").filter("n >= n_h and comp <> comp_h").filter(self._near("n", "n_h") & room)
+        # bits in which the odd sketches differ: no more than shingles that only one set has
+        apart = reduce(Column.__add__, [F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("odd_h", F.lit(i)))) for i in range(ODD_WORDS)])
+        close = F.lit(den + num) * apart <= F.lit(den - num) * (F.col("n") + F.col("n_h"))
+        pairs = [seek.join(hold, "shingle").filter("n >= n_h and comp <> comp_h").filter(self._near("n", "n_h") & room & close)
                  .select(F.least("cid", "cid_h").alias("a"), F.greatest("cid", "cid_h").alias("b"),
                          F.least("comp", "comp_h").alias("ca"), F.greatest("comp", "comp_h").alias("cb"))
                  for seek, hold in self._prefix_sides(members, comps, sets)]

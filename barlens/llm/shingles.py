@@ -19,6 +19,8 @@ from barlens.llm.common import WordHashes, mix64, word_hashes
 POSITION = np.random.default_rng(64).integers(0, 2 ** 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Shingles hashed at once; bounds the work array of a very long text.
 BLOCK = 4096
+#: 64-bit words of an odd sketch.
+ODD_WORDS = 16
 
 
 def shingle_set(words: list, width: int, memo: WordHashes) -> np.ndarray:
@@ -54,6 +56,14 @@ class Signer:
         return (low >> np.uint64(32)).astype("<u4")
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Bit i says whether an odd number of the shingles falls into slot i. A shingle that only one of two sets
+    has flips one bit, so the sketches differ in as many bits as the sets in shingles, at most."""
+    slots = 64 * ODD_WORDS
+    odd = np.bincount((shingles % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def words_of(text: bytes) -> list:
     return text.lower().split()
 
@@ -64,21 +74,23 @@ def text_key(words: list) -> bytes:
 
 
 def sign_batches(batches: Iterator[pa.RecordBatch], width: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, text_hash) -> (doc_id, text_hash, n_shingles, key, sig); key and sig are null
+    """(doc_id, text, text_hash) -> (doc_id, text_hash, n_shingles, key, sig, odd); key, sig and odd are null
     where a text has no words."""
     memo, sign = WordHashes(), Signer(rows)
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-        n, keys, sigs = [], [], []
+        n, keys, sigs, odds = [], [], [], []
         for text in texts:
             words = words_of(text.as_py() or b"")
             s = shingle_set(words, width, memo)
             n.append(len(s))
             keys.append(text_key(words) if words else None)
             sigs.append(sign(s).tobytes() if words else None)
+            odds.append(odd_sketch(s) if words else None)
         yield pa.RecordBatch.from_arrays(
-            [ids, batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "text_hash", "n_shingles", "key", "sig"])
+            [ids, batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()),
+             pa.array(odds, pa.list_(pa.int64()))],
+            names=["doc_id", "text_hash", "n_shingles", "key", "sig", "odd"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import pytest
 from barlens.llm import near_dup
 from barlens.llm.common import WordHashes
 from barlens.llm.components import connected_components
-from barlens.llm.shingles import Signer, shingle_set, words_of
+from barlens.llm.shingles import Signer, odd_sketch, shingle_set, words_of
 
 
 def shingles(text, width=5):
@@ -181,3 +181,33 @@ def test_boilerplate_around_the_threshold(spark, part):
     rows |= {100 + i: t for i, t in crowd(60, part - 0.01, 8, words=200).items()}
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     check(near_dup.near_duplicates(df).collect(), brute(rows))
+
+
+def test_crowd_of_copies_with_edits_of_their_own_does_not_meet_pair_by_pair(spark):
+    """Copies of one text, a few words of each replaced: any two are below the threshold, but share the shingles
+    that no edit took. The pairs left to verify grow with the texts, not with their pairs."""
+    left = []
+    for m in (100, 200, 400):
+        rng = np.random.default_rng(m)
+        rows = {}
+        for i in range(m):
+            words = [f"w{k}" for k in range(150)]
+            for at in rng.choice(30, 4, replace=False) * 5:
+                words[at] = f"x{i}_{at}"
+            rows[i] = " ".join(words)
+        dup = near_dup.NearDup(spark.createDataFrame(list(rows.items()), "doc_id long, text string"))
+        members = dup._members()
+        sets = dup._sets(members)
+        left.append(dup._cross_pairs(members, dup._hub_components(members, sets), sets).count())
+        if m == 200:
+            check(dup.digest().collect(), brute(rows))
+    assert all(b <= 2.2 * a + 100 for a, b in zip(left, left[1:])), left
+
+
+def test_odd_sketches_never_differ_in_more_bits_than_the_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        x, y = (np.unique(rng.integers(0, 3000, int(rng.integers(1, 600)), np.uint64)) for _ in range(2))
+        bits = int(np.bitwise_count((odd_sketch(x) ^ odd_sketch(y)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(x, y)) and (bits - len(np.setxor1d(x, y))) % 2 == 0
+    assert not odd_sketch(np.empty(0, np.uint64)).any()
