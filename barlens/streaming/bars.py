@@ -99,7 +99,7 @@ def without_repeats(stream: DataFrame, days: int = 15, arrived: Column | None =
     at = F.col("_metadata.file_modification_time") if arrived is None else arrived
     content = [c for c in stream.columns if c != LOAD_STAMP]
     return (stream.withColumn("_arrived", at.cast("timestamp"))
-            .withColumn("_content", F.md5(F.to_json(F.struct(*content)).cast("binary")))
+            .withColumn("_content", F.unhex(F.md5(F.to_json(F.struct(*content)).cast("binary"))))
             .withWatermark("_arrived", f"{days} days")
             .dropDuplicatesWithinWatermark(["pair_id", "frequency", "row_date_timestamp", "_content"])
             .drop("_arrived", "_content"))

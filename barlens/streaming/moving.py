@@ -88,8 +88,9 @@ class MovingAverageProcessor(StatefulProcessor):
         del parts
         order = np.lexsort((ids, t))
         t, ids, cents, known = t[order], ids[order], cents[order], known[order]
-        if self.state.exists():
-            last_t, last_id, sums, counts = self.state.get()
+        stored = self.state.get()
+        if stored is not None:
+            last_t, last_id, sums, counts = stored
             sums, counts = np.frombuffer(sums, np.int64), np.frombuffer(counts, np.int64)
             late = (t < last_t) | (t == last_t) & (ids <= last_id)
         else:

@@ -1,12 +1,14 @@
 import datetime as dt
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from barlens.operators.ema import with_ema
 from barlens.session import scratch_path
 from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest
-from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
+from barlens.streaming.indicators import STATE_CONF, IndicatorProcessor, stream_indicators, with_rebuilt
+from barlens.streaming.moving import MovingAverageProcessor
 from helpers import T0, raw_rows
 
 COLS = ["user_id", "event_id", "ema_9", "ema_21", "ema_50", "prev_ema_9", "avg_value_30", "late"]
@@ -162,3 +164,38 @@ def test_moving_averages_on_a_stream(spark):
     for r in got.values():
         up = r.prev_sma_5 is not None and r.sma_5 is not None and r.sma_5 > r.sma_15 and r.prev_sma_5 < r.prev_sma_15
         assert (r.sma_signal_5_15 == "BUY") == up
+
+
+class KeptState:
+    """A state that answers one question per key and batch: what it holds."""
+
+    def __init__(self, held):
+        self.held, self.reads = held, 0
+
+    def exists(self):
+        raise AssertionError("asked twice")
+
+    def get(self):
+        self.reads += 1
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    put = update
+
+
+def test_processors_ask_for_each_state_once():
+    """Each question is a round trip to the JVM, for every key of every micro-batch."""
+    frame = pd.DataFrame({"ts": pd.to_datetime(["2024-01-01", "2024-01-02"]), "event_id": [1, 2], "value": [1.5, 2.5], "value_cents": [150, 250]})
+    later = frame.assign(ts=frame["ts"] + pd.Timedelta(days=2))
+    ema = IndicatorProcessor("user_id", "ts", "event_id", "value")
+    ema.ema, ema.window = KeptState(None), KeptState(None)
+    sma = MovingAverageProcessor(["user_id", "ts", "event_id", "value"])
+    sma.state = KeptState(None)
+    for n, f in enumerate((frame, later), 1):
+        out = pd.concat(list(ema.handleInputRows((7,), iter([f]), None)))
+        assert out["avg_value_30"].tolist() == [[1.5, 2.0], [5.5 / 3, 2.0]][n - 1] and not out["late"].any()
+        out = pd.concat(list(sma.handleInputRows((7,), iter([f]), None)))
+        assert out["sma_5"].tolist() == [[1.5, 2.0], [5.5 / 3, 2.0]][n - 1]
+        assert ema.ema.reads == sma.state.reads == n and ema.window.reads == n - 1
