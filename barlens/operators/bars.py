@@ -4,13 +4,15 @@ Plan shape (one job):
 
     4 raw scans --union--> type (try_cast) --split--> quarantine
                                               \\--> latest per (pair, freq, day)
-                                                   [partial top-1 per map task,
-                                                    shuffle, final top-1]
                                               --> join assets (strategy by the
                                                   bytes measured at run time)
 
-A day that was delivered many times (a hot "group of copies") is cut down to
-one row per map task before the shuffle, so it cannot overload one reducer.
+Where the number of tasks is given, the typed bars are shuffled once, by instrument:
+the latest rows, the assets and whatever is keyed by instrument need no further shuffle and
+no bar is sorted before the first. A day that was delivered many times then comes whole to
+the task of its instrument, whose sort spills and whose top-1 holds one row. Without it the top-1
+of each map task comes before the shuffle (partial top-1, shuffle, final top-1), and such a day
+is cut down to one row per map task.
 """
 
 from __future__ import annotations
@@ -141,8 +143,8 @@ def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
                assets: DataFrame, strict: bool = False, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """MDL-3. Return (stock_data, quarantine).
 
-    ``tasks``: deal the bars by instrument into so many partitions before the assets join them; what
-    is keyed by instrument then needs no further shuffle, and none that adaptive execution
+    ``tasks``: deal the typed bars by instrument into so many partitions; what is keyed by
+    instrument, from the dedup on, then needs no further shuffle, and none that adaptive execution
     merges by compressed bytes, which say little about wide rows.
 
     stock_data has one row per (pair_id, frequency, transaction_date) (see
@@ -151,8 +153,8 @@ def unify_bars(historical_daily: DataFrame, historical_weekly: DataFrame,
     """
     good, quarantine = typed_feeds(historical_daily, historical_weekly,
                                    current_daily, current_weekly, strict)
-    latest = dedup_bars(good)
-    return asset_joined(latest.repartition(tasks, "pair_id") if tasks else latest, assets), quarantine
+    latest = dedup_bars(good.repartition(tasks, "pair_id") if tasks else good)
+    return asset_joined(latest, assets), quarantine
 
 
 def asset_joined(latest: DataFrame, assets: DataFrame) -> DataFrame:

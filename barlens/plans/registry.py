@@ -65,7 +65,7 @@ class Inputs:
         return tasks_for(*[self.feeds[name] for name in testdata.FEEDS])
 
     def stock(self, current: bool = True, series: bool = False) -> DataFrame:
-        """``stock_data``; for ``series`` models dealt by instrument, in partitions of one size."""
+        """``stock_data``; for ``series``, dealt once by instrument, in partitions of one size."""
         feeds = {name: self.feeds[name] for name in (*testdata.FEEDS, "assets")}
         tasks = self.tasks() if series else None
         if not current:   # the table as it stood before the current feeds landed
@@ -98,7 +98,7 @@ def stored_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Spark side -------------------------------------------------------------
 
 def q_bars_unified(spark, sf_dir):
-    return _inputs(spark, sf_dir).stock()
+    return _inputs(spark, sf_dir).stock(series=True)
 
 
 def q_bars_latest(spark, sf_dir):
@@ -159,7 +159,7 @@ def q_bars_quarantine(spark, sf_dir):
 
 
 def q_liquid(spark, sf_dir):
-    return liquid(_inputs(spark, sf_dir).stock(), MIN_AVG_VOLUME)
+    return liquid(_inputs(spark, sf_dir).stock(series=True), MIN_AVG_VOLUME)
 
 
 def _sma(spark, sf_dir):
@@ -232,13 +232,14 @@ def q_hub_indicators(spark, sf_dir):
 
 def q_catalog_sources(spark, sf_dir):
     """SRC-5: the five declared sources as catalog tables, read through the checked registry and unified."""
-    f = _inputs(spark, sf_dir).feeds
+    inp = _inputs(spark, sf_dir)
+    f = inp.feeds
     path, prefix = scratch_path(spark, "sources"), f"barlens_{uuid.uuid4().hex[:12]}_"
     feed_of = {n: "assets" if n == "assets_info" else n.replace("_stock_data", "") for n in SOURCES}
     for name, feed in feed_of.items():
         f[feed].write.option("path", f"{path}/{name}").saveAsTable(prefix + name)
     tables = load_sources(spark, prefix=prefix)
-    return models.stock_data({feed: tables[name] for name, feed in feed_of.items()})
+    return models.stock_data({feed: tables[name] for name, feed in feed_of.items()}, inp.tasks())
 
 
 def q_delta_cycle(spark, sf_dir):
