@@ -237,7 +237,7 @@ def q_catalog_sources(spark, sf_dir):
     path, prefix = scratch_path(spark, "sources"), f"barlens_{uuid.uuid4().hex[:12]}_"
     feed_of = {n: "assets" if n == "assets_info" else n.replace("_stock_data", "") for n in SOURCES}
     for name, feed in feed_of.items():
-        f[feed].write.option("path", f"{path}/{name}").saveAsTable(prefix + name)
+        f[feed].write.options(**testdata.STORED).option("path", f"{path}/{name}").saveAsTable(prefix + name)
     tables = load_sources(spark, prefix=prefix)
     return models.stock_data({feed: tables[name] for name, feed in feed_of.items()}, inp.tasks())
 

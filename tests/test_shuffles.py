@@ -36,3 +36,23 @@ def test_one_shuffle_keeps_the_latest_row_of_bars_delivered_often(spark):
 def test_a_task_takes_few_stored_bytes():
     # bars take some thirty times that in memory, and a chain of windows holds several sorts at once
     assert 30 * TASK_BYTES <= 128 << 20
+
+
+def test_raw_tables_are_stored_in_less(spark):
+    from barlens.sources import testdata
+    landed = testdata.landed_inputs(spark, SF)["historical_daily"]
+    assert landed.inputFiles() and all(f.endswith(".zstd.parquet") for f in landed.inputFiles())
+
+
+def test_a_load_is_not_shuffled_before_the_store_merges_it(spark):
+    from barlens.plans import cycle
+    from barlens.session import scratch_path
+    rows = [(pid, day, f"{pid}.{k}", T + dt.timedelta(hours=k)) for pid in (1, 2) for day in days(20) for k in (1, 3, 2)]
+    loaded = cycle.typed(raw_rows(spark, rows), "daily", 0)
+    assert "Exchange" not in loaded._jdf.queryExecution().executedPlan().toString()
+    store = cycle.bar_store(spark, scratch_path(spark, "test-repeats"))
+    store.append(loaded, "history")
+    for _ in range(2):           # merged when read, then when folded
+        assert sorted((r.pair_id, float(r.last_close)) for r in store.latest().collect()) \
+            == sorted((pid, float(f"{pid}.3")) for pid in (1, 2) for _ in range(20))
+        store.compact()
