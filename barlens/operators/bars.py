@@ -124,17 +124,18 @@ _DEDUP_ORDER = ["record_created_on DESC NULLS LAST", "_source_rank DESC",
                 *[f"{c} DESC NULLS LAST" for c in (*PRICE_FIELDS, "volume", "change_percent")]]
 
 
-def dedup_bars(good: DataFrame) -> DataFrame:
+def dedup_bars(good: DataFrame, dealt: tuple[str, ...] = ()) -> DataFrame:
     """WIN-1: one row per (pair_id, frequency, transaction_date). The latest
     load wins; on equal load times the current feed wins; remaining ties
     fall to the full row so the choice is deterministic.
 
     ``row_number() = 1``: Catalyst plans a WindowGroupLimit that keeps only
-    each key's winner on the map side, before the shuffle."""
+    each key's winner on the map side, before the shuffle. ``dealt``: columns that follow from the
+    key and by which the rows were dealt; they are shuffled no more and leave sorted by them."""
     cols = [c for c in good.columns if c != "_source_rank"]
     return run_sql(
         f"SELECT {', '.join(cols)} FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY {', '.join(BAR_KEY)} "
+        f"SELECT *, row_number() OVER (PARTITION BY {', '.join((*dealt, *BAR_KEY))} "
         f"ORDER BY {_order_sql(_DEDUP_ORDER)}) AS _rn FROM {{src}}) WHERE _rn = 1", src=good)
 
 

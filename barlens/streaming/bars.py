@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlens.operators.bars import dedup_bars, good_rows, quarantined_rows, type_bars
 from barlens.schemas import RAW_BAR
-from barlens.versioned import MergeTable, VersionedTable
+from barlens.session import tasks_for
+from barlens.versioned import PART, SLICE, MergeTable, VersionedTable, dealt_by_part
 
 LANDING_SCHEMA = T.StructType([*RAW_BAR.fields, T.StructField("frequency", T.StringType())])
 
@@ -39,14 +40,27 @@ COMPACT_EVERY = 8
 WRITER = "bars"
 
 
+#: Rows of a micro-batch that one task types, sorts and stores.
+BATCH_ROWS = 125_000
+
+
+def _month() -> Column:
+    return F.concat_ws("-", "frequency", F.date_format("transaction_date", "yyyy-MM"))
+
+
+def _latest_dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """The latest row of each bar (``_source_rank`` decides between equal load times), dealt and sorted as the
+    table is stored: one shuffle and one sort serve both."""
+    return dedup_bars(dealt_by_part(rows, _month(), "pair_id", tasks), (PART, SLICE)).drop(SLICE)
+
+
 def _latest(stored: DataFrame) -> DataFrame:
-    return dedup_bars(stored.withColumn("_source_rank", F.col("_batch")))
+    return _latest_dealt(stored.withColumn("_source_rank", F.col("_batch")), tasks_for(stored))
 
 
 def live_bars(spark: SparkSession, target: str) -> MergeTable:
     """The live bar table at ``target``, in parts of one frequency and month."""
-    month = F.date_format("transaction_date", "yyyy-MM")
-    return MergeTable(spark, target, _latest, F.concat_ws("-", "frequency", month))
+    return MergeTable(spark, target, _latest, _month())
 
 
 def quarantine(spark: SparkSession, target: str) -> VersionedTable:
@@ -59,9 +73,14 @@ def upsert_latest(target: str, compact_every: int = COMPACT_EVERY) -> Callable[[
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         typed = type_bars(batch.withColumn("_source_rank", F.lit(batch_id)))
-        quarantine(spark, target).append(quarantined_rows(typed), (WRITER, batch_id))
-        live_bars(spark, target).upsert(dedup_bars(good_rows(typed)).withColumn("_batch", F.lit(batch_id).cast("bigint")),
-                                        (WRITER, batch_id), compact_every)
+        told = Observation()
+        # one pass keeps the bad rows and counts all
+        seen = typed.observe(told, F.count(F.lit(1)).alias("rows"))
+        new = quarantine(spark, target).append(quarantined_rows(seen), (WRITER, batch_id))
+        rows = told.get["rows"] if new else typed.count()
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BATCH_ROWS))
+        latest = _latest_dealt(good_rows(typed), tasks).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        live_bars(spark, target).upsert(latest, (WRITER, batch_id), compact_every)
     return run
 
 

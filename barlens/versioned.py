@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 PART = "_p"
 WHOLE = "all"
+BASE = ""      # the base's key among the weights
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,8 @@ class Snapshot:
     deltas: tuple[tuple[str, tuple[str, ...]], ...] = ()
     loads: tuple[str, ...] = ()
     marks: dict[str, int] = field(default_factory=dict)
+    #: loads that the base and folded delta folders are made of
+    weights: dict[str, int] = field(default_factory=dict)
 
     def touched(self) -> set[str]:
         return {p for _, parts in self.deltas for p in parts}
@@ -82,7 +85,7 @@ class VersionedTable:
         except ValueError:
             return None
         return Snapshot(d["version"], d["schema"], d["base"], tuple((f, tuple(ps)) for f, ps in d["deltas"]),
-                        tuple(d["loads"]), d["marks"])
+                        tuple(d["loads"]), d["marks"], d.get("weights", {}))
 
     def _versions(self) -> list[int]:
         return [int(n[:-5]) for n in self._names(f"{self.path}/pointers") if n.endswith(".json")]
@@ -101,7 +104,7 @@ class VersionedTable:
         if latest != snap.version:
             raise RuntimeError(f"{self.path} went on to version {latest} while version {snap.version} was changed")
         body = json.dumps({"version": version, "schema": snap.schema, "base": snap.base, "deltas": snap.deltas,
-                           "loads": snap.loads, "marks": snap.marks})
+                           "loads": snap.loads, "marks": snap.marks, "weights": snap.weights})
         stream = self._fs.create(self._hadoop(self._pointer(version)), False)    # fails if another one made it
         try:
             stream.write(body.encode())
@@ -111,9 +114,10 @@ class VersionedTable:
     # --- data folders ---------------------------------------------------------
 
     def stage(self, df: DataFrame) -> str:
-        """Write ``df`` to a folder of its own, which belongs to no version yet."""
+        """Write ``df`` to a folder of its own, which belongs to no version yet. Rows that carry their
+        part already (and are sorted by it) are written as they come."""
         folder = uuid.uuid4().hex
-        df.withColumn(PART, self.part).write.partitionBy(PART).parquet(f"{self.path}/data/{folder}")
+        (df if PART in df.columns else df.withColumn(PART, self.part)).write.partitionBy(PART).parquet(f"{self.path}/data/{folder}")
         return folder
 
     def _parts(self, folder: str) -> list[str]:
@@ -147,8 +151,9 @@ class VersionedTable:
         snap = self.snapshot()
         if self.holds(load_id, snap):
             return False
-        snap = replace(snap, schema=snap.schema or df.schema.json())
-        folder = self.stage(df.select(*T.StructType.fromJson(json.loads(snap.schema)).fieldNames()))
+        snap = replace(snap, schema=snap.schema or df.drop(PART).schema.json())
+        folder = self.stage(df.select(*T.StructType.fromJson(json.loads(snap.schema)).fieldNames(),
+                                      *[c for c in df.columns if c == PART]))
         if validate is not None:
             validate(self.folder(folder, snap))
         new = place(snap, folder, self._parts(folder))
@@ -216,10 +221,12 @@ class MergeTable(VersionedTable):
         still = self.base(snap, lambda p: p not in touched and wanted(p))
         if not any(map(wanted, touched)):
             return still
-        return still.unionByName(self._merged(snap, lambda p: p in touched and wanted(p)))
+        return still.unionByName(self._merged(snap, lambda p: p in touched and wanted(p)).drop(PART))
 
     def _merged(self, snap: Snapshot, parts: Callable[[str], bool]) -> DataFrame:
-        return self.merge(self.base(snap, parts).unionByName(self.deltas(snap, parts)))
+        # one scan, so that the merge can tell the size of what it reads
+        stored = [(f, p) for p, f in sorted(snap.base.items())] + [(f, p) for f, ps in snap.deltas for p in ps]
+        return self.merge(self._read(snap, [(f, p) for f, p in stored if parts(p)]))
 
     def compact(self) -> bool:
         """Merge what was written since the last compaction into the base. Parts that nothing was
@@ -230,13 +237,54 @@ class MergeTable(VersionedTable):
         touched = snap.touched()
         folder = self.stage(self._merged(snap, touched.__contains__))
         base = {p: f for p, f in snap.base.items() if p not in touched} | {p: folder for p in self._parts(folder)}
-        self._commit(replace(snap, base=base, deltas=()))
+        self._commit(replace(snap, base=base, deltas=(), weights={BASE: snap.weights.get(BASE, 0) + sum(_weights(snap))}))
+        return True
+
+    def fold(self, every: int) -> bool:
+        """Once ``every`` loads have gathered: ``compact`` if they hold as many loads as the base, else
+        make one folder of the newest ones. The base is so rewritten when the table has doubled, and a row about
+        as often as loads can be doubled, not once in ``every`` loads; a reader opens the base and fewer than ``every``
+        folders, and one more for each such doubling."""
+        snap = self.snapshot()
+        if len(snap.deltas) < every:
+            return False
+        weights = _weights(snap)
+        if sum(weights) >= snap.weights.get(BASE, 0):
+            return self.compact()
+        n = 1       # the newest folders, up to one that holds more loads than all of them
+        while n < len(weights) and weights[-n - 1] <= sum(weights[-n:]):
+            n += 1
+        if n < every:
+            return False
+        newest = snap.deltas[-n:]
+        folder = self.stage(self.merge(self._read(snap, [(f, p) for f, ps in newest for p in ps])))
+        kept = {f: w for f, w in snap.weights.items() if f not in dict(newest)}
+        self._commit(replace(snap, deltas=(*snap.deltas[:-n], (folder, tuple(self._parts(folder)))),
+                             weights=kept | {folder: sum(weights[-n:])}))
         return True
 
     def upsert(self, df: DataFrame, load_id: str | tuple[str, int], compact_every: int = 0) -> bool:
-        """``append``, then ``compact`` once ``compact_every`` loads have gathered."""
+        """``append``, then ``fold`` once ``compact_every`` loads have gathered."""
         new = self.append(df, load_id)
-        if compact_every and len(self.snapshot().deltas) >= compact_every:
-            self.compact()
+        if compact_every:
+            self.fold(compact_every)
         return new
 
+
+def _weights(snap: Snapshot) -> list[int]:
+    """Loads that each delta folder holds."""
+    return [snap.weights.get(f, 1) for f, _ in snap.deltas]
+
+
+#: Tasks that may share the rows of a part before it is cut into slices.
+TASKS_A_SLICE = 64
+SLICE = "_slice"
+
+
+def dealt_by_part(rows: DataFrame, part: Column, key: str, tasks: int) -> DataFrame:
+    """``rows`` with their part and a slice of it, by a hash of ``key``, dealt by both into ``tasks`` partitions.
+    Dealt otherwise, each task holds rows of every part and writes a file for each: files then grow with tasks times
+    parts. Here a part has as many as slices, which follow the tasks."""
+    slices = max(1, tasks // TASKS_A_SLICE)
+    return (rows.withColumns({PART: part, SLICE: F.pmod(F.xxhash64(key), F.lit(slices))})
+            .repartition(tasks, PART, SLICE))

@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +117,22 @@ def test_merge_reads_base_and_few_folders(spark):
         assert not t.upsert(rows(spark, *batch), ("s", n), compact_every=4)
 
 
+def test_folding_writes_a_row_as_often_as_loads_double(spark, monkeypatch):
+    """Sixteen loads of a row each: folded into the base every second load, they write 72 rows beside the loads."""
+    t = MergeTable(spark, scratch_path(spark, "fold"), newest, F.col("p"))
+    staged, stage = [], t.stage
+    monkeypatch.setattr(t, "stage", lambda df: staged.append(df.count()) or stage(df))
+    for n in range(16):
+        assert t.upsert(rows(spark, (n % 12, "x", n)), ("s", n), compact_every=2)
+        assert len(t.snapshot().deltas) <= 4
+    assert content(t.latest()) == [(k, "x", k + 12 if k < 4 else k) for k in range(12)]
+    assert sum(staged) - 16 <= 48
+    # a pointer written before loads were counted
+    t._commit(replace(t.snapshot(), weights={}))
+    assert t.upsert(rows(spark, (1, "x", 99)), ("s", 16), compact_every=1) and not t.snapshot().deltas
+    assert (1, "x", 99) in content(t.latest()) and t.latest().count() == 12
+
+
 def test_compaction_leaves_untouched_parts(spark):
     t = MergeTable(spark, scratch_path(spark, "merge"), newest, F.col("p"))
     t.upsert(rows(spark, (1, "x", 1), (2, "y", 1)), ("s", 0))
@@ -161,6 +178,27 @@ def test_stream_compacts_and_survives_a_crash(spark, monkeypatch):
     assert {r["pair_id"] for r in S.latest_view(spark, target, lambda p: p.endswith("2024-01")).collect()} == {0, 1}
 
 
+def test_a_batch_makes_one_file_of_a_month(spark):
+    target = scratch_path(spark, "months")
+    bars = [(k, dt.date(2024, 1 + m, 1 + d), f"{m}.{d}", T0) for k in range(3) for m in range(12) for d in range(20)]
+    merge_small = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(merge_small)
+    for n in range(2):      # a load, and one that is folded into it
+        spark.conf.set(merge_small, "false")       # as with much data, whose partitions are not merged
+        S.upsert_latest(target, compact_every=2)(_feed(spark, bars).repartition(4), n)
+        spark.conf.set(merge_small, held)
+        files = S.latest_view(spark, target).inputFiles()
+        assert len(files) == 12 and S.latest_view(spark, target).count() == len(bars), (n, len(files))
+
+
+def test_slices_follow_the_tasks(spark):
+    from barlens.versioned import SLICE, TASKS_A_SLICE, dealt_by_part
+    df = spark.range(1000)
+    for tasks, slices in ((4, 1), (3 * TASKS_A_SLICE, 3)):
+        dealt = dealt_by_part(df, F.lit("p"), "id", tasks)
+        assert dealt.select(SLICE).distinct().count() == slices and dealt.rdd.getNumPartitions() == tasks
+
+
 def test_repeats_go_and_corrections_stay(spark):
     """Deliveries that overlap by the span; the state keeps one span of bars."""
     base = scratch_path(spark, "repeats")
