@@ -26,7 +26,7 @@ from barlens.operators.universe import pending, universe
 from barlens.plans import cycle, models
 from barlens.plans import oracle as O
 from barlens.plans.hub import store_hub
-from barlens.session import scratch_path, tasks_for
+from barlens.session import at_once, scratch_path, tasks_for
 from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
 from barlens.sinks import (append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
                            publish, reload_partitions, replace_table, write_csv, write_sorted)
@@ -62,11 +62,11 @@ class Inputs:
 
     def tasks(self) -> int:
         """Partitions for steps over all bars, by the size of the landed feeds."""
-        return tasks_for(*[self.feeds[name] for name in testdata.FEEDS])
+        return tasks_for(*self.feeds.bar_feeds().values())
 
     def stock(self, current: bool = True, series: bool = False) -> DataFrame:
         """``stock_data``; for ``series``, dealt once by instrument, in partitions of one size."""
-        feeds = {name: self.feeds[name] for name in (*testdata.FEEDS, "assets")}
+        feeds = {**self.feeds.bar_feeds(), "assets": self.feeds["assets"]}
         tasks = self.tasks() if series else None
         if not current:   # the table as it stood before the current feeds landed
             feeds["current_daily"] = feeds["current_daily"].filter(F.lit(False))
@@ -102,7 +102,7 @@ def q_bars_unified(spark, sf_dir):
 
 
 def q_bars_latest(spark, sf_dir):
-    f = _inputs(spark, sf_dir).feeds
+    f = _inputs(spark, sf_dir).feeds.bar_feeds()
     good, _ = typed_feeds(f["historical_daily"], f["historical_weekly"],
                           f["current_daily"], f["current_weekly"])
     return dedup_bars(good)
@@ -403,13 +403,10 @@ def q_landing_corrupt(spark, sf_dir):
 
 def q_bar_csv(spark, sf_dir):
     """SRC-4 + SNK-10: all four feeds staged as CSV and read back by position."""
-    f = _inputs(spark, sf_dir).feeds
+    f = _inputs(spark, sf_dir).feeds.bar_feeds()
     path = scratch_path(spark, "bar-csv")
-    out = []
-    for name in testdata.FEEDS:
-        write_csv(f[name], f"{path}/{name}")
-        out.append(_typed_raw(read_bar_csv(spark, f"{path}/{name}"), name.split("_")[1]))
-    return reduce(DataFrame.unionByName, out)
+    at_once(*[partial(write_csv, f[name], f"{path}/{name}") for name in f])
+    return reduce(DataFrame.unionByName, [_typed_raw(read_bar_csv(spark, f"{path}/{name}"), name.split("_")[1]) for name in f])
 
 
 def q_bar_csv_staged(spark, sf_dir):
@@ -508,7 +505,7 @@ def q_stream_latest(spark, sf_dir):
     """ST-1/2/6: the raw feeds landed in two deliveries (historical, then
     current) and upserted batch by batch; the merged view is the latest row
     per bar key."""
-    f = _inputs(spark, sf_dir).feeds
+    f = _inputs(spark, sf_dir).feeds.bar_feeds()
     base = scratch_path(spark, "bars-stream")
     landing, target, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
     tag = lambda name, freq: f[name].withColumn("frequency", F.lit(freq))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from barlens.functions import wall_clock
 
 from barlens.schemas import RAW_BAR
-from barlens.session import scratch_path, tasks_for
+from barlens.session import at_once, scratch_path, tasks_for
 
 # Fixed values of the generated feeds.
 HISTORICAL_BEFORE = dt.date(2001, 7, 1)   # historical feeds hold bars before this day
@@ -125,33 +125,52 @@ def screen_from_supplier(supplier: DataFrame) -> DataFrame:
         wall_clock(ASSETS_LOADED_AT).alias("record_created_on"))
 
 
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def _grouped(value: str, text: str, tail: int, decimals: int) -> F.Column:
+    """``format_number(value, decimals)`` of an exact number of which ``text`` is the plain form. Below a million
+    that is the text with at most one comma, before its last ``tail`` characters, and needs no formatter."""
+    v, t = F.col(value), F.col(text)
+    cut = F.length(t) - tail
+    return (F.when(v.between(0, 999) if decimals == 0 else (v >= 0) & (v < 1000), t)
+            .when((v >= 1000) & (v < 1000000), F.concat(F.substring(t, F.lit(1), cut), F.lit(","), F.substring(t, cut + 1, F.lit(tail))))
+            .otherwise(F.format_number(value, decimals)))
+
+
+def _day_text(day: str) -> F.Column:
+    """``date_format(day, 'MMM dd, yyyy')``, put together from the day's fields where the year has four digits."""
+    d = F.col(day)
+    two = F.lpad(F.dayofmonth(d).cast("string"), 2, "0")
+    named = F.concat(F.elt(F.month(d), *[F.lit(m) for m in MONTHS]), F.lit(" "), two, F.lit(", "), F.year(d).cast("string"))
+    return F.when(F.year(d).between(1000, 9999), named).otherwise(F.date_format(d, "MMM dd, yyyy"))
+
+
 def render_raw(bars: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Typed bars -> the 18-column text layout of the raw bar tables."""
     d = F.col("transaction_date")
+    prices = ("last_close", "last_open", "last_max", "last_min")
     pct = F.round(F.try_divide(F.col("last_close") - F.col("last_open"), F.col("last_open")) * 100, 2)
+    # the plain texts first: the grouped ones are made from them
+    plain = bars.select("pair_id", "transaction_date", "volume", *prices, pct.cast("string").alias("_pct"),
+                        F.col("volume").cast("string").alias("_volume"), *[F.col(c).cast("string").alias(f"_{c}") for c in prices])
     cols = {
         "pair_id": F.col("pair_id"),
         "direction_color": F.when(F.col("last_close") >= F.col("last_open"), "greenFont")
                             .otherwise("redFont"),
-        "row_date": F.date_format(d, "MMM dd, yyyy"),
+        "row_date": _day_text("transaction_date"),
         "row_date_raw": F.unix_timestamp(d.cast("timestamp")).cast("string"),
         "row_date_timestamp": d.cast("timestamp_ntz"),
-        "last_close": F.format_number("last_close", 2),
-        "last_open": F.format_number("last_open", 2),
-        "last_max": F.format_number("last_max", 2),
-        "last_min": F.format_number("last_min", 2),
-        "volume": F.format_number("volume", 0),
+        "volume": _grouped("volume", "_volume", 3, 0),
         # a float round-trip of an integer column: "1234.0"
         "volume_raw": F.col("volume").cast("decimal(20,1)").cast("string"),
-        "change_percent": F.concat(pct.cast("string"), F.lit("%")),
-        "last_close_raw": F.col("last_close").cast("string"),
-        "last_open_raw": F.col("last_open").cast("string"),
-        "last_max_raw": F.col("last_max").cast("string"),
-        "last_min_raw": F.col("last_min").cast("string"),
-        "change_percent_raw": pct.cast("string"),
+        "change_percent": F.concat("_pct", F.lit("%")),
+        "change_percent_raw": F.col("_pct"),
         "record_created_on": wall_clock(loaded_at),
+        **{c: _grouped(c, f"_{c}", 6, 2) for c in prices},
+        **{f"{c}_raw": F.col(f"_{c}") for c in prices},
     }
-    return bars.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_BAR.fields])
+    return plain.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_BAR.fields])
 
 
 def raw_feeds(bars: DataFrame, weekly: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -259,6 +278,15 @@ class Landing(Mapping):
             self._land(part, df)
         return self.stored[name]
 
+    def bar_feeds(self) -> dict[str, DataFrame]:
+        """The four raw bar tables, for whoever reads them all: what is not landed yet is landed side by side,
+        the weekly bars and their feeds beside the daily feeds."""
+        if any(name not in self.stored for name in FEEDS):
+            self._bars("daily")
+            at_once(lambda: self["historical_daily"], lambda: self["current_daily"],
+                    lambda: (self["historical_weekly"], self["current_weekly"]))
+        return {name: self[name] for name in FEEDS}
+
     def __iter__(self) -> Iterator[str]:
         return iter(self.NAMES)
 

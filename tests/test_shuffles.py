@@ -56,3 +56,34 @@ def test_a_load_is_not_shuffled_before_the_store_merges_it(spark):
         assert sorted((r.pair_id, float(r.last_close)) for r in store.latest().collect()) \
             == sorted((pid, float(f"{pid}.3")) for pid in (1, 2) for _ in range(20))
         store.compact()
+
+
+def test_feeds_are_landed_side_by_side(spark, monkeypatch):
+    """The daily feeds wait for each other here: landed one after the other they would never end."""
+    import threading
+
+    from barlens.sources import testdata
+    met, land = threading.Barrier(2, timeout=60), testdata.Landing._land
+
+    def waits(self, name, df):
+        if name in ("historical_daily", "current_daily"):
+            met.wait()
+        return land(self, name, df)
+
+    monkeypatch.setattr(testdata.Landing, "_land", waits)
+    feeds = testdata.Landing(spark, SF).bar_feeds()
+    monkeypatch.undo()
+    alone = testdata.Landing(spark, SF)
+    assert list(feeds) == list(testdata.FEEDS)
+    for name, df in feeds.items():
+        assert df.exceptAll(alone[name]).isEmpty() and alone[name].exceptAll(df).isEmpty(), name
+
+
+def test_an_error_beside_other_jobs_is_raised(spark):
+    import pytest
+
+    from barlens.session import at_once
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1 // 0, lambda: done.append(spark.range(3).count()))
+    assert done == [3]
