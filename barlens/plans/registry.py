@@ -10,7 +10,7 @@ import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +26,9 @@ from barlens.operators.universe import pending, universe
 from barlens.plans import cycle, models
 from barlens.plans import oracle as O
 from barlens.plans.hub import store_hub
-from barlens.session import at_once, scratch_path, tasks_for
+from barlens.session import FREE_SHUFFLES, at_once, held, scratch_path, tasks_for
 from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
-from barlens.sinks import (append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
+from barlens.sinks import (STAGED, STAGED_FOLDERS, append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
                            publish, reload_partitions, replace_table, write_csv, write_sorted)
 from barlens.sources import testdata
 from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest, without_repeats
@@ -78,6 +78,17 @@ def _inputs(spark, sf_dir) -> Inputs:
     return Inputs(spark, sf_dir)
 
 
+def _frugal(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """For a query that writes several tables or many folders: the shuffle files of each table go as it is
+    written, and its folders are listed in a few tasks for each core, not in one for each folder."""
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        listing = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+        with held(spark, FREE_SHUFFLES | listing):
+            return query(spark, sf_dir)
+    return run
+
+
 # The hub table of each (application, session, scale directory).
 _HUBS: dict[tuple[str, int, str], str] = {}
 
@@ -378,6 +389,7 @@ def q_bar_landing(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+@_frugal
 def q_landing_corrupt(spark, sf_dir):
     """SRC-1/3/4: documents and lines of all four feeds cut off in the middle, which the readers leave
     out, come back from the readers of corrupt records; with the rows that were read."""
@@ -389,10 +401,10 @@ def q_landing_corrupt(spark, sf_dir):
         # a document that is cut off comes beside the whole one, from the same task
         both = F.expr("CASE WHEN pair_id % 5 = 0 THEN array(value, substring(value, 1, length(value) - 20)) ELSE array(value) END")
         (testdata.bar_documents(f[name], tasks_for(f[name])).select("pair_id", F.explode(both).alias("value"))
-         .write.partitionBy("pair_id").text(docs))
-        write_csv(f[name], lines)
+         .write.partitionBy("pair_id").options(**STAGED_FOLDERS).text(docs))
+        write_csv(f[name], lines, **STAGED)
         short = f[name].filter("pair_id % 7 = 0").select("pair_id", F.lit("cut").alias("rest"))
-        short.write.mode("append").option("header", True).csv(lines)
+        short.write.mode("append").options(**STAGED).option("header", True).csv(lines)
         parts["read"].append(read_bar_landing(spark, docs, loaded_at=loaded_at).select("pair_id"))
         parts["corrupt document"].append(corrupt_bars(spark, docs).select("pair_id"))
         parts["corrupt line"].append(corrupt_csv(spark, lines).select("pair_id"))

@@ -257,8 +257,15 @@ class Landing(Mapping):
         self.stored[name] = self.spark.read.parquet(f"{self.base}/{name}")
         return self.stored[name]
 
+    def _drop(self, *names: str) -> None:
+        """Remove tables from which nothing is left to make."""
+        for name in names:
+            if self.stored.pop(name, None) is not None:
+                path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def _bars(self, frequency: str) -> DataFrame:
-        """The daily or weekly bars from which two feeds are cut, each aggregated once."""
+        """The daily or weekly bars from which two feeds are cut, each aggregated once; they go with the last feed."""
         name = "weekly" if frequency == "weekly" else "bars"
         if name in self.stored:
             return self.stored[name]
@@ -273,7 +280,10 @@ class Landing(Mapping):
         if name in FEEDS:
             bars = self._bars(name.split("_")[1])
             # both frequencies are rendered alike: the other one is not read
-            return self._land(name, raw_feeds(bars, bars)[name])
+            landed = self._land(name, raw_feeds(bars, bars)[name])
+            if all(feed in self.stored for feed in FEEDS):
+                self._drop("bars", "weekly")
+            return landed
         for part, df in _master(self.spark, self.sf_dir).items():      # both are small and made of suppliers
             self._land(part, df)
         return self.stored[name]
