@@ -84,3 +84,16 @@ def test_settings_come_back(spark):
         assert spark.conf.get(key) == "true" and spark.conf.get("spark.barlens.test") == "1"
         1 // 0
     assert spark.conf.get(key) == before and spark.conf.get("spark.barlens.test", None) is None
+
+
+@pytest.mark.parametrize("query, names, suffix", [("bar_landing", tuple(testdata.FEEDS), ".txt.gz")])
+def test_folders_of_instruments_hold_one_compressed_file(spark, tables, query, names, suffix):
+    before = shuffle_files(spark)
+    found = registry.QUERIES[query](spark, tables)
+    assert not left(spark, before)
+    for name in names:
+        files = [f for f in made(f"{tables}/scratch/{query.replace('_', '-')}/{name}") if "/pair_id=" in f]
+        assert len(files) == 15 and all(f.endswith(suffix) for f in files), name
+    feeds = testdata.landed_inputs(spark, tables)
+    raw = [registry._typed_raw(feeds[name], name.split("_")[1]) for name in names]
+    assert sorted(map(str, found.collect())) == sorted(str(r) for df in raw for r in df.select(*found.columns).collect())
