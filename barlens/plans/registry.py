@@ -414,11 +414,12 @@ def q_landing_corrupt(spark, sf_dir):
     return reduce(DataFrame.unionByName, counted)
 
 
+@_frugal
 def q_bar_csv(spark, sf_dir):
     """SRC-4 + SNK-10: all four feeds staged as CSV and read back by position."""
     f = _inputs(spark, sf_dir).feeds.bar_feeds()
     path = scratch_path(spark, "bar-csv")
-    at_once(*[partial(write_csv, f[name], f"{path}/{name}") for name in f])
+    at_once(*[partial(write_csv, f[name], f"{path}/{name}", **STAGED) for name in f])
     return reduce(DataFrame.unionByName, [_typed_raw(read_bar_csv(spark, f"{path}/{name}"), name.split("_")[1]) for name in f])
 
 

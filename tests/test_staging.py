@@ -97,3 +97,14 @@ def test_folders_of_instruments_hold_one_compressed_file(spark, tables, query, n
     feeds = testdata.landed_inputs(spark, tables)
     raw = [registry._typed_raw(feeds[name], name.split("_")[1]) for name in names]
     assert sorted(map(str, found.collect())) == sorted(str(r) for df in raw for r in df.select(*found.columns).collect())
+
+
+def test_bar_csv_is_stored_compressed(spark, tables):
+    before = shuffle_files(spark)
+    found = registry.q_bar_csv(spark, tables)
+    assert not left(spark, before)
+    at = f"{tables}/scratch/bar-csv"
+    assert made(at, ".csv.gz") and not made(at, ".csv")
+    feeds = testdata.landed_inputs(spark, tables)
+    raw = [registry._typed_raw(feeds[name], name.split("_")[1]) for name in testdata.FEEDS]
+    assert sorted(map(str, found.collect())) == sorted(str(r) for df in raw for r in df.select(*found.columns).collect())
