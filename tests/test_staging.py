@@ -86,7 +86,8 @@ def test_settings_come_back(spark):
     assert spark.conf.get(key) == before and spark.conf.get("spark.barlens.test", None) is None
 
 
-@pytest.mark.parametrize("query, names, suffix", [("bar_landing", tuple(testdata.FEEDS), ".txt.gz")])
+@pytest.mark.parametrize("query, names, suffix", [("bar_landing", tuple(testdata.FEEDS), ".txt.gz"),
+                                                  ("bar_csv_staged", ("historical_daily", "current_daily"), ".csv.gz")])
 def test_folders_of_instruments_hold_one_compressed_file(spark, tables, query, names, suffix):
     before = shuffle_files(spark)
     found = registry.QUERIES[query](spark, tables)
