@@ -26,12 +26,12 @@ from barlens.operators.universe import pending, universe
 from barlens.plans import cycle, models
 from barlens.plans import oracle as O
 from barlens.plans.hub import store_hub
-from barlens.session import FREE_SHUFFLES, at_once, held, scratch_path, tasks_for
+from barlens.session import FREE_SHUFFLES, STORED, at_once, held, scratch_path, tasks_for
 from barlens.schemas import RAW_BAR_PAYLOAD_FIELDS
 from barlens.sinks import (STAGED, STAGED_FOLDERS, append_bars, append_newer, append_rows, as_view, create_table, delete_all, materialize,
                            publish, reload_partitions, replace_table, write_csv, write_sorted)
 from barlens.sources import testdata
-from barlens.streaming.bars import latest_view, run_available_now, stream_bars, upsert_latest, without_repeats
+from barlens.streaming.bars import latest_view, live_bars, run_available_now, stream_bars, upsert_latest, without_repeats
 from barlens.streaming.indicators import STATE_CONF, stream_indicators, with_rebuilt
 from barlens.streaming.moving import sma_columns, stream_sma, with_rebuilt_sma
 from barlens.sources.readers import (SOURCES, corrupt_bars, corrupt_csv, extract_html_table, load_sources, read_assets,
@@ -248,7 +248,7 @@ def q_catalog_sources(spark, sf_dir):
     path, prefix = scratch_path(spark, "sources"), f"barlens_{uuid.uuid4().hex[:12]}_"
     feed_of = {n: "assets" if n == "assets_info" else n.replace("_stock_data", "") for n in SOURCES}
     for name, feed in feed_of.items():
-        f[feed].write.options(**testdata.STORED).option("path", f"{path}/{name}").saveAsTable(prefix + name)
+        f[feed].write.options(**STORED).option("path", f"{path}/{name}").saveAsTable(prefix + name)
     tables = load_sources(spark, prefix=prefix)
     return models.stock_data({feed: tables[name] for name, feed in feed_of.items()}, inp.tasks())
 
@@ -518,6 +518,7 @@ def q_volume_spike_stream(spark, sf_dir):
         "user_id", "ts", "event_id", "value", "avg_value_30", "volume_status")
 
 
+@_frugal
 def q_stream_latest(spark, sf_dir):
     """ST-1/2/6: the raw feeds landed in two deliveries (historical, then
     current) and upserted batch by batch; the merged view is the latest row
@@ -529,10 +530,11 @@ def q_stream_latest(spark, sf_dir):
     deliveries = (tag("historical_daily", "daily").unionByName(tag("historical_weekly", "weekly")),
                   tag("current_daily", "daily").unionByName(tag("current_weekly", "weekly")))
     for d in deliveries:
-        d.write.mode("append").parquet(landing)
+        d.write.options(**STORED).mode("append").parquet(landing)
         run_available_now(stream_bars(spark, landing, STREAM_FILES).writeStream
                           .foreachBatch(upsert_latest(target, compact_every=2))
                           .option("checkpointLocation", ckpt))
+        live_bars(spark, target).vacuum()           # no load is running; folded folders go
     return latest_view(spark, target)
 
 

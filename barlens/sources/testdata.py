@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from barlens.functions import wall_clock
 
 from barlens.schemas import RAW_BAR
-from barlens.session import at_once, scratch_path, tasks_for
+from barlens.session import STORED, at_once, scratch_path, tasks_for
 
 # Fixed values of the generated feeds.
 HISTORICAL_BEFORE = dt.date(2001, 7, 1)   # historical feeds hold bars before this day
@@ -36,8 +36,6 @@ FEEDS = {"historical_daily": HISTORICAL_LOADED_AT, "historical_weekly": HISTORIC
          "current_daily": CURRENT_LOADED_AT, "current_weekly": CURRENT_LOADED_AT}
 CURRENT_CLOSE_BUMP = Decimal("0.01")      # current rows re-state the close
 LINES_BYTES = 8 << 20                     # stored bytes of lineitem that one task makes bars of
-#: How raw tables are stored: their text repeats much, and takes less as Zstandard than as Snappy.
-STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 MARKET_CAP_FACTOR = 300000000             # s_acctbal -> market cap
 
 

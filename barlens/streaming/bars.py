@@ -80,7 +80,7 @@ def upsert_latest(target: str, compact_every: int = COMPACT_EVERY) -> Callable[[
         rows = told.get["rows"] if new else typed.count()
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BATCH_ROWS))
         latest = _latest_dealt(good_rows(typed), tasks).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        live_bars(spark, target).upsert(latest, (WRITER, batch_id), compact_every)
+        live_bars(spark, target).upsert(latest, (WRITER, batch_id), compact_every, merged=True)
     return run
 
 

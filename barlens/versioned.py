@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlens.session import STORED
+
 PART = "_p"
 WHOLE = "all"
 BASE = ""      # the base's key among the weights
@@ -117,7 +119,8 @@ class VersionedTable:
         """Write ``df`` to a folder of its own, which belongs to no version yet. Rows that carry their
         part already (and are sorted by it) are written as they come."""
         folder = uuid.uuid4().hex
-        (df if PART in df.columns else df.withColumn(PART, self.part)).write.partitionBy(PART).parquet(f"{self.path}/data/{folder}")
+        rows = df if PART in df.columns else df.withColumn(PART, self.part)
+        rows.write.options(**STORED).partitionBy(PART).parquet(f"{self.path}/data/{folder}")
         return folder
 
     def _parts(self, folder: str) -> list[str]:
@@ -241,12 +244,12 @@ class MergeTable(VersionedTable):
         return True
 
     def fold(self, every: int) -> bool:
-        """Once ``every`` loads have gathered: ``compact`` if they hold as many loads as the base, else
+        """Once ``every`` loads have gathered (a base of one load counts too): ``compact`` if they hold as many loads as the base, else
         make one folder of the newest ones. The base is so rewritten when the table has doubled, and a row about
         as often as loads can be doubled, not once in ``every`` loads; a reader opens the base and fewer than ``every``
         folders, and one more for each such doubling."""
         snap = self.snapshot()
-        if len(snap.deltas) < every:
+        if len(snap.deltas) + (snap.weights.get(BASE) == 1) < every:
             return False
         weights = _weights(snap)
         if sum(weights) >= snap.weights.get(BASE, 0):
@@ -263,9 +266,14 @@ class MergeTable(VersionedTable):
                              weights=kept | {folder: sum(weights[-n:])}))
         return True
 
-    def upsert(self, df: DataFrame, load_id: str | tuple[str, int], compact_every: int = 0) -> bool:
-        """``append``, then ``fold`` once ``compact_every`` loads have gathered."""
-        new = self.append(df, load_id)
+    def upsert(self, df: DataFrame, load_id: str | tuple[str, int], compact_every: int = 0, merged: bool = False) -> bool:
+        """``append``, then ``fold`` once ``compact_every`` loads have gathered. ``merged``: ``df`` has one row per
+        key, so the first load of a table is its base as it comes; folding then rewrites the parts of later loads alone."""
+        def place(s: Snapshot, folder: str, parts: list[str]) -> Snapshot:
+            if merged and not s.base and not s.deltas:
+                return replace(s, base=dict.fromkeys(parts, folder), weights={BASE: 1})
+            return replace(s, deltas=(*s.deltas, (folder, tuple(parts))))
+        new = self._load(df, load_id, None, place)
         if compact_every:
             self.fold(compact_every)
         return new

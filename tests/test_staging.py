@@ -5,11 +5,15 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from barlens.plans import registry
 from barlens.session import FREE_SHUFFLES, held
 from barlens.sinks import STAGED, write_csv
 from barlens.sources import testdata
+from barlens.streaming.bars import live_bars
+
+from helpers import raw_rows
 
 
 def made(path, suffix=""):
@@ -109,3 +113,48 @@ def test_bar_csv_is_stored_compressed(spark, tables):
     feeds = testdata.landed_inputs(spark, tables)
     raw = [registry._typed_raw(feeds[name], name.split("_")[1]) for name in testdata.FEEDS]
     assert sorted(map(str, found.collect())) == sorted(str(r) for df in raw for r in df.select(*found.columns).collect())
+
+
+def test_first_load_of_a_live_table_is_its_base(spark, tmp_path):
+    """The second load folds; only the month that it touches is written again, and replays change nothing."""
+    from barlens.streaming import bars as S
+    target, at = f"{tmp_path}/live", dt.datetime(2024, 6, 1)
+    feed = lambda rows_: raw_rows(spark, rows_).withColumn("frequency", F.lit("daily"))
+    first = feed([(k, dt.date(2024, m, d), f"{k}.{m}", at) for k in (1, 2) for m in (1, 2, 3) for d in (1, 1, 2)])
+    again = feed([(1, dt.date(2024, 2, 1), "7.5", at), (1, dt.date(2024, 2, 2), "8.5", at - dt.timedelta(days=1))])
+    load = S.upsert_latest(target, compact_every=2)
+    load(first, 0)
+    one = S.live_bars(spark, target).snapshot()
+    assert sorted(one.base) == [f"daily-2024-0{m}" for m in (1, 2, 3)] and not one.deltas
+    load(again, 1)
+    for n, df in ((1, again), (0, first)):
+        load(df, n)
+    two = S.live_bars(spark, target).snapshot()
+    assert not two.deltas and [p for p in two.base if two.base[p] != one.base[p]] == ["daily-2024-02"]
+    rows = {(r.pair_id, r.transaction_date): float(r.last_close) for r in S.latest_view(spark, target).collect()}
+    want = {(k, dt.date(2024, m, d)): float(f"{k}.{m}") for k in (1, 2) for m in (1, 2, 3) for d in (1, 2)}
+    assert rows == want | {(1, dt.date(2024, 2, 1)): 7.5}
+
+
+def test_an_empty_first_load_and_loads_that_are_not_merged(spark, tmp_path):
+    from barlens.streaming import bars as S
+    at = dt.datetime(2024, 6, 1)
+    bar = raw_rows(spark, [(1, dt.date(2024, 1, 1), "5", at)]).withColumn("frequency", F.lit("daily"))
+    load = S.upsert_latest(f"{tmp_path}/live", compact_every=2)
+    for n, df in enumerate((bar.limit(0), bar, bar)):
+        load(df, n)
+    assert [float(r.last_close) for r in S.latest_view(spark, f"{tmp_path}/live").collect()] == [5.0]
+    t = S.live_bars(spark, f"{tmp_path}/other")
+    twice = S.latest_view(spark, f"{tmp_path}/live").withColumn("_batch", F.lit(0).cast("bigint"))
+    assert t.upsert(twice.unionAll(twice), ("s", 0)) and t.latest().count() == 1        # rows of one key: merged when read
+
+
+def test_stream_latest_keeps_no_folded_folder(spark, tables):
+    before = shuffle_files(spark)
+    found = registry.q_stream_latest(spark, tables)
+    assert not left(spark, before)
+    at = f"{tables}/scratch/bars-stream"
+    snap = live_bars(spark, f"{at}/table").snapshot()
+    assert set(os.listdir(f"{at}/table/data")) == {*snap.base.values(), *(f for f, _ in snap.deltas)}
+    assert all(f.endswith(".zstd.parquet") for part in ("landing", "table") for f in made(f"{at}/{part}", ".parquet"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, registry.q_bars_latest(spark, tables).select(*found.columns).collect()))
