@@ -50,6 +50,8 @@ CYCLES = (dt.date(2001, 7, 3), dt.date(2001, 7, 17))
 WINDOW_AS_OF, WINDOW_DAYS = "2001-06-20", 15
 #: Files that a registered stream takes in one micro-batch.
 STREAM_FILES = 64
+#: Rows of a file in a delivery that is shuffled as it comes: the files of a micro-batch bound it only if they are bounded.
+FILE_ROWS = 250_000
 
 
 class Inputs:
@@ -538,6 +540,7 @@ def q_stream_latest(spark, sf_dir):
     return latest_view(spark, target)
 
 
+@_frugal
 def q_stream_redelivered(spark, sf_dir):
     """ST-6: deliveries that overlap. The daily feeds come one after the other, then both come again
     for the last 15 days that they share: identical bars are dropped, the corrected ones of June stay."""
@@ -549,9 +552,9 @@ def q_stream_redelivered(spark, sf_dir):
     again = [d.filter(day >= F.date_sub(F.lit(testdata.HISTORICAL_BEFORE), 15))
              .withColumn("record_created_on", F.col("record_created_on") + F.expr("INTERVAL 1 DAY")) for d in daily.values()]
     for d in (*daily.values(), again[0].unionByName(again[1])):
-        d.write.mode("append").parquet(landing)
+        d.write.options(**STORED, maxRecordsPerFile=FILE_ROWS).mode("append").parquet(landing)
         stream = without_repeats(stream_bars(spark, landing, STREAM_FILES))
-        run_available_now(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+        run_available_now(stream.writeStream.format("parquet").options(**STORED).option("path", out).option("checkpointLocation", ckpt)
                           .outputMode("append"), spark=spark, state_partitions=spark.sparkContext.defaultParallelism,
                           conf=STATE_CONF)
     typed = good_rows(type_bars(spark.read.parquet(out).withColumn("_source_rank", F.lit(0))))

@@ -158,3 +158,17 @@ def test_stream_latest_keeps_no_folded_folder(spark, tables):
     assert set(os.listdir(f"{at}/table/data")) == {*snap.base.values(), *(f for f, _ in snap.deltas)}
     assert all(f.endswith(".zstd.parquet") for part in ("landing", "table") for f in made(f"{at}/{part}", ".parquet"))
     assert sorted(map(str, found.collect())) == sorted(map(str, registry.q_bars_latest(spark, tables).select(*found.columns).collect()))
+
+
+def test_stream_redelivered_is_stored_compressed(spark, tables, monkeypatch):
+    monkeypatch.setattr(registry, "FILE_ROWS", 90)
+    before = shuffle_files(spark)
+    found = registry.q_stream_redelivered(spark, tables)
+    assert not left(spark, before)
+    at = f"{tables}/scratch/redelivered"
+    assert max(r.n for r in spark.read.parquet(f"{at}/landing").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) <= 90
+    assert all(made(f"{at}/{part}", ".zstd.parquet") and all(f.endswith(".zstd.parquet") for f in made(f"{at}/{part}", ".parquet"))
+               for part in ("landing", "out"))
+    feeds = testdata.landed_inputs(spark, tables)
+    raw = [registry._typed_raw(feeds[name], "daily") for name in ("historical_daily", "current_daily")]
+    assert sorted(map(str, found.collect())) == sorted(str(r) for df in raw for r in df.select(*found.columns).collect())
